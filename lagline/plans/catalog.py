@@ -5,5 +5,6 @@ from lagline.plans import (  # noqa: F401
     catalog_quality,
     catalog_scalars,
     catalog_shapes,
+    catalog_sources,
 )
 from lagline.plans.registry import ORACLES, QUERIES  # noqa: F401
