@@ -6,5 +6,6 @@ from lagline.plans import (  # noqa: F401
     catalog_scalars,
     catalog_shapes,
     catalog_sources,
+    catalog_survival,
 )
 from lagline.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lagline", cores: str | int = "*") -> SparkSession:
@@ -41,3 +42,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Keep a frame that several jobs read.
+
+    Where the cluster names a shared checkpoint folder the frame is written there first, so a lost executor costs a
+    read and not the whole lineage.
+    """
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        df = df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
