@@ -2,6 +2,7 @@
 
 from lagline.plans import (  # noqa: F401
     catalog_eda,
+    catalog_models,
     catalog_quality,
     catalog_scalars,
     catalog_shapes,
