@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -51,10 +51,13 @@ def cox_rows(
     return rows.na.drop(subset=[*numeric, *categorical])
 
 
-def level_counts(rows: DataFrame, keys: Sequence[str], categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
+def level_counts(
+    rows: DataFrame, keys: Sequence[str], categorical: Sequence[str] = CATEGORICAL, weight: str | None = None
+) -> DataFrame:
     """Rows per level of every categorical column, with the group size, in one pass."""
+    extra, size = ([weight], F.sum(weight)) if weight else ([], F.count("*"))
     items = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level")) for c in categorical]))
-    counts = rows.select(*keys, items).groupBy(*keys, "column_name", "level").agg(F.count("*").alias("ones"))
+    counts = rows.select(*keys, *extra, items).groupBy(*keys, "column_name", "level").agg(size.alias("ones"))
     total = counts.groupBy(*keys, "column_name").agg(
         F.sum("ones").alias("n"),
         F.min(F.struct((-F.col("ones")).alias("o"), F.col("level").alias("l"))).alias("__r"),
@@ -115,26 +118,34 @@ class Design:
     dropped: list[str]
     n: int
     horizon: float
-    numeric: list[str] = field(default_factory=list)
+    kept: DataFrame  # the persisted table behind `rows`
 
     @property
     def columns(self) -> list[str]:
         return [f"x{i}" for i in range(len(self.names))]
 
     def release(self) -> None:
-        self.rows.unpersist()
+        self.kept.unpersist()
 
 
 def build_design(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
     horizon: float = CENSOR_MINUTES,
 ) -> Design:
-    """Indicator columns against the most frequent level, rare and constant ones dropped, rows collapsed."""
+    """Indicator columns against the most frequent level, rare and constant ones dropped.
+
+    Equal rows are counted first: that table is the only one kept, levels are counted on it, and indicators are
+    derived from it in the scan of each step.
+    """
     rows = cox_rows(df, numeric, categorical, horizon)
-    report = indicator_report(level_counts(rows, [], categorical)).orderBy("column_name", "level").collect()
+    fields = ["event", *numeric, *categorical]
+    counted = rows.groupBy("time", *fields).agg(F.count("*").alias("w")).withColumn("salt", F.xxhash64(*fields))
+    # Time ranges keep the per-partition results short; the hash splits a time that holds most rows (the horizon).
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = settle(counted.repartitionByRange(parts, "time", "salt").drop("salt"))
+    report = indicator_report(level_counts(counted, [], categorical, "w")).orderBy("column_name", "level").collect()
     if not report:
         raise ValueError("no rows left for the design")
-    n = report[0]["n"]
     names, columns, dropped, references = list(numeric), [F.col(c).cast("double") for c in numeric], [], {}
     for r in report:
         if r["is_reference"]:
@@ -144,13 +155,8 @@ def build_design(
         else:
             names.append(r["covariate"])
             columns.append((F.col(r["column_name"]) == r["level"]).cast("double"))
-    x = [c.alias(f"x{i}") for i, c in enumerate(columns)]
-    wide = rows.select("time", "event", *x)
-    collapsed = wide.groupBy("time", "event", *[f"x{i}" for i in range(len(x))]).agg(F.count("*").alias("w"))
-    # Time ranges keep the per-partition results short; the hash splits a time that holds most rows (the horizon).
-    salt = F.xxhash64("event", *[f"x{i}" for i in range(len(x))])
-    spread = collapsed.withColumn("salt", salt).repartitionByRange("time", "salt").drop("salt")
-    return Design(settle(spread), names, references, dropped, n, horizon, list(numeric))
+    wide = counted.select("time", "event", "w", *[c.alias(f"x{i}") for i, c in enumerate(columns)])
+    return Design(wide, names, references, dropped, report[0]["n"], horizon, counted)
 
 
 def drop_report(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:

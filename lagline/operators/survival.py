@@ -62,7 +62,8 @@ def risk_table(view: DataFrame, strata: Sequence[str]) -> DataFrame:
     per_time = view.groupBy(*strata, t).agg(
         F.sum(F.col(EVENT)).cast("bigint").alias("d"), F.count("*").alias("__rows")
     )
-    later = Window.partitionBy(*strata).orderBy("time").rowsBetween(0, Window.unboundedFollowing)
+    # Running sum from the latest time down; a frame to unbounded following would be quadratic.
+    later = Window.partitionBy(*strata).orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, 0)
     return per_time.select(
         *strata, "time", "d", (F.col("__rows") - F.col("d")).alias("c"), F.sum("__rows").over(later).alias("n")
     )
@@ -140,7 +141,7 @@ def binned_hazard(
     filled = risk.groupBy(*strata, b.alias("bin")).agg(F.sum("d").alias("events"), F.sum(F.col("d") + F.col("c")).alias("rows"))
     keys = risk.select(*strata).distinct() if strata else risk.agg(F.count("*").alias("__x")).drop("__x")
     grid = keys.select(*strata, F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("bin"))
-    later = Window.partitionBy(*strata).orderBy("bin").rowsBetween(0, Window.unboundedFollowing)
+    later = Window.partitionBy(*strata).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     rows = F.coalesce(F.col("rows"), F.lit(0))
     at_risk = grid.join(filled, [*strata, "bin"], "left").select(
         *strata, "bin", F.coalesce("events", F.lit(0)).alias("events"), F.sum(rows).over(later).alias("at_risk")

@@ -107,7 +107,7 @@ def ml_compare(spark, d):
 @query("ml_importance")
 def ml_importance(spark, d):
     model, scored = _baseline(spark, d, "Random Forest")
-    return learning.importance_table(model.stages[-1], scored)
+    return learning.importance_table(model.stages[-1], scored, "unscaled_features")
 
 
 @query("sink_model")
