@@ -25,22 +25,17 @@ def calls_per_second(
     span = max(lookbacks.values())
     last = 0 if include_current else -1
     counts = df.select(*keys, epoch_seconds(time).alias("__sec")).groupBy(*keys, "__sec").agg(F.count("*").alias("__n"))
-    timed = counts.filter(F.col("__sec").isNotNull()).withColumn("__b", F.floor(F.col("__sec") / span))
-    spread = timed.select(
-        *keys, "__sec", "__n", F.explode(F.array(F.col("__b"), F.col("__b") + 1)).alias("__bucket"), "__b"
-    )
+    counts = counts.withColumn("__b", F.floor(F.col("__sec") / span))
+    # Rows without a time keep a bucket of their own, where a RANGE frame makes them peers of each other only.
+    homes = F.when(F.col("__b").isNull(), F.array(F.col("__b"))).otherwise(F.array(F.col("__b"), F.col("__b") + 1))
+    spread = counts.select(*keys, "__sec", "__n", "__b", F.explode(homes).alias("__bucket"))
     w = Window.partitionBy(*keys, "__bucket").orderBy("__sec")
     windows = {c: F.sum("__n").over(w.rangeBetween(-s, last)) for c, s in lookbacks.items()}
-    exact = (
+    return (
         spread.select(*keys, "__sec", "__b", "__bucket", *[F.coalesce(e, F.lit(0)).alias(c) for c, e in windows.items()])
-        .filter("__b = __bucket")
+        .filter(F.col("__b").eqNullSafe(F.col("__bucket")))
         .select(*keys, "__sec", *lookbacks)
     )
-    # Rows without a time are peers of each other and of nothing else, under a RANGE frame.
-    untimed = counts.filter(F.col("__sec").isNull()).select(
-        *keys, "__sec", *[F.col("__n").alias(c) for c in lookbacks]
-    )
-    return exact.unionByName(untimed)
 
 
 def _attach(df: DataFrame, time: str, keys: Sequence[str], counts: DataFrame, columns: Sequence[str]) -> DataFrame:
