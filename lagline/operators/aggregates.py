@@ -64,6 +64,8 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles without ever gathering a group; `weight` holds row counts if counted before.
 
+    `width` is the size of a value bucket: minutes with two decimals have 100 distinct values in a bucket of 1.
+
     Equal values are counted first. Totals per value bucket place each wanted rank in a bucket, and ranks are
     resolved inside buckets, so a group holding most rows is worked on by as many tasks as it has buckets.
     """

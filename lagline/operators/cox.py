@@ -484,19 +484,17 @@ def concordance(scored: DataFrame, block_rows: int = 200_000, max_blocks: int =
 
         within = placed.groupBy("block").applyInPandas(inside, "concordant double, tied double")
         concordant, tied = within.agg(F.sum("concordant"), F.sum("tied")).first()
-        hist = placed.groupBy("block", "u").agg(F.sum("m").alias("m")).collect()
+        hist = placed.groupBy("block", "u").agg(F.sum("m").cast("double").alias("m")).toPandas()
     finally:
         cells.unpersist()
     return _combine(hist, len(cuts) + 1, float(concordant or 0), float(tied or 0))
 
 
-def _combine(hist, blocks: int, concordant: float, tied: float) -> float:
+def _combine(hist: pd.DataFrame, blocks: int, concordant: float, tied: float) -> float:
     """Add the pairs across blocks and divide by all comparable pairs; sizes are blocks times distinct times."""
-    us = np.array(sorted({r["u"] for r in hist}))
-    at = {v: i for i, v in enumerate(us.tolist())}
+    us, at = np.unique(hist["u"].to_numpy(), return_inverse=True)
     counts = np.zeros((blocks, len(us)))
-    for r in hist:
-        counts[r["block"], at[r["u"]]] += r["m"]
+    np.add.at(counts, (hist["block"].to_numpy(), at), hist["m"].to_numpy())
     events = counts * (us % 2 == 0)
     after = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
     lower = np.vstack([np.zeros(len(us)), after.cumsum(axis=0)[:-1]])

@@ -10,7 +10,9 @@ from lagline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return build_session("tests", 8)
+    session = build_session("tests", 8)
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    return session
 
 
 @pytest.fixture(scope="session")
