@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagline.session import settle
-
 RESPONSE = "response_minutes"
 # Accuracy of approximate percentiles; the sketch per group stays bounded by it.
 ACCURACY = 10_000
@@ -245,36 +243,32 @@ def rare_high_risk(stats: DataFrame, low: int = 100, high: int = 1000, p: float
     )
 
 
-def location_features(df: DataFrame, keys: Sequence[str], min_volume: int = 50) -> DataFrame:
-    """Risk and demand features per location, locations with too few completed rows left out."""
-    rows = completed(df)
-    for k in keys:
-        rows = rows.filter(F.col(k).isNotNull())
+def location_features(
+    df: DataFrame, keys: Sequence[str], min_volume: int = 50, times: DataFrame | None = None
+) -> DataFrame:
+    """Risk and demand features per location, locations with too few completed rows left out.
+
+    `times` may give the same incidents without demand columns: percentiles then read those and the demand windows
+    are computed once only.
+    """
     level = F.col("unified_alarm_level")
-    # One pass over the rows: sums per (location, response value). Means and exact percentiles both follow from it.
-    counts = settle(
-        rows.groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(
-            F.count("*").alias("n"),
-            *[F.sum(c).alias(f"s_{c}") for c in ("calls_past_30min", "calls_past_60min", "unified_alarm_level")],
-            *[F.count(c).alias(f"k_{c}") for c in ("calls_past_30min", "calls_past_60min", "unified_alarm_level")],
-            F.count(F.when(level >= 3, 1)).alias("high"),
-        )
-    )
-    mean = lambda c: F.sum(f"s_{c}") / F.sum(f"k_{c}")
+    located = lambda rows: completed(rows).na.drop(subset=list(keys))
     base = (
-        counts.groupBy(*keys)
+        located(df)
+        .groupBy(*keys)
         .agg(
-            F.sum("n").alias("call_volume"),
-            (F.sum(F.col(RESPONSE) * F.col("n")) / F.sum("n")).alias("mean_response"),
-            mean("calls_past_30min").alias("mean_calls_30"),
-            mean("calls_past_60min").alias("mean_calls_60"),
-            mean("unified_alarm_level").alias("mean_alarm_level"),
-            (F.sum("high") / F.sum("n")).alias("high_alarm_share"),
+            F.count("*").alias("call_volume"),
+            F.avg(RESPONSE).alias("mean_response"),
+            F.avg("calls_past_30min").alias("mean_calls_30"),
+            F.avg("calls_past_60min").alias("mean_calls_60"),
+            F.avg(level).alias("mean_alarm_level"),
+            F.avg(F.when(level >= 3, 1).otherwise(0)).alias("high_alarm_share"),
         )
         .filter(F.col("call_volume") >= min_volume)
     )
     probs = {"median_response": 0.5, "p90_response": 0.9}
-    return base.join(exact_percentiles(counts, keys, RESPONSE, probs, weight="n"), list(keys))
+    tails = exact_percentiles(located(df if times is None else times), keys, RESPONSE, probs)
+    return base.join(tails, list(keys))
 
 
 def mean_of_area_means(df: DataFrame, city: str = "city", area: str = "location_area") -> DataFrame:

@@ -202,7 +202,7 @@ def ag_by_category(spark, d):
     FROM mr WHERE response_minutes IS NOT NULL GROUP BY ALL HAVING count(*) >= 50""",
 )
 def ag_location_features(spark, d):
-    out = agg.location_features(model_ready(spark, d), ["city", "location_area"])
+    out = agg.location_features(model_ready(spark, d), ["city", "location_area"], times=incidents(spark, d))
     return out.withColumns({c: F.round(c, 6) for c, t in out.dtypes if t == "double"})
 
 

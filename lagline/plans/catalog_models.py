@@ -260,7 +260,7 @@ _LOCATION = ("call_volume", "mean_response", "p90_response", "median_response",
 
 @lru_cache(maxsize=4)
 def _locations(spark, d):
-    features = agg.location_features(model_ready(spark, d), ["city", "location_area"])
+    features = agg.location_features(model_ready(spark, d), ["city", "location_area"], times=incidents(spark, d))
     return settle(clusters.standardise(settle(features), _LOCATION))
 
 
