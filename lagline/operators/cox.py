@@ -388,20 +388,47 @@ def reference_profile(design: Design) -> DataFrame:
     return wide.select(*[F.col(c).alias(n) for c, n in zip(design.columns, design.names)])
 
 
-def scenario_curves(
-    spark: SparkSession, model: CoxModel, profiles: dict[str, dict[str, float]], horizon: int | None = None
+def coefficient_table(spark: SparkSession, model: CoxModel) -> DataFrame:
+    """What a prediction needs besides the baseline: coefficient and centre of every covariate."""
+    rows = [(n, float(b), float(s), float(m)) for n, b, s, m in zip(model.names, model.coef, model.se, model.mean)]
+    return spark.createDataFrame(rows, "covariate string, coef double, se double, mean double")
+
+
+def profile_curves(
+    coefficients: DataFrame, baseline: DataFrame, profiles: dict[str, dict[str, float]], horizon: int
 ) -> DataFrame:
-    """S(t) on the minute grid for named covariate profiles; covariates left out are 0."""
-    score = {
-        name: float(sum(b * (x.get(c, 0.0) - m) for c, b, m in zip(model.names, model.coef, model.mean)))
-        for name, x in profiles.items()
-    }
+    """S(t) on the minute grid for named covariate profiles, from coefficient and baseline tables.
+
+    Covariates left out of a profile are 0. Both tables are as long as the model is wide and the time axis is fine.
+    """
+    terms = coefficients.collect()
+    score = {k: sum(r["coef"] * (x.get(r["covariate"], 0.0) - r["mean"]) for r in terms) for k, x in profiles.items()}
     scenarios = F.inline(F.array(*[
         F.struct(F.lit(k).alias("scenario"), F.lit(math.exp(v)).alias("relative_hazard")) for k, v in score.items()
     ]))
-    h0 = baseline_hazard(spark, model).select("time", "cumulative_hazard", scenarios)
+    h0 = baseline.select("time", "cumulative_hazard", scenarios)
     curve = h0.withColumn("survival", F.exp(-F.col("cumulative_hazard") * F.col("relative_hazard")))
-    return on_grid(curve, ["scenario"], int(horizon or model.horizon)).withColumn("delay_risk", F.col("survival"))
+    return on_grid(curve, ["scenario"], horizon).withColumn("delay_risk", F.col("survival"))
+
+
+def scenario_curves(
+    spark: SparkSession, model: CoxModel, profiles: dict[str, dict[str, float]], horizon: int | None = None
+) -> DataFrame:
+    """S(t) on the minute grid for named covariate profiles of a fitted model."""
+    h0 = baseline_hazard(spark, model)
+    return profile_curves(coefficient_table(spark, model), h0, profiles, int(horizon or model.horizon))
+
+
+def save_tables(spark: SparkSession, model: CoxModel, folder: str) -> None:
+    """A fitted model as two parquet tables that any later job can predict from."""
+    coefficient_table(spark, model).write.mode("overwrite").parquet(f"{folder}/coefficients")
+    baseline_hazard(spark, model).write.mode("overwrite").parquet(f"{folder}/baseline")
+
+
+def saved_curves(spark: SparkSession, folder: str, profiles: dict[str, dict[str, float]], horizon: int) -> DataFrame:
+    """Curves of a saved model, without refitting."""
+    tables = [spark.read.parquet(f"{folder}/{t}") for t in ("coefficients", "baseline")]
+    return profile_curves(*tables, profiles, horizon)
 
 
 def ph_test(spark: SparkSession, model: CoxModel) -> DataFrame:

@@ -13,6 +13,8 @@ from lagline.operators.reshape import union_tagged
 from lagline.plans.catalog_shapes import RANK_SQL, RATIO_SQL, importances, ratio_table
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
+from lagline.session import work_dir
+from lagline.sources import sinks
 
 CITY = ["city"]
 _STRATA_EXPR = {
@@ -347,6 +349,35 @@ def sv_demand_hr_cox(spark, d):
     return drivers.demand_hazards(sv_hr_table(spark, d), stats, CITY)
 
 
+@query("sink_coefs")
+def sink_coefs(spark, d):
+    """Save each city's model as tables and predict the reference curve from the saved tables."""
+    parts = {}
+    for city in CITIES:
+        model, _, r = _fitted(spark, d, city)
+        folder = work_dir(spark, "cox")
+        cox.save_tables(spark, model, folder)
+        parts[city] = cox.saved_curves(spark, folder, {"reference": _reference(r, model)}, int(model.horizon))
+    return union_tagged(parts)
+
+
+@query(
+    "sink_model_meta",
+    MODEL_SQL + """SELECT city, count(*) FILTER (response_minutes IS NULL) AS censored_from_null,
+      count(*) FILTER (response_minutes > 60) AS censored_from_over, count(unified_alarm_level) AS rows_final, 60.0::DOUBLE AS censor_time
+    FROM mr WHERE response_minutes IS NULL OR response_minutes > 0 GROUP BY city""",
+)
+def sink_model_meta(spark, d):
+    """Run metadata as JSON, read back."""
+    path = work_dir(spark, "meta")
+    parameters = {"censor_time": 60.0, "penalties": list(cox.PENALTIES), "numeric": list(cox.NUMERIC)}
+    sinks.save_json(sinks.run_metadata(sv_drop_report(spark, d), parameters), path)
+    meta = spark.read.json(path)
+    return meta.select(
+        "city", "censored_from_null", "censored_from_over", "rows_final", F.col("parameters.censor_time").alias("censor_time")
+    )
+
+
 # ---------------------------------------------------------------- summaries of curves, on the grid
 
 GRID_SQL = KM_SQL + """, grid AS (SELECT city, CAST(i AS DOUBLE) AS time, coalesce((SELECT arg_max(survival, time) FROM km WHERE km.city = g.city

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lagline.functions.distributions import chi2_tail
 from lagline.operators import cox, curves, logrank, survival
+from lagline.session import work_dir
 
 SCHEMA = "g string, response_minutes double, event_indicator int"
 
@@ -204,6 +205,10 @@ def test_cox_tables(spark, fitted):
         assert row["hazard"] == pytest.approx(d / risk[(pdf["time"] >= row["time"]).to_numpy()].sum())
     curve = cox.scenario_curves(spark, model, {"low": {"calls": 0.0}, "high": {"calls": 11.0}})
     assert all(r["monotone"] and r["in_range"] for r in curves.sanity(curve, ["scenario"]).collect())
+    folder = work_dir(spark, "cox")
+    cox.save_tables(spark, model, folder)
+    again = cox.saved_curves(spark, folder, {"low": {"calls": 0.0}, "high": {"calls": 11.0}}, 60)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, curve.collect()))
     assert cox.ph_test(spark, model).count() == len(model.names)
     median = cox.reference_profile(design).first()
     assert median["calls"] == np.median(np.repeat(pdf["x0"].to_numpy(), pdf["w"].to_numpy()))
