@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lagline.functions.distributions import chi2_tail, normal_two_sided
@@ -486,20 +486,46 @@ def _count_inside(pdf: pd.DataFrame) -> tuple[float, float]:
     return concordant, tied
 
 
-def concordance(scored: DataFrame, block_rows: int = 200_000, max_blocks: int = 256) -> float:
+def _comparable(cells: DataFrame) -> float:
+    """All comparable pairs, from the row counts per u: at most two per distinct time."""
+    later = Window.orderBy(F.desc("u")).rowsBetween(Window.unboundedPreceding, -1)
+    per = cells.groupBy("u").agg(F.sum("m").cast("double").alias("m")).withColumn("after", F.sum("m").over(later))
+    return per.agg(F.sum(F.when(F.col("u") % 2 == 0, F.col("m") * F.col("after")))).first()[0] or 0.0
+
+
+def _across_blocks(placed: DataFrame) -> float:
+    """Concordant pairs of an event in one score block and a later row in a lower block.
+
+    Every block is spread over all values of u (two per distinct time), so each u can add up the lower blocks.
+    """
+    hist = placed.groupBy("block", "u").agg(F.sum("m").cast("double").alias("m"))
+    us = np.array(sorted(r[0] for r in placed.select("u").distinct().collect()))
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = np.zeros(len(us))
+        m[np.searchsorted(us, pdf["u"].to_numpy())] = pdf["m"].to_numpy()
+        after = m[::-1].cumsum()[::-1] - m
+        return pd.DataFrame({"block": pdf["block"].iloc[0], "u": us, "events": m * (us % 2 == 0), "after": after})
+
+    dense = hist.groupBy("block").applyInPandas(spread, "block int, u bigint, events double, after double")
+    lower = Window.partitionBy("u").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return dense.select((F.col("events") * F.sum("after").over(lower)).alias("c")).agg(F.sum("c")).first()[0] or 0.0
+
+
+def concordance(scored: DataFrame, block_rows: int = 200_000) -> float:
     """Exact concordance of a risk score (higher means earlier) over columns time, event, score, w.
 
-    Equal (score, time, event) rows are counted first. Score ranges form blocks: pairs inside a block are counted by
-    its task, pairs across blocks follow from per-block counts by time, which are few.
+    Equal (score, time, event) rows are counted first. Score ranges form blocks of about `block_rows`: pairs inside a
+    block are counted by its task, pairs across blocks follow from per-block counts by time.
     """
     counted = scored.groupBy("score", "time", "event").agg(F.sum("w").alias("m"))
     u = (F.round(F.col("time") * 10**RESOLUTION).cast("bigint") * 2 + (1 - F.col("event"))).alias("u")
-    cells = counted.select(F.col("score").cast("double").alias("score"), u, "m")
-    cells = settle(cells)
+    cells = settle(counted.select(F.col("score").cast("double").alias("score"), u, "m"))
     try:
-        n = cells.count()
-        blocks = max(1, min(max_blocks, math.ceil(n / block_rows)))
-        cuts = sorted(set(cells.approxQuantile("score", [i / blocks for i in range(1, blocks)], 0.001))) if blocks > 1 else []
+        blocks = max(1, math.ceil(cells.count() / block_rows))
+        cuts: list[float] = []
+        if blocks > 1:
+            cuts = sorted(set(cells.approxQuantile("score", [i / blocks for i in range(1, blocks)], min(0.001, 0.25 / blocks))))
         placed = cells.withColumn("block", F.lit(0))
         if cuts:
             bucket = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="block")
@@ -510,23 +536,12 @@ def concordance(scored: DataFrame, block_rows: int = 200_000, max_blocks: int =
             return pd.DataFrame({"concordant": [c], "tied": [t]})
 
         within = placed.groupBy("block").applyInPandas(inside, "concordant double, tied double")
-        concordant, tied = within.agg(F.sum("concordant"), F.sum("tied")).first()
-        hist = placed.groupBy("block", "u").agg(F.sum("m").cast("double").alias("m")).toPandas()
+        concordant, tied = (v or 0.0 for v in within.agg(F.sum("concordant"), F.sum("tied")).first())
+        if cuts:
+            concordant += _across_blocks(placed)
+        comparable = _comparable(cells)
     finally:
         cells.unpersist()
-    return _combine(hist, len(cuts) + 1, float(concordant or 0), float(tied or 0))
-
-
-def _combine(hist: pd.DataFrame, blocks: int, concordant: float, tied: float) -> float:
-    """Add the pairs across blocks and divide by all comparable pairs; sizes are blocks times distinct times."""
-    us, at = np.unique(hist["u"].to_numpy(), return_inverse=True)
-    counts = np.zeros((blocks, len(us)))
-    np.add.at(counts, (hist["block"].to_numpy(), at), hist["m"].to_numpy())
-    events = counts * (us % 2 == 0)
-    after = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
-    lower = np.vstack([np.zeros(len(us)), after.cumsum(axis=0)[:-1]])
-    concordant += float((events * lower).sum())
-    comparable = float((events.sum(axis=0) * after.sum(axis=0)).sum())
     return (concordant + tied / 2) / comparable if comparable else float("nan")
 
 
