@@ -79,7 +79,8 @@ def exact_percentiles(
         F.coalesce(F.sum("__bn").over(upto), F.lit(0)).alias("__before"),
         F.sum("__bn").over(Window.partitionBy(*keys)).alias("__total"),
     )
-    on = F.col("__b") == F.col("__pb")
+    # Null-safe on the bucket too: a plain equality would filter one branch only and keep the counts from being shared.
+    on = F.col("__b").eqNullSafe(F.col("__pb"))
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     inside = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)

@@ -139,12 +139,16 @@ def binned_hazard(
     bins = int(round(horizon / width))
     b = F.floor(F.round(F.col("time") / width, 9)).cast("int")
     filled = risk.groupBy(*strata, b.alias("bin")).agg(F.sum("d").alias("events"), F.sum(F.col("d") + F.col("c")).alias("rows"))
-    keys = risk.select(*strata).distinct() if strata else risk.agg(F.count("*").alias("__x")).drop("__x")
-    grid = keys.select(*strata, F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("bin"))
+    # A stratum has at most bins + 1 filled bins: kept as a map, they fill the grid without a join.
+    found = filled.groupBy(*strata).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", F.struct("events", "rows").alias("s")))).alias("m")
+    )
+    grid = found.select(*strata, "m", F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("bin"))
     later = Window.partitionBy(*strata).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    at_risk = grid.join(filled, [*strata, "bin"], "left").select(
-        *strata, "bin", F.coalesce("events", F.lit(0)).alias("events"), F.sum(rows).over(later).alias("at_risk")
+    cell = F.try_element_at("m", F.col("bin"))
+    at_risk = grid.select(*strata, "bin", cell["events"].alias("events"), cell["rows"].alias("rows")).select(
+        *strata, "bin", F.coalesce("events", F.lit(0)).alias("events"),
+        F.sum(F.coalesce("rows", F.lit(0))).over(later).alias("at_risk"),
     )
     return at_risk.filter(F.col("bin") < bins).select(
         *strata,
