@@ -65,17 +65,33 @@ def _run(counts: DataFrame, keys: Sequence[str], extra: str, one: Callable[[pd.D
     return rows.groupBy(*by).applyInPandas(test, schema).drop("__all")
 
 
-def logrank(view: DataFrame, keys: Sequence[str], group: str, alpha: float = 0.05) -> DataFrame:
-    """k-sample test per key: statistic, degrees of freedom, p and significance."""
+def _tail_survival(pdf: pd.DataFrame, horizon: float) -> str:
+    """Level with the largest S(horizon), the alphabetically first one on ties."""
+    s = {}
+    for level, part in pdf.groupby("level"):
+        part = part.sort_values("time", ascending=False)
+        n = part["m"].cumsum()
+        s[level] = float((1 - part["d"] / n)[part["time"] <= horizon].prod())
+    return min(s, key=lambda g: (-round(s[g], 12), g))
+
+
+def logrank(
+    view: DataFrame, keys: Sequence[str], group: str, alpha: float = 0.05, horizon: float = CENSOR_MINUTES
+) -> DataFrame:
+    """k-sample test per key: statistic, degrees of freedom, p, and the level with most tail risk if significant."""
 
     def one(pdf: pd.DataFrame) -> dict:
         levels, z, v, _, _ = _moments(pdf)
         df = len(levels) - 1
         stat = float(z[:-1] @ np.linalg.pinv(v[:-1, :-1]) @ z[:-1]) if df else 0.0
         p = chi2_tail(stat, df) if df else 1.0
-        return {"test_statistic": stat, "df": df, "p_value": p, "significant": p < alpha}
+        return {
+            "test_statistic": stat, "df": df, "p_value": p, "significant": p < alpha,
+            "higher_risk_group_tail": _tail_survival(pdf, horizon) if p < alpha else None,
+        }
 
-    return _run(event_counts(view, keys, group), keys, "test_statistic double, df int, p_value double, significant boolean", one)
+    schema = "test_statistic double, df int, p_value double, significant boolean, higher_risk_group_tail string"
+    return _run(event_counts(view, keys, group), keys, schema, one)
 
 
 def two_sample(view: DataFrame, keys: Sequence[str], group: str, a: str, b: str) -> DataFrame:
@@ -113,10 +129,5 @@ def logrank_suite(
     horizon: float = CENSOR_MINUTES,
 ) -> DataFrame:
     """All stratifications within every key: test result and, where significant, the stratum with most tail risk."""
-    rows = strata_rows(view, keys, strata)
     by = [*keys, "stratification", "group_col"]
-    tests = logrank(rows, by, "level", alpha)
-    tails = highest_tail(rows, by, "level", horizon)
-    return tests.join(tails, by, "left").withColumn(
-        "higher_risk_group_tail", F.when(F.col("significant"), F.col("higher_risk_group_tail"))
-    )
+    return logrank(strata_rows(view, keys, strata), by, "level", alpha, horizon)

@@ -81,12 +81,22 @@ def kaplan_meier(risk: DataFrame, strata: Sequence[str]) -> DataFrame:
     return risk.withColumn("survival", cumulative_product(1 - F.col("d") / F.col("n"), w))
 
 
+def _step_value(t: float) -> Column:
+    """S at the last time not after t, 1 before the first."""
+    return F.coalesce(F.max_by("survival", F.when(F.col("time") <= t, F.col("time"))), F.lit(1.0))
+
+
+def _first_half() -> Column:
+    """First time with S at or below one half, compared at nine decimals: an S of exactly one half carries noise."""
+    return F.coalesce(F.min(F.when(F.round("survival", 9) <= 0.5, F.col("time"))), F.lit(float("inf")))
+
+
 def survival_at(curve: DataFrame, strata: Sequence[str], times: Sequence[float] = THRESHOLDS) -> DataFrame:
     """Step lookup: S at the last time not after each threshold (1 before the first), and its complement."""
     items = [
         F.struct(
             F.lit(float(t)).alias("threshold_min"),
-            F.coalesce(F.max_by("survival", F.when(F.col("time") <= t, F.col("time"))), F.lit(1.0)).alias("survival_prob"),
+            _step_value(t).alias("survival_prob"),
         )
         for t in times
     ]
@@ -98,35 +108,29 @@ def survival_at(curve: DataFrame, strata: Sequence[str], times: Sequence[float]
 
 
 def median_survival(curve: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """First time with S at or below one half; infinite when it is never reached.
-
-    Compared at nine decimals, as an S of exactly one half carries rounding noise from its logarithms.
-    """
-    first = F.min(F.when(F.round("survival", 9) <= 0.5, F.col("time")))
-    return curve.groupBy(*strata).agg(F.coalesce(first, F.lit(float("inf"))).alias("median_survival"))
+    """First time with S at or below one half; infinite when it is never reached."""
+    return curve.groupBy(*strata).agg(_first_half().alias("median_survival"))
 
 
 def validation(view: DataFrame, strata: Sequence[str], times: Sequence[float] = THRESHOLDS) -> DataFrame:
     """Estimated S(t) beside the share of observed events later than t, with both medians.
 
-    Works on the risk table only: shares and the event median follow from its event counts.
+    One aggregate over the curve: shares and the event median follow from its event counts.
     """
-    risk = risk_table(view, strata)
-    curve = kaplan_meier(risk, strata)
+    curve = kaplan_meier(risk_table(view, strata), strata)
     d = F.col("d")
     items = [
         F.struct(
             F.lit(float(t)).alias("threshold_min"),
+            _step_value(t).alias("survival_prob"),
             (F.sum(F.when(F.col("time") > t, d).otherwise(0)) / F.sum(d)).alias("empirical_survival"),
         )
         for t in times
     ]
-    empirical = curve.groupBy(*strata).agg(
-        F.expr("percentile(time, 0.5, d)").alias("event_median"), F.array(*items).alias("__t")
-    ).select(*strata, "event_median", F.inline("__t"))
-    estimated = survival_at(curve, strata, times).drop("prob_arrived")
-    medians = median_survival(curve, strata)
-    return estimated.join(empirical, [*strata, "threshold_min"]).join(medians, list(strata))
+    return curve.groupBy(*strata).agg(
+        F.expr("percentile(time, 0.5, d)").alias("event_median"), _first_half().alias("median_survival"),
+        F.array(*items).alias("__t"),
+    ).select(*strata, "event_median", "median_survival", F.inline("__t"))
 
 
 def binned_hazard(

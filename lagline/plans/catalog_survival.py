@@ -154,7 +154,8 @@ def sv_logrank_2_p(spark, d):
 @query("sv_logrank_k")
 def sv_logrank_k(spark, d):
     view = city_view(spark, d)
-    return logrank.logrank(view, CITY, "day_of_week_name").join(logrank.highest_tail(view, CITY, "day_of_week_name"), CITY)
+    tests = logrank.logrank(view, CITY, "day_of_week_name").drop("higher_risk_group_tail")
+    return tests.join(logrank.highest_tail(view, CITY, "day_of_week_name"), CITY)
 
 
 @query("sv_logrank_suite")

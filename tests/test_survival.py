@@ -105,6 +105,8 @@ def test_logrank_matches_brute_force(data):
     tail = logrank.highest_tail(view, [], "g").first()["higher_risk_group_tail"]
     s60 = {x: brute_km(t[g == x], e[g == x], 60) for x in set(g)}
     assert s60[tail] == pytest.approx(max(s60.values()))
+    forced = logrank.logrank(view, [], "g", alpha=1.1).first()["higher_risk_group_tail"]
+    assert forced == tail and logrank.logrank(view, [], "g", alpha=0.0).first()["higher_risk_group_tail"] is None
 
 
 def test_curve_summaries(spark):
