@@ -38,7 +38,7 @@ def dq_expect_drop(spark, d):
     UNION ALL SELECT rows, 'has_area', c FROM n""",
 )
 def dq_expect_warn(spark, d):
-    return quality.expectation_report(incidents(spark, d), WEB_RULES)
+    return quality.expect(incidents(spark, d), WEB_RULES)[1]
 
 
 _MISSING = ("response_minutes", "delay_indicator", "unified_alarm_level", "location_area")
