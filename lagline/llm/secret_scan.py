@@ -203,9 +203,8 @@ def secret_report(docs: DataFrame, text: str = "text", key: str = "doc_id", rule
     """One row per document: `doc_id`, `n_assign`, `n_access`, `n_hex`, `base_sha256`, `spans`."""
     found = scan(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", rules)
     base = [i for i, r in enumerate(rules) if r.base]
-    counts = [
-        F.size(F.filter("_spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{rules[i].kind}") for i in base
-    ]
+    of_kind = lambda i: F.filter("_spans", lambda s: s["kind"] == i)
+    counts = [F.size(of_kind(i)).cast("long").alias(f"n_{rules[i].kind}") for i in base]
     own = F.filter("_spans", lambda s: s["kind"].isin(base))
     return found.select(
         "doc_id", *counts, F.sha2(described(own, rules), 256).alias("base_sha256"), described(F.col("_spans"), rules).alias("spans")
