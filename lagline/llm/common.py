@@ -70,3 +70,14 @@ def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = array.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[ends[0] : ends[-1]], ends - ends[0]
+
+
+def carried(docs: DataFrame) -> Column:
+    """A whole row as one column `_row`, so that columns of any name can pass through an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
+def restored(df: DataFrame, names: list[str], *new: str | Column) -> DataFrame:
+    """The carried columns again, with `new` ones; a carried column of the name of a new one gives way."""
+    made = df.select(*new).columns if new else []
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in names if c not in made], *new)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import full_text, small_batches, stored
+from lagline.llm.common import carried, full_text, restored, small_batches, stored
 
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
 LEXICON = 5_000  # telling words at most
@@ -228,16 +228,19 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     no opinion and all rows are kept.
     """
     model = fit(docs, labels, sample, text, key)
-    rows = with_evidence(docs.withColumns({"_host": host_of(F.col(source)), "_path": path_of(F.col(source), F.col(section))}), model, text)
+    site = F.col(source).cast("string")
+    rows = docs.select(carried(docs), full_text(text).alias("_text"), host_of(site).alias("_host"), path_of(site, F.col(section).cast("string")).alias("_path"))
+    rows = with_evidence(rows, model, "_text")
     rates = site_rates(rows.select("_host", "_path", "_quality", "_toxic"), model.rates)
     out = rows.join(rates, ["_host", "_path"], "left")
     odds = lambda p: F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
-    for n in ("quality", "toxic"):
-        post = 1 / (1 + F.exp(-(F.col(f"_{n}") + odds(F.col(f"_{n}_rate")))))
-        out = out.withColumn(f"{n}_prob", post).withColumnRenamed(f"_{n}_rate", f"{n}_rate")
+    post = {n: 1 / (1 + F.exp(-(F.col(f"_{n}") + odds(F.col(f"_{n}_rate"))))) for n in ("quality", "toxic")}
     keep = F.lit(True)
     if "quality" in model.weights:
-        keep &= F.col("quality_prob") >= 0.5
+        keep &= post["quality"] >= 0.5
     if "toxic" in model.weights:
-        keep &= F.col("toxic_prob") < 0.5
-    return out.withColumn("keep", keep).drop("_host", "_path", "_quality", "_toxic")
+        keep &= post["toxic"] < 0.5
+    return restored(
+        out, docs.columns, post["quality"].alias("quality_prob"), post["toxic"].alias("toxic_prob"),
+        F.col("_quality_rate").alias("quality_rate"), F.col("_toxic_rate").alias("toxic_rate"), keep.alias("keep"),
+    )

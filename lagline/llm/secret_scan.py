@@ -17,7 +17,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import full_text
+from lagline.llm.common import carried, full_text, restored
 
 # Fixed values of the result's contract: the three base patterns, and the least length each match must have.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -160,8 +160,9 @@ def scan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -
     Places count code points, ends are exclusive. Null and empty texts have no spans. Rows that repeat are scanned
     once each; rows of one text share candidates. A text with any number of matches keeps all of them.
     """
-    body = full_text(text)
-    keyed = docs.withColumn("_key", F.xxhash64(body))  # texts that share a key share candidates, never results
+    body = F.col("_text")
+    # texts that share a key share candidates, never results
+    keyed = docs.select(carried(docs), full_text(text).alias("_text")).withColumn("_key", F.xxhash64(body))
     index = postings(keyed.select(F.col("_key").alias("key"), body.alias("text")), rules)
     tried = candidates(index, rules).select(F.col("key").alias("_key"), F.col("kinds").alias("_kinds"))
     out = keyed.join(tried, "_key", "left")
@@ -174,8 +175,8 @@ def scan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -
         else:  # most texts have no match; they need no pieces
             found = F.when(body.rlike(rule.pattern), found).otherwise(none)
         parts.append(found)
-    spans = F.array_sort(F.concat(*parts))
-    return out.withColumn("_spans", F.transform(spans, lambda s: s.dropFields("own"))).drop("_key", "_kinds")
+    spans = F.transform(F.array_sort(F.concat(*parts)), lambda s: s.dropFields("own"))
+    return restored(out, docs.columns, spans.alias("_spans"))
 
 
 def described(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.common import full_text, small_batches, stored
+from lagline.llm.common import carried, full_text, restored, small_batches, stored, text_key
 
 SHINGLE = 4
 BITS = 4
@@ -178,6 +178,13 @@ def components(links: DataFrame, purpose: str = "links") -> DataFrame:
     return roots.union(roots.select("root", "root")).distinct()
 
 
+def _roots(prints: DataFrame, crowd: int) -> DataFrame:
+    """Every distinct fingerprint with the smallest one reachable from it: `_fp`, `root`."""
+    distinct = prints.select("_fp").distinct()
+    linked = components(close_pairs(distinct, crowd))
+    return distinct.join(linked, F.col("_fp") == F.col("node"), "left").select("_fp", F.coalesce("root", "_fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", crowd: int = CROWD) -> DataFrame:
     """One row per document: `doc_id`, `fingerprint` (16 hex digits), `component_id`.
 
@@ -185,11 +192,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", cr
     at most four differing bits, null if all are null. Documents without words have fingerprint zero and are linked
     like any other. Rows that repeat, and rows with one key, are documents of their own. An empty table gives none.
     """
-    prints = stored(fingerprints(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "_fp"), "prints")
-    distinct = prints.groupBy("_fp").agg(F.min("doc_id").alias("least"))
-    linked = components(close_pairs(distinct.select("_fp"), crowd))
-    of = distinct.join(linked, F.col("_fp") == F.col("node"), "left").select("_fp", "least", F.coalesce("root", "_fp").alias("root"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    prints = stored(fingerprints(rows).select("doc_id", "_fp"), "prints")
+    least = prints.groupBy("_fp").agg(F.min("doc_id").alias("least"))  # before any join: copies may be most of the rows
+    of = stored(_roots(prints, crowd).join(least, "_fp"), "roots")
     smallest = of.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of.join(smallest, "root").select("_fp", "component_id")
     out = prints.join(named, "_fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", crowd: int = CROWD) -> DataFrame:
+    """The rows of one document of each group of near duplicates, the one with the smallest key.
+
+    A null key comes last; of equal keys the smallest digest of the text decides, of equal texts any one row stays.
+    """
+    rows = docs.select(F.col(key).alias("id"), text_key(text).alias("tkey"), F.col(text).alias("text"))
+    prints = stored(fingerprints(rows).select("id", "tkey", "_fp"), "prints")
+    first = prints.groupBy("_fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey")).alias("first"))
+    chosen = _roots(prints, crowd).join(first, "_fp").groupBy("root").agg(F.min("first").alias("first"))
+    chosen = stored(chosen.select(F.col("first.id").alias("id"), F.col("first.tkey").alias("tkey")), "chosen")
+    wide = docs.select(carried(docs), F.col(key).alias("_id"), text_key(text).alias("_tkey"))
+    same = (F.col("_tkey") == F.col("tkey")) & F.col("_id").eqNullSafe(F.col("id"))
+    one = wide.join(chosen, same, "left_semi").dropDuplicates(["_tkey", "_id"])
+    return restored(one, docs.columns)
