@@ -10,7 +10,6 @@ which return only what can still be among the best.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
