@@ -85,22 +85,21 @@ def _search(k: int):
     def search(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(queries):
-            matrix = np.array(vectors["v"].to_list(), dtype=np.float64).reshape(len(vectors), -1)
-            wanted = np.array(queries["v"].to_list(), dtype=np.float64).reshape(len(queries), -1)
+            matrix = np.array(vectors["vector"].to_list(), dtype=np.float64).reshape(len(vectors), -1)
+            wanted = np.array(queries["query"].to_list(), dtype=np.float64).reshape(len(queries), -1)
             # whole numbers below 2**53 add up exactly; larger ones are Python's integers, scanned without a tree
             exact = np.abs(matrix).max(initial=0) * np.abs(wanted).max(initial=0) * max(1, matrix.shape[1]) < 2.0**53
-            keys = vectors["vec_id"].to_numpy()
+            keys = vectors["own"].to_numpy()
             tree = Tree(matrix) if exact else None
-            big = [[int(x) for x in row] for row in vectors["v"]] if not exact else None
-            for own, query, values, least in zip(queries["vec_id"], wanted, queries["v"], queries["least"]):
+            big = [[int(x) for x in row] for row in vectors["vector"]] if not exact else None
+            for own, query, values, least in zip(queries["query_id"], wanted, queries["query"], queries["least"]):
                 least = -np.inf if pd.isna(least) else float(least)
                 if exact:
                     found = tree.best(query, keys, own, k, least)
                 else:
                     q = [int(x) for x in values]
                     scored = ((sum(a * b for a, b in zip(q, row)), -int(key)) for key, row in zip(keys, big) if key != own)
-                    found = heapq.nlargest(k, scored)
-                    found = [(max(-(2**63), min(2**63 - 1, s)), key) for s, key in found]
+                    found = heapq.nlargest(k, ((max(-(2**63), min(2**63 - 1, s)), key) for s, key in scored))
                 out += [(own, -key, score) for score, key in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
@@ -126,18 +125,21 @@ def top_k(
     m = queries.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_rows))
     first = max(1, round(shards**0.5))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    # names of their own, as both may be parts of one table
+    dealt = vectors.select(F.col("vec_id").alias("own"), F.col("v").alias("vector"))
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("own"), F.lit(shards)).cast("int"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("query"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def wave(low: int, high: int, known: DataFrame | None) -> DataFrame:
         some = dealt.where((F.col("shard") >= low) & (F.col("shard") < high))
         some = some.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        own = asked.withColumn("least", F.lit(None).cast("long")) if known is None else asked.join(known, "vec_id", "left")
+        own = asked.withColumn("least", F.lit(None).cast("long")) if known is None else asked.join(known, "query_id", "left")
         own = own.withColumn("shard", F.explode(F.sequence(F.lit(low), F.lit(high - 1))))
         keys = ["shard", "block", "size"]
-        left = some.withColumn("size", F.size("v")).groupBy(*keys)
-        right = own.withColumn("size", F.size("v")).groupBy(*keys)
+        left = some.withColumn("size", F.size("vector")).groupBy(*keys)
+        right = own.withColumn("size", F.size("query")).groupBy(*keys)
         return left.cogroup(right).applyInPandas(_search(k), "query_id long, vec_id long, score long")
 
     def ranked(found: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def top_k(
 
     found = stored(ranked(wave(0, first, None)), "wave")
     if first < shards:
-        kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+        kth = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
         rest = wave(first, shards, kth)
         found = ranked(found.drop("rank").unionByName(rest))
     return found.select("query_id", "rank", "vec_id", "score")

@@ -80,4 +80,7 @@ def carried(docs: DataFrame) -> Column:
 def restored(df: DataFrame, names: list[str], *new: str | Column) -> DataFrame:
     """The carried columns again, with `new` ones; a carried column of the name of a new one gives way."""
     made = df.select(*new).columns if new else []
-    return df.select(*[F.col("_row").getField(c).alias(c) for c in names if c not in made], *new)
+    # new columns come first, under names of their own: beside carried ones a name in them might mean one of those
+    columns = [(F.col(c) if isinstance(c, str) else c).alias(f"_new{i}") for i, c in enumerate(new)]
+    kept = [F.col("_row").getField(c).alias(c) for c in names if c not in made]
+    return df.select("_row", *columns).select(*kept, *[F.col(f"_new{i}").alias(c) for i, c in enumerate(made)])
