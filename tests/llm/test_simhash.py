@@ -67,7 +67,7 @@ def test_links_reach_the_same(spark, crowd, block):
 
 
 def test_forest_and_components(spark):
-    prints = np.array([0, 0b1111, 0b11111111, 1 << 60, (1 << 60) | 3, 0xFFFF << 20], np.uint64)
+    prints = np.array([0, 0b1111, 0b11111111, 31 << 56, (31 << 56) | 3, 0xFFFF << 20], np.uint64)
     assert len(forest(prints)) == 3 and len(forest(prints[:0])) == 0
     chain = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 500), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
