@@ -163,8 +163,10 @@ def hazard_reading(hr: str | Column) -> Column:
 
 
 def p_value_text(p: str | Column) -> Column:
-    """Underflow marker, or three significant digits."""
-    return F.when(as_col(p) == 0, F.lit("< 1e-300")).otherwise(F.format_string("%.3g", as_col(p)))
+    """Underflow marker, or up to three significant digits without trailing zeros; NULL stays NULL."""
+    text = F.format_string("%.3g", as_col(p))
+    text = F.regexp_replace(F.regexp_replace(text, r"(\.[0-9]*?)0+(e|$)", "$1$2"), r"\.(e|$)", "$1")
+    return F.when(as_col(p) == 0, F.lit("< 1e-300")).when(as_col(p).isNotNull(), text)
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -12,13 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RESPONSE = "response_minutes"
-# Accuracy of approximate percentiles; the sketch per group stays bounded by it.
-ACCURACY = 10_000
 FIVE = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
-
-
-def approx(value: str | Column, p: float, accuracy: int = ACCURACY) -> Column:
-    return F.percentile_approx(value, p, accuracy)
+BUCKETS = 256  # value buckets of a group in which ranks are resolved
 
 
 def completed(df: DataFrame, value: str = RESPONSE) -> DataFrame:
@@ -33,18 +28,38 @@ def frequency(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *columns)
 
 
-def response_summary(df: DataFrame, keys: Sequence[str], accuracy: int = ACCURACY, decimals: int = 2) -> DataFrame:
-    return completed(df).groupBy(*keys).agg(
-        F.round(F.avg(RESPONSE), decimals).alias("mean"),
-        *[F.round(approx(RESPONSE, p, accuracy), decimals).alias(n) for n, p in (("median", 0.5), ("p90", 0.9), ("p95", 0.95))],
-    )
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Pairwise equality of columns in which NULL equals NULL, so that no group is lost in a join."""
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
+
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of grouped results; a NULL group meets its counterpart."""
+    other = right.withColumnsRenamed({k: f"__g{i}" for i, k in enumerate(keys)})
+    names = [f"__g{i}" for i in range(len(keys))]
+    return left.join(other, same(keys, names)).drop(*names)
 
-def percentile_table(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, accuracy: int = ACCURACY) -> DataFrame:
-    """p50, p75, p90, p95 from one sketch per group."""
-    probs = (0.5, 0.75, 0.9, 0.95)
-    q = completed(df, value).groupBy(*keys).agg(F.percentile_approx(value, list(probs), accuracy).alias("__q"))
-    return q.select(*keys, *[F.col("__q")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
+
+def response_summary(df: DataFrame, keys: Sequence[str], decimals: int = 2) -> DataFrame:
+    probs = {"median": 0.5, "p90": 0.9, "p95": 0.95}
+    out = exact_percentiles(df, keys, RESPONSE, probs, nearest=True, extras={"mean": _mean(RESPONSE)})
+    return out.select(*keys, *[F.round(c, decimals).alias(c) for c in ("mean", *probs)])
+
+
+def percentile_table(df: DataFrame, keys: Sequence[str], value: str = RESPONSE) -> DataFrame:
+    """p50, p75, p90, p95 per group, as values that occur."""
+    return exact_percentiles(df, keys, value, {f"p{p}": p / 100 for p in (50, 75, 90, 95)}, nearest=True)
+
+
+def approx_percentiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 10_000
+) -> DataFrame:
+    """Percentiles from one bounded sketch per group; a value's rank is off by at most 1 / accuracy of the rows."""
+    q = completed(df, value).groupBy(*keys).agg(F.percentile_approx(value, list(probs.values()), accuracy).alias("__q"))
+    return q.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(probs)])
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -52,48 +67,59 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return completed(df, value).groupBy(*keys, F.col(value).cast("double").alias(value)).agg(F.count("*").alias("n"))
 
 
+def _mean(value: str) -> Column:
+    """The mean of a value over counted rows; without any, NULL."""
+    return F.sum(F.col(value) * F.col("n")) / F.sum(F.when(F.col(value).isNotNull(), F.col("n")))
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: dict[str, float],
-    width: float = 1.0,
     weight: str | None = None,
+    nearest: bool = False,
+    extras: dict[str, Column] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Exact interpolated percentiles without ever gathering a group; `weight` holds row counts if counted before.
+    """Exact percentiles without ever gathering a group, interpolated or, if `nearest`, as the value of the nearest rank.
 
-    `width` is the size of a value bucket: minutes with two decimals have 100 distinct values in a bucket of 1.
+    `weight` names the row counts of rows counted before; these may have further columns and a NULL value, which has no
+    rank. `extras` are aggregates over the counted rows, `n` being their count, that are computed along.
 
-    Equal values are counted first. Totals per value bucket place each wanted rank in a bucket, and ranks are
-    resolved inside buckets, so a group holding most rows is worked on by as many tasks as it has buckets.
+    Equal values are counted first. A group's range is cut into equal buckets; totals per bucket place each wanted rank
+    in one, and ranks are resolved inside buckets, so a group holding most rows is worked on by as many tasks as it has
+    buckets, whatever the scale of its values.
     """
     counts = value_counts(df, keys, value) if weight is None else df.withColumnRenamed(weight, "n")
-    counts = counts.select(
-        *keys, F.col(value).alias("__v"), F.col("n").alias("__n"), F.floor(F.col(value) / width).alias("__b")
-    )
+    ends = counts.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    width = (F.col("__hi") - F.col("__lo")) / buckets
+    at_bucket = F.when(width > 0, F.floor((F.col(value) - F.col("__lo")) / width)).otherwise(F.lit(0))
+    counts = join_groups(counts, ends, keys).withColumns({
+        "__b": F.when(F.col(value).isNotNull(), at_bucket), "__n": F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0),
+    }).drop("__lo", "__hi")
     per_bucket = counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
     upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     placed = per_bucket.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__b").alias("__pb"),
+        *keys, "__b",
         F.coalesce(F.sum("__bn").over(upto), F.lit(0)).alias("__before"),
         F.sum("__bn").over(Window.partitionBy(*keys)).alias("__total"),
     )
-    # Null-safe on the bucket too: a plain equality would filter one branch only and keep the counts from being shared.
-    on = F.col("__b").eqNullSafe(F.col("__pb"))
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    inside = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.join(placed, on).withColumn(
+    inside = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = join_groups(counts, placed, [*keys, "__b"]).withColumn(
         "__from", F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
     )
 
     def at(rank: Column) -> Column:
         covers = (F.col("__from") <= rank) & (rank < F.col("__from") + F.col("__n"))
-        return F.max(F.when(covers, F.col("__v")))
+        return F.max(F.when(covers, F.col(value)))
 
     picks, out = [], []
     for name, p in probs.items():
+        if nearest:
+            picks.append(at(F.greatest(F.ceil(F.lit(float(p)) * F.col("__total")) - 1, F.lit(0))).alias(name))
+            out.append(F.col(name))
+            continue
         pos = F.lit(float(p)) * (F.col("__total") - 1)
         picks += [
             at(F.floor(pos)).alias(f"__lo_{name}"),
@@ -102,29 +128,24 @@ def exact_percentiles(
         ]
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((lo + (hi - lo) * F.col(f"__f_{name}")).alias(name))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *out)
+    more = [column.alias(name) for name, column in (extras or {}).items()]
+    return ranked.groupBy(*keys).agg(*picks, *more).select(*keys, *out, *(extras or {}))
 
 
 def skewness(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, decimals: int = 4) -> DataFrame:
     return completed(df, value).groupBy(*keys).agg(F.round(F.skewness(value), decimals).alias("skewness"))
 
 
-def outlier_profile(
-    df: DataFrame, keys: Sequence[str], value: str = RESPONSE, accuracy: int = ACCURACY, decimals: int = 2
-) -> DataFrame:
+def outlier_profile(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, decimals: int = 2) -> DataFrame:
     """Quartiles, 1.5 IQR fences, and how many rows lie outside."""
-    rows = completed(df, value)
-    q = rows.groupBy(*keys).agg(F.percentile_approx(value, [0.25, 0.75], accuracy).alias("__q"))
-    q1, q3 = F.col("__q")[0], F.col("__q")[1]
-    fences = q.select(
-        *keys, q1.alias("q1"), q3.alias("q3"),
-        (q1 - 1.5 * (q3 - q1)).alias("lower_bound"), (q3 + 1.5 * (q3 - q1)).alias("upper_bound"),
-    )
+    counts = value_counts(df, keys, value)
+    fences = exact_percentiles(counts, keys, value, {"q1": 0.25, "q3": 0.75}, weight="n", nearest=True)
+    spread = F.col("q3") - F.col("q1")
+    fences = fences.withColumns({"lower_bound": F.col("q1") - 1.5 * spread, "upper_bound": F.col("q3") + 1.5 * spread})
     v, n = F.col(value), F.col("n")
     bounds = ["q1", "q3", "lower_bound", "upper_bound"]
     return (
-        value_counts(df, keys, value)
-        .join(fences, list(keys))
+        join_groups(counts, fences, keys)
         .groupBy(*keys, *bounds)
         .agg(
             F.sum("n").alias("n_total"),
@@ -160,11 +181,18 @@ def sla_breach(df: DataFrame, keys: Sequence[str], thresholds: Sequence[int] = (
     )
 
 
-def delay_rate(df: DataFrame, keys: Sequence[str], label: str = "delay_indicator", decimals: int = 2) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count("*").alias("total_incidents"),
-        F.sum(label).alias("delayed_incidents"),
-        F.round(F.avg(label) * 100, decimals).alias("delay_percent"),
+def delay_rate(
+    df: DataFrame, keys: Sequence[str], label: str = "delay_indicator", decimals: int = 2, overall: bool = False
+) -> DataFrame:
+    """All, delayed and share of delayed rows per group; `overall` adds the sum of all groups under the key `all`."""
+    parts = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(label).alias("d"), F.count(label).alias("k"))
+    if overall:  # the total follows from the counted groups
+        names = F.array(F.struct(*keys), F.struct(*[F.lit("all").alias(k) for k in keys]))
+        parts = parts.select(F.explode(names).alias("__g"), "n", "d", "k").select("__g.*", "n", "d", "k")
+        parts = parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "d", "k")])
+    return parts.select(
+        *keys, F.col("n").alias("total_incidents"), F.col("d").alias("delayed_incidents"),
+        F.round(F.col("d") / F.col("k") * 100, decimals).alias("delay_percent"),
     )
 
 
@@ -180,26 +208,24 @@ def censoring_summary(df: DataFrame, keys: Sequence[str], event: str = "event_in
     )
 
 
-def hourly_profile(df: DataFrame, keys: Sequence[str], accuracy: int = ACCURACY, decimals: int = 2) -> DataFrame:
-    """Volume, mean, p90 and delay share by hour, all in one pass."""
-    return df.groupBy(*keys, "hour").agg(
-        F.count("*").alias("incident_volume"),
-        F.round(F.avg(RESPONSE), decimals).alias("avg_response"),
-        F.round(approx(RESPONSE, 0.9, accuracy), decimals).alias("p90_response"),
-        F.round(F.avg("delay_indicator") * 100, decimals).alias("delay_percent"),
+def hourly_profile(df: DataFrame, keys: Sequence[str], decimals: int = 2) -> DataFrame:
+    """Volume, mean, p90 and delay share by hour, from one pass over the rows."""
+    groups = [*keys, "hour"]
+    counts = df.groupBy(*groups, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(
+        F.count("*").alias("n"), F.sum("delay_indicator").alias("__d"), F.count("delay_indicator").alias("__k")
     )
+    extras = {"incident_volume": F.sum("n"), "avg_response": _mean(RESPONSE), "delay_percent": F.sum("__d") / F.sum("__k") * 100}
+    out = exact_percentiles(counts, groups, RESPONSE, {"p90_response": 0.9}, weight="n", nearest=True, extras=extras)
+    rounded = [F.round(c, decimals).alias(c) for c in ("avg_response", "p90_response", "delay_percent")]
+    return out.select(*groups, "incident_volume", *rounded)
 
 
-def response_by(
-    df: DataFrame, keys: Sequence[str], p: float = 0.9, accuracy: int = ACCURACY, decimals: int = 2
-) -> DataFrame:
+def response_by(df: DataFrame, keys: Sequence[str], p: float = 0.9, decimals: int = 2) -> DataFrame:
     """Completed rows, mean, median and one tail percentile per group."""
-    return completed(df).groupBy(*keys).agg(
-        F.count("*").alias("n_completed"),
-        F.round(F.avg(RESPONSE), decimals).alias("mean_response"),
-        F.round(approx(RESPONSE, 0.5, accuracy), decimals).alias("median_response"),
-        F.round(approx(RESPONSE, p, accuracy), decimals).alias(f"p{round(p * 100)}_response"),
-    )
+    tail = f"p{round(p * 100)}_response"
+    extras = {"n_completed": F.sum("n"), "mean_response": _mean(RESPONSE)}
+    out = exact_percentiles(df, keys, RESPONSE, {"median_response": 0.5, tail: p}, nearest=True, extras=extras)
+    return out.select(*keys, "n_completed", *[F.round(c, decimals).alias(c) for c in ("mean_response", "median_response", tail)])
 
 
 def area_volume(df: DataFrame, keys: Sequence[str], decimals: int = 2) -> DataFrame:
@@ -211,24 +237,23 @@ def area_volume(df: DataFrame, keys: Sequence[str], decimals: int = 2) -> DataFr
     )
 
 
-def area_summary(
-    df: DataFrame, keys: Sequence[str], p: float = 0.9, accuracy: int = ACCURACY, decimals: int = 2
-) -> DataFrame:
+def area_summary(df: DataFrame, keys: Sequence[str], p: float = 0.9, decimals: int = 2) -> DataFrame:
     """Volume of all rows beside response statistics of the completed ones.
 
-    Aggregates skip NULL times by themselves, so the left join of two aggregates is one grouped pass here; areas
-    without any completed row keep NULL statistics and a completed count of 0.
+    Rows are counted once by group and time, a missing time being one of them; areas without any completed row keep
+    NULL statistics and a completed count of 0.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.count("*").alias("n_total"),
-            F.count(F.when(F.col(RESPONSE).isNull(), 1)).alias("n_censored"),
-            F.count(RESPONSE).alias("n_completed"),
-            F.round(F.avg(RESPONSE), decimals).alias("mean_response"),
-            F.round(approx(RESPONSE, p, accuracy), decimals).alias(f"p{round(p * 100)}_response"),
-        )
-        .withColumn("pct_censored", share(F.col("n_censored"), F.col("n_total"), decimals))
+    tail = f"p{round(p * 100)}_response"
+    counts = df.groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(F.count("*").alias("n"))
+    missing = F.col(RESPONSE).isNull()
+    extras = {
+        "n_total": F.sum("n"), "n_censored": F.sum(F.when(missing, F.col("n")).otherwise(0)),
+        "n_completed": F.sum(F.when(missing, 0).otherwise(F.col("n"))), "mean_response": _mean(RESPONSE),
+    }
+    out = exact_percentiles(counts, keys, RESPONSE, {tail: p}, weight="n", nearest=True, extras=extras)
+    return out.select(
+        *keys, "n_total", "n_censored", "n_completed", F.round("mean_response", decimals).alias("mean_response"),
+        F.round(tail, decimals).alias(tail), share(F.col("n_censored"), F.col("n_total"), decimals).alias("pct_censored"),
     )
 
 
@@ -244,32 +269,24 @@ def rare_high_risk(stats: DataFrame, low: int = 100, high: int = 1000, p: float
     )
 
 
-def location_features(
-    df: DataFrame, keys: Sequence[str], min_volume: int = 50, times: DataFrame | None = None
-) -> DataFrame:
+def location_features(df: DataFrame, keys: Sequence[str], min_volume: int = 50) -> DataFrame:
     """Risk and demand features per location, locations with too few completed rows left out.
 
-    `times` may give the same incidents without demand columns: percentiles then read those and the demand windows
-    are computed once only.
+    Rows are counted once by location and time with the sums of the other features, so that they are read and their
+    demand is computed once, whatever is derived from the counts. A location may have NULL in any key.
     """
     level = F.col("unified_alarm_level")
-    located = lambda rows: completed(rows).na.drop(subset=list(keys))
-    base = (
-        located(df)
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("call_volume"),
-            F.avg(RESPONSE).alias("mean_response"),
-            F.avg("calls_past_30min").alias("mean_calls_30"),
-            F.avg("calls_past_60min").alias("mean_calls_60"),
-            F.avg(level).alias("mean_alarm_level"),
-            F.avg(F.when(level >= 3, 1).otherwise(0)).alias("high_alarm_share"),
-        )
-        .filter(F.col("call_volume") >= min_volume)
+    sums = {"mean_calls_30": F.col("calls_past_30min"), "mean_calls_60": F.col("calls_past_60min"), "mean_alarm_level": level}
+    counts = completed(df).groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(
+        F.count("*").alias("n"), F.sum(F.when(level >= 3, 1).otherwise(0)).alias("__high"),
+        *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()], *[F.count(c).alias(f"__c_{n}") for n, c in sums.items()],
     )
+    extras = {"call_volume": F.sum("n"), "mean_response": _mean(RESPONSE)}
+    extras |= {n: F.sum(f"__s_{n}") / F.sum(f"__c_{n}") for n in sums}
+    extras["high_alarm_share"] = F.sum("__high") / F.sum("n")
     probs = {"median_response": 0.5, "p90_response": 0.9}
-    tails = exact_percentiles(located(df if times is None else times), keys, RESPONSE, probs)
-    return base.join(tails, list(keys))
+    out = exact_percentiles(counts, keys, RESPONSE, probs, weight="n", extras=extras)
+    return out.filter(F.col("call_volume") >= min_volume)
 
 
 def mean_of_area_means(df: DataFrame, city: str = "city", area: str = "location_area") -> DataFrame:
@@ -287,15 +304,16 @@ def summary_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     )
 
 
-def demand_scenarios(
-    df: DataFrame, keys: Sequence[str], features: Sequence[str], accuracy: int = ACCURACY
-) -> DataFrame:
+def demand_scenarios(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Low (P10) and high (P90) level of each demand feature, over rows where all features are known."""
-    known = df.na.drop(subset=list(features))
-    wide = known.groupBy(*keys).agg(*[F.percentile_approx(f, [0.1, 0.9], accuracy).alias(f) for f in features])
-    return wide.unpivot(list(keys), list(features), "feature", "__q").select(
-        *keys, "feature", F.col("__q")[0].alias("low_demand_p10"), F.col("__q")[1].alias("high_demand_p90")
-    )
+    known = df.na.drop(subset=list(features)).select(*keys, F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in features
+    ]).alias("__f"))
+    long = known.select(*keys, F.inline("__f"))
+    probs = {"low_demand_p10": 0.1, "high_demand_p90": 0.9}
+    kind = dict(long.dtypes)["level"]
+    out = exact_percentiles(long, [*keys, "feature"], "level", probs, nearest=True)
+    return out.withColumns({name: F.col(name).cast(kind) for name in probs})
 
 
 def correlation_pairs(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -321,7 +339,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, bins: i
     width = (F.col("__hi") - F.col("__lo")) / bins
     raw = F.when(width > 0, F.floor((F.col("__v") - F.col("__lo")) / width)).otherwise(F.lit(0))
     return (
-        rows.join(ends, list(keys))
+        join_groups(rows, ends, keys)
         .select(*keys, F.least(raw, F.lit(bins - 1)).cast("int").alias("bin"), "n")
         .groupBy(*keys, "bin")
         .agg(F.sum("n").alias("n"))
@@ -353,8 +371,9 @@ def top_categories_by_magnitude(
     )
     w = Window.partitionBy(*keys).orderBy(F.desc("mean_abs"), category)
     top = strength.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    chosen = counts.join(top.select(*keys, category), [*keys, category], "left_semi")
-    return top.join(exact_percentiles(chosen, [*keys, category], value, FIVE, weight="n"), [*keys, category])
+    groups = [*keys, category]
+    chosen = join_groups(counts, top.select(*groups), groups)
+    return join_groups(top, exact_percentiles(chosen, groups, value, FIVE, weight="n"), groups)
 
 
 def gold_summary(silver: DataFrame, decimals: int = 2) -> DataFrame:

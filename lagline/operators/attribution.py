@@ -19,10 +19,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.operators.learning import LABEL, NUMERIC, forest, train
+from lagline.operators.learning import CATEGORICAL, LABEL, MISSING, NUMERIC, bins_for, forest, keep_missing, train
 from lagline.session import work_dir
 
-SHAP_CATEGORICAL = ("incident_category", "season", "unified_call_source")
+SHAP_CATEGORICAL = CATEGORICAL
 
 
 @dataclass
@@ -132,11 +132,16 @@ class Explainer:
 def fit_explainer(
     rows: DataFrame, categorical: Sequence[str] = SHAP_CATEGORICAL, numeric: Sequence[str] = NUMERIC, trees: int = 50, depth: int = 5
 ) -> Explainer:
-    """Forest on indexed categories and numbers, so each feature keeps one slot and one attribution."""
+    """Forest on indexed categories and numbers, so each feature keeps one slot and one attribution.
+
+    Unknown numbers are a value of their own, here and in the rows that are explained, so that none is left out.
+    """
+    rows = keep_missing(rows.filter(F.col(LABEL).isNotNull()), numeric)
     spark = rows.sparkSession
     index = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep")
-    assemble = VectorAssembler(inputCols=[*index.getOutputCols(), *numeric], outputCol="features", handleInvalid="skip")
-    pipeline = train([index, assemble, forest(trees=trees, depth=depth).setMaxBins(64)], rows.filter(F.col(LABEL).isNotNull()))
+    assemble = VectorAssembler(inputCols=[*index.getOutputCols(), *numeric], outputCol="features", handleInvalid="error")
+    grown = forest(trees=trees, depth=depth).setMaxBins(bins_for(rows, categorical))
+    pipeline = train([index, assemble, grown], rows)
     nodes = forest_nodes(pipeline.stages[-1], work_dir(spark, "forest"), spark)
     return Explainer(pipeline, [*categorical, *numeric], [leaves_of(nodes[t]) for t in sorted(nodes)])
 
@@ -144,7 +149,9 @@ def fit_explainer(
 def attribute(explainer: Explainer, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns, predicted probability, base value and one attribution column phi_<feature> per feature."""
     names, trees, base = explainer.names, explainer.trees, explainer.base
-    scored = explainer.pipeline.transform(rows).select(
+    numeric = [n for n in names if n in NUMERIC]
+    known = [F.coalesce(F.col(n), F.lit(MISSING)).alias(n) if n in numeric else F.col(n) for n in rows.columns]
+    scored = explainer.pipeline.transform(rows.select(*known)).select(
         *keep, vector_to_array("probability")[1].alias("probability"), vector_to_array("features").alias("__x")
     )
 
@@ -165,7 +172,7 @@ def attribute(explainer: Explainer, rows: DataFrame, keep: Sequence[str]) -> Dat
 
 def riskiest_case(explainer: Explainer, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Base value and contributions of the row with the highest predicted probability, largest effect first."""
-    scored = explainer.pipeline.transform(rows).withColumn("__p", vector_to_array("probability")[1])
+    scored = explainer.pipeline.transform(keep_missing(rows, [n for n in NUMERIC if n in rows.columns])).withColumn("__p", vector_to_array("probability")[1])
     top = scored.orderBy(F.desc("__p"), *keep).limit(1).select(*rows.columns)
     wide = attribute(explainer, top, keep)
     phis = [f"phi_{n}" for n in explainer.names]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lagline.functions.distributions import chi2_tail, normal_two_sided
 from lagline.functions.expressions import CENSOR_MINUTES, quarter_of_day
+from lagline.operators.aggregates import join_groups
 from lagline.operators.curves import on_grid
 from lagline.operators.survival import DURATION, EVENT, RESOLUTION, admin_censoring_report, censor_columns, valid_rows
 from lagline.session import settle
@@ -62,7 +63,8 @@ def level_counts(
         F.sum("ones").alias("n"),
         F.min(F.struct((-F.col("ones")).alias("o"), F.col("level").alias("l"))).alias("__r"),
     )
-    return counts.join(total.select(*keys, "column_name", "n", F.col("__r.l").alias("reference")), [*keys, "column_name"])
+    total = total.select(*keys, "column_name", "n", F.col("__r.l").alias("reference"))
+    return join_groups(counts, total, [*keys, "column_name"])
 
 
 def indicator_report(
@@ -174,16 +176,15 @@ def _triangle(p: int) -> tuple[np.ndarray, np.ndarray]:
 def efron_sums(a: float, b: float, d: int, exact: int = 4096) -> np.ndarray:
     """Sums over l = 0..d-1 of log f, 1/f, x/f, 1/f^2, x/f^2, x^2/f^2 with x = l/d and f = a - b x.
 
-    Many tied events would make this long: beyond `exact` terms the smooth head is integrated by Gauss-Legendre on
-    panels that halve towards the end, with Euler-Maclaurin corrections, and only the tail is summed.
+    The last `exact` terms are summed. What comes before, nothing if there are no more, is integrated by Gauss-Legendre
+    on panels that halve towards the end, with Euler-Maclaurin corrections: f changes by less than 1 / exact of itself
+    from term to term there, so the neglected fourth-order term is below exact ** -4 of a term.
     """
     def terms(x: np.ndarray) -> np.ndarray:
         f = a - b * x
         return np.stack([np.log(f), 1 / f, x / f, 1 / f**2, x / f**2, (x / f) ** 2])
 
-    if d <= 2 * exact:
-        return terms(np.arange(d) / d).sum(axis=1)
-    head = d - exact
+    head = max(0, d - exact)
     tail = terms(np.arange(head, d) / d).sum(axis=1)
     end = head / d
     nodes, weights = np.polynomial.legendre.leggauss(16)
@@ -308,7 +309,10 @@ class CoxModel:
 def fit(
     design: Design, penalty: float = 0.1, start: CoxModel | None = None, tolerance: float = 1e-9, max_iter: int = 50
 ) -> CoxModel:
-    """Maximise the partial likelihood minus n * penalty * |b|^2 / 2, b being coefficients of standardised covariates."""
+    """Maximise the partial likelihood minus n * penalty * |b|^2 / 2, b being coefficients of standardised covariates.
+
+    A fit that does not converge raises ArithmeticError.
+    """
     cols = design.columns
     w = F.col("w")
     row = design.rows.agg(
@@ -324,10 +328,12 @@ def fit(
     q = risk_sums(design, beta, mean, scale)
     ll, g, h, expected = partial_likelihood(q, beta)
     value = ll - n * penalty / 2 * float(beta @ beta)
-    for _ in range(max_iter):
+    converged = False
+    for _ in range(max_iter + 1):
         gp, hp = g - n * penalty * beta, h - n * penalty * np.eye(len(beta))
         step = np.linalg.solve(-hp, gp)
         if float(gp @ step) / 2 < tolerance * max(1.0, abs(value)) * 1e-3 or np.abs(step).max() < tolerance:
+            converged = True
             break
         factor = 1.0
         while True:
@@ -335,10 +341,14 @@ def fit(
             q2 = risk_sums(design, trial, mean, scale)
             ll2, g2, h2, x2 = partial_likelihood(q2, trial)
             value2 = ll2 - n * penalty / 2 * float(trial @ trial)
-            if value2 >= value - 1e-12 * abs(value) or factor < 1e-4:
+            if value2 >= value - 1e-12 * abs(value):
                 break
             factor /= 2
+            if factor < 1e-4:
+                raise ArithmeticError("no step improves the partial likelihood")
         beta, q, ll, g, h, expected, value = trial, q2, ll2, g2, h2, x2, value2
+    if not converged:
+        raise ArithmeticError(f"no convergence after {max_iter} steps")
     covariance = np.linalg.inv(-(h - n * penalty * np.eye(len(beta)))) / np.outer(scale, scale)
     return CoxModel(
         design.names, beta / scale, covariance, mean, scale, ll, value, n, penalty, design.horizon, q, expected
@@ -516,20 +526,17 @@ def concordance(scored: DataFrame, block_rows: int = 200_000) -> float:
     """Exact concordance of a risk score (higher means earlier) over columns time, event, score, w.
 
     Equal (score, time, event) rows are counted first. Score ranges form blocks of about `block_rows`: pairs inside a
-    block are counted by its task, pairs across blocks follow from per-block counts by time.
+    block are counted by its task, pairs across blocks follow from per-block counts by time. There are two blocks at least.
     """
     counted = scored.groupBy("score", "time", "event").agg(F.sum("w").alias("m"))
     u = (F.round(F.col("time") * 10**RESOLUTION).cast("bigint") * 2 + (1 - F.col("event"))).alias("u")
     cells = settle(counted.select(F.col("score").cast("double").alias("score"), u, "m"))
     try:
-        blocks = max(1, math.ceil(cells.count() / block_rows))
-        cuts: list[float] = []
-        if blocks > 1:
-            cuts = sorted(set(cells.approxQuantile("score", [i / blocks for i in range(1, blocks)], min(0.001, 0.25 / blocks))))
-        placed = cells.withColumn("block", F.lit(0))
-        if cuts:
-            bucket = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="block")
-            placed = bucket.transform(cells).withColumn("block", F.col("block").cast("int"))
+        blocks = max(2, math.ceil(cells.count() / block_rows))
+        cuts = cells.approxQuantile("score", [i / blocks for i in range(1, blocks)], min(0.001, 0.25 / blocks))
+        splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
+        bucket = Bucketizer(splits=splits, inputCol="score", outputCol="block")
+        placed = bucket.transform(cells).withColumn("block", F.col("block").cast("int"))
 
         def inside(pdf: pd.DataFrame) -> pd.DataFrame:
             c, t = _count_inside(pdf)
@@ -537,8 +544,7 @@ def concordance(scored: DataFrame, block_rows: int = 200_000) -> float:
 
         within = placed.groupBy("block").applyInPandas(inside, "concordant double, tied double")
         concordant, tied = (v or 0.0 for v in within.agg(F.sum("concordant"), F.sum("tied")).first())
-        if cuts:
-            concordant += _across_blocks(placed)
+        concordant += _across_blocks(placed)
         comparable = _comparable(cells)
     finally:
         cells.unpersist()

@@ -15,8 +15,7 @@ REPORT_MINUTES = (5, 10, 15, 30, 45, 60)
 
 def on_grid(curve: DataFrame, keys: Sequence[str], horizon: int, value: str = "survival") -> DataFrame:
     """Survival step function at the minutes 0..horizon, 1 before the first time."""
-    first = curve.select(*keys).distinct().withColumn("time", F.lit(-1.0)).withColumn(value, F.lit(1.0))
-    return align_to_grid(curve.select(*keys, "time", value).unionByName(first), keys, "time", value, horizon, 1.0)
+    return align_to_grid(curve, keys, "time", value, horizon, 1.0, before=1.0)
 
 
 def smoothed_hazard(hazard: DataFrame, keys: Sequence[str], horizon: int, value: str = "hazard", window: int = 5) -> DataFrame:

@@ -35,6 +35,12 @@ def keep_missing(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return df.fillna(MISSING, subset=list(numeric))
 
 
+def bins_for(rows: DataFrame, categorical: Sequence[str], least: int = 64) -> int:
+    """Split bins of a forest: enough for each level of every indexed category, and for unknown ones."""
+    sizes = rows.agg(*[F.countDistinct(c).alias(c) for c in categorical]).first() if categorical else ()
+    return max([least, *[n + 2 for n in sizes]])
+
+
 def onehot_scaled(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     """Index (unknown levels kept), one-hot encode, assemble, scale."""
     index = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep")
@@ -111,10 +117,9 @@ def regression_quality(predictions: DataFrame, target: str = "response_minutes")
 
 def tail_comparison(predictions: DataFrame, target: str = "response_minutes") -> DataFrame:
     """Mean and P90 of the target beside the P90 of its prediction."""
-    predictions.createOrReplaceTempView("tail_predictions")
     return predictions.sparkSession.sql(
         f"SELECT avg({target}) AS actual_mean, percentile_approx({target}, 0.9) AS actual_p90, "
-        "percentile_approx(prediction, 0.9) AS predicted_p90 FROM tail_predictions"
+        "percentile_approx(prediction, 0.9) AS predicted_p90 FROM {rows}", rows=predictions,
     )
 
 
@@ -122,20 +127,26 @@ def positive_probability(column: str = "probability"):
     return vector_to_array(F.col(column))[1]
 
 
-def roc_curve(predictions: DataFrame, label: str = LABEL, bins: int = 1000) -> DataFrame:
-    """ROC points of scored rows at up to `bins` thresholds, from (0, 0) to (1, 1)."""
-    b = F.least(F.floor(positive_probability() * bins), F.lit(bins - 1)).alias("bin")
-    counts = predictions.groupBy(b).agg(
+def roc_curve(predictions: DataFrame, label: str = LABEL, blocks: int = 1000) -> DataFrame:
+    """ROC points of scored rows at every score that occurs, from (0, 0) to (1, 1).
+
+    Scores are counted, ranges of them form `blocks` whose totals are added up, and running sums go on inside a block.
+    """
+    score = positive_probability()
+    counts = predictions.groupBy(score.alias("threshold")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("p"), F.count(F.when(F.col(label) == 0, 1)).alias("q")
-    )
-    w = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    ).withColumn("block", F.least(F.floor(F.col("threshold") * blocks), F.lit(blocks - 1)))
+    above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)  # of `blocks` rows
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    points = counts.select(
-        (F.col("bin") / bins).alias("threshold"),
-        (F.sum("q").over(w) / F.sum("q").over(every)).alias("fpr"),
-        (F.sum("p").over(w) / F.sum("p").over(every)).alias("tpr"),
+    totals = counts.groupBy("block").agg(F.sum("p").alias("bp"), F.sum("q").alias("bq")).select(
+        "block", *[F.coalesce(F.sum(f"b{c}").over(above), F.lit(0)).alias(f"{c}_above") for c in "pq"],
+        *[F.sum(f"b{c}").over(every).alias(f"{c}_all") for c in "pq"],
+    )
+    inside = Window.partitionBy("block").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    points = counts.join(totals, "block").select(
+        "threshold", *[((F.sum(c).over(inside) + F.col(f"{c}_above")) / F.col(f"{c}_all")).alias(n) for c, n in (("q", "fpr"), ("p", "tpr"))]
     )
-    origin = points.limit(1).select(F.lit(1.0).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    origin = predictions.sparkSession.range(1).selectExpr("1.0D AS threshold", "0.0D AS fpr", "0.0D AS tpr")
     return points.unionByName(origin)
 
 

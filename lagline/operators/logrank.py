@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lagline.functions.distributions import chi2_tail
 from lagline.functions.expressions import CENSOR_MINUTES, DAY_LEVELS, HOUR_LEVELS, SEASON_LEVELS, p_value_text
-from lagline.operators.survival import DURATION, EVENT, RESOLUTION, kaplan_meier, risk_table, survival_at
+from lagline.operators.survival import DURATION, EVENT, RESOLUTION
 
 # Stratification columns, their labels and their levels.
 STRATA = (
@@ -115,15 +115,6 @@ def two_sample(view: DataFrame, keys: Sequence[str], group: str, a: str, b: str)
     return _run(event_counts(rows, keys, group), keys, schema, one).withColumn("p_value_text", p_value_text("p_value"))
 
 
-def highest_tail(view: DataFrame, keys: Sequence[str], group: str, horizon: float = CENSOR_MINUTES) -> DataFrame:
-    """The level with the largest S(horizon); the alphabetically first one on ties."""
-    strata = [*keys, group]
-    curve = kaplan_meier(risk_table(view.filter(F.col(group).isNotNull()), strata), strata)
-    s = survival_at(curve, strata, [horizon])
-    best = F.min(F.struct((-F.col("survival_prob")).alias("s"), F.col(group).alias("g")))
-    return s.groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.g").alias("higher_risk_group_tail"))
-
-
 def logrank_suite(
     view: DataFrame, keys: Sequence[str], strata: Sequence[tuple] = STRATA, alpha: float = 0.05,
     horizon: float = CENSOR_MINUTES,

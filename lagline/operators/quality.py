@@ -72,7 +72,11 @@ def duplicate_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def duplicate_sample(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of the first duplicated key (smallest key, so the choice is repeatable)."""
     first = duplicate_groups(df, keys).orderBy(*keys).limit(1).select(*keys)
-    return df.join(F.broadcast(first), list(keys), "left_semi")
+    names = [f"__k{i}" for i in range(len(keys))]
+    on = F.lit(True)
+    for k, n in zip(keys, names):  # the first key may be NULL
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    return df.join(F.broadcast(first.toDF(*names)), on, "left_semi")
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:

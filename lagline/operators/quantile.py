@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.operators.learning import train
+from lagline.operators.learning import bins_for, train
 from lagline.operators.sampling import SEED
 
 # Quantiles modelled and the target cap in minutes.
@@ -32,7 +34,7 @@ def capped(df: DataFrame, target: str = "response_minutes", cap: float = CAP_MIN
 
 def fit_quantile_forest(
     rows: DataFrame, categorical: Sequence[str], numeric: Sequence[str], target: str = "response_minutes",
-    quantiles: Sequence[float] = QUANTILES, trees: int = 20, depth: int = 6, max_bins: int = 64, accuracy: int = 10_000,
+    quantiles: Sequence[float] = QUANTILES, trees: int = 20, depth: int = 6, accuracy: int = 10_000,
 ) -> QuantileForest:
     """Grow the forest, then sketch the target's quantiles per (tree, leaf).
 
@@ -42,7 +44,7 @@ def fit_quantile_forest(
     index = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep")
     assemble = VectorAssembler(inputCols=[*index.getOutputCols(), *numeric], outputCol="features", handleInvalid="keep")
     forest = RandomForestRegressor(
-        labelCol=target, featuresCol="features", numTrees=trees, maxDepth=depth, maxBins=max_bins, seed=SEED, leafCol="leaves"
+        labelCol=target, featuresCol="features", numTrees=trees, maxDepth=depth, maxBins=bins_for(rows, categorical), seed=SEED, leafCol="leaves"
     )
     pipeline = train([index, assemble, forest], rows)
     leaves = pipeline.transform(rows).select(
@@ -61,19 +63,24 @@ def fit_quantile_forest(
     return QuantileForest(pipeline, out)
 
 
-def _lookup(table: list[list[float]], leaves: Column) -> Column:
-    """Mean over trees of the leaf values, skipping leaves no training row reached."""
-    values = F.array(*[F.array(*map(F.lit, leaf)) for leaf in table])
-    picked = F.transform(leaves, lambda leaf, tree: F.try_element_at(values[tree], leaf.cast("int") + 1))
-    known = F.filter(picked, lambda v: v.isNotNull() & ~F.isnan(v))
-    return F.aggregate(known, F.lit(0.0), lambda a, v: a + v) / F.size(known)
-
-
 def predict_quantiles(model: QuantileForest, rows: DataFrame) -> DataFrame:
-    """Rows with one prediction column per quantile; a narrow step without joins."""
-    scored = model.pipeline.transform(rows).withColumn("__leaves", vector_to_array("leaves"))
-    cols = {f"pred_p{round(q * 100)}": _lookup(t, F.col("__leaves")) for q, t in model.tables.items()}
-    return scored.withColumns(cols).select(*rows.columns, *cols)
+    """Rows with one prediction column per quantile, the mean over trees of the leaf's value.
+
+    The leaf table travels with the tasks, so that the plan does not grow with the forest; leaves that no training row
+    reached are skipped.
+    """
+    names = [f"pred_p{round(q * 100)}" for q in model.tables]
+    depth = max(len(leaf) for t in model.tables.values() for leaf in t)
+    tables = np.array([[leaf + [np.nan] * (depth - len(leaf)) for leaf in t] for t in model.tables.values()])
+
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    def look_up(leaves: pd.Series) -> pd.DataFrame:
+        at = np.stack(leaves.to_numpy()).astype(int) if len(leaves) else np.zeros((0, tables.shape[1]), int)
+        found = tables[:, np.arange(tables.shape[1]), at]
+        return pd.DataFrame(np.nanmean(found, axis=2).T, columns=names)
+
+    scored = model.pipeline.transform(rows).select(*rows.columns, look_up(vector_to_array("leaves")).alias("__q"))
+    return scored.select(*rows.columns, "__q.*")
 
 
 def pinball(actual: str | Column, predicted: str | Column, q: float) -> Column:

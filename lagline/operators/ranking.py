@@ -31,28 +31,28 @@ def smooth(df: DataFrame, groups: Sequence[str], order: str, value: str, window:
     return df.withColumn(value, F.avg(value).over(w))
 
 
-def minute_grid(df: DataFrame, groups: Sequence[str], horizon: int, name: str = "time") -> DataFrame:
-    """Each group with the minutes 0..horizon."""
-    keys = df.select(*groups).distinct() if groups else df.agg(F.count("*").alias("__n")).drop("__n")
-    return keys.select(*groups, F.explode(F.sequence(F.lit(0), F.lit(int(horizon)))).alias("__m")).select(
-        *groups, F.col("__m").cast("double").alias(name)
-    )
-
-
 def align_to_grid(
-    df: DataFrame, groups: Sequence[str], time: str, value: str, horizon: int, default: float = 0.0
+    df: DataFrame, groups: Sequence[str], time: str, value: str, horizon: int, default: float = 0.0,
+    before: float | None = None,
 ) -> DataFrame:
-    """Step series on the minute grid: last value at or before the minute, else the next one, else `default`.
+    """Step series on the minutes 0..horizon: last value at or before the minute, else the next one, else `default`.
 
-    A sort-merge of grid and series rows in one window instead of a range join.
+    With `before`, that value holds from before the first minute on. The first row of a group brings the grid along, so
+    the series is read once; series and grid are merged in windows over one partitioning. A group without rows has none.
     """
-    series = df.select(*groups, F.col(time).cast("double").alias("time"), F.col(value).alias("v"), F.lit(0).alias("g"))
-    grid = minute_grid(df, groups, horizon).select(*groups, "time", F.lit(None).cast("double").alias("v"), F.lit(1).alias("g"))
-    w = Window.partitionBy(*groups).orderBy("time", "g")
-    merged = series.unionByName(grid).select(
-        *groups, "time", "g", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("f")
+    own = F.struct(F.col(time).cast("double").alias("time"), F.col(value).cast("double").alias("v"), F.lit(0).alias("g"))
+    minutes = F.transform(
+        F.sequence(F.lit(0), F.lit(int(horizon))),
+        lambda m: F.struct(m.cast("double").alias("time"), F.lit(None).cast("double").alias("v"), F.lit(1).alias("g")),
+    )
+    start = F.array(own) if before is None else F.array(
+        own, F.struct(F.lit(-1.0).alias("time"), F.lit(float(before)).alias("v"), F.lit(0).alias("g"))
     )
-    on_grid = merged.filter("g = 1")
+    first = F.row_number().over(Window.partitionBy(*groups).orderBy(time)) == 1
+    rows = df.select(*groups, F.when(first, F.concat(start, minutes)).otherwise(F.array(own)).alias("__rows"))
+    merged = rows.select(*groups, F.inline("__rows"))
+    w = Window.partitionBy(*groups).orderBy("time", "g").rowsBetween(Window.unboundedPreceding, 0)
+    merged = merged.select(*groups, "time", "g", F.last("v", ignorenulls=True).over(w).alias("f"))
     back = Window.partitionBy(*groups).orderBy("time").rowsBetween(0, Window.unboundedFollowing)
     filled = F.coalesce(F.col("f"), F.first("f", ignorenulls=True).over(back), F.lit(default))
-    return on_grid.select(*groups, "time", filled.alias(value))
+    return merged.filter("g = 1").select(*groups, "time", filled.alias(value))

@@ -28,11 +28,13 @@ def count_pivot(df: DataFrame, row: str, column: str, values: Sequence[str]) ->
     return counts.groupBy(row).pivot(column, list(values)).agg(F.first("n")).fillna(0, subset=list(values))
 
 
-def mean_matrix(df: DataFrame, row: str, column: str, value: str, columns: Sequence[int], decimals: int = 2) -> DataFrame:
-    """Mean of a value by row and column, columns spread out (heatmap data)."""
-    cells = df.filter(F.col(value).isNotNull()).groupBy(row, column).agg(F.round(F.avg(value), decimals).alias("m"))
-    wide = cells.groupBy(row).pivot(column, list(columns)).agg(F.first("m"))
-    return wide.select(row, *[F.col(str(c)).alias(f"{column}_{c}") for c in columns])
+def mean_matrix(
+    df: DataFrame, rows: Sequence[str], column: str, value: str, columns: Sequence[int], decimals: int = 2
+) -> DataFrame:
+    """Mean of a value by row keys and column, columns spread out (heatmap data)."""
+    cells = df.filter(F.col(value).isNotNull()).groupBy(*rows, column).agg(F.round(F.avg(value), decimals).alias("m"))
+    wide = cells.groupBy(*rows).pivot(column, list(columns)).agg(F.first("m"))
+    return wide.select(*rows, *[F.col(str(c)).alias(f"{column}_{c}") for c in columns])
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str) -> DataFrame:

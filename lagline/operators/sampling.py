@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 # Fixed value: seed of all samples, splits and models.
 SEED = 42
-BUCKETS = 1_000_000
 
 
 def hash_fraction(keys: Sequence[str], seed: int = SEED) -> Column:
     """A number in [0, 1) that depends on the key columns only."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(BUCKETS)) / F.lit(float(BUCKETS))
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), 11) / F.lit(2.0**53)
 
 
 def sample_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = SEED) -> DataFrame:

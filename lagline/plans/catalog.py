@@ -10,6 +10,7 @@ from lagline.plans import (  # noqa: F401
     catalog_survival,
 )
 from lagline.plans.registry import ORACLES, QUERIES  # noqa: F401
+from lagline.session import release
 
 
 def forget() -> None:
@@ -18,3 +19,4 @@ def forget() -> None:
         for value in vars(part).values():
             if hasattr(value, "cache_clear"):
                 value.cache_clear()
+    release()

@@ -9,7 +9,6 @@ from lagline.operators import aggregates as agg
 from lagline.plans.inputs import INC_SQL, MODEL_SQL, incidents, model_ready
 from lagline.plans.registry import query
 
-ACC = 1_000_000  # percentile accuracy at which the sketch equals the exact rank on the check data
 DONE = " WHERE response_minutes IS NOT NULL "
 
 
@@ -54,7 +53,7 @@ def ag_gold_summary(spark, d):
       quantile_disc(response_minutes, 0.9) AS p90, quantile_disc(response_minutes, 0.95) AS p95 FROM inc""" + DONE + "GROUP BY city",
 )
 def ag_response_summary(spark, d):
-    return agg.response_summary(incidents(spark, d), ["city"], accuracy=ACC, decimals=6)
+    return agg.response_summary(incidents(spark, d), ["city"], decimals=6)
 
 
 @query(
@@ -63,7 +62,7 @@ def ag_response_summary(spark, d):
     + " FROM inc" + DONE + "GROUP BY city",
 )
 def ag_percentiles(spark, d):
-    return agg.percentile_table(incidents(spark, d), ["city"], accuracy=ACC)
+    return agg.percentile_table(incidents(spark, d), ["city"])
 
 
 @query(
@@ -98,7 +97,7 @@ def ag_skewness(spark, d):
       z AS n_upper_outliers, a + z AS n_outliers, round((a + z) / n_total * 100, 6) AS pct_outliers FROM c""",
 )
 def ag_iqr_outliers(spark, d):
-    return agg.outlier_profile(incidents(spark, d), ["city"], accuracy=ACC, decimals=6)
+    return agg.outlier_profile(incidents(spark, d), ["city"], decimals=6)
 
 
 @query(
@@ -129,9 +128,7 @@ _DELAY = """count(*) AS total_incidents, CAST(sum(delay_indicator) AS BIGINT) AS
     INC_SQL + f"SELECT city, {_DELAY} GROUP BY 1 UNION ALL SELECT 'all', {_DELAY}",
 )
 def ag_delay_rate(spark, d):
-    rows = incidents(spark, d)
-    per_city = agg.delay_rate(rows, ["city"], decimals=6)
-    return per_city.unionByName(agg.delay_rate(rows, [], decimals=6).withColumn("city", F.lit("all")))
+    return agg.delay_rate(incidents(spark, d), ["city"], decimals=6, overall=True)
 
 
 @query(
@@ -151,7 +148,7 @@ def ag_censoring(spark, d):
     FROM inc GROUP BY ALL""",
 )
 def ag_hourly(spark, d):
-    return agg.hourly_profile(incidents(spark, d), ["city"], accuracy=ACC, decimals=6)
+    return agg.hourly_profile(incidents(spark, d), ["city"], decimals=6)
 
 
 def _by(keys, p=90):
@@ -163,18 +160,18 @@ def _by(keys, p=90):
 @query("ag_weekend", _by("city, day_of_week IN (1, 7) AS is_weekend"))
 def ag_weekend(spark, d):
     rows = incidents(spark, d).withColumn("is_weekend", x.is_weekend("day_of_week"))
-    return agg.response_by(rows, ["city", "is_weekend"], accuracy=ACC, decimals=6)
+    return agg.response_by(rows, ["city", "is_weekend"], decimals=6)
 
 
 @query("ag_seasonal", _by("city, season"))
 def ag_seasonal(spark, d):
-    out = agg.response_by(incidents(spark, d), ["city", "season"], accuracy=ACC, decimals=6)
+    out = agg.response_by(incidents(spark, d), ["city", "season"], decimals=6)
     return out.orderBy("city", x.preferred_position("season", x.SEASON_LEVELS))
 
 
 @query("ag_area_perf", _by("city, location_area", 95))
 def ag_area_perf(spark, d):
-    return agg.response_by(incidents(spark, d), ["city", "location_area"], p=0.95, accuracy=ACC, decimals=6)
+    return agg.response_by(incidents(spark, d), ["city", "location_area"], p=0.95, decimals=6)
 
 
 @query(
@@ -189,7 +186,7 @@ def ag_area_volume(spark, d):
 
 @query("ag_by_category", _by("city, unified_alarm_level"))
 def ag_by_category(spark, d):
-    return agg.response_by(incidents(spark, d), ["city", "unified_alarm_level"], accuracy=ACC, decimals=6)
+    return agg.response_by(incidents(spark, d), ["city", "unified_alarm_level"], decimals=6)
 
 
 @query(
@@ -202,7 +199,7 @@ def ag_by_category(spark, d):
     FROM mr WHERE response_minutes IS NOT NULL GROUP BY ALL HAVING count(*) >= 50""",
 )
 def ag_location_features(spark, d):
-    out = agg.location_features(model_ready(spark, d), ["city", "location_area"], times=incidents(spark, d))
+    out = agg.location_features(model_ready(spark, d), ["city", "location_area"])
     return out.withColumns({c: F.round(c, 6) for c, t in out.dtypes if t == "double"})
 
 
@@ -221,14 +218,14 @@ def ag_city_area_mean(spark, d):
     SELECT city, location_area, n_total, p90_response, round(n_total * p90_response, 6) AS risk_score FROM s""",
 )
 def ag_risk_score(spark, d):
-    stats = agg.area_summary(incidents(spark, d), ["city", "location_area"], accuracy=ACC, decimals=6)
+    stats = agg.area_summary(incidents(spark, d), ["city", "location_area"], decimals=6)
     out = agg.risk_score(stats, decimals=6).select("city", "location_area", "n_total", "p90_response", "risk_score")
     return out.orderBy(F.desc("risk_score"))
 
 
 @query("ag_rare_highrisk", "SELECT * FROM (" + _by("city, location_area") + ") WHERE n_completed BETWEEN 60 AND 500")
 def ag_rare_highrisk(spark, d):
-    stats = agg.response_by(incidents(spark, d), ["city", "location_area"], accuracy=ACC, decimals=6)
+    stats = agg.response_by(incidents(spark, d), ["city", "location_area"], decimals=6)
     return agg.rare_high_risk(stats, 60, 500)
 
 
@@ -251,7 +248,7 @@ def ag_summary_stats(spark, d):
     ),
 )
 def ag_p10_p90(spark, d):
-    return agg.demand_scenarios(model_ready(spark, d), ["city"], ["calls_past_30min", "calls_past_60min"], accuracy=ACC)
+    return agg.demand_scenarios(model_ready(spark, d), ["city"], ["calls_past_30min", "calls_past_60min"])
 
 
 _NUM = ("response_minutes", "hour", "calls_past_30min", "calls_past_60min")

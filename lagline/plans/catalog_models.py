@@ -7,40 +7,45 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from lagline.operators import aggregates as agg
-from lagline.operators import attribution, clusters, forecast, learning, quantile
+from lagline.operators import attribution, clusters, drivers, forecast, learning, quantile
 from lagline.operators.reshape import stack
 from lagline.operators.sampling import split_train_test
-from lagline.plans.inputs import CITIES, INC_SQL, freight_model_ready, incidents, model_ready, web_model_ready
+from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
 from lagline.session import settle, work_dir
 from lagline.sources import sinks
 
 ID = ["incident_id"]
+CITY_ROWS = dict(zip(CITIES, (web_model_ready, freight_model_ready)))
 
 
-@lru_cache(maxsize=4)
-def _labelled(spark, d):
-    """Train and test rows with a known label and level, kept because every model reads them."""
-    rows = web_model_ready(spark, d).filter("delay_indicator IS NOT NULL AND unified_alarm_level IS NOT NULL")
+def _cities(part):
+    """A result per city, stacked under the column `city`."""
+    return stack([part(city).withColumn("city", F.lit(city)) for city in CITIES])
+
+
+@lru_cache(maxsize=8)
+def _labelled(spark, d, city):
+    """Train and test rows with a known label, kept because every model reads them; unknown numbers are a value of their own."""
+    rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
     train, test = split_train_test(settle(rows), ID)
     return train, test
 
 
-@lru_cache(maxsize=16)
-def _baseline(spark, d, kind):
-    train, test = _labelled(spark, d)
-    cat = [c for c in learning.CATEGORICAL if c != "location_area"]
+@lru_cache(maxsize=32)
+def _baseline(spark, d, kind, city):
+    train, test = _labelled(spark, d, city)
     if kind == "Hashed Forest":
         stages = [*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.forest()]
     else:
         last = learning.logistic() if kind == "Logistic Regression" else learning.forest(trees=100)
-        stages = [*learning.onehot_scaled(cat, learning.NUMERIC), last]
+        stages = [*learning.onehot_scaled(learning.CATEGORICAL, learning.NUMERIC), last]
     model = learning.train(stages, train)
     return model, settle(model.transform(test))
 
 
-def _metrics(spark, d, kind):
-    _, scored = _baseline(spark, d, kind)
+def _metrics(spark, d, kind, city):
+    _, scored = _baseline(spark, d, kind, city)
     return {**learning.ranking_quality(scored), **learning.class_quality(scored)}
 
 
@@ -51,63 +56,82 @@ def _one_row(spark, name, values):
 
 @query("ml_onehot_scale")
 def ml_onehot_scale(spark, d):
-    _, scored = _baseline(spark, d, "Logistic Regression")
     values = F.transform(learning.vector_to_array("features"), lambda v: F.round(v, 6))
-    return scored.select("incident_id", values.alias("features"))
+    return _cities(lambda c: _baseline(spark, d, "Logistic Regression", c)[1].select("incident_id", values.alias("features")))
 
 
 @query("ml_hash_assemble")
 def ml_hash_assemble(spark, d):
-    _, scored = _baseline(spark, d, "Hashed Forest")
-    return scored.select("incident_id", F.size(F.filter(learning.vector_to_array("features"), lambda v: v != 0)).alias("non_zero"))
+    filled = F.size(F.filter(learning.vector_to_array("features"), lambda v: v != 0))
+    return _cities(lambda c: _baseline(spark, d, "Hashed Forest", c)[1].select("incident_id", filled.alias("non_zero")))
+
+
+def _predictions(spark, d, kind):
+    columns = ["incident_id", "delay_indicator", learning.positive_probability().alias("p"), "prediction"]
+    return _cities(lambda c: _baseline(spark, d, kind, c)[1].select(*columns))
 
 
 @query("ml_logreg")
 def ml_logreg(spark, d):
-    _, scored = _baseline(spark, d, "Logistic Regression")
-    return scored.select("incident_id", "delay_indicator", learning.positive_probability().alias("p"), "prediction")
+    return _predictions(spark, d, "Logistic Regression")
 
 
 @query("ml_rf")
 def ml_rf(spark, d):
-    _, scored = _baseline(spark, d, "Random Forest")
-    return scored.select("incident_id", "delay_indicator", learning.positive_probability().alias("p"), "prediction")
+    return _predictions(spark, d, "Random Forest")
+
+
+@query(
+    "ml_test_rows",
+    MODEL_SQL + "SELECT city, count(*) AS n, CAST(sum(delay_indicator) AS BIGINT) AS delayed FROM mr WHERE delay_indicator IS NOT NULL GROUP BY 1",
+)
+def ml_test_rows(spark, d):
+    """Train and test rows together are all labelled rows of a city, and all test rows get an attribution."""
+    def count(city):
+        train, test = _labelled(spark, d, city)
+        explained = _explained(spark, d, city)[1].select("incident_id", "delay_indicator")
+        rows = train.select("incident_id", "delay_indicator").union(explained)
+        return rows.agg(F.count("*").alias("n"), F.sum("delay_indicator").cast("long").alias("delayed"))
+
+    return _cities(count)
 
 
 @query("ml_eval_binary")
 def ml_eval_binary(spark, d):
-    return stack([
-        _one_row(spark, k, learning.ranking_quality(_baseline(spark, d, k)[1])) for k in ("Logistic Regression", "Random Forest")
-    ])
+    kinds = ("Logistic Regression", "Random Forest")
+    return _cities(lambda c: stack([_one_row(spark, k, learning.ranking_quality(_baseline(spark, d, k, c)[1])) for k in kinds]))
 
 
 @query("ml_eval_multi")
 def ml_eval_multi(spark, d):
-    return stack([
-        _one_row(spark, k, learning.class_quality(_baseline(spark, d, k)[1])) for k in ("Random Forest", "Hashed Forest")
-    ])
+    kinds = ("Random Forest", "Hashed Forest")
+    return _cities(lambda c: stack([_one_row(spark, k, learning.class_quality(_baseline(spark, d, k, c)[1])) for k in kinds]))
 
 
 @query("ag_confusion")
 def ag_confusion(spark, d):
-    return learning.confusion(_baseline(spark, d, "Hashed Forest")[1])
+    return _cities(lambda c: learning.confusion(_baseline(spark, d, "Hashed Forest", c)[1]))
 
 
 @query("ml_roc_curve")
 def ml_roc_curve(spark, d):
     kinds = ("Logistic Regression", "Random Forest")
-    return stack([learning.roc_curve(_baseline(spark, d, k)[1]).withColumn("model", F.lit(k)) for k in kinds])
+    return _cities(lambda c: stack([learning.roc_curve(_baseline(spark, d, k, c)[1]).withColumn("model", F.lit(k)) for k in kinds]))
 
 
 @query("ml_compare")
 def ml_compare(spark, d):
-    return learning.comparison({k: _metrics(spark, d, k) for k in ("Logistic Regression", "Random Forest")}, spark)
+    kinds = ("Logistic Regression", "Random Forest")
+    return _cities(lambda c: learning.comparison({k: _metrics(spark, d, k, c) for k in kinds}, spark))
 
 
 @query("ml_importance")
 def ml_importance(spark, d):
-    model, scored = _baseline(spark, d, "Random Forest")
-    return learning.importance_table(model.stages[-1], scored, "unscaled_features")
+    def table(city):
+        model, scored = _baseline(spark, d, "Random Forest", city)
+        return learning.importance_table(model.stages[-1], scored, "unscaled_features")
+
+    return _cities(table)
 
 
 @query("sink_model")
@@ -115,10 +139,12 @@ def sink_model(spark, d):
     """Save a pipeline, load it again, and score the test rows with the loaded one."""
     from pyspark.ml import PipelineModel
 
-    model, _ = _baseline(spark, d, "Hashed Forest")
-    path = work_dir(spark, "model")
-    sinks.save_model(model, path)
-    return learning.confusion(PipelineModel.load(path).transform(_labelled(spark, d)[1]))
+    def reloaded(city):
+        path = work_dir(spark, "model")
+        sinks.save_model(_baseline(spark, d, "Hashed Forest", city)[0], path)
+        return learning.confusion(PipelineModel.load(path).transform(_labelled(spark, d, city)[1]))
+
+    return _cities(reloaded)
 
 
 @query("ml_transfer")
@@ -126,27 +152,27 @@ def ml_transfer(spark, d):
     return learning.transfer(web_model_ready(spark, d), freight_model_ready(spark, d), *CITIES, ID)
 
 
-@lru_cache(maxsize=4)
-def _tail(spark, d):
-    rows = web_model_ready(spark, d).filter("response_minutes IS NOT NULL AND unified_alarm_level IS NOT NULL")
-    train, test = split_train_test(settle(rows), ID)
-    model = learning.train([*learning.hashed([], learning.TAIL_FEATURES, "skip"), learning.boosted()], train)
+@lru_cache(maxsize=8)
+def _tail(spark, d, city):
+    rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("response_minutes IS NOT NULL"), learning.TAIL_FEATURES)
+    train, test = split_train_test(settle(rows.select("incident_id", "response_minutes", *learning.TAIL_FEATURES)), ID)
+    model = learning.train([*learning.hashed([], learning.TAIL_FEATURES, "error"), learning.boosted()], train)
     return settle(model.transform(test).select("incident_id", "response_minutes", "prediction"))
 
 
 @query("ml_gbt_reg")
 def ml_gbt_reg(spark, d):
-    return _tail(spark, d)
+    return _cities(lambda c: _tail(spark, d, c))
 
 
 @query("ml_eval_reg")
 def ml_eval_reg(spark, d):
-    return learning.regression_quality(_tail(spark, d))
+    return _cities(lambda c: learning.regression_quality(_tail(spark, d, c)))
 
 
 @query("ag_tail_compare")
 def ag_tail_compare(spark, d):
-    return learning.tail_comparison(_tail(spark, d))
+    return _cities(lambda c: learning.tail_comparison(_tail(spark, d, c)))
 
 
 def _forecast(spark, d, city_rows, fill):
@@ -171,25 +197,22 @@ def ml_forecast_fill(spark, d):
     return _forecast(spark, d, freight_model_ready, fill=True)
 
 
-_Q_CAT = ("incident_category", "season", "unified_call_source")
-
-
-@lru_cache(maxsize=4)
-def _quantiles(spark, d):
-    rows = settle(learning.keep_missing(quantile.capped(web_model_ready(spark, d)), learning.NUMERIC))
+@lru_cache(maxsize=8)
+def _quantiles(spark, d, city):
+    rows = settle(learning.keep_missing(quantile.capped(CITY_ROWS[city](spark, d)), learning.NUMERIC))
     train, test = split_train_test(rows, ID)
-    model = quantile.fit_quantile_forest(train, _Q_CAT, learning.NUMERIC)
+    model = quantile.fit_quantile_forest(train, learning.CATEGORICAL, learning.NUMERIC)
     return settle(quantile.predict_quantiles(model, test))
 
 
 @query("ml_quantile")
 def ml_quantile(spark, d):
-    return _quantiles(spark, d).select("incident_id", "response_minutes", "pred_p90", "pred_p95")
+    return _cities(lambda c: _quantiles(spark, d, c).select("incident_id", "response_minutes", "pred_p90", "pred_p95"))
 
 
 @query("ml_quantile_quality")
 def ml_quantile_quality(spark, d):
-    return quantile.quantile_quality(_quantiles(spark, d))
+    return _cities(lambda c: quantile.quantile_quality(_quantiles(spark, d, c)))
 
 
 @query(
@@ -201,8 +224,9 @@ def ml_quantile_quality(spark, d):
 def ml_pinball(spark, d):
     """Loss of predicting every category's own P90."""
     counts = agg.value_counts(incidents(spark, d), ["city", "incident_category"], "response_minutes")
-    q = incidents(spark, d).groupBy("city", "incident_category").agg(agg.approx("response_minutes", 0.9, 1_000_000).alias("p90"))
-    rows = counts.join(q, ["city", "incident_category"])
+    groups = ["city", "incident_category"]
+    q = agg.exact_percentiles(counts, groups, "response_minutes", {"p90": 0.9}, weight="n", nearest=True)
+    rows = agg.join_groups(counts, q, groups)
     e, n = F.col("response_minutes") - F.col("p90"), F.col("n")
     loss = F.greatest(F.lit(0.9) * e, F.lit(0.9 - 1) * e)
     return rows.groupBy("city").agg(
@@ -210,49 +234,84 @@ def ml_pinball(spark, d):
     )
 
 
-@lru_cache(maxsize=4)
-def _explained(spark, d):
-    train, test = _labelled(spark, d)
+@lru_cache(maxsize=8)
+def _explained(spark, d, city):
+    train, test = _labelled(spark, d, city)
     explainer = attribution.fit_explainer(train)
-    keep = ["incident_id", *attribution.SHAP_CATEGORICAL, *learning.NUMERIC]
+    keep = ["incident_id", "delay_indicator", *attribution.SHAP_CATEGORICAL, *learning.NUMERIC]
     return explainer, settle(attribution.attribute(explainer, test, keep))
 
 
+def _ranking(spark, d, city):
+    explainer, rows = _explained(spark, d, city)
+    named = rows.select(*[F.col(f"phi_{n}").alias(n) for n in explainer.names])
+    return agg.mean_abs_importance(named, [], explainer.names)
+
+
 @query("ml_shap")
 def ml_shap(spark, d):
-    return _explained(spark, d)[1]
+    return _cities(lambda c: _explained(spark, d, c)[1].drop("delay_indicator"))
 
 
 @query("ml_shap_importance")
 def ml_shap_importance(spark, d):
-    explainer, rows = _explained(spark, d)
-    named = rows.select(*[F.col(f"phi_{n}").alias(n) for n in explainer.names])
-    return agg.mean_abs_importance(named, [], explainer.names)
+    return _cities(lambda c: _ranking(spark, d, c))
+
+
+@query("ml_shap_driver_table")
+def ml_shap_driver_table(spark, d):
+    """The cities' attribution rankings side by side, with the class of every leading feature."""
+    table = drivers.driver_table(*[_ranking(spark, d, c) for c in CITIES], *CITIES, top_n=10)
+    classes = drivers.driver_classes(table, *CITIES).select("feature", "driver_class", "top_divergence")
+    return table.join(classes, "feature", "left")
 
 
 @query("ml_shap_categories")
 def ml_shap_categories(spark, d):
-    rows = _explained(spark, d)[1]
-    return agg.top_categories_by_magnitude(rows, [], "incident_category", "phi_incident_category", 8)
+    return _cities(lambda c: agg.top_categories_by_magnitude(_explained(spark, d, c)[1], [], "incident_category", "phi_incident_category", 8))
 
 
 @query("ml_shap_case")
 def ml_shap_case(spark, d):
-    explainer, _ = _explained(spark, d)
-    return attribution.riskiest_case(explainer, _labelled(spark, d)[1], ID)
+    return _cities(lambda c: attribution.riskiest_case(_explained(spark, d, c)[0], _labelled(spark, d, c)[1], ID))
 
 
 @query("tk_argmax")
 def tk_argmax(spark, d):
     """The incident with the highest predicted delay probability."""
-    rows = _explained(spark, d)[1]
     best = F.min_by(F.struct("incident_id", "probability"), F.struct((-F.col("probability")).alias("p"), F.col("incident_id").alias("i")))
-    return rows.agg(best.alias("b")).select("b.*")
+    return _cities(lambda c: _explained(spark, d, c)[1].agg(best.alias("b")).select("b.*"))
 
 
 @query("ml_dependence")
 def ml_dependence(spark, d):
-    return attribution.dependence(_explained(spark, d)[1], "calls_past_60min", "hour")
+    return _cities(lambda c: attribution.dependence(_explained(spark, d, c)[1], "calls_past_60min", "hour"))
+
+
+@query(
+    "ml_shap_sums",
+    MODEL_SQL + "SELECT DISTINCT city, true AS adds_up, true AS in_range FROM mr WHERE delay_indicator IS NOT NULL",
+)
+def ml_shap_sums(spark, d):
+    """Attributions and base value add up to the probability, for every test row."""
+    def check(city):
+        explainer, rows = _explained(spark, d, city)
+        total = sum((F.col(f"phi_{n}") for n in explainer.names), F.col("base_value"))
+        return rows.agg(
+            F.coalesce(F.max(F.abs(total - F.col("probability"))) < 1e-9, F.lit(True)).alias("adds_up"),
+            F.coalesce(F.min(F.col("probability").between(0, 1)), F.lit(True)).alias("in_range"),
+        )
+
+    return _cities(check)
+
+
+@query(
+    "ml_quantile_order",
+    MODEL_SQL + "SELECT DISTINCT city, true AS ordered FROM mr WHERE response_minutes > 0 AND response_minutes <= 180",
+)
+def ml_quantile_order(spark, d):
+    """No predicted P90 is above its P95."""
+    return _cities(lambda c: _quantiles(spark, d, c).agg(F.min(F.col("pred_p90") <= F.col("pred_p95") + 1e-9).alias("ordered")))
 
 
 _LOCATION = ("call_volume", "mean_response", "p90_response", "median_response", "mean_calls_30", "mean_calls_60", "mean_alarm_level", "high_alarm_share")
@@ -260,7 +319,7 @@ _LOCATION = ("call_volume", "mean_response", "p90_response", "median_response",
 
 @lru_cache(maxsize=4)
 def _locations(spark, d):
-    features = agg.location_features(model_ready(spark, d), ["city", "location_area"], times=incidents(spark, d))
+    features = agg.location_features(model_ready(spark, d), ["city", "location_area"])
     return settle(clusters.standardise(settle(features), _LOCATION))
 
 

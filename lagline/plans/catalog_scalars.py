@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lagline.functions import expressions as x
 from lagline.functions import taxonomy
 from lagline.operators import survival
-from lagline.plans.inputs import FREIGHT_SQL, INC_SQL, MODEL_SQL, WEB_SQL, freight_incidents, incidents, model_ready, web_incidents
+from lagline.plans.inputs import FREIGHT_SQL, INC_SQL, MODEL_SQL, freight_incidents, incidents, model_ready
 from lagline.plans.registry import query
 from lagline.sources.tables import load
 
@@ -272,12 +272,12 @@ _LEVEL_SAMPLES = tuple(enumerate((
     "10-76 & 10-77 Signal (Notification Hi-Rise Fire)", "Third Alarm", "Fourth Alarm", "Fifth Alarm or Higher",
     "Sixth-Alarm", "Simultaneous Call",
 )))
+# Made-up inputs that reach every rule of the source maps, the null and the default included.
 _PHRASE_SAMPLES = tuple(enumerate((
-    "01 - 911", "02 - Telephone from Civilian (other than 911)", "03 - From Ambulance", "04 - From Police Services",
-    "05 - Telephone from Monitoring Agency", "06 - Direct Connection", "07 - Other Alarm", "08 - Two-Way Radio",
-    "09 - Verbal Report to Station (in person)", "11 - No alarm received - incident discovered by FD",
+    "caller dialled 911", "Verbal Report by a neighbour", "CIVILIAN at the door", "ambulance crew asks for help",
+    "Monitoring-Agency desk", "direct connection, school", "some other alarm", "harbour patrol", "crew on a drill", "?",
 )))
-_CODE_SAMPLES = tuple(enumerate(("PHONE", "911", "911TEXT", "VERBAL", "EMS", "EMS-911", "CLASS-3", "ERS", "BARS", "SOL", "RAMP")))
+_CODE_SAMPLES = tuple(enumerate(("Phone", "911", " 911text ", "verbal", "verbal note", "EMS", "x-ems-y", "Class 3", "class_3b", "KIOSK", "")))
 
 
 @query(
@@ -416,7 +416,12 @@ def sc_interpret(spark, d):
     return hr.select("city", "incident_category", x.hazard_reading("hr").alias("interpretation"))
 
 
-@query("sc_pvalue_text")
+@query(
+    "sc_pvalue_text",
+    INC_SQL + """, s AS (SELECT city, location_area, round(avg(delay_indicator) - 0.9, 4) AS p FROM inc GROUP BY ALL)
+    SELECT city, location_area, greatest(p, 0) AS p, CASE WHEN p <= 0 THEN '< 1e-300' ELSE format('{:.3g}', p) END AS p_text
+    FROM s WHERE p IS NOT NULL""",
+)
 def sc_pvalue_text(spark, d):
     share = F.round(F.avg("delay_indicator") - 0.9, 4)
     p = F.when(share < 0, F.lit(0.0)).otherwise(share)
@@ -459,8 +464,8 @@ def fl_valid_survival(spark, d):
 
 @query(
     "fl_cap",
-    "WITH " + WEB_SQL + "SELECT incident_id, response_minutes FROM web WHERE response_minutes > 0 AND response_minutes <= 180",
+    INC_SQL + "SELECT city, incident_id, response_minutes FROM inc WHERE response_minutes > 0 AND response_minutes <= 180",
 )
 def fl_cap(spark, d):
     m = F.col("response_minutes")
-    return web_incidents(spark, d).filter(m.isNotNull() & (m > 0) & (m <= 180)).select("incident_id", "response_minutes")
+    return incidents(spark, d).filter(m.isNotNull() & (m > 0) & (m <= 180)).select("city", "incident_id", "response_minutes")

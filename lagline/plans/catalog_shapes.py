@@ -12,7 +12,6 @@ from lagline.plans.inputs import (
 from lagline.plans.registry import query
 from lagline.sources.tables import load
 
-ACC = 1_000_000  # percentile accuracy at which the sketch equals the exact rank on the check data
 LINE = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -75,24 +74,21 @@ def so_concat(spark, d):
     return reshape.stack([part("season", "season"), part("source", "unified_call_source")])
 
 
-_TOP = "SELECT location_area FROM web WHERE incident_category = '{}' GROUP BY 1 ORDER BY count(*) DESC, location_area LIMIT 40"
+_TOP = "SELECT hour FROM inc WHERE city = '{}' GROUP BY 1 ORDER BY count(*) DESC, hour LIMIT 12"
 
 
 @query(
     "so_feature_sets",
-    "WITH " + WEB_SQL + f""", a AS ({_TOP.format('click')}), b AS ({_TOP.format('view')})
-    SELECT location_area, CASE WHEN location_area IN (FROM a) AND location_area IN (FROM b) THEN 'common'
-      WHEN location_area IN (FROM a) THEN 'click_only' ELSE 'view_only' END AS category
+    INC_SQL + f""", a AS ({_TOP.format('web')}), b AS ({_TOP.format('freight')})
+    SELECT hour, CASE WHEN hour IN (FROM a) AND hour IN (FROM b) THEN 'common'
+      WHEN hour IN (FROM a) THEN 'web_only' ELSE 'freight_only' END AS category
     FROM (FROM a UNION FROM b)""",
 )
 def so_feature_sets(spark, d):
-    rows = web_incidents(spark, d)
-
-    def top(category):
-        counts = rows.filter(F.col("incident_category") == category).groupBy("location_area").agg(F.count("*").alias("n"))
-        return ranking.top_n(counts, [F.desc("n"), F.col("location_area")], 40)
-
-    return reshape.membership(top("click"), top("view"), "location_area", "click_only", "view_only")
+    """The busiest hours of either city."""
+    counts = incidents(spark, d).groupBy("city", "hour").agg(F.count("*").alias("n"))
+    web, freight = (ranking.top_n(counts.filter(F.col("city") == c), [F.desc("n"), F.col("hour")], 12) for c in CITIES)
+    return reshape.membership(web, freight, "hour", "web_only", "freight_only")
 
 
 @query(
@@ -106,12 +102,12 @@ def rs_pivot(spark, d):
 
 @query(
     "rs_heatmap",
-    "WITH " + WEB_SQL + "SELECT day_of_week, "
+    INC_SQL + "SELECT city, day_of_week, "
     + ", ".join(f"round(avg(response_minutes) FILTER (hour = {h}), 6) AS hour_{h}" for h in range(24))
-    + " FROM web GROUP BY 1",
+    + " FROM inc WHERE response_minutes IS NOT NULL GROUP BY 1, 2",
 )
 def rs_heatmap(spark, d):
-    return reshape.mean_matrix(web_incidents(spark, d), "day_of_week", "hour", "response_minutes", range(24), decimals=6)
+    return reshape.mean_matrix(incidents(spark, d), ["city", "day_of_week"], "hour", "response_minutes", range(24), decimals=6)
 
 
 @query(
@@ -151,19 +147,19 @@ def rs_transpose(spark, d):
       round(n_censored / n_total * 100, 6) AS pct_censored FROM base LEFT JOIN resp USING (city, location_area)""",
 )
 def jn_left_area(spark, d):
-    return aggregates.area_summary(incidents(spark, d), ["city", "location_area"], accuracy=ACC, decimals=6)
+    return aggregates.area_summary(incidents(spark, d), ["city", "location_area"], decimals=6)
 
 
 @query(
     "jn_inner_topn",
-    "WITH " + WEB_SQL + """SELECT incident_id, location_area FROM web WHERE location_area IN (
-      SELECT location_area FROM web GROUP BY 1 ORDER BY count(*) DESC, location_area LIMIT 10)""",
+    INC_SQL + """SELECT city, incident_id, location_area FROM inc JOIN (SELECT city, location_area FROM inc GROUP BY city, location_area
+      QUALIFY row_number() OVER (PARTITION BY city ORDER BY count(*) DESC, location_area) <= 10) USING (city, location_area)""",
 )
 def jn_inner_topn(spark, d):
-    rows = web_incidents(spark, d).select("incident_id", "location_area")
-    counts = rows.groupBy("location_area").agg(F.count("*").alias("n"))
-    top = ranking.top_n(counts, [F.desc("n"), F.col("location_area")], 10).select("location_area")
-    return rows.join(F.broadcast(top), "location_area", "left_semi")
+    rows = incidents(spark, d).select("city", "incident_id", "location_area")
+    counts = rows.groupBy("city", "location_area").agg(F.count("*").alias("n"))
+    top = ranking.top_k_within(counts, ["city"], [F.desc("n"), F.col("location_area")], 10).select("city", "location_area")
+    return rows.join(F.broadcast(top), ["city", "location_area"], "left_semi")  # ten rows a city
 
 
 _SLOTS_SQL = """slots AS (SELECT m + to_hours(i) AS forecast_timestamp FROM
@@ -395,14 +391,14 @@ def wn_smooth(spark, d):
 
 @query(
     "wn_ffill_align",
-    INC_SQL + """, s AS (SELECT city, response_minutes AS t, avg(unified_alarm_level) AS v FROM inc WHERE response_minutes > 2 GROUP BY ALL),
+    INC_SQL + """, s AS (SELECT city, response_minutes AS t, avg(unified_alarm_level) AS v FROM inc WHERE response_minutes IS NOT NULL GROUP BY ALL),
     g AS (SELECT city, CAST(i AS DOUBLE) AS time FROM (SELECT DISTINCT city FROM inc), generate_series(0, 60) AS q(i)),
     a AS (SELECT g.city, g.time, (SELECT arg_max(v, t) FROM s WHERE s.city = g.city AND t <= g.time AND v IS NOT NULL) AS v FROM g)
     SELECT city, time, round(coalesce(v, first_value(v IGNORE NULLS) OVER (PARTITION BY city ORDER BY time
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0), 6) AS v FROM a""",
 )
 def wn_ffill_align(spark, d):
-    s = incidents(spark, d).filter("response_minutes > 2").groupBy("city", F.col("response_minutes").alias("time"))
+    s = incidents(spark, d).filter("response_minutes IS NOT NULL").groupBy("city", F.col("response_minutes").alias("time"))
     out = ranking.align_to_grid(s.agg(F.avg("unified_alarm_level").alias("v")), ["city"], "time", "v", 60)
     return out.withColumn("v", F.round("v", 6))
 

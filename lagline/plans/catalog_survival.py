@@ -153,9 +153,7 @@ def sv_logrank_2_p(spark, d):
 
 @query("sv_logrank_k")
 def sv_logrank_k(spark, d):
-    view = city_view(spark, d)
-    tests = logrank.logrank(view, CITY, "day_of_week_name").drop("higher_risk_group_tail")
-    return tests.join(logrank.highest_tail(view, CITY, "day_of_week_name"), CITY)
+    return logrank.logrank(city_view(spark, d), CITY, "day_of_week_name")
 
 
 @query("sv_logrank_suite")
@@ -188,11 +186,10 @@ def design_rows(spark, d):
 @query(
     "sv_design",
     DESIGN_SQL + """SELECT city, incident_id, covariate FROM cl JOIN ir USING (city, column_name, level)
-    WHERE NOT is_reference AND NOT low_frequency AND NOT low_variance AND city = 'web'""",
+    WHERE NOT is_reference AND NOT low_frequency AND NOT low_variance""",
 )
 def sv_design(spark, d):
-    rows = web_model_ready(spark, d).withColumn("city", F.lit("web"))
-    return cox.design_long(cox.cox_rows(rows, keep=["city", "incident_id"]), CITY, "incident_id")
+    return cox.design_long(design_rows(spark, d), CITY, "incident_id")
 
 
 @query("sv_drop_dummies", DESIGN_SQL + "SELECT * FROM ir")
@@ -224,15 +221,18 @@ def dq_design_asserts(spark, d):
 
 @query(
     "sv_ref_row",
-    DESIGN_SQL + """SELECT 'calls_past_30min' AS covariate, quantile_cont(calls_past_30min, 0.5)::DOUBLE AS median FROM cr WHERE city = 'web'
-    UNION ALL SELECT 'calls_past_60min', quantile_cont(calls_past_60min, 0.5)::DOUBLE FROM cr WHERE city = 'web'
-    UNION ALL SELECT covariate, CASE WHEN 2 * ones > n THEN 1 WHEN 2 * ones = n THEN 0.5 ELSE 0 END::DOUBLE FROM ir
-    WHERE city = 'web' AND NOT is_reference AND NOT low_frequency AND NOT low_variance""",
+    DESIGN_SQL + """SELECT city, 'calls_past_30min' AS covariate, quantile_cont(calls_past_30min, 0.5)::DOUBLE AS median FROM cr GROUP BY 1
+    UNION ALL SELECT city, 'calls_past_60min', quantile_cont(calls_past_60min, 0.5)::DOUBLE FROM cr GROUP BY 1
+    UNION ALL SELECT city, covariate, CASE WHEN 2 * ones > n THEN 1 WHEN 2 * ones = n THEN 0.5 ELSE 0 END::DOUBLE FROM ir
+    WHERE NOT is_reference AND NOT low_frequency AND NOT low_variance""",
 )
 def sv_ref_row(spark, d):
-    design = cox.build_design(web_model_ready(spark, d))
-    profile = cox.reference_profile(design)
-    return profile.unpivot([], design.names, "covariate", "median")
+    """Median covariates of either city's design."""
+    parts = {}
+    for city, rows in zip(CITIES, (web_model_ready, freight_model_ready)):
+        design = cox.build_design(rows(spark, d))
+        parts[city] = cox.reference_profile(design).unpivot([], design.names, "covariate", "median")
+    return union_tagged(parts)
 
 
 # ---------------------------------------------------------------- Cox

@@ -44,12 +44,22 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
+_KEPT: list[DataFrame] = []
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Keep a frame that several jobs read.
 
     Where the cluster names a shared checkpoint folder the frame is written there first, so a lost executor costs a
-    read and not the whole lineage.
+    read and not the whole lineage. `release` frees all frames that are kept.
     """
     if df.sparkSession.conf.get("spark.checkpoint.dir", None):
         df = df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
+def release() -> None:
+    """Free every frame that `settle` has kept; frames freed before are not touched."""
+    while _KEPT:
+        _KEPT.pop().unpersist()

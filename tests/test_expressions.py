@@ -49,7 +49,9 @@ def test_numbers(spark):
     rows = [("1.5",), ("abc",), ("NaN",), ("-Infinity",), (None,)]
     assert one(spark, rows, "a string", x.finite_number("a")) == [1.5, None, None, None, None]
     assert one(spark, [("a.b@c.org",), ("a@b",), (None,)], "a string", x.valid_email("a")) == [True, False, False]
-    assert one(spark, [(0.0,), (0.01234,)], "p double", x.p_value_text("p")) == ["< 1e-300", "0.0123"]
+    p = [0.0, 0.01234, 1.0, 0.5, 0.05, 1e-5, 1.5e-7, 0.99999, None]
+    want = ["< 1e-300", "0.0123", "1", "0.5", "0.05", "1e-05", "1.5e-07", "1", None]
+    assert one(spark, [(v,) for v in p], "p double", x.p_value_text("p")) == want
     got = one(spark, [(0.5,), (2.0,), (1.0,), (float("nan"),), (None,)], "h double", x.hazard_reading("h"))
     assert got == [x.HR_SLOWER, x.HR_FASTER, x.HR_NEUTRAL, x.HR_NEUTRAL, x.HR_NEUTRAL]
 

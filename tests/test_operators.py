@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -126,3 +127,36 @@ def test_driver_strength_skips_unusable_ratios(spark):
     hr = spark.createDataFrame(rows, "covariate string, hazard_ratio double, p double").withColumn("city", F.lit("x"))
     out = drivers.driver_strength(hr, ["city"], alpha=0.05).collect()
     assert [(r["bucket"], r["count"], r["max_effect"], r["top5_mean"]) for r in out] == [("Temporal", 2, 1.25, 1.25)]
+
+
+def test_nearest_rank_percentiles_of_more_values_than_any_sketch_holds(spark):
+    n = 60_000
+    df = spark.range(n).selectExpr("id % 7 AS g", "pow(id, 3) / 7 AS v", "id").withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    probs = {"a": 0.001, "b": 0.25, "c": 0.5, "d": 0.9999}
+    got = {r["g"]: r for r in agg.exact_percentiles(df, ["g"], "v", probs, nearest=True, extras={"n": F.sum("n")}).collect()}
+    for g in range(7):
+        vs = [i**3 / 7 for i in range(n) if i % 7 == g]
+        assert got[g or None]["n"] == len(vs)
+        for name, p in probs.items():
+            assert got[g or None][name] == vs[max(0, math.ceil(p * len(vs)) - 1)]
+    close = {r["g"]: r for r in agg.approx_percentiles(df, ["g"], "id", probs, accuracy=1000).collect()}
+    for g, r in close.items():
+        size = got[g]["n"]
+        assert all(abs(r[name] / 7 - p * size) <= size / 1000 + 1 for name, p in probs.items())
+
+
+def test_null_groups_are_kept(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 100.0), (3, 4.0), (3, None), (4, None)], "g int, v double")
+    assert {(r["g"], r["n_total"]) for r in agg.outlier_profile(df, ["g"], "v").collect()} == {(None, 3), (3, 1)}
+    bins = agg.histogram(df, ["g"], "v", 2).collect()
+    assert {(r["g"], r["bin"], r["n"]) for r in bins} == {(None, 0, 2), (None, 1, 1), (3, 0, 1)}
+    keys = spark.createDataFrame([(None, 1), (None, 2), (3, 3), (3, 4), (5, 5)], "k int, v int")
+    assert sorted(r["v"] for r in quality.duplicate_sample(keys, ["k"]).collect()) == [1, 2]
+    areas = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "g string, response_minutes double")
+    assert {tuple(r) for r in agg.area_summary(areas, ["g"]).collect()} == {("a", 2, 1, 1, 1.0, 1.0, 50.0), ("b", 1, 1, 0, None, None, 100.0)}
+
+
+def test_overall_rate_follows_from_the_groups(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("b", None), ("b", 1)], "city string, delay_indicator int")
+    got = {tuple(r) for r in agg.delay_rate(df, ["city"], overall=True).collect()}
+    assert got == {("a", 2, 1, 50.0), ("b", 2, 1, 100.0), ("all", 4, 2, 66.67)}
