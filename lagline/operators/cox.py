@@ -98,10 +98,13 @@ def design_long(rows: DataFrame, keys: Sequence[str], row_id: str, categorical:
     ).select(*keys, row_id, "covariate")
 
 
-def design_violations(rows: DataFrame, keys: Sequence[str], horizon: float = CENSOR_MINUTES) -> DataFrame:
-    """Counts of rows breaking the rules a design must meet: all must be 0."""
+def design_violations(
+    rows: DataFrame, keys: Sequence[str], horizon: float = CENSOR_MINUTES, weight: str | None = None
+) -> DataFrame:
+    """Counts of rows breaking the rules a design must meet: all must be 0. `weight` holds counts of equal rows."""
     t, e = F.col("time"), F.col("event")
-    count = lambda cond: F.count(F.when(F.coalesce(cond, F.lit(False)), 1))
+    one = F.col(weight) if weight else F.lit(1)
+    count = lambda cond: F.coalesce(F.sum(F.when(F.coalesce(cond, F.lit(False)), one)), F.lit(0)).cast("bigint")
     return rows.groupBy(*keys).agg(
         count(t.isNull()).alias("null_duration"),
         count(t <= 0).alias("non_positive_duration"),
@@ -137,14 +140,19 @@ def build_design(
     """Indicator columns against the most frequent level, rare and constant ones dropped.
 
     Equal rows are counted first: that table is the only one kept, levels are counted on it, and indicators are
-    derived from it in the scan of each step.
+    derived from it in the scan of each step. Rows that break
+    the rules of a design raise ValueError.
     """
     rows = cox_rows(df, numeric, categorical, horizon)
     fields = ["event", *numeric, *categorical]
     counted = rows.groupBy("time", *fields).agg(F.count("*").alias("w")).withColumn("salt", F.xxhash64(*fields))
     # Time ranges keep the per-partition results short; the hash splits a time that holds most rows (the horizon).
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = settle(counted.repartitionByRange(parts, "time", "salt").drop("salt"))
+    # Rows in order of time give each batch of a step few times to sum by.
+    counted = settle(counted.repartitionByRange("time", "salt").drop("salt").sortWithinPartitions("time"))
+    broken = design_violations(counted, [], horizon, "w").first().asDict()
+    broken = {k: v for k, v in broken.items() if v and k != "event_at_horizon"}  # an arrival at the very horizon is one
+    if broken:
+        raise ValueError(f"rows that no design may have: {broken}")
     report = indicator_report(level_counts(counted, [], categorical, "w")).orderBy("column_name", "level").collect()
     if not report:
         raise ValueError("no rows left for the design")
@@ -251,14 +259,22 @@ class RiskSums:
     ex: np.ndarray
 
 
+def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of the records of each time; a time's records are all in one partition."""
+    acc: dict[float, np.ndarray] = {}
+    for pdf in batches:
+        for time, sums in zip(pdf["time"], pdf["sums"]):
+            v = np.frombuffer(sums)
+            acc[time] = acc[time] + v if time in acc else v
+    yield pd.DataFrame({"time": list(acc), "sums": [v.tobytes() for v in acc.values()]}, columns=["time", "sums"])
+
+
 def risk_sums(design: Design, beta: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> RiskSums:
     p = len(beta)
     width = 1 + p + p * (p + 1) // 2
     per = design.rows.mapInPandas(_partials(design.columns, beta, mean, scale), "time double, sums binary")
-    by_time: dict[float, np.ndarray] = {}
-    for r in per.collect():
-        v = np.frombuffer(r["sums"])
-        by_time[r["time"]] = by_time[r["time"]] + v if r["time"] in by_time else v
+    per = per.repartition("time").mapInPandas(_add_up, "time double, sums binary")  # one record a time, however many tasks
+    by_time = {r["time"]: np.frombuffer(r["sums"]) for r in per.collect()}
     time = np.array(sorted(by_time))
     m = np.stack([by_time[t] for t in time])
     s = np.cumsum(m[::-1, :width], axis=0)[::-1]

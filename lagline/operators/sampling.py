@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 SEED = 42
 
 
+def hash_text(keys: Sequence[str], seed: int = SEED) -> Column:
+    """MD5 of the seed and the keys as texts, which other engines compute alike; NULL counts as the empty text."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+
+
 def hash_fraction(keys: Sequence[str], seed: int = SEED) -> Column:
-    """A number in [0, 1) that depends on the key columns only."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), 11) / F.lit(2.0**53)
+    """A number in [0, 1), a multiple of 2 ** -52, that depends on the key columns only."""
+    return F.conv(F.substring(hash_text(keys, seed), 1, 13), 16, 10).cast("bigint") / F.lit(2.0**52)
 
 
 def sample_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -42,4 +47,4 @@ def balanced_sample(
 
 def fixed_size_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = SEED) -> DataFrame:
     """At most n rows, chosen by hash order: each task keeps its n smallest before the merge."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys).limit(n)
+    return df.orderBy(hash_text(keys, seed), *keys).limit(n)

@@ -412,23 +412,37 @@ def tk_topn(spark, d):
     return ranking.top_n(counts, [F.desc("n"), F.col("city"), F.col("location_area")], 20)
 
 
-@query("sp_sample")
+# The samples' hash in SQL.
+HASH_SQL = "md5('42|' || city || '|' || CAST(incident_id AS VARCHAR))"
+_FRACTION_SQL = f"(CAST('0x' || substr({HASH_SQL}, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+KEYS = ["city", "incident_id"]
+
+
+@query("sp_sample", INC_SQL + f"SELECT city, incident_id FROM inc WHERE {_FRACTION_SQL} < 0.2")
 def sp_sample(spark, d):
-    return sampling.sample_fraction(incidents(spark, d).select("city", "incident_id"), 0.2, ["city", "incident_id"])
+    return sampling.sample_fraction(incidents(spark, d).select(*KEYS), 0.2, KEYS)
 
 
-@query("sp_split")
+@query(
+    "sp_split",
+    INC_SQL + f"SELECT CASE WHEN {_FRACTION_SQL} < 0.8 THEN 'train' ELSE 'test' END AS part, city, incident_id FROM inc",
+)
 def sp_split(spark, d):
-    train, test = sampling.split_train_test(incidents(spark, d).select("city", "incident_id"), ["city", "incident_id"])
+    train, test = sampling.split_train_test(incidents(spark, d).select(*KEYS), KEYS)
     return reshape.union_tagged({"train": train, "test": test}, "part")
 
 
-@query("sp_balanced")
+@query(
+    "sp_balanced",
+    INC_SQL + f""", s AS (SELECT delay_indicator, count(*) AS n FROM inc WHERE delay_indicator IN (0, 1) GROUP BY 1)
+    SELECT city, incident_id, delay_indicator FROM inc JOIN s USING (delay_indicator)
+    WHERE {_FRACTION_SQL} < least((SELECT min(n) FROM s), 200000) / n""",
+)
 def sp_balanced(spark, d):
-    rows = incidents(spark, d).select("city", "incident_id", "delay_indicator")
-    return sampling.balanced_sample(rows, "delay_indicator", ["city", "incident_id"])
+    rows = incidents(spark, d).select(*KEYS, "delay_indicator")
+    return sampling.balanced_sample(rows, "delay_indicator", KEYS)
 
 
-@query("sp_fixed_n")
+@query("sp_fixed_n", INC_SQL + f"SELECT city, incident_id FROM inc ORDER BY {HASH_SQL}, city, incident_id LIMIT 500")
 def sp_fixed_n(spark, d):
-    return sampling.fixed_size_sample(incidents(spark, d).select("city", "incident_id"), 500, ["city", "incident_id"])
+    return sampling.fixed_size_sample(incidents(spark, d).select(*KEYS), 500, KEYS)

@@ -300,8 +300,11 @@ def src_result_json(spark, d):
     return files.read_result_json(spark, path, _COUNTS_SCHEMA)
 
 
-@query("sink_parquet_sample")
+@query(
+    "sink_parquet_sample",
+    INC_SQL + """SELECT * FROM inc ORDER BY md5('42|' || city || '|' || CAST(incident_id AS VARCHAR)), city, incident_id LIMIT 1000""",
+)
 def sink_parquet_sample(spark, d):
     path = work_dir(spark, "sample")
     sinks.save_sample(incidents(spark, d), path, 1000, ["city", "incident_id"])
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("incident_datetime", F.col("incident_datetime").cast("timestamp_ntz"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lagline.functions import expressions as x
@@ -240,19 +241,47 @@ def sv_ref_row(spark, d):
 _READY = dict(zip(CITIES, (web_model_ready, freight_model_ready)))
 
 
+@lru_cache(maxsize=8)
+def _design(spark, d, city):
+    return cox.build_design(_READY[city](spark, d))
+
+
+@lru_cache(maxsize=16)
+def _model(spark, d, city):
+    return cox.fit(_design(spark, d, city))
+
+
+@lru_cache(maxsize=16)
+def _concordance(spark, d, city):
+    return cox.concordance(cox.scored_rows(_design(spark, d, city), _model(spark, d, city)))
+
+
 @lru_cache(maxsize=16)
-def _fitted(spark, d, city):
-    """Model, concordance and median profile of a city; small driver-side values only."""
-    design = cox.build_design(_READY[city](spark, d))
-    try:
-        model = cox.fit(design)
-        return model, cox.concordance(cox.scored_rows(design, model)), cox.reference_profile(design).first().asDict()
-    finally:
-        design.release()
+def _profile(spark, d, city):
+    return cox.reference_profile(_design(spark, d, city)).first().asDict()
+
 
+def _per_city(table):
+    return union_tagged({c: table(c) for c in CITIES})
 
-def _per_city(spark, d, table):
-    return union_tagged({c: table(*_fitted(spark, d, c)) for c in CITIES})
+
+@query(
+    "sv_null_likelihood",
+    DESIGN_SQL + """, p AS (SELECT city, time, sum(event) AS d, count(*) AS m FROM cr GROUP BY ALL),
+    r AS (SELECT city, d, sum(m) OVER (PARTITION BY city ORDER BY time DESC) AS n FROM p)
+    SELECT city, round(-sum(ln(n - l)), 3) AS log_likelihood, count(*) AS events
+    FROM (SELECT city, n, unnest(range(CAST(d AS BIGINT))) AS l FROM r WHERE d > 0) GROUP BY 1""",
+)
+def sv_null_likelihood(spark, d):
+    """Efron log-likelihood of the model without effects, from the sums that a Newton step starts with."""
+    def at_zero(city):
+        design = _design(spark, d, city)
+        p = len(design.names)
+        sums = cox.risk_sums(design, np.zeros(p), np.zeros(p), np.ones(p))
+        value = cox.partial_likelihood(sums, np.zeros(p))[0]
+        return spark.createDataFrame([(round(float(value), 3), int(sums.d.sum()))], "log_likelihood double, events bigint")
+
+    return _per_city(at_zero)
 
 
 @query("sv_cox_fit")
@@ -260,13 +289,12 @@ def sv_cox_fit(spark, d):
     """Both cities over the penalty grid, each fit starting from the previous one."""
     parts = []
     for city in CITIES:
-        design = cox.build_design(_READY[city](spark, d))
+        design = _design(spark, d, city)
         model = None
         for penalty in cox.PENALTIES:
             model = cox.fit(design, penalty, model)
             stats = cox.fit_statistics(spark, model, cox.concordance(cox.scored_rows(design, model)))
             parts.append(stats.withColumn("city", F.lit(city)))
-        design.release()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -275,22 +303,22 @@ def sv_cox_fit(spark, d):
 
 @query("sv_hr_table")
 def sv_hr_table(spark, d):
-    return _per_city(spark, d, lambda m, c, r: cox.hazard_ratios(spark, m))
+    return _per_city(lambda c: cox.hazard_ratios(spark, _model(spark, d, c)))
 
 
 @query("sv_fit_stats")
 def sv_fit_stats(spark, d):
-    return _per_city(spark, d, lambda m, c, r: cox.fit_statistics(spark, m, c))
+    return _per_city(lambda c: cox.fit_statistics(spark, _model(spark, d, c), _concordance(spark, d, c)))
 
 
 @query("sv_ph_test")
 def sv_ph_test(spark, d):
-    return _per_city(spark, d, lambda m, c, r: cox.ph_test(spark, m))
+    return _per_city(lambda c: cox.ph_test(spark, _model(spark, d, c)))
 
 
 @query("sv_baseline_hazard")
 def sv_baseline_hazard(spark, d):
-    return _per_city(spark, d, lambda m, c, r: cox.baseline_hazard(spark, m))
+    return _per_city(lambda c: cox.baseline_hazard(spark, _model(spark, d, c)))
 
 
 def _reference(profile_columns, model):
@@ -300,7 +328,11 @@ def _reference(profile_columns, model):
 
 def _profile_curves(spark, d):
     """S(t) of the median incident without demand, per city."""
-    return _per_city(spark, d, lambda m, c, r: cox.scenario_curves(spark, m, {"reference": _reference(r, m)}))
+    def curves_of(city):
+        model = _model(spark, d, city)
+        return cox.scenario_curves(spark, model, {"reference": _reference(_profile(spark, d, city), model)})
+
+    return _per_city(curves_of)
 
 
 @query("sv_surv_profile")
@@ -317,7 +349,7 @@ def sv_demand_scenario(spark, d):
     }
     parts = {}
     for city in CITIES:
-        model, _, r = _fitted(spark, d, city)
+        model, r = _model(spark, d, city), _profile(spark, d, city)
         base = _reference(r, model)
         profiles = {
             name: {**base, **{f: float(levels[city, f][i]) for f in cox.DEMAND}} for i, name in enumerate(("low", "high"))
@@ -355,7 +387,7 @@ def sink_coefs(spark, d):
     """Save each city's model as tables and predict the reference curve from the saved tables."""
     parts = {}
     for city in CITIES:
-        model, _, r = _fitted(spark, d, city)
+        model, r = _model(spark, d, city), _profile(spark, d, city)
         folder = work_dir(spark, "cox")
         cox.save_tables(spark, model, folder)
         parts[city] = cox.saved_curves(spark, folder, {"reference": _reference(r, model)}, int(model.horizon))

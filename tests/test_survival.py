@@ -232,3 +232,10 @@ def test_schoenfeld_sums_by_hand(spark, fitted):
     v, d = m.covariance[0, 0], seen.sum()
     want = (g @ (d * resid * v)) ** 2 / (d * v * (g @ g))
     assert cox.ph_test(spark, m).first()["test_statistic"] == pytest.approx(want, rel=1e-6)
+
+
+def test_a_broken_design_raises(spark, monkeypatch):
+    rows = spark.createDataFrame([(5.0, 1, 1, 0, "a"), (None, 1, 0, 1, "b"), (7.0, 2, 0, 0, "a")], "time double, event int, n1 int, n2 int, c string")
+    monkeypatch.setattr(cox, "cox_rows", lambda *a: rows)
+    with pytest.raises(ValueError, match="null_duration.*event_not_binary"):
+        cox.build_design(rows, ["n1", "n2"], ["c"])
