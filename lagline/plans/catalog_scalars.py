@@ -280,6 +280,21 @@ _PHRASE_SAMPLES = tuple(enumerate((
 _CODE_SAMPLES = tuple(enumerate(("Phone", "911", " 911text ", "verbal", "verbal note", "EMS", "x-ems-y", "Class 3", "class_3b", "KIOSK", "")))
 
 
+def normal_sql(text):
+    """Lower-case letters and digits, one blank between them."""
+    return f"trim(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+# Unified source of a normalised phrase or code `t`.
+PHRASE_SOURCE_SQL = """CASE WHEN t IS NULL THEN 'Unknown'
+      WHEN t LIKE '%911%' OR t LIKE '%civilian%' OR t LIKE '%verbal report%' THEN 'Public'
+      WHEN t LIKE '%ambulance%' THEN 'EMS / Medical'
+      WHEN t LIKE '%monitoring agency%' OR t LIKE '%direct connection%' OR t LIKE '%other alarm%' THEN 'Alarm System'
+      ELSE 'Other / System' END"""
+CODE_SOURCE_SQL = """CASE WHEN t IS NULL THEN 'Unknown' WHEN t IN ('phone', '911', '911text', 'verbal') THEN 'Public'
+      WHEN t LIKE '%ems%' THEN 'EMS / Medical' WHEN t LIKE '%class 3%' THEN 'Alarm System' ELSE 'Other / System' END"""
+
+
 @query(
     "sc_level_map_text",
     f"""SELECT p_partkey, CASE WHEN t IN ('initial alarm', 'default record') THEN 1
@@ -294,12 +309,8 @@ def sc_level_map_text(spark, d):
 
 @query(
     "sc_source_map_a",
-    f"""SELECT p_partkey, CASE WHEN t IS NULL THEN 'Unknown'
-      WHEN t LIKE '%911%' OR t LIKE '%civilian%' OR t LIKE '%verbal report%' THEN 'Public'
-      WHEN t LIKE '%ambulance%' THEN 'EMS / Medical'
-      WHEN t LIKE '%monitoring agency%' OR t LIKE '%direct connection%' OR t LIKE '%other alarm%' THEN 'Alarm System'
-      ELSE 'Other / System' END AS source
-    FROM (SELECT p_partkey, CASE WHEN p_size % 50 < 10 THEN trim(regexp_replace(lower({_sql_samples('p_size', _PHRASE_SAMPLES, '')}), '[^a-z0-9]+', ' ', 'g'))
+    f"""SELECT p_partkey, {PHRASE_SOURCE_SQL} AS source
+    FROM (SELECT p_partkey, CASE WHEN p_size % 50 < 10 THEN {normal_sql(_sql_samples('p_size', _PHRASE_SAMPLES, ''))}
       WHEN p_size % 50 < 25 THEN 'x' END AS t FROM part)""",
 )
 def sc_source_map_a(spark, d):
@@ -310,9 +321,8 @@ def sc_source_map_a(spark, d):
 
 @query(
     "sc_source_map_b",
-    f"""SELECT p_partkey, CASE WHEN t IS NULL THEN 'Unknown' WHEN t IN ('phone', '911', '911text', 'verbal') THEN 'Public'
-      WHEN t LIKE '%ems%' THEN 'EMS / Medical' WHEN t LIKE '%class 3%' THEN 'Alarm System' ELSE 'Other / System' END AS source
-    FROM (SELECT p_partkey, CASE WHEN p_size % 50 < 11 THEN trim(regexp_replace(lower({_sql_samples('p_size', _CODE_SAMPLES, '')}), '[^a-z0-9]+', ' ', 'g')) END AS t FROM part)""",
+    f"""SELECT p_partkey, {CODE_SOURCE_SQL} AS source
+    FROM (SELECT p_partkey, CASE WHEN p_size % 50 < 11 THEN {normal_sql(_sql_samples('p_size', _CODE_SAMPLES, ''))} END AS t FROM part)""",
 )
 def sc_source_map_b(spark, d):
     raw = x.cases([(F.col("p_size") % 50 == s, t) for s, t in _CODE_SAMPLES])

@@ -11,9 +11,10 @@ from lagline.functions import taxonomy
 from lagline.operators import aggregates as agg
 from lagline.plans import medallion
 from lagline.plans.catalog_scalars import (
+    CODE_SOURCE_SQL, PHRASE_SOURCE_SQL, normal_sql,
     _CLASS_SAMPLES, _CODE_SAMPLES, _CODED_SAMPLES, _LEVEL_SAMPLES, _PHRASE_SAMPLES, _sql_rules, _sql_text,
 )
-from lagline.plans.inputs import INC_SQL, incidents
+from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, web_model_ready
 from lagline.plans.registry import query
 from lagline.session import work_dir
 from lagline.sources import files, sinks, tables
@@ -217,15 +218,13 @@ def src_upstream(spark, d):
     "plan_station_model",
     "WITH " + STATION_RAW_SQL + f""", s1 AS (SELECT * FROM sraw QUALIFY row_number() OVER (PARTITION BY number, alarm_time ORDER BY id) = 1),
     s2 AS (SELECT *, CAST(epoch(arrival_time) - epoch(alarm_time) AS BIGINT) AS s, CAST(epoch(alarm_time) AS BIGINT) AS sec0 FROM s1),
-    silver AS (FROM s2 WHERE level BETWEEN 0 AND 5 AND geometry IS NOT NULL AND (s IS NULL OR s >= 0))
+    silver AS (SELECT *, """ + normal_sql("source") + f""" AS t FROM s2 WHERE level BETWEEN 0 AND 5 AND geometry IS NOT NULL AND (s IS NULL OR s >= 0))
     SELECT number AS incident_id, s > 480 AS late, CAST(month(alarm_time) AS INTEGER) AS month,
       CASE WHEN month(alarm_time) IN (12, 1, 2) THEN 'winter' WHEN month(alarm_time) IN (3, 4, 5) THEN 'spring'
         WHEN month(alarm_time) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END AS season,
       {_sql_rules('upper(final_type)', taxonomy.CODED_LABELS, taxonomy.ASSISTANCE)} AS incident_category,
       CASE WHEN level = 0 THEN 1 WHEN level IN (1, 2) THEN 2 WHEN level >= 3 THEN 3 END AS unified_alarm_level,
-      CASE WHEN source IS NULL THEN 'Unknown' WHEN source LIKE '01%' OR source LIKE '02%' OR source LIKE '09%' THEN 'Public'
-        WHEN source LIKE '03%' THEN 'EMS / Medical' WHEN source LIKE '05%' OR source LIKE '06%' OR source LIKE '07%' THEN 'Alarm System'
-        ELSE 'Other / System' END AS unified_call_source,
+      {PHRASE_SOURCE_SQL} AS unified_call_source,
       CAST(user_id AS VARCHAR) AS location_area,
       CAST(count(*) OVER (PARTITION BY user_id ORDER BY sec0 RANGE BETWEEN 1800 PRECEDING AND CURRENT ROW) - 1 AS BIGINT) AS calls_past_30min,
       CAST(count(*) OVER (PARTITION BY user_id ORDER BY sec0 RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) - 1 AS BIGINT) AS calls_past_60min
@@ -245,11 +244,10 @@ def plan_station_model(spark, d):
     "WITH " + DISPATCH_RAW_SQL + """,
     d1 AS (SELECT * FROM draw QUALIFY row_number() OVER (PARTITION BY id ORDER BY happened, box, borough, zip, source, level, class, closed, secs) = 1),
     d2 AS (SELECT * FROM d1 QUALIFY row_number() OVER (PARTITION BY happened, box, upper(trim(borough)) ORDER BY id) = 1),
-    silver AS (SELECT *, CAST(epoch(happened) AS BIGINT) AS s FROM d2 WHERE zip IS NOT NULL AND closed >= happened)
+    silver AS (SELECT *, CAST(epoch(happened) AS BIGINT) AS s, """ + normal_sql("coalesce(source, 'UNKNOWN')") + """ AS t FROM d2 WHERE zip IS NOT NULL AND closed >= happened)
     SELECT id AS incident_id, happened AS incident_datetime, CASE WHEN secs IS NULL THEN NULL WHEN secs > 480 THEN 1 ELSE 0 END AS delay_indicator,
       CAST(secs IS NOT NULL AS INTEGER) AS event_indicator, CAST(hour(happened) AS INTEGER) AS hour, upper(borough) AS location_area,
-      CASE WHEN source IS NULL THEN 'Other / System' WHEN source IN ('PHONE', '911', '911TEXT', 'VERBAL') THEN 'Public'
-        WHEN source LIKE 'EMS%' THEN 'EMS / Medical' WHEN source = 'CLASS-3' THEN 'Alarm System' ELSE 'Other / System' END AS unified_call_source,
+      """ + CODE_SOURCE_SQL + """ AS unified_call_source,
       CAST(count(*) OVER (ORDER BY s RANGE BETWEEN 1800 PRECEDING AND 1 PRECEDING) AS BIGINT) AS calls_past_30min,
       CAST(count(*) OVER (ORDER BY s RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING) AS BIGINT) AS calls_past_60min
     FROM silver""",
@@ -263,6 +261,30 @@ def plan_dispatch_model(spark, d):
     )
 
 
+@query(
+    "plan_station_warnings",
+    "WITH " + STATION_RAW_SQL + """, s1 AS (SELECT * FROM sraw QUALIFY row_number() OVER (PARTITION BY number, alarm_time ORDER BY id) = 1),
+    silver AS (SELECT *, epoch(arrival_time) - epoch(alarm_time) AS s FROM s1)
+    SELECT count(*) AS rows, 'alarm_time_parsed' AS rule, count(*) - count(alarm_time) AS violations FROM silver
+    WHERE level BETWEEN 0 AND 5 AND geometry IS NOT NULL AND (s IS NULL OR s >= 0)""",
+)
+def plan_station_warnings(spark, d):
+    """Rows of the station silver table that break a rule which only warns."""
+    return medallion.station_warnings(medallion.station_silver(station_raw(spark, d)))
+
+
+@query(
+    "plan_combined",
+    MODEL_SQL + "SELECT city, year, incident_id, response_minutes, unified_call_source, calls_past_60min FROM mr",
+)
+def plan_combined(spark, d):
+    """Both cities in one schema, written by city and year and read back. The given tables share no year to limit them to."""
+    models = dict(zip(CITIES, (web_model_ready(spark, d), freight_model_ready(spark, d))))
+    path = work_dir(spark, "combined")
+    sinks.save_parquet(medallion.combined(models), path, ["city", "year"])
+    return spark.read.parquet(path).select("city", "year", "incident_id", "response_minutes", "unified_call_source", "calls_past_60min")
+
+
 _COUNTS_SQL = INC_SQL + "SELECT city, year, incident_category, count(*) AS n FROM inc GROUP BY ALL"
 
 

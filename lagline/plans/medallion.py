@@ -14,7 +14,7 @@ from lagline.functions import taxonomy
 from lagline.operators import demand
 from lagline.operators.aggregates import gold_summary
 from lagline.operators.dedup import keep_first
-from lagline.operators.quality import expect_or_drop
+from lagline.operators.quality import expect_or_drop, expectation_report
 from lagline.operators.reshape import union_tagged
 
 # Named row rules of the two sources.
@@ -103,6 +103,11 @@ def station_silver(bronze: DataFrame) -> DataFrame:
     return expect_or_drop(banded, STATION_RULES)
 
 
+def station_warnings(silver: DataFrame) -> DataFrame:
+    """Rows seen and rows violating, per rule that does not drop rows."""
+    return expectation_report(silver, STATION_WARNINGS)
+
+
 def station_gold(silver: DataFrame) -> DataFrame:
     parts = x.time_parts("alarm_time")
     rows = silver.select(
@@ -142,7 +147,7 @@ def station_model(gold: DataFrame) -> DataFrame:
     ).select(*MODEL_COLUMNS)
 
 
-def combined(models: dict[str, DataFrame], years: tuple[int, ...] = ()) -> DataFrame:
+def combined(models: dict[str, DataFrame], years: tuple[int, ...] | None = None) -> DataFrame:
     """Model-ready tables of several cities in one, limited to overlapping years if given."""
-    parts = {c: df.filter(F.col("year").isin(*years)) if years else df for c, df in models.items()}
+    parts = {c: df.drop("city").filter(F.col("year").isin(*years)) if years is not None else df.drop("city") for c, df in models.items()}
     return union_tagged(parts)

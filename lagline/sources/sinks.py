@@ -12,8 +12,8 @@ from lagline.operators.sampling import fixed_size_sample
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a catalog table, schema included; partition columns let readers prune."""
-    writer = df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet")
+    """Overwrite a catalog table, which replaces its schema; partition columns let readers prune."""
+    writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
