@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from lagline.plans import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-ORACLES = entry_module.oracle_sql()
+ORACLES = catalog.ORACLES
 # Model queries that are checked by their own tests and only need to give rows here.
 ROWS = ["sp_sample", "sp_split", "sink_parquet_sample", "sv_logrank_suite", "sv_hr_table", "ml_forecast", "ml_shap_importance"]
 
