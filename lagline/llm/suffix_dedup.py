@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm.common import small_batches, stored, text_key, utf8
@@ -333,7 +333,7 @@ def _digest(data: bytes) -> bytes:
 
 
 def context_table(docs: DataFrame, wanted: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """The contexts of repeated anchors: `cid`, `key`, `a` (the anchor's place in it), `ctx`, `tkey`, `lo`.
+    """The contexts of repeated anchors: `cid`, `key`, `a` (the anchor's place in it), `ctx`, `tkey`, `lo`, `hi`.
 
     wanted has `tkey` and `found`, an array of (at, lo, hi, key).
     """
@@ -353,12 +353,12 @@ def context_table(docs: DataFrame, wanted: DataFrame, text: str = "text", length
                 ctx = [data[x:y] for x, y in bounds]
                 columns = [
                     pa.array([_digest(c) for c in ctx], pa.binary()), key[part], (at[part] - lo[part]).astype(np.int32),
-                    pa.array(ctx, pa.binary()), batch.column(0).take(pa.array(which[part])), lo[part],
+                    pa.array(ctx, pa.binary()), batch.column(0).take(pa.array(which[part])), lo[part], hi[part],
                 ]
-                yield _flat(["cid", "key", "a", "ctx", "tkey", "lo"], columns)
+                yield _flat(["cid", "key", "a", "ctx", "tkey", "lo", "hi"], columns)
 
     rows = _texts(docs, text).join(wanted, "tkey")
-    return rows.select("tkey", "text", "found").mapInArrow(cut, "cid binary, key long, a int, ctx binary, tkey binary, lo int")
+    return rows.select("tkey", "text", "found").mapInArrow(cut, "cid binary, key long, a int, ctx binary, tkey binary, lo int, hi int")
 
 
 def _split(half: int, length: int):
@@ -367,7 +367,7 @@ def _split(half: int, length: int):
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for cid, a, ctx, n in zip(batch["cid"], batch["a"], batch["ctx"], batch["n"]):
+            for a, ctx, n, tkey, lo in zip(batch["a"], batch["ctx"], batch["n"], batch["tkey"], batch["lo"]):
                 begins = len(ctx) - length + 1
                 for c in range(max(0, a - begins + 1) // half, a // half + 1):
                     first, last = max(0, a - (c + 1) * half + 1), min(begins - 1, a - c * half)
@@ -376,35 +376,35 @@ def _split(half: int, length: int):
                     shared = ctx[a - c * half : a - (c + 1) * half + 1 + length]
                     key = int.from_bytes(_digest(bytes([c, half.bit_length()]) + shared)[:8], "little", signed=True)
                     part = ctx[first : last + length]
-                    out.append((cid, _digest(part), first, key, a - first, part, n))
-            yield pd.DataFrame(out, columns=["parent", "cid", "off", "key", "a", "ctx", "n"])
+                    out.append((_digest(part), key, a - first, part, n, tkey, None if tkey is None else lo + first))
+            frame = pd.DataFrame(out, columns=["cid", "key", "a", "ctx", "n", "tkey", "lo"])
+            yield frame.astype({"lo": "Int32"})
 
     return split
 
 
 def _sort_shards(length: int, shard_bytes: int):
-    """Suffix arrays over runs of whole groups; gives each context the runs of begins that repeat."""
+    """Suffix arrays over runs of whole groups; gives each context that occurs once the runs of begins that repeat."""
 
     def resolve(held: list) -> pd.DataFrame:
-        found = repeated_begins([ctx for _, ctx, _ in held], length)
+        found = repeated_begins([ctx for ctx, _, _, _ in held], length)
         rows = []
-        for (cid, ctx, n), places in zip(held, found):
-            if n > 1:
-                rows.append((cid, [0], [len(ctx) - length]))
-            elif len(places):
+        for (_, n, tkey, lo), places in zip(held, found):
+            if n == 1 and len(places):
                 new = np.flatnonzero(np.diff(places, prepend=-2) > 1)
-                rows.append((cid, places[new].tolist(), places[np.append(new[1:], len(places)) - 1].tolist()))
-        return pd.DataFrame(rows, columns=["cid", "first", "last"])
+                places = places + int(lo)
+                rows.append((tkey, places[new].tolist(), places[np.append(new[1:], len(places)) - 1].tolist()))
+        return pd.DataFrame(rows, columns=["tkey", "first", "last"])
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, last = [], 0, None
         for batch in batches:
-            for key, cid, ctx, n in zip(batch["key"], batch["cid"], batch["ctx"], batch["n"]):
+            for key, *row in zip(batch["key"], batch["ctx"], batch["n"], batch["tkey"], batch["lo"]):
                 if size >= shard_bytes and key != last:
                     yield resolve(held)
                     held, size = [], 0
-                held.append((cid, ctx, n))
-                size += len(ctx)
+                held.append(row)
+                size += len(row[0])
                 last = key
         if held:
             yield resolve(held)
@@ -412,51 +412,50 @@ def _sort_shards(length: int, shard_bytes: int):
     return sort
 
 
+def _merged(contexts: DataFrame, n: Column) -> DataFrame:
+    """Equal contexts as one row with their number and one of their places."""
+    place = F.min(F.when(F.col("tkey").isNotNull(), F.struct("tkey", "lo"))).alias("place")
+    rows = contexts.groupBy("cid", "key", "a", "ctx").agg(n.alias("n"), place)
+    return stored(rows.select("cid", "key", "a", "ctx", "n", "place.tkey", "place.lo"), "groups")
+
+
 def repeated_runs(docs: DataFrame, text: str = "text", length: int = LENGTH, group: int = GROUP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Per text the begins of repeated strings: `tkey`, `runs`, an array of (first, last), inclusive."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    """Per text the begins of repeated strings: `tkey`, `runs`, an array of (first, last), inclusive.
+
+    All begins of a context that occurs more than once repeat, wherever it stands. Contexts that occur once carry their
+    place along; they are compared to all contexts of their anchor.
+    """
+    small_batches(docs.sparkSession)
     marks = stored(anchor_table(docs, text, length), "anchors")
-    often = marks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    often = stored(marks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     wanted = marks.join(often, "key").dropDuplicates(["tkey", "at"])
     wanted = wanted.groupBy("tkey").agg(F.collect_list(F.struct("at", "lo", "hi", "key")).alias("found"))
     table = stored(context_table(docs, wanted, text, length), "contexts")
-    places = table.select("cid", "tkey", "lo").distinct()
-    groups = stored(table.groupBy("cid", "key", "a", "ctx").agg(F.count(F.lit(1)).alias("n")), "groups")
-
-    done, known = [], []
+    groups = _merged(table, F.count(F.lit(1)))
+    again = groups.where("n > 1").select("cid")
+    whole = table.select("cid", "tkey", "lo", "hi").distinct().join(again, "cid")
+    runs = [whole.select("tkey", F.array("lo").alias("first"), F.array("hi").alias("last"))]
     half = 1 << (length - 1).bit_length()
     while True:
-        sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
-        sized = groups.join(sizes.where("all > 1"), "key")
-        small = sized.where(F.col("size") <= group)
-        done.append(small.where("size > 1").select("key", "cid", "ctx", "n"))
-        alone = small.where("size = 1")  # the only context of its group: all of it repeats as it occurs more than once
-        begin, end = F.array(F.lit(0)), F.array(F.length("ctx") - length)
-        done_alone = alone.select("cid", begin.alias("first"), end.alias("last"))
-        known.append((places, done_alone))
-        crowded = sizes.where(F.col("size") > group)
+        sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+        small = sizes.where((F.col("size") > 1) & (F.col("size") <= group)).select("key")
+        shards = groups.join(small, "key").repartition("key").sortWithinPartitions("key").select("key", "ctx", "n", "tkey", "lo")
+        runs.append(shards.mapInPandas(_sort_shards(length, shard_bytes), "tkey binary, first array<int>, last array<int>"))
+        crowded = sizes.where(F.col("size") > group).select("key")
         half //= 2
         if not half or crowded.isEmpty():
             break
-        parts = groups.join(crowded.select("key"), "key").select("cid", "a", "ctx", "n")
-        schema = "parent binary, cid binary, off int, key long, a int, ctx binary, n long"
+        schema = "cid binary, key long, a int, ctx binary, n long, tkey binary, lo int"
+        parts = groups.join(crowded, "key").select("a", "ctx", "n", F.when(F.col("n") == 1, F.col("tkey")).alias("tkey"), "lo")
         parts = stored(parts.mapInPandas(_split(half, length), schema), "classes")
-        places = stored(
-            places.withColumnRenamed("cid", "parent").join(parts.select("parent", "cid", "off"), "parent")
-            .select("cid", "tkey", (F.col("lo") + F.col("off")).alias("lo")), "places",
-        )
-        groups = stored(parts.groupBy("cid", "key", "a", "ctx").agg(F.sum("n").alias("n")), "groups")
-
-    runs = None
-    for (where, alone), several in zip(known, done):
-        sorted_ = several.repartition("key").sortWithinPartitions("key").select("key", "cid", "ctx", "n")
-        sorted_ = sorted_.mapInPandas(_sort_shards(length, shard_bytes), "cid binary, first array<int>, last array<int>")
-        found = where.join(alone.unionByName(sorted_), "cid")
-        pairs = F.transform(F.arrays_zip("first", "last"), lambda x: F.struct((x["first"] + F.col("lo")).alias("first"), (x["last"] + F.col("lo")).alias("last")))
-        found = found.select("tkey", pairs.alias("runs"))
-        runs = found if runs is None else runs.unionByName(found)
-    return runs.groupBy("tkey").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+        groups = _merged(parts, F.sum("n"))
+        again = groups.where("n > 1").select("cid")
+        met = parts.where("tkey is not null").select("cid", "tkey", "lo", F.length("ctx").alias("size")).join(again, "cid")
+        runs.append(met.select("tkey", F.array("lo").alias("first"), F.array((F.col("lo") + F.col("size") - length).cast("int")).alias("last")))
+    found = runs[0]
+    for more in runs[1:]:
+        found = found.unionByName(more)
+    return found.groupBy("tkey").agg(F.flatten(F.collect_list(F.arrays_zip("first", "last"))).alias("runs"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, keep_text: bool = True, **options) -> DataFrame:
