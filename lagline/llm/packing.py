@@ -19,10 +19,13 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ END = 1
 GROUPS = 32
 LARGE = 8  # lengths over a LARGE-th of the capacity are rounded and arranged in configurations
 TOKENIZER = "word_bpe_49k.json"
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 18  # stretches that a task remembers
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -43,55 +46,111 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class Encoder:
+    """A tokenizer with the ids of stretches of text that it has seen.
 
-    return Tokenizer.from_file(path), {}
-
-
-def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and how many each text has.
-
-    The tokenizer never joins characters across a blank or a line break, so the stretches between them are encoded once
-    each and looked up after that.
+    The tokenizer never joins characters across blanks and line breaks, nor a letter and an ASCII mark other than the
+    apostrophe, and takes no account of case. So texts are cut there, in lower case; each different stretch is encoded
+    once and looked up after that. Only where the end of a special token stands, which may hold marks and needs its
+    case, texts are cut at blanks and line breaks alone.
     """
-    tok, known = _tokenizer(path)
-    raw, ends = utf8(texts)
-    inside = (raw != 32) & (raw != 10)
-    borders = ends[1:-1]
-    borders = borders[borders < len(raw)]
-    before = np.concatenate(([False], inside[:-1]))
-    before[borders] = False
-    after = np.concatenate((inside[1:], [False]))
-    after[borders[borders > 0] - 1] = False
-    begins = np.flatnonzero(inside & ~before)
-    lengths = np.flatnonzero(inside & ~after) + 1 - begins
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    data = pa.py_buffer(raw[inside].tobytes())
-    wide = offsets[-1] >= 2**31
-    kind = pa.large_string() if wide else pa.string()
-    offsets = offsets if wide else offsets.astype(np.int32)
-    coded = pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(offsets), data]).dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    new = [w for w in words if w not in known]
-    if len(known) + len(new) > KNOWN_WORDS:  # forget all: what is still in use is encoded again
-        known.clear()
-        new = words
-    for at in range(0, len(new), 4096):
-        some = new[at : at + 4096]
-        for word, got in zip(some, tok.encode_batch(some, add_special_tokens=False)):
-            known[word] = np.array(got.ids, np.uint32)
-    ids_of = [known[w] for w in words]
-    sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-    flat = np.concatenate(ids_of) if ids_of else np.zeros(0, np.uint32)
-    at = np.concatenate(([0], np.cumsum(sizes)))
-    codes = coded.indices.to_numpy()
-    many = sizes[codes]
-    steps = np.cumsum(many)
-    ids = flat[np.repeat(at[codes] - (steps - many), many) + np.arange(steps[-1] if len(steps) else 0)]
-    per_text = np.diff(np.concatenate(([0], steps))[np.searchsorted(begins, ends)])
-    return ids, per_text
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.begins = np.zeros(0, np.int32)
+        self.sizes = np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
+
+    def learn(self, new: pa.Array) -> None:
+        """Remember the ids of new stretches, which are none of those known."""
+        words = new.to_pylist()
+        ids: list[list[int]] = [[]] * len(words)
+        others = []
+        pieces = self.tok.model.tokenize
+        for i, w in enumerate(words):
+            # a word of Latin letters in composed lower case is one token of the splitting steps: the model takes it as it is
+            if w.isascii() and w.isalpha() and w.islower():
+                ids[i] = [t.id for t in pieces(w)]
+            elif w.isalpha() and max(w) < "\u0250" and w == w.lower() and is_normalized("NFC", w):
+                ids[i] = [t.id for t in pieces(w.encode().decode("latin-1").translate(BYTE_LETTERS))]
+            else:
+                others.append(i)
+        # the rest in one text, blanks between them; its tokens are dealt out by where they begin
+        got = self.tok.encode(" ".join(words[i] for i in others), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(words[i]) + 1 for i in others])
+        where = np.searchsorted(starts, np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids)), side="right") - 1
+        cuts = np.searchsorted(where, np.arange(len(others) + 1)).tolist()
+        rest = got.ids
+        for i, x, y in zip(others, cuts[:-1], cuts[1:]):
+            ids[i] = rest[x:y]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        begins = len(self.flat) + np.cumsum(sizes) - sizes
+        self.known = pa.concat_arrays([self.known, new.cast(pa.large_string())])
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.begins = np.concatenate((self.begins, begins.astype(np.int32)))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has."""
+        raw, ends = utf8(texts)
+        inside = (raw != 32) & (raw != 10)
+        cut = np.zeros(len(raw), bool)  # a stretch begins here
+        borders = ends[:-1]
+        cut[borders[borders < len(raw)]] = True
+        if len(raw):
+            cut[1:] |= ~inside[:-1]
+        if b"|>" not in raw.tobytes():
+            kind = KINDS[raw]
+            cut[1:] |= kind[1:] + kind[:-1] == 3  # a letter beside a mark
+            raw = LOWER[raw]
+        begins = np.flatnonzero(cut & inside)
+        wide = len(raw) >= 2**31
+        held = np.cumsum(inside.view(np.uint8), dtype=np.int64 if wide else np.int32)
+        offsets = np.append(held[begins] - 1, held[-1:] if len(held) else 0)
+        data = pa.py_buffer(raw[inside].tobytes())
+        del held, cut
+        kind = pa.large_string() if wide else pa.string()
+        coded = pa.Array.from_buffers(kind, len(begins), [None, pa.py_buffer(offsets), data]).dictionary_encode()
+        words = coded.dictionary.cast(pa.large_string())
+        place = pc.index_in(words, value_set=self.known)
+        new = words.filter(place.is_null())
+        if len(new):
+            if len(self.known) + len(new) > KNOWN_WORDS:  # forget all: what is still in use is encoded again
+                self.forget()
+                new = words
+            for at in range(0, len(new), 1 << 14):
+                self.learn(new.slice(at, 1 << 14))
+            place = pc.index_in(words, value_set=self.known)
+        place = place.to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+        many = self.sizes[place]
+        steps = np.concatenate(([0], np.cumsum(many, dtype=np.int64)))
+        per_text = np.diff(steps[np.searchsorted(begins, ends)])
+        at = np.repeat(self.begins[place] - steps[:-1], many)
+        at += np.arange(len(at))
+        return self.flat[at], per_text
+
+
+# Fixed: the letters that stand for bytes in byte-level vocabularies, printable bytes for themselves.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+
+# Kinds of bytes: 1 for ASCII letters, 2 for ASCII marks but the apostrophe, 4 for others, so that only 1 + 2 gives 3.
+KINDS = np.full(256, 4, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 2
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pieces_of(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
@@ -107,7 +166,7 @@ def pieces_of(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            ids, sizes = encode(batch.column(1), path)
+            ids, sizes = encoder(path).encode(batch.column(1))
             ends = np.cumsum(sizes)
             ids = np.insert(ids, ends, END).astype("<u4")
             sizes = sizes + 1

@@ -45,7 +45,7 @@ def test_documents(spark, sf):
 
 
 def test_texts_that_tokenizers_find_hard(make_docs):
-    texts = ["", None, "it's  we'll\tI'd\nx", "é ́ x y z", "<|endoftext|> a<|startoftext|>b", "ΑΣ ΟΔΟΣ\u0085İ", "日本語 テスト 123", "\x0b\x0c\x1c\x1f a", "a" * 500, "ﬁ Å"]
+    texts = ["", None, "it's  we'll\tI'd\nx", "é ́ x y z", "<|endoftext|> a<|startoftext|>b", "ΑΣ ΟΔΟΣ\u0085İ", "日本語 テスト 123", "\x0b\x0c\x1c\x1f a", "a" * 500, "ﬁ Å", "A,b.C'd 'LL x''s =\u0338 a\u0301! …!¿x «y» I\u0307z\u212a", "(1+2)=3;x_y-z\u00a0!a", "\u0301a \u0308, '", "</w> don't,stop \u2019s"]
     used, bound = check([tuple(r) for r in packed_documents(make_docs(texts), capacity=64).collect()], texts, 64)
     assert used <= bound + 2
 
