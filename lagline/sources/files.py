@@ -59,9 +59,18 @@ def _as_text(schema: StructType) -> StructType:
 
 
 def rescue(raw: DataFrame, schema: StructType, timestamp_format: str) -> DataFrame:
-    """Typed columns from text columns; values that do not fit become NULL and are kept as JSON in one column."""
+    """Typed columns from text columns; values that do not fit become NULL and are kept as JSON in one column.
+
+    So are the values of columns that the schema does not have; one that only the schema has is NULL.
+    """
     typed, failed = [], []
+    for name in raw.columns:
+        if name not in schema.fieldNames():
+            failed += [F.lit(name), F.col(f"`{name}`")]
     for f in schema.fields:
+        if f.name not in raw.columns:
+            typed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         text = F.col(f.name)
         if isinstance(f.dataType, StringType):
             typed.append(text)
@@ -79,8 +88,12 @@ def rescue(raw: DataFrame, schema: StructType, timestamp_format: str) -> DataFra
 
 
 def read_rescued(spark: SparkSession, folder: str, schema: StructType, options: Mapping[str, str]) -> DataFrame:
-    raw = read_csv(spark, folder, _as_text(schema), options)
-    return rescue(raw, schema, options.get("timestampFormat", "yyyy-MM-dd HH:mm:ss"))
+    """Files with a header are read by its names, so that no column is lost or mistaken for another."""
+    text = _as_text(schema)
+    if options.get("header") == "true":
+        names = spark.read.options(**options).csv(folder).columns  # reads one line
+        text = StructType([StructField(n, StringType(), True) for n in names])
+    return rescue(read_csv(spark, folder, text, options), schema, options.get("timestampFormat", "yyyy-MM-dd HH:mm:ss"))
 
 
 def stream_rescued(spark: SparkSession, folder: str, schema: StructType, options: Mapping[str, str]) -> DataFrame:

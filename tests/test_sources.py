@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -96,3 +97,13 @@ def test_sql_dataset(spark, sf):
     assert out.first()["n"] == tables.load(spark, sf, "events").count()
     with pytest.raises(Exception):
         tables.catalog_table(spark, "no_such_table").count()
+
+
+def test_rescue_keeps_columns_outside_the_schema(spark, tmp_path):
+    rows = spark.createDataFrame([("x", "1", None), ("y", "two", "more")], "note string, id string, extra string")
+    rows.coalesce(1).write.option("header", "true").csv(f"{tmp_path}/in")
+    schema = files.schema_of("id int, at timestamp")
+    got = files.read_rescued(spark, f"{tmp_path}/in", schema, {"header": "true"})
+    assert got.columns == ["id", "at", files.RESCUED]
+    kept = sorted((r["id"] or 0, r["at"], json.loads(r[files.RESCUED])) for r in got.collect())
+    assert kept == [(0, None, {"note": "y", "extra": "more", "id": "two"}), (1, None, {"note": "x"})]
