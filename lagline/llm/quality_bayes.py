@@ -24,7 +24,7 @@ from lagline.llm.common import carried, full_text, restored, small_batches, stor
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
 LEXICON = 5_000  # telling words at most
 PARTS = (4, 5, 6)  # lengths of word beginnings that count beside whole words
-MARKS = ".,;:!?*%$#&|\"'()[]{}<>"
+MARKS = "-.,;:!?*%$#&|\"'()[]{}<>"
 SEEN = 8  # labelled texts that a telling word must be in
 STRAY = 0.02  # at most, of texts without the label to texts with it
 STYLES = 9
@@ -37,10 +37,9 @@ def telling_parts(text: str) -> set[str]:
     return (words | parts) - {""}
 
 
-def style(text: str) -> list[float]:
+def style(text: str, words: list[str]) -> list[float]:
     """Numbers that tell prose from junk: size, marks, capitals, digits, repetition, word length."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    words = text.split()
     if not words:
         return [0.0] * STYLES
     seen = np.bincount(raw, minlength=256)
@@ -66,10 +65,24 @@ class Evidence:
     weights: dict[str, np.ndarray] = field(default_factory=dict)
     rates: dict[str, float] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.whole = {p for p in self.lexicon if not p.endswith("-")}
+        self.begins = {n: {p[:-1] for p in self.lexicon if len(p) == n + 1 and p.endswith("-")} for n in PARTS}
+
+    def found(self, text: str) -> list[str]:
+        """The telling parts of a text that the lexicon has; no part is put together that it has not."""
+        words = {w.strip(MARKS) for w in set(text.lower().split())}
+        out = list(self.whole & words)
+        for n, known in self.begins.items():
+            if known:
+                out += [f"{p}-" for p in {w[:n] for w in words if len(w) > n} & known]
+        return out
+
     def features(self, text: str) -> list[float]:
-        found = [self.lexicon[p] for p in telling_parts(text) if p in self.lexicon] if self.lexicon else []
-        n = max(1, len(text.split()))
-        return [*style(text), float(np.log1p(sum(found))), min(1.0, len(found) / n * 10), float(bool(found))]
+        words = text.split()
+        found = [self.lexicon[p] for p in sorted(self.found(text))] if self.lexicon else []
+        n = max(1, len(words))
+        return [*style(text, words), float(np.log1p(sum(found))), min(1.0, len(found) / n * 10), float(bool(found))]
 
     def log_odds(self, texts) -> dict[str, np.ndarray]:
         """Evidence per text, freed of the sample's rate: positive speaks for the label."""
