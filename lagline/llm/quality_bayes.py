@@ -179,7 +179,9 @@ def with_evidence(docs: DataFrame, model: Evidence, text: str = "text") -> DataF
         found = model.log_odds(texts)
         return pd.DataFrame({"_quality": found["quality"], "_toxic": found["toxic"]})
 
-    return docs.withColumn("_evidence", weigh(full_text(text))).select("*", "_evidence.*").drop("_evidence")
+    # a later filter on the evidence must not compute it a second time
+    weighed = weigh.asNondeterministic()(full_text(text))
+    return docs.withColumn("_evidence", weighed).select("*", "_evidence.*").drop("_evidence")
 
 
 def host_of(source: Column) -> Column:
