@@ -30,11 +30,11 @@ BLOCK = 1024
 SEED = 42
 
 
-def fingerprint_of(text: str, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a text's word shingles, repeats included; 0 for a text without words."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """The 64-bit hashes of a text's word shingles, repeats included; of all its words where they are fewer."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -43,7 +43,12 @@ def fingerprint_of(text: str, shingle: int = SHINGLE) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], dtype="<u8")
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], dtype="<u8")
+
+
+def fingerprint_of(text: str, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included; 0 for a text without words."""
+    hashes = shingle_hashes(text, shingle)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
