@@ -24,6 +24,14 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 
+# A key from its BEGIN line to the END line; where another line of dashes or none follows, over its headers and the base64
+# after them. Only single characters are repeated without bound, as Java's matcher recurses on groups.
+PRIVATE = r"PRIVATE KEY(?: BLOCK)?-----"
+BASE64 = r"[A-Za-z0-9+/=\\]"
+NEXT = rf"\s++(?:{BASE64}{{16,}}+|(?<=[\r\n][ \t]{{0,8}}){BASE64}++[ \t]*+(?:[\r\n]|\z))"
+OPEN_KEY = rf"(?:\s*+[A-Za-z][A-Za-z-]*+: [^\r\n]*+){{0,8}}+(?s:.*?)(?!{BASE64})(?!{NEXT})"
+PRIVATE_KEY = rf"-----BEGIN [A-Z ]{{0,40}}{PRIVATE}(?:(?>(?s:.*?)-----)END [A-Z ]{{0,40}}{PRIVATE}|{OPEN_KEY})"
+
 SPANS = "array<struct<start:int,kind:int,end:int,own:int>>"
 BLOCK = 256
 
@@ -59,7 +67,7 @@ RULES = (
     Rule("assign", ASSIGN, (("password", "passwd", "secret", "token", "apikey", "api_key"),), 1, 8, True, True),
     Rule("access", r"AKIA[A-Z0-9]{12,}", (("AKIA",),), 0, 16, False, True),  # a run below 16 can't match later either
     Rule("hex", r"[0-9a-f]{32,}", (), 0, 32, False, True),  # runs are maximal, so the bound drops no more than a filter
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", (("-----BEGIN ",), ("PRIVATE KEY-----",))),
+    Rule("private_key", PRIVATE_KEY, (("-----BEGIN ",), ("PRIVATE KEY-----", "PRIVATE KEY BLOCK-----"))),
     Rule("github", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}", (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),)),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}", (("AIza",),)),
     Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}", (("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"),)),

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from lagline.llm.common import stored
 from lagline.llm.secret_scan import RULES, Rule, candidates, postings, redacted, scan, secret_report
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -61,6 +62,26 @@ def test_redaction(make_docs):
     assert out[16] == "[hex] [hex] [assign]" and out[18] is None
 
 
+def test_no_line_of_a_key_is_left(make_docs):
+    lines = [c * 64 for c in "ABCDEFGHIJ"] + ["Klmn+/w="]
+    body = "\n".join(lines)
+    pgp = "PGP PRIVATE KEY BLOCK"
+    keys = [f"-----BEGIN {k}-----\n{h}{body}\n-----END {k}-----" for k, h in [
+        ("RSA PRIVATE KEY", ""), ("PRIVATE KEY", ""), (pgp, "Version: GnuPG v2\n\n"),
+        ("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B\n\n")]]
+    keys += [keys[0].replace("\n", "\\n"), keys[0].replace("\n", " "), keys[0].replace("\n", "\r\n"), keys[0].replace("AAA", "AA\n") ]
+    cut = [k[: k.index("\n-----END")] for k in keys[:4]]
+    long_ = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(["Z" * 64] * 300)
+    texts = [f"before\n{k}\nafter it, more" for k in keys + cut + [long_]]
+    texts.append(f"{cut[0]}\nsome prose here\n{keys[1]} end")
+    texts.append("-----BEGIN PRIVATE KEY----- opens a key")
+    rows = stored(scan(make_docs(texts)).select("doc_id", "text", "_spans"), "spans").select("doc_id", redacted(F.col("text"), F.col("_spans")).alias("out")).collect()
+    out = {r.doc_id: r.out for r in rows}
+    assert [out[i] for i in range(len(texts) - 2)] == ["before\n[private_key]\nafter it, more"] * (len(texts) - 2)
+    assert out[len(texts) - 2] == "[private_key]\nsome prose here\n[private_key] end"
+    assert out[len(texts) - 1] == "[private_key] opens a key"
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = secret_report(odd_docs).collect()
     assert len(got) == 11 and all(r.spans == "" for r in got)
