@@ -68,11 +68,11 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}", (("AKIA",),), 0, 16, False, True),  # a run below 16 can't match later either
     Rule("hex", r"[0-9a-f]{32,}", (), 0, 32, False, True),  # runs are maximal, so the bound drops no more than a filter
     Rule("private_key", PRIVATE_KEY, (("-----BEGIN ",), ("PRIVATE KEY-----", "PRIVATE KEY BLOCK-----"))),
-    Rule("github", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}", (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),)),
+    Rule("github", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{36,}", (("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_"),)),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}", (("AIza",),)),
     Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}", (("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"),)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", (("eyJ",), (".eyJ",))),
-    Rule("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{1,64}@", (("://",),)),
+    Rule("url_login", r"[A-Za-z][A-Za-z0-9+]{1,15}://[^\s:/@]++:[^\s:/@]++@", (("://",),)),
 )
 
 

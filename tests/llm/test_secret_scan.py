@@ -82,6 +82,14 @@ def test_no_line_of_a_key_is_left(make_docs):
     assert out[len(texts) - 1] == "[private_key] opens a key"
 
 
+def test_long_logins_and_fine_grained_tokens(make_docs):
+    pat = "github_pat_" + "aB3_" * 20 + "xy"
+    texts = [f"https://u:{pat}@github.com", f"HTTPS://{'u' * 70}:{'p' * 300}@host/", pat, "https://host:80/a@b"]
+    spans = {r.doc_id: r.spans for r in secret_report(make_docs(texts)).collect()}
+    assert spans[0] == f"url_login:0:{len(texts[0]) - 10},github:10:{len(texts[0]) - 11}"
+    assert spans[1] == f"url_login:0:{len(texts[1]) - 5}" and spans[2] == f"github:0:{len(pat)}" and spans[3] == ""
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = secret_report(odd_docs).collect()
     assert len(got) == 11 and all(r.spans == "" for r in got)
