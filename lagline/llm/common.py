@@ -49,6 +49,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+class Once:
+    """A function whose results each task keeps. It travels by value and without what it has kept."""
+
+    def __init__(self, make: Callable):
+        self.make, self.kept = make, {}
+
+    def __call__(self, *key):
+        if key not in self.kept:
+            self.kept[key] = self.make(*key)
+        return self.kept[key]
+
+    def __reduce__(self):
+        return Once, (self.make,)
+
+
 def full_text(column: str = "text") -> Column:
     """The whole text; a null is the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -8,14 +8,13 @@ its n-grams is from its rank there, with the profile's length for those that are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagline.llm.common import full_text, small_batches
+from lagline.llm.common import Once, full_text, small_batches
 
 PROFILE = 300
 SAMPLE = 3000  # documents of a language that its profile is learned from
@@ -23,7 +22,7 @@ UNKNOWN = "und"
 BLANK = 0x20
 
 
-@lru_cache(maxsize=1)
+@Once
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For every code point: its lower case (itself if that is no single letter), and whether it is a letter."""
     points = np.arange(0x110000, dtype=np.int64)
@@ -70,18 +69,18 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.nda
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", size: int = PROFILE, sample: int = SAMPLE) -> dict[str, list[int]]:
-    """A profile per language, from up to `sample` documents each, chosen by a hash of their key.
+    """A profile per language, from up to `sample` documents each, chosen by a hash of key and text.
 
     Rows without a language, and texts without letters, teach nothing. What returns is `size` numbers a language.
     """
     small_batches(docs.sparkSession)
-    some = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    some = Window.partitionBy("lang").orderBy(F.xxhash64("key", "text"), "key", "text")
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col(key).cast("string").alias("key"))
     rows = rows.where("lang is not null and text is not null")
     limit = _sample_limits(rows, sample)
     if not limit:
         return {}
-    chosen = rows.where(F.abs(F.xxhash64(F.lit(7), "key") % 1_000_000) < _of(limit)) if limit else rows
+    chosen = rows.where(F.abs(F.xxhash64(F.lit(7), "key", "text") % 1_000_000) < _of(limit)) if limit else rows
     chosen = chosen.withColumn("nr", F.row_number().over(some)).where(F.col("nr") <= sample).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

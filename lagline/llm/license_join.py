@@ -1,4 +1,7 @@
-"""License scans: an exact set-similarity join between text blocks (lines) and license notices.
+"""License scans: an exact set-similarity join between text blocks and license notices.
+
+A block is a run of consecutive words, twice as long as the longest notice; a new one begins after every length of that
+notice, so that every notice stands whole in some block, however its lines are wrapped.
 
 A block matches a notice if it holds at least a given share of the notice's distinct words. Words are put in one global
 order, the least frequent of the corpus first. If a block shares `need` words with a notice, the first
@@ -23,6 +26,7 @@ CONTAINMENT = 0.8
 
 # Fixed values of the result's contract: what separates words, the phrases and their labels.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 #: Usual short notices, by label.
@@ -41,7 +45,12 @@ NOTICES = (
 
 
 def notice_words(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())))
+    return sorted(set(re.findall(WORD, text.lower())))
+
+
+def longest(notices=NOTICES) -> int:
+    """Words of the longest notice, at which distance blocks begin."""
+    return max((len(re.findall(WORD, text.lower())) for _, text in notices), default=1)
 
 
 def lowered(text: Column) -> Column:
@@ -50,7 +59,7 @@ def lowered(text: Column) -> Column:
 
 
 def base_phrases(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with `n_base`, `first_word`, `last_word` and `base_labels`: places where the phrases' words stand."""
+    """The rows with `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`: places where the phrases' words stand."""
     # a text without these letters has none of the phrases; others are brought into one form, words between blanks
     low = lowered(full_text(text))
     likely = low.contains("cc") | low.contains("general") | low.contains("reserved")
@@ -68,13 +77,14 @@ def base_phrases(docs: DataFrame, text: str = "text") -> DataFrame:
         lasts.append(F.when(there, blanks(F.substring("_form", F.lit(1), last))))
         labels.append(F.when(there, F.lit(label)))
     return out.withColumns({
+        "n_words": F.regexp_count(low, F.lit(WORD)).cast("long"),
         "n_base": sum(counts[1:], counts[0]).cast("long"), "first_word": F.least(*firsts).cast("long"),
         "last_word": F.greatest(*lasts).cast("long"), "base_labels": F.array_sort(F.array_compact(F.array(*labels))),
     }).drop("_form")
 
 
 def notice_matches(texts: DataFrame, notices=NOTICES, share: float = CONTAINMENT) -> DataFrame:
-    """Pairs of text and notice: `key`, `label`, `share`, for every line of a text that holds enough of a notice.
+    """Pairs of text and notice: `key`, `label`, `share`, for every block of a text that holds enough of a notice.
 
     texts has `key` and `text`.
     """
@@ -83,8 +93,15 @@ def notice_matches(texts: DataFrame, notices=NOTICES, share: float = CONTAINMENT
     needs = {n: math.ceil(share * len(words) - 1e-9) for n, _, words in sets}
     vocabulary = sorted({w for _, _, words in sets for w in words})
     known = F.array(*[F.lit(w) for w in vocabulary])
-    lines = texts.select("key", F.explode(F.split(lowered(F.col("text")), "\n")).alias("line"))
-    blocks = lines.select("key", F.array_intersect(F.split("line", SEPARATOR), known).alias("words")).where(F.size("words") > 0)
+    step = longest(notices)
+    words = texts.select("key", F.array_remove(F.split(lowered(F.col("text")), SEPARATOR), "").alias("words")).where(F.size("words") > 0)
+    runs = F.transform(F.sequence(F.lit(1), F.size("words"), F.lit(step)), lambda i: F.array_intersect(F.slice("words", i, step), known))
+    runs = words.select("key", runs.alias("runs"))
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("runs") - 1, F.lit(1))),
+        lambda i: F.array_union(F.get("runs", i - 1), F.coalesce(F.get("runs", i), F.array().cast("array<string>"))),
+    )
+    blocks = runs.select("key", F.explode(pairs).alias("words")).where(F.size("words") > 0)
     blocks = stored(blocks, "blocks")
 
     often = {w: 0 for w in vocabulary}
@@ -108,19 +125,19 @@ def notice_matches(texts: DataFrame, notices=NOTICES, share: float = CONTAINMENT
 
 
 def license_report(docs: DataFrame, text: str = "text", key: str = "doc_id", notices=NOTICES, share: float = CONTAINMENT) -> DataFrame:
-    """One row per document: `doc_id`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score`.
+    """One row per document: `doc_id`, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score`.
 
-    score is the largest share of a notice that a line holds among those that match, 1 where a base phrase stands, else
+    score is the largest share of a notice that a block holds among those that match, 1 where a base phrase stands, else
     0. Null and empty texts have no labels; rows that repeat are reported once each.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    own = base_phrases(rows).select("doc_id", text_key().alias("key"), "n_base", "first_word", "last_word", "base_labels")
+    own = base_phrases(rows).select("doc_id", text_key().alias("key"), "n_words", "n_base", "first_word", "last_word", "base_labels")
     found = notice_matches(rows.select(text_key().alias("key"), full_text().alias("text")), notices, share)
     found = found.groupBy("key").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     out = own.join(found, "key", "left")
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("more", F.array().cast("array<string>")))))
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0)))
     return out.select(
-        "doc_id", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join(labels, ",").alias("labels"), score.alias("score"),
     )

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 from unicodedata import is_normalized
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagline.llm.common import small_batches, stored, utf8
+from lagline.llm.common import Once, small_batches, stored, utf8
 
 CAPACITY = 4096
 END = 1
@@ -148,9 +147,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+encoder = Once(Encoder)
 
 
 def pieces_of(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:

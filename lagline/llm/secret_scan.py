@@ -195,17 +195,38 @@ def described(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redacted(text: Column, spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """The text with every span replaced by its kind in brackets; spans that overlap are replaced together."""
+    """The text with every span replaced by its kind in brackets; spans that overlap are replaced together.
+
+    A block of spans is cut from its own stretch of the text, so that the work does not grow with spans times length.
+    """
     names = F.array(*[F.lit(f"[{r.kind}]") for r in rules])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(spans), F.lit(1)), F.lit(BLOCK))
+    blocks = F.transform(starts, lambda i: F.slice(spans, i, BLOCK))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+
+    def enter(acc: Column, block: Column) -> Column:
+        reach = F.aggregate(block, acc["at"], lambda at, s: F.greatest(at, s["end"]))
+        return F.struct(reach.alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins"))
+
+    ends = F.aggregate(blocks, zero, enter, lambda acc: F.concat(acc["begins"], F.array(acc["at"])))
+
+    def cut(x: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+        def step(acc: Column, s: Column) -> Column:
+            begin = s["start"] - x["base"]
+            gap = F.substring(x["stretch"], acc["at"] + 1, F.greatest(begin - acc["at"], F.lit(0)))
+            put = F.when(begin >= acc["at"], F.array(gap, F.element_at(names, s["kind"] + 1))).otherwise(F.array().cast("array<string>"))
+            return F.struct(F.greatest(acc["at"], s["end"] - x["base"]).alias("at"), F.concat(acc["parts"], put).alias("parts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        put = F.when(s["start"] >= acc["at"], F.array(gap, F.element_at(names, s["kind"] + 1))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], put).alias("parts"))
+        return F.array_join(F.aggregate(x["spans"], empty, step, lambda acc: acc["parts"]), "")
 
-    tail = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, tail))
+    count = F.size(blocks)
+    zipped = F.arrays_zip(blocks.alias("spans"), F.slice(ends, F.lit(1), count).alias("at"), F.slice(ends, F.lit(2), count).alias("end"))
+    # the stretch is cut once a block, before the inner lambda refers to it
+    stretches = F.transform(zipped, lambda x: F.struct(x["spans"].alias("spans"), x["at"].alias("base"), F.substring(text, x["at"] + 1, x["end"] - x["at"]).alias("stretch")))
+    tail = F.substring(text, F.element_at(ends, -1) + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(F.transform(stretches, cut), ""), tail))
 
 
 def secret_report(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:

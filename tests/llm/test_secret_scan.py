@@ -62,6 +62,16 @@ def test_redaction(make_docs):
     assert out[16] == "[hex] [hex] [assign]" and out[18] is None
 
 
+def test_many_secrets_in_one_text(spark, make_docs):
+    """Fifty thousand secrets of one text, more than any block holds, among them spans that overlap."""
+    parts = [("token=" if i % 7 == 0 else "") + f"{i:032x}" for i in range(50_000)]
+    text = "é " + " ".join(parts)
+    rows = stored(scan(make_docs([text])).select("text", "_spans"), "spans")
+    out = rows.select(redacted(F.col("text"), F.col("_spans")).alias("out"), F.size("_spans").alias("n")).first()
+    assert out.n == 50_000 + len(parts[::7])  # the assignment and the digits in it
+    assert out.out == "é " + " ".join("[assign]" if i % 7 == 0 else "[hex]" for i in range(50_000))
+
+
 def test_no_line_of_a_key_is_left(make_docs):
     lines = [c * 64 for c in "ABCDEFGHIJ"] + ["Klmn+/w="]
     body = "\n".join(lines)
@@ -90,6 +100,23 @@ def test_long_logins_and_fine_grained_tokens(make_docs):
     assert spans[1] == f"url_login:0:{len(texts[1]) - 5}" and spans[2] == f"github:0:{len(pat)}" and spans[3] == ""
 
 
+def test_sql_patterns_agree_where_keys_end():
+    """The patterns that the SQL uses in place of the rules' own find the same, but for keys without an END line."""
+    import duckdb
+
+    from lagline.llm.oracles import SQL_PATTERNS
+
+    key = lambda k, body: f"-----BEGIN {k}-----\n{body}\n-----END {k}-----"
+    texts = [key("RSA PRIVATE KEY", "AAAA"), "x" + key("PRIVATE KEY", "-- -") + key("PGP PRIVATE KEY BLOCK", "b\nc") + " y",
+             "ftp://a:b@c http://u:p q@x", "a://b:c@d ab://é:日@h", "ab://u\x0bx:p@h"]
+    rules = {r.kind: r for r in RULES}
+    simple = {"url_login": rules["url_login"].pattern.replace("++", "+"), "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?s:.*?)-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"}
+    for kind, pattern in SQL_PATTERNS.items():
+        for text in texts:
+            got = duckdb.execute("SELECT regexp_extract_all(?, ?)", [text, pattern]).fetchone()[0]
+            assert got == re.findall(simple[kind], text), (kind, text)
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = secret_report(odd_docs).collect()
     assert len(got) == 11 and all(r.spans == "" for r in got)
