@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagline.llm.common import carried, restored, stored, table
-from lagline.llm.near_copies import dissimilar
 from lagline.llm.packing import packed_documents
 from lagline.llm.phrase_index import build_index, find_phrases
 from lagline.llm.quality_bayes import judged
 from lagline.llm.secret_scan import redacted, scan
+from lagline.llm.simhash import representatives
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word similarity of 0.8 or more) stays, that of the smallest doc_id."""
-    return dissimilar(docs)
+    """One document of each group of near duplicates (SimHash as in op4) stays, the one with the smallest doc_id."""
+    return representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +38,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind, and n_chars is the new text's. Every document stays; nulls stay null."""
     rows = scan(docs.select(carried(docs), F.col("text").alias("_text")), "_text")
-    text = redacted(F.col("_text"), F.col("_spans"))
     changed = F.size("_spans") > 0
-    new = [F.when(changed, text).otherwise(F.col("_text")).alias("text")]
+    rows = rows.withColumn("_clean", F.when(changed, redacted(F.col("_text"), F.col("_spans"))).otherwise(F.col("_text")))
+    new = [F.col("_clean").alias("text")]
     if "n_chars" in docs.columns:
-        size = F.when(changed, F.length(text)).otherwise(F.col("_row.n_chars"))
+        size = F.when(changed, F.length("_clean")).otherwise(F.col("_row.n_chars"))
         new.append(size.cast(dict(docs.dtypes)["n_chars"]).alias("n_chars"))
     return restored(rows, docs.columns, *new).select(*[F.col(f"`{c}`") for c in docs.columns])
 
