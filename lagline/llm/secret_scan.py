@@ -11,6 +11,7 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -134,18 +135,29 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
         F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("len"), kept.alias("own")),
         lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["len"]).alias("len"), F.length(x["own"]).alias("own")),
     )
-    # running sums block by block, as one array that grows by a place at a time is copied at each step
+    return _bound(steps, lambda s: F.filter(_placed(s, order), lambda x: x["own"] >= rule.least))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is worked out once: an expression that a lambda refers to runs at each call."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _placed(steps: Column, order: int) -> Column:
+    """Places from the lengths of pieces and matches: running sums block by block, as one array that grows by a place at
+    a time is copied at each step."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1)), F.lit(BLOCK))
-    blocks = F.transform(starts, lambda i: F.slice(steps, i, BLOCK))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
 
     def enter(acc: Column, block: Column) -> Column:
         size = F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["len"])
         return F.struct((acc["at"] + size).alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins"))
 
-    begins = F.aggregate(blocks, zero, enter, lambda acc: acc["begins"])
-    spans = F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), begins.alias("at")), lambda x: _places(x["b"], x["at"], order)))
-    return F.filter(spans, lambda s: s["own"] >= rule.least)
+    def whole(blocks: Column) -> Column:
+        begins = F.aggregate(blocks, zero, enter, lambda acc: acc["begins"])
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), begins.alias("at")), lambda x: _places(x["b"], x["at"], order)))
+
+    return _bound(F.transform(starts, lambda i: F.slice(steps, i, BLOCK)), whole)
 
 
 def _places(block: Column, at: Column, order: int) -> Column:
