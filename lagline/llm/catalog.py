@@ -5,6 +5,7 @@ from __future__ import annotations
 from lagline.llm import oracles
 from lagline.llm.ball_tree import nearest
 from lagline.llm.common import ORACLES, QUERIES, query, table  # noqa: F401
+from lagline.llm.conversation_repair import conversation_report, damaged
 from lagline.llm.language_id import language_report
 from lagline.llm.license_join import license_report
 from lagline.llm.packing import packed_documents
@@ -65,3 +66,9 @@ def _warc(spark, folder):
 @query("op10_secrets", oracles.SECRETS)
 def _secrets(spark, folder):
     return secret_report(table(spark, folder, "documents"))
+
+
+@query("op11_conversations", oracles.CONVERSATIONS)
+def _conversations(spark, folder):
+    rows = table(spark, folder, "conversations")
+    return conversation_report(rows, damaged(rows))

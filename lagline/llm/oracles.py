@@ -124,3 +124,81 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
     coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN per USING (doc_id)
 """
+
+# CRC-32 of a list of bytes, by a table that is made from its rule.
+CRC_TABLE = "SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)"
+
+
+def _bytes(text: str) -> str:
+    return f"list_transform(range(1, strlen({text}) * 2, 2), lambda i: ('0x' || hex({text})[i : i + 1])::BIGINT)"
+
+
+def _crc(values: str) -> str:
+    return f"xor(list_reduce({values}, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _edit(state: str, cost: str, letter: str, line: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {state}.r || {line}}}"
+
+
+def _inserts(select: str) -> str:
+    """The states s0 to s3 after any useful number of inserts."""
+    user, assistant = "'user:' || chr(10)", "'assistant:' || chr(10)"
+    return f"""
+    SELECT * EXCLUDE (i2, i3), least(i2, {_edit("i3", "3", "I", user)}) AS j2, least(i3, {_edit("i2", "3", "I", assistant)}) AS j3 FROM (
+        SELECT *, least(s2, {_edit("s0", "3", "I", user)}, {_edit("s1", "3", "I", user)}, {_edit("s3", "3", "I", user)}) AS i2,
+            least(s3, {_edit("s2", "3", "I", assistant)}) AS i3 FROM ({select}))"""
+
+
+_KEPT = "role || ':' || text || chr(10)"
+_LOST = "{'c': 1000000000, 'a': '', 'r': ''}"
+
+
+def _read(state: str, letter: str) -> str:
+    """A row that is to be user or assistant: kept if it is one, else given that role."""
+    name = {"u": "user", "a": "assistant"}[letter]
+    kept, changed = _edit(state, "extra", "K", _KEPT), _edit(state, "3 + extra", "R", f"'{name}:' || text || chr(10)")
+    return f"CASE WHEN gone THEN {_LOST} WHEN initial = '{letter}' THEN {kept} ELSE {changed} END"
+
+
+CONVERSATIONS = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+raw AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc(_bytes("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))"))} % 20 AS kind
+    FROM conversations, crc),
+hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM raw WHERE kind <> 0),
+nth AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS nr FROM hurt),
+flags AS (
+    SELECT *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, left(role, 1) AS initial,
+        left(role, 1) || coalesce(left(lead(role) OVER (PARTITION BY conv_id ORDER BY nr), 1), '') AS pair,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nr) > 1 AS again FROM nth),
+faults AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM flags),
+lines AS (
+    SELECT conv_id, nr, role, text, initial, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+        CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM faults),
+step AS (
+    SELECT conv_id, 0::BIGINT AS nr, {{'c': 0, 'a': '', 'r': ''}} AS s0, {_LOST} AS s1, {_LOST} AS s2, {_LOST} AS s3 FROM (SELECT DISTINCT conv_id FROM hurt)
+    UNION ALL
+    SELECT conv_id, nr, {_edit("s0", "4", "D", "''")} AS s0,
+        least({_edit("s1", "4", "D", "''")}, CASE WHEN NOT gone AND initial = 's' THEN {_edit("s0", "extra", "K", _KEPT)} ELSE {_LOST} END) AS s1,
+        least({_edit("j2", "4", "D", "''")}, {_read("s0", "u")}, {_read("s1", "u")}, {_read("j3", "u")}) AS s2,
+        least({_edit("j3", "4", "D", "''")}, {_read("j2", "a")}) AS s3
+    FROM ({_inserts("SELECT step.conv_id, lines.nr, s0, s1, s2, s3, role, text, initial, gone, extra FROM step JOIN lines ON step.conv_id IS NOT DISTINCT FROM lines.conv_id AND lines.nr = step.nr + 1")})),
+final AS (
+    SELECT conv_id, least(s0, j3) AS best
+    FROM ({_inserts("SELECT * FROM step QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY nr DESC) = 1")})),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (length(pair) = 2 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+    coalesce(best.a, '') AS audit, sha256(coalesce(best.r[: length(best.r) - 1], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id LEFT JOIN final ON o.conv_id IS NOT DISTINCT FROM final.conv_id
+"""

@@ -10,7 +10,7 @@ from lagline.llm.catalog import ORACLES, QUERIES
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "embeddings"):
+    for t in ("documents", "benchmark", "pages", "embeddings", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return c
 
@@ -28,4 +28,4 @@ def test_query_agrees_with_sql(spark, sf, con, name):
 def test_registered():
     names = entry_module.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
