@@ -13,6 +13,7 @@ from lagline.llm.phrase_index import contamination
 from lagline.llm.quality_bayes import judged
 from lagline.llm.secret_scan import secret_report
 from lagline.llm.simhash import near_duplicates
+from lagline.llm.spelling_variants import variants
 from lagline.llm.suffix_dedup import without_repeats
 from lagline.llm.warc import archived_pages
 
@@ -72,3 +73,8 @@ def _secrets(spark, folder):
 def _conversations(spark, folder):
     rows = table(spark, folder, "conversations")
     return conversation_report(rows, damaged(rows))
+
+
+@query("op12_spelling", oracles.SPELLING)
+def _spelling(spark, folder):
+    return variants(table(spark, folder, "documents"))

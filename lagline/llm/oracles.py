@@ -173,7 +173,7 @@ hurt AS (
     FROM raw WHERE kind <> 0),
 nth AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS nr FROM hurt),
 flags AS (
-    SELECT *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, left(role, 1) AS initial,
+    SELECT *, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last, left(role, 1) AS initial,
         left(role, 1) || coalesce(left(lead(role) OVER (PARTITION BY conv_id ORDER BY nr), 1), '') AS pair,
         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nr) > 1 AS again FROM nth),
 faults AS (
@@ -202,3 +202,31 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id LEFT JOIN final ON o.conv_id IS NOT DISTINCT FROM final.conv_id
 """
+
+SPELLING = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+run AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents),
+hashed AS (
+    SELECT run, {_crc(_bytes("(coalesce(doc_id::VARCHAR, '') || ':' || run)"))} AS h, count(*) AS many
+    FROM run, crc WHERE length(run) >= 7 GROUP BY ALL),
+word AS (
+    SELECT CASE WHEN h % 31 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, sum(many)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND n >= 2),
+less AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word),
+rest AS (SELECT word, n, i, word[: i - 1] || word[i + 1 :] AS rest FROM less),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM rest a JOIN rest b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM rest a JOIN word b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM rest a JOIN word b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n FROM near GROUP BY word),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+    FROM word LEFT JOIN best USING (word)),
+chain AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON chain.root = formed.word WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN chain USING (word) JOIN formed last ON chain.root = last.word WHERE last.form IS NULL
+"""
