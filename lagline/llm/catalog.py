@@ -9,6 +9,7 @@ from lagline.llm.conversation_repair import conversation_report, damaged
 from lagline.llm.language_id import language_report
 from lagline.llm.license_join import license_report
 from lagline.llm.packing import packed_documents
+from lagline.llm.page_wrappers import main_texts
 from lagline.llm.phrase_index import contamination
 from lagline.llm.quality_bayes import judged
 from lagline.llm.secret_scan import secret_report
@@ -78,3 +79,8 @@ def _conversations(spark, folder):
 @query("op12_spelling", oracles.SPELLING)
 def _spelling(spark, folder):
     return variants(table(spark, folder, "documents"))
+
+
+@query("op13_articles", oracles.ARTICLES)
+def _articles(spark, folder):
+    return main_texts(table(spark, folder, "pages"))

@@ -230,3 +230,14 @@ chain AS (
 SELECT f.word, f.form, root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
 FROM formed f JOIN chain USING (word) JOIN formed last ON chain.root = last.word WHERE last.form IS NULL
 """
+
+# For pages whose article is an <article> element of headings and paragraphs, and for the references that occur there.
+ARTICLES = r"""
+WITH body AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body, row_number() OVER () AS nr FROM pages),
+block AS (SELECT nr, unnest(string_split_regex(body, '</?(h1|p)>')) AS block, generate_subscripts(string_split_regex(body, '</?(h1|p)>'), 1) AS i FROM body),
+plain AS (
+    SELECT nr, i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(block, '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS block
+    FROM block),
+texts AS (SELECT nr, string_agg(block, chr(10) ORDER BY i) AS text FROM plain WHERE block <> '' GROUP BY nr)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM body LEFT JOIN texts USING (nr)
+"""
