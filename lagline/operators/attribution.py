@@ -1,15 +1,16 @@
-"""Per-row attribution of a forest's delay probability (path-dependent Shapley values, Lundberg et al., 2018).
+"""Per-row attribution of tree models (path-dependent Shapley values, Lundberg et al., 2018): forests and boosted trees.
 
-The forest is small (trees * 2^depth leaves) and travels with the tasks; rows never leave their partition. For a leaf
-with m distinct features on its path there are only 2^m ways a row can meet its conditions, so the Shapley
-contributions are tabulated once per leaf and each row adds up table entries.
+The trees travel with the tasks; rows never leave their partition. A leaf pays its value times a product over the
+features of its path, each factor 1 or 0 for a seen feature and the share of training rows that go on for an unseen one.
+The Shapley weights of the numbers of seen features are integrals of t^k (1 - t)^(m - 1 - k), so a feature's part is one
+integral of a product of linear terms, which a few Gauss-Legendre nodes give exactly: the work grows with the square of
+the depth, not with the number of patterns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagline.operators.boosting import Ensemble, Tree
 from lagline.operators.learning import CATEGORICAL, LABEL, MISSING, NUMERIC, bins_for, forest, keep_missing, train
 from lagline.session import work_dir
 
@@ -31,7 +33,7 @@ class Leaf:
     features: list[int]
     # per feature: the conditions (threshold or category set, must go left) collected along the path
     conditions: list[list[tuple[object, bool]]]
-    table: np.ndarray  # 2^m rows of m contributions
+    zeros: np.ndarray  # per feature: share of the training rows at its splits that go on towards the leaf
     weight: float  # share of training rows: the leaf's part of the base value
 
 
@@ -45,21 +47,15 @@ def forest_nodes(model, folder: str, spark) -> dict[int, dict[int, object]]:
     return trees
 
 
-def _shapley_table(ones: np.ndarray, zeros: np.ndarray, value: float) -> np.ndarray:
-    """Contributions for every pattern of met conditions; zeros are the cover ratios of the features."""
+def path_parts(value: float, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Contributions of a leaf's m features for n rows. ones: n x m, whether a row meets a feature's conditions."""
     m = len(zeros)
-    out = np.zeros((len(ones), m))
-    weights = [factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)]
-    for i in range(m):
-        poly = np.zeros((len(ones), m))
-        poly[:, 0] = 1.0
-        for j in range(m):
-            if j != i:
-                shifted = np.zeros_like(poly)
-                shifted[:, 1:] = poly[:, :-1] * ones[:, j:j + 1]
-                poly = poly * zeros[j] + shifted
-        out[:, i] = value * (ones[:, i] - zeros[i]) * (poly @ weights)
-    return out
+    nodes, weights = np.polynomial.legendre.leggauss(m // 2 + 1)
+    t = (nodes + 1) / 2
+    # n x m x nodes: what a feature contributes to the product at each node, never 0 inside the interval
+    terms = zeros[:, None] * (1 - t) + ones[:, :, None] * t
+    whole = terms.prod(axis=1, keepdims=True)
+    return value * (ones - zeros) * ((whole / terms) @ (weights / 2))
 
 
 def leaves_of(nodes: dict[int, object]) -> list[Leaf]:
@@ -72,11 +68,8 @@ def leaves_of(nodes: dict[int, object]) -> list[Leaf]:
         if n["leftChild"] < 0:
             features = list(path)
             zeros = np.array([path[f][1] for f in features])
-            m = len(features)
-            patterns = ((np.arange(2**m)[:, None] >> np.arange(m)) & 1).astype(float)
             value = n["impurityStats"][1] / cover[i]
-            table = _shapley_table(patterns, zeros, value) if m else np.zeros((1, 0))
-            out.append(Leaf(value, features, [path[f][0] for f in features], table, float(np.prod(zeros)) if m else 1.0))
+            out.append(Leaf(value, features, [path[f][0] for f in features], zeros, float(np.prod(zeros)) if features else 1.0))
             return
         split = n["split"]
         f = split["featureIndex"]
@@ -106,18 +99,107 @@ def contributions(trees: Sequence[Sequence[Leaf]], x: np.ndarray) -> np.ndarray:
 
     for tree in trees:
         for leaf in tree:
-            code = np.zeros(len(x), dtype=int)
-            for bit, (f, conditions) in enumerate(zip(leaf.features, leaf.conditions)):
-                ok = np.ones(len(x), dtype=bool)
+            if not leaf.features:
+                continue
+            ones = np.ones((len(x), len(leaf.features)), dtype=bool)
+            for j, (f, conditions) in enumerate(zip(leaf.features, leaf.conditions)):
                 for rule, left in conditions:
-                    ok &= holds(f, rule, left)
-                code |= ok.astype(int) << bit
-            part = leaf.table[code]
-            for bit, f in enumerate(leaf.features):
-                phi[:, f] += part[:, bit]
+                    ones[:, j] &= holds(f, rule, left)
+            phi[:, leaf.features] += _by_pattern(leaf.value, leaf.zeros, ones)
     return phi / len(trees)
 
 
+def _by_pattern(value: float, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """`path_parts` of rows, worked out once for rows that meet the same conditions."""
+    if ones.shape[1] > 62:
+        return path_parts(value, zeros, ones.astype(float))
+    code = ones @ (1 << np.arange(ones.shape[1], dtype=np.int64))
+    _, first, at = np.unique(code, return_index=True, return_inverse=True)
+    return path_parts(value, zeros, ones[first].astype(float))[at]
+
+
+# ---------------------------------------------------------------- boosted trees
+
+
+def boosted_leaves(tree: Tree) -> list[tuple[float, list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Leaves of a boosted tree: value, features of the path, codes above which and up to which a row goes on, and shares."""
+    out = []
+
+    def walk(node: int, path: dict[int, tuple[int, int, float]]) -> None:
+        f = int(tree.feature[node])
+        if f < 0:
+            features = list(path)
+            low, high, zeros = (np.array([path[x][i] for x in features]) for i in range(3))
+            out.append((float(tree.value[node]), features, low, high, zeros.astype(float)))
+            return
+        low, high, share = path.get(f, (-1, 1 << 30, 1.0))
+        cut = int(tree.cut[node])
+        for child, bounds in ((2 * node, (low, min(high, cut))), (2 * node + 1, (max(low, cut), high))):
+            walk(child, {**path, f: (*bounds, share * tree.cover[child] / tree.cover[node])})
+
+    walk(1, {})
+    return out
+
+
+@dataclass
+class BoostedExplainer:
+    """The first loss of an ensemble, in margin space, with one base value per group."""
+
+    model: Ensemble
+    leaves: list[list[list[tuple]]]  # per group and tree
+    base: list[float]
+
+    @staticmethod
+    def of(model: Ensemble) -> BoostedExplainer:
+        leaves = [[boosted_leaves(t) for t in own[0]] for own in model.trees]
+        base = [
+            float(model.start[g, 0]) + sum(value * float(np.prod(zeros)) for tree in trees for value, _, _, _, zeros in tree)
+            for g, trees in enumerate(leaves)
+        ]
+        return BoostedExplainer(model, leaves, base)
+
+    def contributions(self, group: int, codes: np.ndarray) -> np.ndarray:
+        phi = np.zeros(codes.shape)
+        for tree in self.leaves[group]:
+            for value, features, low, high, zeros in tree:
+                if features:
+                    own = codes[:, features]
+                    phi[:, features] += _by_pattern(value, zeros, (own > low) & (own <= high))
+        return phi
+
+
+def attribute_margin(explainer: BoostedExplainer, rows: DataFrame, by: Sequence[str], keep: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Kept columns, `margin`, `probability`, `base_value` and `phi_<name>` per feature; the parts add up to the margin.
+
+    names: what to call the model's features, in their order. Rows of a group that was not trained are left out.
+    """
+    model = explainer.model
+    number = {g: i for i, g in enumerate(model.groups)}
+    phis = [f"phi_{n}" for n in names]
+    raw = [F.col(n).cast("double").alias(f"__x{i}") for i, n in enumerate(model.names)]
+    keys = [F.col(c).alias(f"__g{i}") for i, c in enumerate(by)]
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x = pdf[[f"__x{i}" for i in range(len(model.names))]].to_numpy(dtype=float)
+            own = list(zip(*[pdf[f"__g{i}"] for i in range(len(by))])) if by else [()] * len(pdf)
+            group = np.array([number.get(k, -1) for k in own], int)
+            for g in np.unique(group[group >= 0]):
+                mine = group == g
+                codes = model.codes(g, x[mine])
+                margin = model.margins(g, codes)[0]
+                out = pdf.loc[mine, list(keep)].reset_index(drop=True)
+                out["margin"], out["probability"], out["base_value"] = margin, 1 / (1 + np.exp(-margin)), explainer.base[g]
+                yield pd.concat([out, pd.DataFrame(explainer.contributions(g, codes), columns=phis)], axis=1)
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "margin double, probability double, base_value double", *[f"{p} double" for p in phis]])
+    return rows.select(*keep, *keys, *raw).mapInPandas(explain, schema)
+
+
+# ---------------------------------------------------------------- forests
+
+
 @dataclass
 class Explainer:
     pipeline: PipelineModel
@@ -170,13 +252,10 @@ def attribute(explainer: Explainer, rows: DataFrame, keep: Sequence[str]) -> Dat
     return scored.mapInPandas(explain, schema)
 
 
-def riskiest_case(explainer: Explainer, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Base value and contributions of the row with the highest predicted probability, largest effect first."""
-    scored = explainer.pipeline.transform(keep_missing(rows, [n for n in NUMERIC if n in rows.columns])).withColumn("__p", vector_to_array("probability")[1])
-    top = scored.orderBy(F.desc("__p"), *keep).limit(1).select(*rows.columns)
-    wide = attribute(explainer, top, keep)
-    phis = [f"phi_{n}" for n in explainer.names]
-    long = wide.unpivot([*keep, "probability", "base_value"], phis, "feature", "contribution")
+def riskiest_case(explained: DataFrame, names: Sequence[str], keep: Sequence[str], outputs: Sequence[str] = ("probability", "base_value")) -> DataFrame:
+    """Base value and contributions of the attributed row with the highest probability, largest effect first."""
+    top = explained.orderBy(F.desc("probability"), *keep).limit(1)
+    long = top.unpivot([*keep, *outputs], [f"phi_{n}" for n in names], "feature", "contribution")
     return long.withColumn("feature", F.expr("substring(feature, 5)")).orderBy(F.desc(F.abs("contribution")), "feature")
 
 

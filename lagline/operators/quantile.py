@@ -1,4 +1,4 @@
-"""Quantile regression by a forest whose leaves keep quantiles of their training targets (Meinshausen, 2006)."""
+"""Quantile regression: boosted trees with pinball loss, and a forest whose leaves keep quantiles (Meinshausen, 2006)."""
 
 from __future__ import annotations
 
@@ -14,8 +14,10 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagline.operators import boosting, encoding
 from lagline.operators.learning import bins_for, train
 from lagline.operators.sampling import SEED
+from lagline.session import settle
 
 # Quantiles modelled and the target cap in minutes.
 QUANTILES = (0.9, 0.95)
@@ -83,6 +85,28 @@ def predict_quantiles(model: QuantileForest, rows: DataFrame) -> DataFrame:
     return scored.select(*rows.columns, "__q.*")
 
 
+def boosted_quantiles(
+    train_rows: DataFrame, rows: DataFrame, by: Sequence[str], categorical: Sequence[str], numeric: Sequence[str], target: str, key: Sequence[str],
+    quantiles: Sequence[float] = QUANTILES, **settings,
+) -> DataFrame:
+    """Rows with one prediction column per quantile, of boosted trees per group of `by`, all grown together.
+
+    Categories are encoded by their levels' means of the target, whatever their number. Predictions of a row are put in
+    order, so that no quantile is below a smaller one.
+    """
+    known, fresh, names = train_rows, rows, [*[f"enc_{c}" for c in categorical], *numeric]
+    if categorical:
+        means = encoding.known_means(train_rows, by, categorical, target, key)
+        known = settle(encoding.encoded(train_rows.withColumn("__own", F.lit(True)), means, by, categorical, key, "__own"))
+        fresh = encoding.encoded(rows, means, by, categorical, key)
+    order = sorted(quantiles)
+    outputs = [f"pred_p{round(q * 100)}" for q in order]
+    model = boosting.fit(known, by, names, target, [boosting.Pinball(q) for q in order], **settings)
+    scored = boosting.predict(model, fresh, by, [f"__{o}" for o in outputs])
+    ranked = F.array_sort(F.array(*[F.col(f"__{o}") for o in outputs]))
+    return scored.select(*rows.columns, *[ranked[i].alias(o) for i, o in enumerate(outputs)])
+
+
 def pinball(actual: str | Column, predicted: str | Column, q: float) -> Column:
     """Mean pinball loss of a quantile prediction."""
     a = F.col(actual) if isinstance(actual, str) else actual

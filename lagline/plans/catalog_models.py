@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from lagline.operators import aggregates as agg
-from lagline.operators import attribution, clusters, drivers, forecast, learning, quantile
+from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, quantile
 from lagline.operators.reshape import stack
 from lagline.operators.sampling import split_train_test
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, model_ready, web_model_ready
@@ -89,7 +89,7 @@ def ml_test_rows(spark, d):
     """Train and test rows together are all labelled rows of a city, and all test rows get an attribution."""
     def count(city):
         train, test = _labelled(spark, d, city)
-        explained = _explained(spark, d, city)[1].select("incident_id", "delay_indicator")
+        explained = _explained(spark, d, city).select("incident_id", "delay_indicator")
         rows = train.select("incident_id", "delay_indicator").union(explained)
         return rows.agg(F.count("*").alias("n"), F.sum("delay_indicator").cast("long").alias("delayed"))
 
@@ -197,22 +197,33 @@ def ml_forecast_fill(spark, d):
     return _forecast(spark, d, freight_model_ready, fill=True)
 
 
-@lru_cache(maxsize=8)
-def _quantiles(spark, d, city):
-    rows = settle(learning.keep_missing(quantile.capped(CITY_ROWS[city](spark, d)), learning.NUMERIC))
+@lru_cache(maxsize=4)
+def _quantiles(spark, d):
+    """Boosted P90 and P95 of the test rows, the trees of both cities grown in the same passes."""
+    rows = settle(learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC))
     train, test = split_train_test(rows, ID)
-    model = quantile.fit_quantile_forest(train, learning.CATEGORICAL, learning.NUMERIC)
-    return settle(quantile.predict_quantiles(model, test))
+    return settle(quantile.boosted_quantiles(train, test, ["city"], learning.CATEGORICAL, learning.NUMERIC, "response_minutes", ID))
 
 
 @query("ml_quantile")
 def ml_quantile(spark, d):
-    return _cities(lambda c: _quantiles(spark, d, c).select("incident_id", "response_minutes", "pred_p90", "pred_p95"))
+    return _quantiles(spark, d).select("incident_id", "response_minutes", "pred_p90", "pred_p95", "city")
+
+
+@query(
+    "ml_quantile_rows",
+    MODEL_SQL + """SELECT city, count(*) AS n FROM mr WHERE response_minutes > 0 AND response_minutes <= 180
+      AND ('0x' || left(md5('42|' || incident_id), 13))::BIGINT / 4503599627370496 >= 0.8 GROUP BY 1""",
+)
+def ml_quantile_rows(spark, d):
+    """Every held-out row has both predictions, unknown levels and numbers included."""
+    found = _quantiles(spark, d).where("pred_p90 IS NOT NULL AND pred_p95 IS NOT NULL")
+    return found.groupBy("city").agg(F.count("*").alias("n"))
 
 
 @query("ml_quantile_quality")
 def ml_quantile_quality(spark, d):
-    return _cities(lambda c: quantile.quantile_quality(_quantiles(spark, d, c)))
+    return _cities(lambda c: quantile.quantile_quality(_quantiles(spark, d).where(F.col("city") == c)))
 
 
 @query(
@@ -234,23 +245,36 @@ def ml_pinball(spark, d):
     )
 
 
-@lru_cache(maxsize=8)
+FEATURES = [*learning.CATEGORICAL, *learning.NUMERIC]
+
+
+@lru_cache(maxsize=4)
+def _attributed(spark, d):
+    """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
+    rows = learning.keep_missing(model_ready(spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
+    train, test = split_train_test(settle(rows), ID)
+    means = encoding.known_means(train, ["city"], learning.CATEGORICAL, "delay_indicator", ID)
+    parts = (train.withColumn("__own", F.lit(True)), test.withColumn("__own", F.lit(False)))
+    known, fresh = (encoding.encoded(p, means, ["city"], learning.CATEGORICAL, ID, "__own").drop("__own") for p in parts)
+    names = [*[f"enc_{c}" for c in learning.CATEGORICAL], *learning.NUMERIC]
+    model = boosting.fit(settle(known), ["city"], names, "delay_indicator", [boosting.Logistic()])
+    keep = ["city", "incident_id", "delay_indicator", *FEATURES]
+    return settle(attribution.attribute_margin(attribution.BoostedExplainer.of(model), fresh, ["city"], keep, FEATURES))
+
+
 def _explained(spark, d, city):
-    train, test = _labelled(spark, d, city)
-    explainer = attribution.fit_explainer(train)
-    keep = ["incident_id", "delay_indicator", *attribution.SHAP_CATEGORICAL, *learning.NUMERIC]
-    return explainer, settle(attribution.attribute(explainer, test, keep))
+    return _attributed(spark, d).where(F.col("city") == city).drop("city")
 
 
 def _ranking(spark, d, city):
-    explainer, rows = _explained(spark, d, city)
-    named = rows.select(*[F.col(f"phi_{n}").alias(n) for n in explainer.names])
-    return agg.mean_abs_importance(named, [], explainer.names)
+    named = _explained(spark, d, city).select(*[F.col(f"phi_{n}").alias(n) for n in FEATURES])
+    return agg.mean_abs_importance(named, [], FEATURES)
 
 
 @query("ml_shap")
 def ml_shap(spark, d):
-    return _cities(lambda c: _explained(spark, d, c)[1].drop("delay_indicator"))
+    """Parts of the log odds of a delay, for every test row."""
+    return _attributed(spark, d).drop("delay_indicator")
 
 
 @query("ml_shap_importance")
@@ -268,24 +292,24 @@ def ml_shap_driver_table(spark, d):
 
 @query("ml_shap_categories")
 def ml_shap_categories(spark, d):
-    return _cities(lambda c: agg.top_categories_by_magnitude(_explained(spark, d, c)[1], [], "incident_category", "phi_incident_category", 8))
+    return _cities(lambda c: agg.top_categories_by_magnitude(_explained(spark, d, c), [], "incident_category", "phi_incident_category", 8))
 
 
 @query("ml_shap_case")
 def ml_shap_case(spark, d):
-    return _cities(lambda c: attribution.riskiest_case(_explained(spark, d, c)[0], _labelled(spark, d, c)[1], ID))
+    return _cities(lambda c: attribution.riskiest_case(_explained(spark, d, c), FEATURES, ID))
 
 
 @query("tk_argmax")
 def tk_argmax(spark, d):
     """The incident with the highest predicted delay probability."""
     best = F.min_by(F.struct("incident_id", "probability"), F.struct((-F.col("probability")).alias("p"), F.col("incident_id").alias("i")))
-    return _cities(lambda c: _explained(spark, d, c)[1].agg(best.alias("b")).select("b.*"))
+    return _cities(lambda c: _explained(spark, d, c).agg(best.alias("b")).select("b.*"))
 
 
 @query("ml_dependence")
 def ml_dependence(spark, d):
-    return _cities(lambda c: attribution.dependence(_explained(spark, d, c)[1], "calls_past_60min", "hour"))
+    return _cities(lambda c: attribution.dependence(_explained(spark, d, c), "calls_past_60min", "hour"))
 
 
 @query(
@@ -293,12 +317,12 @@ def ml_dependence(spark, d):
     MODEL_SQL + "SELECT DISTINCT city, true AS adds_up, true AS in_range FROM mr WHERE delay_indicator IS NOT NULL",
 )
 def ml_shap_sums(spark, d):
-    """Attributions and base value add up to the probability, for every test row."""
+    """Attributions and base value add up to the log odds, for every test row."""
     def check(city):
-        explainer, rows = _explained(spark, d, city)
-        total = sum((F.col(f"phi_{n}") for n in explainer.names), F.col("base_value"))
+        rows = _explained(spark, d, city)
+        total = sum((F.col(f"phi_{n}") for n in FEATURES), F.col("base_value"))
         return rows.agg(
-            F.coalesce(F.max(F.abs(total - F.col("probability"))) < 1e-9, F.lit(True)).alias("adds_up"),
+            F.coalesce(F.max(F.abs(total - F.col("margin"))) < 1e-9, F.lit(True)).alias("adds_up"),
             F.coalesce(F.min(F.col("probability").between(0, 1)), F.lit(True)).alias("in_range"),
         )
 
@@ -311,7 +335,7 @@ def ml_shap_sums(spark, d):
 )
 def ml_quantile_order(spark, d):
     """No predicted P90 is above its P95."""
-    return _cities(lambda c: _quantiles(spark, d, c).agg(F.min(F.col("pred_p90") <= F.col("pred_p95") + 1e-9).alias("ordered")))
+    return _cities(lambda c: _quantiles(spark, d).where(F.col("city") == c).agg(F.min(F.col("pred_p90") <= F.col("pred_p95") + 1e-9).alias("ordered")))
 
 
 _LOCATION = ("call_volume", "mean_response", "p90_response", "median_response", "mean_calls_30", "mean_calls_60", "mean_alarm_level", "high_alarm_share")

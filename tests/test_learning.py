@@ -89,7 +89,7 @@ def test_attributions_match_subset_enumeration(spark, tmp_path):
             assert r[f"phi_{name}"] == pytest.approx(phi, abs=1e-12)
         assert r["base_value"] == pytest.approx(value(set()))
         assert sum(r[f"phi_{n}"] for n in ex.names) + r["base_value"] == pytest.approx(r["probability"], abs=1e-12)
-    case = attribution.riskiest_case(ex, df, ["incident_id"]).collect()
+    case = attribution.riskiest_case(attribution.attribute(ex, df, ["incident_id"]), ex.names, ["incident_id"]).collect()
     best = max(attribution.attribute(ex, df, ["incident_id"]).collect(), key=lambda r: r["probability"])
     assert case[0]["probability"] == pytest.approx(best["probability"]) and len(case) == 2
 
