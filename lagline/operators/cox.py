@@ -1,15 +1,15 @@
 """Cox proportional hazards with Efron ties and a ridge penalty, fitted by distributed Newton steps.
 
-Rows are collapsed to distinct (time, event, covariates) with a weight, range partitioned by time, and cached.
-A Newton step is one narrow pass: every partition sums risk weights and their moments per distinct time it holds,
-so what reaches the driver is a few numbers per distinct time (at most 6,000 of them with two-decimal minutes and a
-60 minute horizon), never rows. The driver takes reverse cumulative sums and solves a system as wide as the model.
+Rows are collapsed to distinct (time, event, covariates) with a weight, range partitioned by time, and cached. A Newton
+step is two narrow passes (see `risk_scan`): totals per partition, then likelihood, gradient and Hessian inside the
+partitions. What reaches the driver does not depend on the number of distinct times. The driver solves a system as wide
+as the model.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,7 @@ from lagline.functions.distributions import chi2_tail, normal_two_sided
 from lagline.functions.expressions import CENSOR_MINUTES, quarter_of_day
 from lagline.operators.aggregates import join_groups
 from lagline.operators.curves import on_grid
+from lagline.operators.risk_scan import RiskScan, Value, efron_sums  # noqa: F401
 from lagline.operators.survival import DURATION, EVENT, RESOLUTION, admin_censoring_report, censor_columns, valid_rows
 from lagline.session import settle
 
@@ -40,13 +41,14 @@ DEMAND = ("calls_past_30min", "calls_past_60min")
 
 def cox_rows(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-    horizon: float = CENSOR_MINUTES, keep: Sequence[str] = (),
+    horizon: float = CENSOR_MINUTES, keep: Sequence[str] = (), resolution: int | None = None,
 ) -> DataFrame:
-    """Valid rows with a time bin, censored at the horizon, without missing predictors."""
+    """Valid rows with a time bin, censored at the horizon, without missing predictors. Times may be rounded."""
     rows = valid_rows(df).filter(F.col("hour").isNotNull()).withColumn("time_bin", quarter_of_day("hour"))
     c = censor_columns(horizon)
+    time = c[DURATION] if resolution is None else F.round(c[DURATION], resolution)
     rows = rows.select(
-        *keep, F.round(c[DURATION], RESOLUTION).alias("time"), c[EVENT].alias("event"), *numeric,
+        *keep, time.alias("time"), c[EVENT].alias("event"), *numeric,
         *[F.col(x).cast("string").alias(x) for x in categorical],
     )
     return rows.na.drop(subset=[*numeric, *categorical])
@@ -124,18 +126,28 @@ class Design:
     n: int
     horizon: float
     kept: DataFrame  # the persisted table behind `rows`
+    numeric: int  # how many covariates are numbers; the others are indicators
+    arrays: RiskScan | None = None
 
     @property
     def columns(self) -> list[str]:
         return [f"x{i}" for i in range(len(self.names))]
 
+    def scan(self) -> RiskScan:
+        """The rows as kept arrays."""
+        if self.arrays is None:
+            self.arrays = RiskScan(self.rows, self.columns, self.numeric)
+        return self.arrays
+
     def release(self) -> None:
         self.kept.unpersist()
+        if self.arrays is not None:
+            self.arrays.release()
 
 
 def build_design(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-    horizon: float = CENSOR_MINUTES,
+    horizon: float = CENSOR_MINUTES, resolution: int | None = None,
 ) -> Design:
     """Indicator columns against the most frequent level, rare and constant ones dropped.
 
@@ -143,7 +155,7 @@ def build_design(
     derived from it in the scan of each step. Rows that break
     the rules of a design raise ValueError.
     """
-    rows = cox_rows(df, numeric, categorical, horizon)
+    rows = cox_rows(df, numeric, categorical, horizon, resolution=resolution)
     fields = ["event", *numeric, *categorical]
     counted = rows.groupBy("time", *fields).agg(F.count("*").alias("w")).withColumn("salt", F.xxhash64(*fields))
     # Time ranges keep the per-partition results short; the hash splits a time that holds most rows (the horizon).
@@ -166,7 +178,7 @@ def build_design(
             names.append(r["covariate"])
             columns.append((F.col(r["column_name"]) == r["level"]).cast("double"))
     wide = counted.select("time", "event", "w", *[c.alias(f"x{i}") for i, c in enumerate(columns)])
-    return Design(wide, names, references, dropped, report[0]["n"], horizon, counted)
+    return Design(wide, names, references, dropped, report[0]["n"], horizon, counted, len(numeric))
 
 
 def drop_report(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -177,131 +189,6 @@ def drop_report(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Se
 # ---------------------------------------------------------------- fit
 
 
-def _triangle(p: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.triu_indices(p)
-
-
-def efron_sums(a: float, b: float, d: int, exact: int = 4096) -> np.ndarray:
-    """Sums over l = 0..d-1 of log f, 1/f, x/f, 1/f^2, x/f^2, x^2/f^2 with x = l/d and f = a - b x.
-
-    The last `exact` terms are summed. What comes before, nothing if there are no more, is integrated by Gauss-Legendre
-    on panels that halve towards the end, with Euler-Maclaurin corrections: f changes by less than 1 / exact of itself
-    from term to term there, so the neglected fourth-order term is below exact ** -4 of a term.
-    """
-    def terms(x: np.ndarray) -> np.ndarray:
-        f = a - b * x
-        return np.stack([np.log(f), 1 / f, x / f, 1 / f**2, x / f**2, (x / f) ** 2])
-
-    head = max(0, d - exact)
-    tail = terms(np.arange(head, d) / d).sum(axis=1)
-    end = head / d
-    nodes, weights = np.polynomial.legendre.leggauss(16)
-    edges = [0.0]
-    while 1 - edges[-1] > 2 * (1 - end):
-        edges.append(1 - (1 - edges[-1]) / 2)
-    edges.append(end)
-    total = np.zeros(6)
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        total += (terms((hi + lo) / 2 + (hi - lo) / 2 * nodes) * weights).sum(axis=1) * (hi - lo) / 2 * d
-    ends = terms(np.array([0.0, end]))
-
-    def slope(x: float) -> np.ndarray:
-        f = a - b * x
-        return np.array([-b / f, b / f**2, (f + b * x) / f**2, 2 * b / f**3, (f + 2 * b * x) / f**3, 2 * x * (f + b * x) / f**3])
-
-    return tail + total + (ends[:, 0] - ends[:, 1]) / 2 + (slope(end) - slope(0.0)) / (12 * d)
-
-
-def _partials(columns: Sequence[str], beta: np.ndarray, mean: np.ndarray, scale: np.ndarray):
-    """Task side of a Newton step: per distinct time the sums over all rows and over event rows."""
-    p = len(beta)
-    iu = _triangle(p)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[float, np.ndarray] = {}
-        width = 1 + p + len(iu[0])
-        for pdf in batches:
-            pdf = pdf.sort_values("time", kind="stable")
-            t = pdf["time"].to_numpy()
-            z = (pdf[list(columns)].to_numpy(dtype=float) - mean) / scale
-            w = pdf["w"].to_numpy(dtype=float)
-            e = pdf["event"].to_numpy() == 1
-            r = w * np.exp(z @ beta)
-            starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else []
-            stops = np.r_[starts[1:], len(t)] if len(t) else []
-            for lo, hi in zip(starts, stops):
-                out = acc.setdefault(float(t[lo]), np.zeros(2 * width + 1 + p))
-                zz, rr, ee, ww = z[lo:hi], r[lo:hi], e[lo:hi], w[lo:hi]
-                for at, m in ((0, slice(None)), (width, ee)):
-                    zm, rm = zz[m], rr[m]
-                    out[at] += rm.sum()
-                    out[at + 1:at + 1 + p] += rm @ zm
-                    out[at + 1 + p:at + width] += (zm.T @ (rm[:, None] * zm))[iu]
-                out[2 * width] += ww[ee].sum()
-                out[2 * width + 1:] += ww[ee] @ zz[ee]
-        yield pd.DataFrame({"time": list(acc), "sums": [v.tobytes() for v in acc.values()]}, columns=["time", "sums"])
-
-    return run
-
-
-@dataclass
-class RiskSums:
-    """Per distinct time, ascending: sums over the risk set (s*), over events (e*), event count and covariate sums."""
-
-    time: np.ndarray
-    s0: np.ndarray
-    s1: np.ndarray
-    s2: np.ndarray
-    e0: np.ndarray
-    e1: np.ndarray
-    e2: np.ndarray
-    d: np.ndarray
-    ex: np.ndarray
-
-
-def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the records of each time; a time's records are all in one partition."""
-    acc: dict[float, np.ndarray] = {}
-    for pdf in batches:
-        for time, sums in zip(pdf["time"], pdf["sums"]):
-            v = np.frombuffer(sums)
-            acc[time] = acc[time] + v if time in acc else v
-    yield pd.DataFrame({"time": list(acc), "sums": [v.tobytes() for v in acc.values()]}, columns=["time", "sums"])
-
-
-def risk_sums(design: Design, beta: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> RiskSums:
-    p = len(beta)
-    width = 1 + p + p * (p + 1) // 2
-    per = design.rows.mapInPandas(_partials(design.columns, beta, mean, scale), "time double, sums binary")
-    per = per.repartition("time").mapInPandas(_add_up, "time double, sums binary")  # one record a time, however many tasks
-    by_time = {r["time"]: np.frombuffer(r["sums"]) for r in per.collect()}
-    time = np.array(sorted(by_time))
-    m = np.stack([by_time[t] for t in time])
-    s = np.cumsum(m[::-1, :width], axis=0)[::-1]
-    e = m[:, width:2 * width]
-    return RiskSums(
-        time, s[:, 0], s[:, 1:1 + p], s[:, 1 + p:], e[:, 0], e[:, 1:1 + p], e[:, 1 + p:], m[:, 2 * width], m[:, 2 * width + 1:]
-    )
-
-
-def partial_likelihood(q: RiskSums, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """Efron log-likelihood, gradient, Hessian, and the expected covariate sums per event time."""
-    p = len(beta)
-    iu = _triangle(p)
-    a = np.zeros((len(q.time), 6))
-    for i in np.flatnonzero(q.d > 0):
-        a[i] = efron_sums(q.s0[i], q.e0[i], int(q.d[i]))
-    ll = float((q.ex @ beta).sum() - a[:, 0].sum())
-    expected = q.s1 * a[:, 1:2] - q.e1 * a[:, 2:3]
-    gradient = (q.ex - expected).sum(axis=0)
-    second = np.zeros((p, p))
-    second[iu] = a[:, 1] @ q.s2 - a[:, 2] @ q.e2
-    second = np.triu(second) + np.triu(second, 1).T
-    cross = q.s1.T @ (a[:, 4:5] * q.e1)
-    outer = q.s1.T @ (a[:, 3:4] * q.s1) - cross - cross.T + q.e1.T @ (a[:, 5:6] * q.e1)
-    return ll, gradient, -(second - outer), expected
-
-
 @dataclass
 class CoxModel:
     names: list[str]
@@ -314,8 +201,8 @@ class CoxModel:
     n: int
     penalty: float
     horizon: float
-    sums: RiskSums  # at the optimum, on the standardised scale
-    expected: np.ndarray
+    scan: RiskScan
+    value: Value  # at the optimum, on the standardised scale
 
     @property
     def se(self) -> np.ndarray:
@@ -341,12 +228,12 @@ def fit(
     var = (np.array([row[f"q_{c}"] for c in cols]) - mean**2) * n / max(n - 1, 1)
     scale = np.where(var > 1e-12, np.sqrt(np.maximum(var, 1e-300)), 1.0)
     beta = np.zeros(len(cols)) if start is None else start.coef * scale
-    q = risk_sums(design, beta, mean, scale)
-    ll, g, h, expected = partial_likelihood(q, beta)
-    value = ll - n * penalty / 2 * float(beta @ beta)
+    scan = design.scan()
+    at = scan.evaluate(beta, mean, scale)
+    value = at.likelihood - n * penalty / 2 * float(beta @ beta)
     converged = False
     for _ in range(max_iter + 1):
-        gp, hp = g - n * penalty * beta, h - n * penalty * np.eye(len(beta))
+        gp, hp = at.gradient - n * penalty * beta, at.hessian - n * penalty * np.eye(len(beta))
         step = np.linalg.solve(-hp, gp)
         if float(gp @ step) / 2 < tolerance * max(1.0, abs(value)) * 1e-3 or np.abs(step).max() < tolerance:
             converged = True
@@ -354,20 +241,19 @@ def fit(
         factor = 1.0
         while True:
             trial = beta + factor * step
-            q2 = risk_sums(design, trial, mean, scale)
-            ll2, g2, h2, x2 = partial_likelihood(q2, trial)
-            value2 = ll2 - n * penalty / 2 * float(trial @ trial)
+            there = scan.evaluate(trial, mean, scale)
+            value2 = there.likelihood - n * penalty / 2 * float(trial @ trial)
             if value2 >= value - 1e-12 * abs(value):
                 break
             factor /= 2
             if factor < 1e-4:
                 raise ArithmeticError("no step improves the partial likelihood")
-        beta, q, ll, g, h, expected, value = trial, q2, ll2, g2, h2, x2, value2
+        beta, at, value = trial, there, value2
     if not converged:
         raise ArithmeticError(f"no convergence after {max_iter} steps")
-    covariance = np.linalg.inv(-(h - n * penalty * np.eye(len(beta)))) / np.outer(scale, scale)
+    covariance = np.linalg.inv(-(at.hessian - n * penalty * np.eye(len(beta)))) / np.outer(scale, scale)
     return CoxModel(
-        design.names, beta / scale, covariance, mean, scale, ll, value, n, penalty, design.horizon, q, expected
+        design.names, beta / scale, covariance, mean, scale, at.likelihood, value, n, penalty, design.horizon, scan, at
     )
 
 
@@ -402,9 +288,7 @@ def fit_statistics(spark: SparkSession, model: CoxModel, concordance: float) ->
 
 def baseline_hazard(spark: SparkSession, model: CoxModel) -> DataFrame:
     """Breslow increments at the covariate means, one row per distinct time."""
-    h = model.sums.d / model.sums.s0
-    rows = list(zip(model.sums.time.tolist(), h.tolist(), np.cumsum(h).tolist()))
-    return spark.createDataFrame(rows, "time double, hazard double, cumulative_hazard double")
+    return model.scan.hazards(model.value, model.coef * model.scale, model.mean, model.scale, spark)
 
 
 def reference_profile(design: Design) -> DataFrame:
@@ -458,21 +342,15 @@ def saved_curves(spark: SparkSession, folder: str, profiles: dict[str, dict[str,
 
 
 def ph_test(spark: SparkSession, model: CoxModel) -> DataFrame:
-    """Scaled Schoenfeld residuals against the rank of event time, from the per-time sums of the last Newton step.
+    """Scaled Schoenfeld residuals against the rank of event time, from the sums of the last Newton step.
 
     Tied events share their mean rank. All rows count; nothing is sampled.
     """
-    q = model.sums
-    d = q.d
-    rank = np.cumsum(d) - d + (d + 1) / 2
-    total = d.sum()
-    centred = rank - (rank * d).sum() / total
-    residual = (q.ex - model.expected) * model.scale
-    # Every event of a time has the same centred rank, so summed residuals per time are enough.
-    u = centred @ residual @ model.covariance * total
-    # Ranks of tied events differ in an untied ordering; the mean rank gives the matching spread.
-    spread = (centred**2 * d).sum()
-    stat = u**2 / (total * np.diag(model.covariance) * spread)
+    v = model.value
+    # every event of a time has the same centred rank, so residuals are summed per time; ranks are shares of the events
+    u = (v.turned * model.scale) @ model.covariance * v.events
+    # ranks of tied events differ in an untied ordering; the mean rank gives the matching spread
+    stat = u**2 / (v.events * np.diag(model.covariance) * v.spread)
     rows = [(n, float(x), chi2_tail(float(x), 1)) for n, x in zip(model.names, stat)]
     rows.sort(key=lambda r: r[2])
     return spark.createDataFrame(rows, "covariate string, test_statistic double, p double")

@@ -181,7 +181,7 @@ ir AS (SELECT city, column_name, level, ones, n, column_name || '_' || level AS
 
 
 def design_rows(spark, d):
-    return cox.cox_rows(model_ready(spark, d), keep=["city", "incident_id"])
+    return cox.cox_rows(model_ready(spark, d), keep=["city", "incident_id"], resolution=survival.RESOLUTION)
 
 
 @query(
@@ -231,7 +231,7 @@ def sv_ref_row(spark, d):
     """Median covariates of either city's design."""
     parts = {}
     for city, rows in zip(CITIES, (web_model_ready, freight_model_ready)):
-        design = cox.build_design(rows(spark, d))
+        design = cox.build_design(rows(spark, d), resolution=survival.RESOLUTION)
         parts[city] = cox.reference_profile(design).unpivot([], design.names, "covariate", "median")
     return union_tagged(parts)
 
@@ -243,7 +243,7 @@ _READY = dict(zip(CITIES, (web_model_ready, freight_model_ready)))
 
 @lru_cache(maxsize=8)
 def _design(spark, d, city):
-    return cox.build_design(_READY[city](spark, d))
+    return cox.build_design(_READY[city](spark, d), resolution=survival.RESOLUTION)
 
 
 @lru_cache(maxsize=16)
@@ -277,9 +277,8 @@ def sv_null_likelihood(spark, d):
     def at_zero(city):
         design = _design(spark, d, city)
         p = len(design.names)
-        sums = cox.risk_sums(design, np.zeros(p), np.zeros(p), np.ones(p))
-        value = cox.partial_likelihood(sums, np.zeros(p))[0]
-        return spark.createDataFrame([(round(float(value), 3), int(sums.d.sum()))], "log_likelihood double, events bigint")
+        value = design.scan().evaluate(np.zeros(p), np.zeros(p), np.ones(p))
+        return spark.createDataFrame([(round(float(value.likelihood), 3), int(value.events))], "log_likelihood double, events bigint")
 
     return _per_city(at_zero)
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,7 +44,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
-_KEPT: list[DataFrame] = []
+_KEPT: list[DataFrame | RDD] = []
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -59,7 +59,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df
 
 
+def hold(rows: RDD) -> RDD:
+    """Keep what several jobs read in another form than a frame; `release` frees it."""
+    _KEPT.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+    return rows
+
+
 def release() -> None:
-    """Free every frame that `settle` has kept; frames freed before are not touched."""
+    """Free every frame that `settle` has kept, and what `hold` has; frames freed before are not touched."""
     while _KEPT:
         _KEPT.pop().unpersist()

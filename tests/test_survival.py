@@ -215,6 +215,42 @@ def test_cox_tables(spark, fitted):
     assert median["calls"] == np.median(np.repeat(pdf["x0"].to_numpy(), pdf["w"].to_numpy()))
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 9])
+def test_scan_over_any_partitions(spark, partitions):
+    """Unrounded and heavily tied times over few and many partitions, some times in several of them: as one sum by hand."""
+    from lagline.operators.risk_scan import RiskScan
+
+    rng = np.random.default_rng(partitions)
+    n = 240
+    t = np.where(rng.random(n) < 0.5, rng.exponential(9, n), rng.choice([2.0, 5.0, 60.0], n, p=[0.2, 0.2, 0.6]))
+    rows = [(float(a), int(a < 60 and rng.random() < 0.8), int(w), float(x), float(i)) for a, w, x, i in zip(t, rng.integers(1, 4, n), rng.normal(size=n), rng.integers(0, 2, n))]
+    df = spark.createDataFrame(rows, "time double, event int, w int, x0 double, x1 double")
+    df = df.repartitionByRange(partitions, "time", F.xxhash64("x0")).sortWithinPartitions("time")
+    scan = RiskScan(df, ["x0", "x1"], 1)
+    assert len(scan.shared) <= 2 * partitions and (partitions < 9 or 60.0 in scan.shared)
+    t, e, w, x0, x1 = (np.array(c, float) for c in zip(*rows))
+    mean, scale = np.array([0.3, 0.5]), np.array([1.2, 0.5])
+    z = (np.stack([x0, x1], axis=1) - mean) / scale
+    for beta in (np.zeros(2), np.array([0.4, -0.7])):
+        v = scan.evaluate(beta, mean, scale)
+        f = lambda b: efron_by_hand(t, e, w, z, b)
+        assert v.likelihood == pytest.approx(f(beta), rel=1e-11) and v.events == w[e == 1].sum()
+        steps = np.eye(2) * 1e-4
+        for i in range(2):
+            assert v.gradient[i] == pytest.approx((f(beta + steps[i]) - f(beta - steps[i])) / 2e-4, rel=1e-5)
+            for j in range(2):
+                mixed = f(beta + steps[i] + steps[j]) - f(beta + steps[i] - steps[j]) - f(beta - steps[i] + steps[j]) + f(beta - steps[i] - steps[j])
+                assert v.hessian[i, j] == pytest.approx(mixed / 4e-8, rel=1e-3, abs=1e-2)
+        table = {r["time"]: (r["hazard"], r["cumulative_hazard"]) for r in scan.hazards(v, beta, mean, scale, spark).collect()}
+        r, total = w * np.exp(z @ beta), 0.0
+        assert sorted(table) == sorted(set(t))
+        for u in sorted(set(t)):
+            h = w[(t == u) & (e == 1)].sum() / r[t >= u].sum()
+            total += h
+            assert table[u] == (pytest.approx(h, rel=1e-10), pytest.approx(total, rel=1e-10))
+    scan.release()
+
+
 def test_schoenfeld_sums_by_hand(spark, fitted):
     """Without ties the test equals the textbook one on individual events."""
     rng = np.random.default_rng(2)
@@ -236,6 +272,6 @@ def test_schoenfeld_sums_by_hand(spark, fitted):
 
 def test_a_broken_design_raises(spark, monkeypatch):
     rows = spark.createDataFrame([(5.0, 1, 1, 0, "a"), (None, 1, 0, 1, "b"), (7.0, 2, 0, 0, "a")], "time double, event int, n1 int, n2 int, c string")
-    monkeypatch.setattr(cox, "cox_rows", lambda *a: rows)
+    monkeypatch.setattr(cox, "cox_rows", lambda *a, **k: rows)
     with pytest.raises(ValueError, match="null_duration.*event_not_binary"):
         cox.build_design(rows, ["n1", "n2"], ["c"])
