@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagline.operators.sampling import SEED, balanced_sample
+from lagline.session import settle
 
 # Label, feature columns and model sizes.
 LABEL = "delay_indicator"
@@ -46,7 +48,7 @@ def onehot_scaled(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     index = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep")
     encode = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=[f"{c}_vec" for c in categorical])
     assemble = VectorAssembler(
-        inputCols=[*encode.getOutputCols(), *numeric], outputCol="unscaled_features", handleInvalid="skip"
+        inputCols=[*encode.getOutputCols(), *numeric], outputCol="unscaled_features", handleInvalid="error"
     )
     return [index, encode, assemble, StandardScaler(inputCol="unscaled_features", outputCol="features")]
 
@@ -127,15 +129,19 @@ def positive_probability(column: str = "probability"):
     return vector_to_array(F.col(column))[1]
 
 
-def roc_curve(predictions: DataFrame, label: str = LABEL, blocks: int = 1000) -> DataFrame:
+def roc_curve(predictions: DataFrame, label: str = LABEL, blocks: int = 200) -> DataFrame:
     """ROC points of scored rows at every score that occurs, from (0, 0) to (1, 1).
 
-    Scores are counted, ranges of them form `blocks` whose totals are added up, and running sums go on inside a block.
+    Scores are counted; blocks of about equally many scores, wherever these lie, are added up, and running sums go on
+    inside a block.
     """
     score = positive_probability()
-    counts = predictions.groupBy(score.alias("threshold")).agg(
+    counts = settle(predictions.groupBy(score.alias("threshold")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("p"), F.count(F.when(F.col(label) == 0, 1)).alias("q")
-    ).withColumn("block", F.least(F.floor(F.col("threshold") * blocks), F.lit(blocks - 1)))
+    ))
+    cuts = counts.approxQuantile("threshold", [i / blocks for i in range(1, blocks)], 0.25 / blocks)
+    splits = [-math.inf, *(sorted(set(cuts)) or [0.5]), math.inf]
+    counts = Bucketizer(splits=splits, inputCol="threshold", outputCol="block").transform(counts)
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)  # of `blocks` rows
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     totals = counts.groupBy("block").agg(F.sum("p").alias("bp"), F.sum("q").alias("bq")).select(

@@ -175,26 +175,59 @@ def ag_tail_compare(spark, d):
     return _cities(lambda c: learning.tail_comparison(_tail(spark, d, c)))
 
 
-def _forecast(spark, d, city_rows, fill):
-    rows = settle(city_rows(spark, d))
-    known = rows.filter("delay_indicator IS NOT NULL AND unified_alarm_level IS NOT NULL")
-    stages = [*learning.hashed([], learning.FORECAST_FEATURES, "skip"), learning.forest(trees=20)]
-    model = learning.train(stages, known)
+def _forecast(spark, d, city, fill):
+    """Delay risk of the next day's hours. Rows of unknown level train, too; the slots' level is the most frequent known one."""
+    rows = settle(CITY_ROWS[city](spark, d))
+    known = rows.filter("delay_indicator IS NOT NULL")
+    stages = [*learning.hashed([], learning.FORECAST_FEATURES, "error"), learning.forest(trees=20)]
+    model = learning.train(stages, learning.keep_missing(known, learning.FORECAST_FEATURES))
     slots = forecast.slot_features(forecast.future_slots(rows), forecast.history_profile(known), fill)
+    if not fill:
+        slots = slots.where("calls_past_30min IS NOT NULL")
     last = rows.agg(F.max("incident_datetime")).first()[0]
-    return learning.forecast(model, slots, last).drop("forecast_generated_at")
+    return learning.forecast(model, learning.keep_missing(slots, learning.FORECAST_FEATURES), last).drop("forecast_generated_at")
 
 
 @query("ml_forecast")
 def ml_forecast(spark, d):
     """Slots without history are skipped."""
-    return _forecast(spark, d, web_model_ready, fill=False)
+    return _cities(lambda c: _forecast(spark, d, c, fill=False))
 
 
 @query("ml_forecast_fill")
 def ml_forecast_fill(spark, d):
     """Slots without history get the default demand and level."""
-    return _forecast(spark, d, freight_model_ready, fill=True)
+    return _cities(lambda c: _forecast(spark, d, c, fill=True))
+
+
+@query(
+    "ml_forecast_slots",
+    INC_SQL + """, k AS (SELECT DISTINCT city, hour, day_of_week FROM inc WHERE delay_indicator IS NOT NULL),
+    s AS (SELECT city, latest, unnest(range(1, 25)) AS i FROM (SELECT city, max(incident_datetime) AS latest FROM inc GROUP BY 1)),
+    f AS (SELECT s.city, latest + to_hours(i) AS t, k.city IS NOT NULL AS seen FROM s LEFT JOIN k
+      ON k.city = s.city AND k.hour = hour(latest + to_hours(i)) AND k.day_of_week = dayofweek(latest + to_hours(i)) + 1)
+    SELECT city, true AS filled, count(*) AS slots, min(t) AS first, max(t) AS last FROM f GROUP BY 1
+    UNION ALL SELECT city, false, count(*), min(t), max(t) FROM f WHERE seen GROUP BY 1""",
+)
+def ml_forecast_slots(spark, d):
+    """Which hours have a forecast: all of the next day with defaults, those with a history without."""
+    at = F.col("forecast_timestamp")
+    parts = []
+    for filled, rows in ((True, ml_forecast_fill(spark, d)), (False, ml_forecast(spark, d))):
+        risk = F.col("delay_risk_probability").between(0, 1)
+        part = rows.where(risk).groupBy("city").agg(F.count("*").alias("slots"), F.min(at).alias("first"), F.max(at).alias("last"))
+        parts.append(part.select("city", F.lit(filled).alias("filled"), "slots", "first", "last"))
+    return stack(parts)
+
+
+@query(
+    "ag_confusion_totals",
+    MODEL_SQL + """SELECT city, delay_indicator, count(*) AS n FROM mr WHERE delay_indicator IS NOT NULL
+      AND ('0x' || left(md5('42|' || incident_id), 13))::BIGINT / 4503599627370496 >= 0.8 GROUP BY ALL""",
+)
+def ag_confusion_totals(spark, d):
+    """Every test row is in one cell of the confusion table."""
+    return ag_confusion(spark, d).groupBy("city", "delay_indicator").agg(F.sum("n").alias("n"))
 
 
 @lru_cache(maxsize=4)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lagline.functions import expressions as x
 from lagline.functions import taxonomy
 from lagline.operators import aggregates as agg
+from lagline.operators.dedup import keep_first_within
 from lagline.plans import medallion
 from lagline.plans.catalog_scalars import (
     CODE_SOURCE_SQL, PHRASE_SOURCE_SQL, normal_sql,
@@ -19,7 +20,7 @@ from lagline.plans.registry import query
 from lagline.session import work_dir
 from lagline.sources import files, sinks, tables
 from lagline.sources.tables import load
-from lagline.streaming import bronze
+from lagline.streaming import bronze, checked
 
 
 def _pick(number, samples, default):
@@ -297,10 +298,58 @@ _COUNTS_SCHEMA = files.schema_of("city string, year int, incident_category strin
 
 @query("sink_table", INC_SQL + "SELECT incident_id, city, year, response_minutes FROM inc")
 def sink_table(spark, d):
-    name = f"incidents_{uuid.uuid4().hex}"
+    """A partitioned table that is published twice, the second time with another schema; readers have one version or the other."""
+    path = work_dir(spark, "table")
     rows = incidents(spark, d).select("incident_id", "response_minutes", "city", "year")
-    sinks.save_table(rows, name, path=work_dir(spark, "table"), partition_by=["city", "year"])
-    return spark.table(name)
+    sinks.publish(rows.drop("response_minutes"), path, ["city", "year"])
+    sinks.publish(rows, path, ["city", "year"])
+    return sinks.published(spark, path)
+
+
+def _arrivals(spark, d):
+    """Events as they arrive: in several folders of files, most events twice, the second time in a later folder."""
+    rows = load(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    return rows, [rows.where("event_id % 4 < 2"), rows.where("event_id % 4 IN (1, 2)"), rows.where("event_id % 4 <> 1")]
+
+
+EVENT_RULES = {"value_given": "value IS NOT NULL", "value_above_one": "value > 1", "known_user": "user_id % 10 <> 3"}
+
+
+def _drained(spark, d):
+    """The deduplicated stream and its expectation counts, after a run that failed in its second batch and went on later."""
+    landing, target, check = (work_dir(spark, n) for n in ("arrivals", "unique", "progress"))
+    rows, parts = _arrivals(spark, d)
+    for i, part in enumerate(parts[:2]):
+        part.coalesce(1).write.parquet(f"{landing}/{i}")
+
+    def stream():
+        arriving = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(landing)
+        return keep_first_within(arriving, ["event_id"], "ts", "3650 days")
+
+    try:
+        checked.drain(stream(), EVENT_RULES, target, check, fail_at=1)
+        raise AssertionError("the run should have been interrupted")
+    except checked.Interrupted:
+        pass
+    parts[2].coalesce(1).write.parquet(f"{landing}/2")
+    checked.drain(stream(), EVENT_RULES, target, check)
+    return target
+
+
+@query("dd_stream", "SELECT event_id, user_id, value FROM events")
+def dd_stream(spark, d):
+    """Repeats dropped by a state store across batches, and across an interruption: every event once."""
+    return checked.rows(spark, _drained(spark, d)).select("event_id", "user_id", "value")
+
+
+@query(
+    "dq_stream",
+    "SELECT unnest(['value_given', 'value_above_one', 'known_user']) AS rule, count(*) AS rows, unnest([count(*) FILTER (value IS NULL), "
+    "count(*) FILTER ((value > 1) IS NOT TRUE), count(*) FILTER (user_id % 10 = 3 OR user_id IS NULL)]) AS violations FROM events",
+)
+def dq_stream(spark, d):
+    """Expectations counted batch by batch, each batch once however often it was tried."""
+    return checked.report(spark, _drained(spark, d))
 
 
 @query("sink_csv", _COUNTS_SQL)

@@ -143,23 +143,41 @@ def sv_hazard_binned(spark, d):
     FROM z""",
 )
 def sv_logrank_2(spark, d):
-    out = logrank.two_sample(city_view(spark, d), [], "city", *CITIES)
+    out = logrank.two_sample(city_view(spark, d), [], "city", *CITIES, resolution=survival.RESOLUTION)
     return out.drop("p_value", "p_value_text").withColumn("test_statistic", F.round("test_statistic", 4))
 
 
 @query("sv_logrank_2_p")
 def sv_logrank_2_p(spark, d):
-    return logrank.two_sample(city_view(spark, d), [], "city", *CITIES)
+    return logrank.two_sample(city_view(spark, d), [], "city", *CITIES, resolution=survival.RESOLUTION)
 
 
 @query("sv_logrank_k")
 def sv_logrank_k(spark, d):
-    return logrank.logrank(city_view(spark, d), CITY, "day_of_week_name")
+    return logrank.logrank(city_view(spark, d), CITY, "day_of_week_name", resolution=survival.RESOLUTION)
 
 
 @query("sv_logrank_suite")
 def sv_logrank_suite(spark, d):
-    return logrank.logrank_suite(city_view(spark, d), CITY)
+    return logrank.logrank_suite(city_view(spark, d), CITY, resolution=survival.RESOLUTION)
+
+
+@query(
+    "sv_logrank_levels",
+    INC_SQL + """, view AS (SELECT city, location_area AS level, round(least(coalesce(response_minutes, 60), 60::DOUBLE), 2) AS t,
+      CASE WHEN response_minutes <= 60 THEN 1 ELSE 0 END AS e FROM inc WHERE response_minutes IS NULL OR response_minutes > 0),
+    p AS (SELECT city, t, sum(e) AS d, count(*) AS m FROM view GROUP BY ALL),
+    r AS (SELECT city, t, d, sum(m) OVER (PARTITION BY city ORDER BY t DESC) AS n FROM p),
+    x AS (SELECT city, t, sum(d / n) OVER (PARTITION BY city ORDER BY t) AS expected FROM r)
+    SELECT city, level, count(*) AS n, sum(e)::BIGINT AS events, round(sum(expected), 6) AS expected
+    FROM view JOIN x USING (city, t) GROUP BY ALL""",
+)
+def sv_logrank_levels(spark, d):
+    """Observed and expected events of every location, as the test over all locations of a city has them."""
+    view = survival.survival_view(incidents(spark, d), ["city", "location_area"])
+    placed = logrank.with_risk(logrank.event_counts(view, CITY, "location_area", survival.RESOLUTION), CITY)
+    sums = logrank.level_sums(placed, CITY)
+    return sums.select("city", "level", F.col("rows").cast("long").alias("n"), F.col("events").cast("long").alias("events"), F.round("expected", 6).alias("expected"))
 
 
 # ---------------------------------------------------------------- design

@@ -9,7 +9,7 @@ from lagline.plans import medallion
 from lagline.plans.catalog_sources import dispatch_raw, station_raw
 from lagline.session import work_dir
 from lagline.sources import files, sinks, tables
-from lagline.streaming import bronze
+from lagline.streaming import bronze, checked
 
 
 def test_ingest_continues_from_its_checkpoint(spark, sf):
@@ -107,3 +107,35 @@ def test_rescue_keeps_columns_outside_the_schema(spark, tmp_path):
     assert got.columns == ["id", "at", files.RESCUED]
     kept = sorted((r["id"] or 0, r["at"], json.loads(r[files.RESCUED])) for r in got.collect())
     assert kept == [(0, None, {"note": "y", "extra": "more", "id": "two"}), (1, None, {"note": "x"})]
+
+
+def test_published_versions(spark):
+    """Readers have the old version until the new one is whole; a write that fails changes nothing; schemas are recorded."""
+    path = work_dir(spark, "published")
+    with pytest.raises(ValueError, match="no version"):
+        sinks.published(spark, path)
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    assert sinks.publish(old, path) == 1
+    reader = sinks.published(spark, path)
+    broken = spark.range(1000).select("id", F.raise_error(F.concat(F.lit("lost "), F.col("id").cast("string"))).cast("string").alias("name"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(broken, path)
+    assert sorted(map(tuple, sinks.published(spark, path).collect())) == [(1, "a"), (2, "b")]
+    new = spark.createDataFrame([(3, 0.5, "x")], "id int, score double, part string")
+    assert sinks.publish(new, path, ["part"]) == 2
+    assert sorted(map(tuple, reader.collect())) == [(1, "a"), (2, "b")]  # a reader that began before the swap
+    assert sinks.published(spark, path).collect() == [(3, 0.5, "x")]
+    assert sorted(map(tuple, sinks.published(spark, path, 1).collect())) == [(1, "a"), (2, "b")]
+    assert [r.changed for r in sinks.manifest(spark, path).orderBy("version").collect()] == [[], ["id", "name", "part", "score"]]
+    assert sinks.publish(new.limit(0), path) == 3 and sinks.published(spark, path).count() == 0
+
+
+def test_interrupted_stream(spark, sf):
+    """Each event once and each batch counted once, though a run failed between the rows and the counts of a batch."""
+    from lagline.plans import catalog_sources
+
+    target = catalog_sources._drained(spark, sf)
+    rows = checked.rows(spark, target)
+    events = tables.load(spark, sf, "events").count()
+    assert rows.count() == rows.select("event_id").distinct().count() == events and rows.select("batch").distinct().count() == 3
+    assert {r["rows"] for r in checked.report(spark, target).collect()} == {events}

@@ -108,6 +108,27 @@ def test_logrank_matches_brute_force(data):
     assert logrank.logrank(view, [], "g", alpha=0.0).first()["higher_risk_group_tail"] is None
 
 
+@pytest.mark.parametrize("size", [50_000, 40])
+def test_logrank_over_many_levels(spark, monkeypatch, size):
+    """Hundreds of levels with unrounded times, in one range of times and in many: as the dense matrices of one machine."""
+    from functools import partial
+
+    rng = np.random.default_rng(size)
+    n = 1500
+    g, city = rng.integers(0, 150, n).astype(str), rng.choice(["x", "y"], n)
+    t = np.where(rng.random(n) < 0.3, rng.integers(1, 20, n), rng.exponential(9, n) + 0.01)
+    e = rng.integers(0, 2, n)
+    view = spark.createDataFrame([(float(a), int(b), str(c), str(k)) for a, b, c, k in zip(t, e, g, city)], "response_minutes double, event_indicator int, g string, city string")
+    monkeypatch.setattr(logrank, "with_risk", partial(logrank.with_risk, size=size))
+    found = {r["city"]: r for r in logrank.logrank(view, ["city"], "g", alpha=1.1).collect()}
+    for c in "xy":
+        m = city == c
+        stat, df = brute_logrank(t[m], e[m], g[m])
+        assert found[c]["df"] == df and found[c]["test_statistic"] == pytest.approx(stat, rel=1e-6)
+        s60 = {x: brute_km(t[m & (g == x)], e[m & (g == x)], 60) for x in set(g[m])}
+        assert s60[found[c]["higher_risk_group_tail"]] == pytest.approx(max(s60.values()), abs=1e-9)
+
+
 def test_curve_summaries(spark):
     rows = [(0.0, 1.0), (1.0, 0.8), (2.0, 0.4), (3.0, 0.4)]
     curve = spark.createDataFrame(rows, "time double, survival double").withColumn("city", F.lit("x"))
