@@ -210,7 +210,7 @@ def neighbours(group: pd.DataFrame) -> pd.DataFrame:
     pairs = sorted(zip(map(turn, indexed["word"]), indexed["n"]))
     names = [w for w, _ in pairs]
     counts = np.array([n for _, n in pairs], np.int64)
-    searches = [turn(w) for w in asking["word"]]
+    searches = sorted(map(turn, asking["word"]), key=lambda w: w[::-1])  # words are read from their end: like intervals are met together
     _, _, alphabet = _flat(names + searches)
     flat, ends, _ = _flat(names, alphabet)
     index = Index(flat, ends)
