@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagline.session import written
+
 RESPONSE = "response_minutes"
 FIVE = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
 BUCKETS = 256  # value buckets of a group in which ranks are resolved
@@ -84,14 +86,15 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact percentiles without ever gathering a group, interpolated or, if `nearest`, as the value of the nearest rank.
 
-    `weight` names the row counts of rows counted before; these may have further columns and a NULL value, which has no
-    rank. `extras` are aggregates over the counted rows, `n` being their count, that are computed along.
+    `weight` names the row counts of rows counted before and written, as they are read several times; these may have
+    further columns and a NULL value, which has no rank. `extras` are aggregates over the counted rows, `n` being their
+    count, that are computed along.
 
-    Equal values are counted first. A group's range is cut into equal buckets; totals per bucket place each wanted rank
-    in one, and ranks are resolved inside buckets, so a group holding most rows is worked on by as many tasks as it has
-    buckets, whatever the scale of its values.
+    Equal values are counted first, in one pass whose result is kept, so no source is read twice. A group's range is cut
+    into equal buckets; totals per bucket place each wanted rank in one, and ranks are resolved inside buckets, so a group
+    holding most rows is worked on by as many tasks as it has buckets, whatever the scale of its values.
     """
-    counts = value_counts(df, keys, value) if weight is None else df.withColumnRenamed(weight, "n")
+    counts = written(value_counts(df, keys, value), "counts") if weight is None else df.withColumnRenamed(weight, "n")
     ends = counts.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / buckets
     at_bucket = F.when(width > 0, F.floor((F.col(value) - F.col("__lo")) / width)).otherwise(F.lit(0))
@@ -138,7 +141,7 @@ def skewness(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, decimals
 
 def outlier_profile(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, decimals: int = 2) -> DataFrame:
     """Quartiles, 1.5 IQR fences, and how many rows lie outside."""
-    counts = value_counts(df, keys, value)
+    counts = written(value_counts(df, keys, value), "counts")
     fences = exact_percentiles(counts, keys, value, {"q1": 0.25, "q3": 0.75}, weight="n", nearest=True)
     spread = F.col("q3") - F.col("q1")
     fences = fences.withColumns({"lower_bound": F.col("q1") - 1.5 * spread, "upper_bound": F.col("q3") + 1.5 * spread})
@@ -214,6 +217,7 @@ def hourly_profile(df: DataFrame, keys: Sequence[str], decimals: int = 2) -> Dat
     counts = df.groupBy(*groups, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(
         F.count("*").alias("n"), F.sum("delay_indicator").alias("__d"), F.count("delay_indicator").alias("__k")
     )
+    counts = written(counts, "counts")
     extras = {"incident_volume": F.sum("n"), "avg_response": _mean(RESPONSE), "delay_percent": F.sum("__d") / F.sum("__k") * 100}
     out = exact_percentiles(counts, groups, RESPONSE, {"p90_response": 0.9}, weight="n", nearest=True, extras=extras)
     rounded = [F.round(c, decimals).alias(c) for c in ("avg_response", "p90_response", "delay_percent")]
@@ -244,7 +248,7 @@ def area_summary(df: DataFrame, keys: Sequence[str], p: float = 0.9, decimals: i
     NULL statistics and a completed count of 0.
     """
     tail = f"p{round(p * 100)}_response"
-    counts = df.groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(F.count("*").alias("n"))
+    counts = written(df.groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(F.count("*").alias("n")), "counts")
     missing = F.col(RESPONSE).isNull()
     extras = {
         "n_total": F.sum("n"), "n_censored": F.sum(F.when(missing, F.col("n")).otherwise(0)),
@@ -269,20 +273,24 @@ def rare_high_risk(stats: DataFrame, low: int = 100, high: int = 1000, p: float
     )
 
 
-def location_features(df: DataFrame, keys: Sequence[str], min_volume: int = 50) -> DataFrame:
+def location_features(df: DataFrame, keys: Sequence[str], min_volume: int = 50, weight: str | None = None) -> DataFrame:
     """Risk and demand features per location, locations with too few completed rows left out.
 
     Rows are counted once by location and time with the sums of the other features, so that they are read and their
-    demand is computed once, whatever is derived from the counts. A location may have NULL in any key.
+    demand is computed once, whatever is derived from the counts. A location may have NULL in any key. `weight` names the
+    row counts of rows counted before.
     """
+    n = F.col(weight) if weight else F.lit(1)
     level = F.col("unified_alarm_level")
     sums = {"mean_calls_30": F.col("calls_past_30min"), "mean_calls_60": F.col("calls_past_60min"), "mean_alarm_level": level}
     counts = completed(df).groupBy(*keys, F.col(RESPONSE).cast("double").alias(RESPONSE)).agg(
-        F.count("*").alias("n"), F.sum(F.when(level >= 3, 1).otherwise(0)).alias("__high"),
-        *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()], *[F.count(c).alias(f"__c_{n}") for n, c in sums.items()],
+        F.sum(n).alias("n"), F.sum(F.when(level >= 3, n).otherwise(0)).alias("__high"),
+        *[F.sum(c * n).alias(f"__s_{name}") for name, c in sums.items()],
+        *[F.sum(F.when(c.isNotNull(), n)).alias(f"__c_{name}") for name, c in sums.items()],
     )
+    counts = written(counts, "counts")
     extras = {"call_volume": F.sum("n"), "mean_response": _mean(RESPONSE)}
-    extras |= {n: F.sum(f"__s_{n}") / F.sum(f"__c_{n}") for n in sums}
+    extras |= {name: F.sum(f"__s_{name}") / F.sum(f"__c_{name}") for name in sums}
     extras["high_alarm_share"] = F.sum("__high") / F.sum("n")
     probs = {"median_response": 0.5, "p90_response": 0.9}
     out = exact_percentiles(counts, keys, RESPONSE, probs, weight="n", extras=extras)
@@ -304,15 +312,20 @@ def summary_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     )
 
 
-def demand_scenarios(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Low (P10) and high (P90) level of each demand feature, over rows where all features are known."""
-    known = df.na.drop(subset=list(features)).select(*keys, F.array(*[
+def demand_scenarios(df: DataFrame, keys: Sequence[str], features: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Low (P10) and high (P90) level of each demand feature, over rows where all features are known.
+
+    `weight` names the row counts of rows counted before.
+    """
+    n = F.col(weight) if weight else F.lit(1)
+    known = df.na.drop(subset=list(features)).select(*keys, n.alias("__n"), F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in features
     ]).alias("__f"))
-    long = known.select(*keys, F.inline("__f"))
+    long = known.select(*keys, "__n", F.inline("__f"))
     probs = {"low_demand_p10": 0.1, "high_demand_p90": 0.9}
     kind = dict(long.dtypes)["level"]
-    out = exact_percentiles(long, [*keys, "feature"], "level", probs, nearest=True)
+    counts = long.groupBy(*keys, "feature", F.col("level").cast("double").alias("level")).agg(F.sum("__n").alias("n"))
+    out = exact_percentiles(written(counts, "counts"), [*keys, "feature"], "level", probs, weight="n", nearest=True)
     return out.withColumns({name: F.col(name).cast(kind) for name in probs})
 
 
@@ -334,7 +347,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str = RESPONSE) -> Data
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str = RESPONSE, bins: int = 50) -> DataFrame:
     """Equal-width histogram per group between its own minimum and maximum, the maximum in the last bin."""
-    rows = value_counts(df, keys, value).withColumnRenamed(value, "__v")
+    rows = written(value_counts(df, keys, value), "counts").withColumnRenamed(value, "__v")
     ends = rows.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     raw = F.when(width > 0, F.floor((F.col("__v") - F.col("__lo")) / width)).otherwise(F.lit(0))
@@ -365,14 +378,14 @@ def top_categories_by_magnitude(
     df: DataFrame, keys: Sequence[str], category: str, value: str, k: int
 ) -> DataFrame:
     """The k categories with the largest mean absolute value, with their five-number summary."""
-    counts = value_counts(df.filter(F.col(category).isNotNull()), [*keys, category], value)
+    counts = written(value_counts(df.filter(F.col(category).isNotNull()), [*keys, category], value), "counts")
     strength = counts.groupBy(*keys, category).agg(
         (F.sum(F.abs(F.col(value)) * F.col("n")) / F.sum("n")).alias("mean_abs"), F.sum("n").alias("n")
     )
     w = Window.partitionBy(*keys).orderBy(F.desc("mean_abs"), category)
     top = strength.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     groups = [*keys, category]
-    chosen = join_groups(counts, top.select(*groups), groups)
+    chosen = written(join_groups(counts, top.select(*groups), groups), "chosen")
     return join_groups(top, exact_percentiles(chosen, groups, value, FIVE, weight="n"), groups)
 
 

@@ -19,12 +19,12 @@ LOOKBACKS: Mapping[str, int] = {"calls_past_30min": 1800, "calls_past_60min": 36
 
 
 def calls_per_second(
-    df: DataFrame, time: str, keys: Sequence[str], lookbacks: Mapping[str, int], include_current: bool
+    df: DataFrame, time: str, keys: Sequence[str], lookbacks: Mapping[str, int], include_current: bool, weight: str | None = None
 ) -> DataFrame:
-    """Counts over each look-back, one row per (keys, second)."""
+    """Counts over each look-back, one row per (keys, second). `weight` names the row counts of rows counted before."""
     span = max(lookbacks.values())
     last = 0 if include_current else -1
-    counts = df.select(*keys, epoch_seconds(time).alias("__sec")).groupBy(*keys, "__sec").agg(F.count("*").alias("__n"))
+    counts = df.select(*keys, epoch_seconds(time).alias("__sec"), (F.col(weight) if weight else F.lit(1)).alias("__w")).groupBy(*keys, "__sec").agg(F.sum("__w").alias("__n"))
     counts = counts.withColumn("__b", F.floor(F.col("__sec") / span))
     # Rows without a time keep a bucket of their own, where a RANGE frame makes them peers of each other only.
     homes = F.when(F.col("__b").isNull(), F.array(F.col("__b"))).otherwise(F.array(F.col("__b"), F.col("__b") + 1))
@@ -47,14 +47,16 @@ def _attach(df: DataFrame, time: str, keys: Sequence[str], counts: DataFrame, co
     return left.join(right, condition, "left").drop("__sec", "__s", *[f"__k_{k}" for k in keys])
 
 
-def citywide_calls(df: DataFrame, time: str, lookbacks: Mapping[str, int] = LOOKBACKS) -> DataFrame:
+def citywide_calls(df: DataFrame, time: str, lookbacks: Mapping[str, int] = LOOKBACKS, weight: str | None = None) -> DataFrame:
     """Calls in [t - lookback, t - 1 s] over the whole table."""
-    counts = calls_per_second(df, time, [], lookbacks, include_current=False)
+    counts = calls_per_second(df, time, [], lookbacks, include_current=False, weight=weight)
     return _attach(df, time, [], counts, list(lookbacks))
 
 
-def area_calls(df: DataFrame, time: str, area: str, lookbacks: Mapping[str, int] = LOOKBACKS) -> DataFrame:
+def area_calls(
+    df: DataFrame, time: str, area: str, lookbacks: Mapping[str, int] = LOOKBACKS, weight: str | None = None
+) -> DataFrame:
     """Other calls of the same area in [t - lookback, t], never below 0."""
-    counts = calls_per_second(df, time, [area], lookbacks, include_current=True)
+    counts = calls_per_second(df, time, [area], lookbacks, include_current=True, weight=weight)
     other = [F.greatest(F.col(c) - 1, F.lit(0)).alias(c) for c in lookbacks]
     return _attach(df, time, [area], counts.select(area, "__sec", *other), list(lookbacks))

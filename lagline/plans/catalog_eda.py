@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lagline.functions import expressions as x
 from lagline.operators import aggregates as agg
-from lagline.plans.inputs import INC_SQL, MODEL_SQL, incidents, model_ready
+from lagline.plans.inputs import INC_SQL, MODEL_SQL, counted_model_ready, incidents, model_ready
 from lagline.plans.registry import query
 
 DONE = " WHERE response_minutes IS NOT NULL "
@@ -199,7 +199,8 @@ def ag_by_category(spark, d):
     FROM mr WHERE response_minutes IS NOT NULL GROUP BY ALL HAVING count(*) >= 50""",
 )
 def ag_location_features(spark, d):
-    out = agg.location_features(model_ready(spark, d), ["city", "location_area"])
+    rows = counted_model_ready(spark, d, ("location_area", "response_minutes", "unified_alarm_level"))
+    out = agg.location_features(rows, ["city", "location_area"], weight="n")
     return out.withColumns({c: F.round(c, 6) for c, t in out.dtypes if t == "double"})
 
 
@@ -248,7 +249,8 @@ def ag_summary_stats(spark, d):
     ),
 )
 def ag_p10_p90(spark, d):
-    return agg.demand_scenarios(model_ready(spark, d), ["city"], ["calls_past_30min", "calls_past_60min"])
+    rows = counted_model_ready(spark, d, ("location_area",))
+    return agg.demand_scenarios(rows, ["city"], ["calls_past_30min", "calls_past_60min"], weight="n")
 
 
 _NUM = ("response_minutes", "hour", "calls_past_30min", "calls_past_60min")

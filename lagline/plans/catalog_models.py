@@ -10,9 +10,9 @@ from lagline.operators import aggregates as agg
 from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, quantile
 from lagline.operators.reshape import stack
 from lagline.operators.sampling import split_train_test
-from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, model_ready, web_model_ready
+from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
-from lagline.session import settle, work_dir
+from lagline.session import settle, work_dir, written
 from lagline.sources import sinks
 
 ID = ["incident_id"]
@@ -267,7 +267,7 @@ def ml_quantile_quality(spark, d):
 )
 def ml_pinball(spark, d):
     """Loss of predicting every category's own P90."""
-    counts = agg.value_counts(incidents(spark, d), ["city", "incident_category"], "response_minutes")
+    counts = written(agg.value_counts(incidents(spark, d), ["city", "incident_category"], "response_minutes"), "counts")
     groups = ["city", "incident_category"]
     q = agg.exact_percentiles(counts, groups, "response_minutes", {"p90": 0.9}, weight="n", nearest=True)
     rows = agg.join_groups(counts, q, groups)
@@ -376,7 +376,8 @@ _LOCATION = ("call_volume", "mean_response", "p90_response", "median_response",
 
 @lru_cache(maxsize=4)
 def _locations(spark, d):
-    features = agg.location_features(model_ready(spark, d), ["city", "location_area"])
+    rows = counted_model_ready(spark, d, ("location_area", "response_minutes", "unified_alarm_level"))
+    features = agg.location_features(rows, ["city", "location_area"], weight="n")
     return settle(clusters.standardise(settle(features), _LOCATION))
 
 

@@ -12,7 +12,7 @@ from lagline.operators import aggregates as agg
 from lagline.operators import cox, curves, drivers, logrank, survival
 from lagline.operators.reshape import union_tagged
 from lagline.plans.catalog_shapes import RANK_SQL, RATIO_SQL, importances, ratio_table
-from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, freight_model_ready, incidents, model_ready, web_model_ready
+from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
 from lagline.session import work_dir
 from lagline.sources import sinks
@@ -362,7 +362,7 @@ def sv_demand_scenario(spark, d):
     """Delay-risk curves at low (P10) and high (P90) demand, other covariates at their medians."""
     levels = {
         (r["city"], r["feature"]): (r["low_demand_p10"], r["high_demand_p90"])
-        for r in agg.demand_scenarios(model_ready(spark, d), CITY, cox.DEMAND).collect()
+        for r in agg.demand_scenarios(counted_model_ready(spark, d, ("location_area",)), CITY, cox.DEMAND, weight="n").collect()
     }
     parts = {}
     for city in CITIES:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lagline.functions import expressions as x
 from lagline.operators import demand
 from lagline.operators.reshape import union_tagged
+from lagline.session import written
 from lagline.sources.tables import load
 
 CITIES = ("web", "freight")
@@ -95,6 +96,22 @@ def model_ready(spark: SparkSession, folder: str) -> DataFrame:
     return union_tagged({"web": web_model_ready(spark, folder), "freight": freight_model_ready(spark, folder)})
 
 
+def counted_model_ready(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFrame:
+    """`model_ready` as counted rows: one row per city, second and values of `columns`, `n` being their number.
+
+    The counts are written, so that demand and everything else derived from them read each table once. `columns` has
+    `location_area`.
+    """
+
+    def counted(rows: DataFrame) -> DataFrame:
+        second = F.date_trunc("second", "incident_datetime").alias("incident_datetime")
+        return written(rows.groupBy(second, *columns).agg(F.count("*").alias("n")), "seconds")
+
+    web = demand.citywide_calls(counted(web_incidents(spark, folder)), "incident_datetime", weight="n")
+    freight = demand.area_calls(counted(freight_incidents(spark, folder)), "incident_datetime", "location_area", weight="n")
+    return union_tagged({"web": web, "freight": freight})
+
+
 _FINISH_SQL = """
   CAST(response_minutes > 8 AS INTEGER) AS delay_indicator,
   CAST(response_minutes IS NOT NULL AS INTEGER) AS event_indicator,

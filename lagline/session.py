@@ -44,6 +44,16 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that one query reads several times, and read it back.
+
+    Unlike a checkpoint, which remembers how its rows were dealt, equal reads of a table share their scans and exchanges.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _KEPT: list[DataFrame | RDD] = []
 
 
