@@ -51,7 +51,7 @@ def _language(spark, folder):
 
 @query("op7_quality")
 def _quality(spark, folder):
-    found = judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    found = judged(table(spark, folder, "documents"), table(spark, folder, "labels"), keep_columns=["doc_id", "source"])
     return found.select("doc_id", "source", "quality_prob", "toxic_prob", "quality_rate", "toxic_rate", "keep")
 
 

@@ -69,12 +69,12 @@ FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN
 
 TOP_K = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pair AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+    SELECT q.own, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.own <> q.own AND len(q.v) = len(c.v))
+SELECT query_id, (row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM pair QUALIFY rank <= 10
 """
 

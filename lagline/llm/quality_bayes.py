@@ -235,17 +235,24 @@ def _strength(mean: float, variance: float | None) -> float:
     return float(min(1e6, max(1.0, noise / max(variance, 1e-12) - 1)))
 
 
-def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", key: str = "doc_id", source: str = "source", section: str = "lang") -> DataFrame:
+def judged(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", key: str = "doc_id", source: str = "source", section: str = "lang",
+    keep_columns: list[str] | None = None,
+) -> DataFrame:
     """The rows with `quality_prob`, `toxic_prob`, `quality_rate`, `toxic_rate` (of the path) and `keep`.
 
     keep: the quality's posterior is at least one half and the toxicity's below it. Null and empty texts have the
     evidence of an empty page; a null source or section is a site of its own. Without labelled rows the classifier has
     no opinion and all rows are kept.
+
+    Rows are written with their evidence, so that rates and results read numbers and no text is weighed twice; of the
+    rows' columns only those in `keep_columns` (all, if none are named) are carried along and returned.
     """
     model = fit(docs, labels, sample, text, key)
+    names = docs.columns if keep_columns is None else keep_columns
     site = F.col(source).cast("string")
-    rows = docs.select(carried(docs), full_text(text).alias("_text"), host_of(site).alias("_host"), path_of(site, F.col(section).cast("string")).alias("_path"))
-    rows = with_evidence(rows, model, "_text")
+    rows = docs.select(carried(docs.select(*[f"`{c}`" for c in names])), full_text(text).alias("_text"), host_of(site).alias("_host"), path_of(site, F.col(section).cast("string")).alias("_path"))
+    rows = stored(with_evidence(rows, model, "_text").drop("_text"), "evidence")
     rates = site_rates(rows.select("_host", "_path", "_quality", "_toxic"), model.rates)
     out = rows.join(rates, ["_host", "_path"], "left")
     odds = lambda p: F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
@@ -256,6 +263,6 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str =
     if "toxic" in model.weights:
         keep &= post["toxic"] < 0.5
     return restored(
-        out, docs.columns, post["quality"].alias("quality_prob"), post["toxic"].alias("toxic_prob"),
+        out, names, post["quality"].alias("quality_prob"), post["toxic"].alias("toxic_prob"),
         F.col("_quality_rate").alias("quality_rate"), F.col("_toxic_rate").alias("toxic_rate"), keep.alias("keep"),
     )

@@ -5,15 +5,14 @@ from lagline.llm.ball_tree import nearest, top_k
 
 
 def plain(rows, every, k):
-    good = {}
+    good = []
     for key, v in rows:
         if key is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(1024 * x) for x in v]
-            good[key] = min(good.get(key, w), w)
+            good.append((key, [math.floor(1024 * x) for x in v]))
     out = []
-    for q, v in good.items():
+    for i, (q, v) in enumerate(good):
         if q % every == 0:
-            dots = ((sum(a * b for a, b in zip(v, w)), c) for c, w in good.items() if c != q and len(w) == len(v))
+            dots = ((sum(a * b for a, b in zip(v, w)), c) for j, (c, w) in enumerate(good) if j != i and len(w) == len(v))
             scored = sorted((-max(-(2**63), min(2**63 - 1, s)), c) for s, c in dots)[:k]
             out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scored)]
     return sorted(out)
@@ -35,8 +34,20 @@ def test_matches_plain_search(spark):
 def test_waves_and_blocks(spark):
     rng = random.Random(2)
     rows = [(i, [float(rng.randrange(-9, 9)) for _ in range(4)]) for i in range(500)]
-    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    df = spark.createDataFrame([(i, i, v) for i, v in rows], "row long, vec_id long, v array<double>")
     got = top_k(df, df.where("vec_id % 7 = 0"), 5, shard_rows=60, block_rows=20).collect()
     want = plain([(i, [x / 1024 for x in v]) for i, v in rows], 7, 5)
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), 10).count() == 0
+
+
+def test_repeated_ids_and_clashing_names(spark):
+    """Rows that share an id, a third of all of them, stay rows of their own; equal ones are ties."""
+    rng = random.Random(3)
+    rows = [(20 if i % 3 == 0 else i, [float(rng.randrange(-4, 4)) for _ in range(3)]) for i in range(90)]
+    rows += [(20, rows[0][1]), (20, rows[0][1]), (40, [9.0, 9.0, 9.0]), (40, [-9.0, -9.0, -9.0])]
+    names = ("row", "own", "own_row", "query_row", "query_id", "rank", "score", "v", "shard", "least")
+    df = spark.createDataFrame([(k, v, *["x"] * len(names)) for k, v in rows], "vec_id long, embedding array<double>, " + ", ".join(f"{n} string" for n in names))
+    got = nearest(df, 20, 5)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, 20, 5)
