@@ -19,7 +19,7 @@ from lagline.llm.simhash import representatives
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose posterior speaks for low quality or toxicity. Without labels nothing is rejected."""
     rows = docs.select(carried(docs), "doc_id", "text", "source", "lang")
-    return restored(judged(rows, table(spark, sf_dir, "labels")).where("keep"), docs.columns)
+    return restored(judged(rows, table(spark, sf_dir, "labels"), keep_columns=["_row"]).where("keep"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
