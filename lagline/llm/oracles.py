@@ -29,10 +29,25 @@ hit AS (
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
 items AS (
     SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256
-    FROM hit GROUP BY doc_id)
+    FROM hit GROUP BY doc_id),
+term AS (SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+own AS (SELECT item, row_number() OVER () AS r, list_distinct(w) AS w FROM b WHERE len(w) > 0),
+ranked AS (
+    SELECT r, item, least(len(w), 3) AS need, term, row_number() OVER (PARTITION BY r ORDER BY n, term) AS k
+    FROM (SELECT r, item, w, unnest(w) AS term FROM own) JOIN term USING (term)),
+rare AS (SELECT * FROM ranked WHERE k <= need QUALIFY count(*) OVER (PARTITION BY r) = need),
+spot AS (SELECT doc_id, i, term FROM (SELECT doc_id, i, w[i] AS term FROM place) WHERE term IN (SELECT term FROM rare)),
+beside AS (
+    SELECT s.doc_id, s.i, a.r, a.item, a.need, o.k
+    FROM rare a JOIN spot s ON a.k = 1 AND s.term = a.term JOIN rare o ON o.r = a.r
+    JOIN spot x ON x.doc_id = s.doc_id AND x.term = o.term AND abs(x.i - s.i) <= 30),
+near AS (
+    SELECT doc_id, count(DISTINCT item) AS n_near
+    FROM (SELECT doc_id, item FROM beside GROUP BY doc_id, i, r, item, need HAVING count(DISTINCT k) = need) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-    coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+    coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 _BASE = " UNION ALL ".join(

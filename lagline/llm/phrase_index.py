@@ -146,17 +146,22 @@ def intersect(lists: dict[bytes, np.ndarray], words: list[tuple[int, bytes]]) ->
     return starts
 
 
-def close_by(lists: dict[bytes, np.ndarray], words: list[bytes], span: int) -> np.ndarray:
-    """Places of the first word that have all the others within `span` words, in any order."""
+def close_by(lists: dict[bytes, np.ndarray], words: list[bytes], span: int, base: np.ndarray) -> np.ndarray:
+    """Places of the first word that have all the others within `span` words of the same document, in any order.
+
+    base has where documents begin, ascending.
+    """
+    document = lambda places: np.searchsorted(base, places, side="right")
     starts = lists.get(words[0], np.zeros(0, np.int64))
     for word in words[1:]:
         places = lists.get(word)
         if places is None or not len(starts):
             return np.zeros(0, np.int64)
         at = np.searchsorted(places, starts)
-        right = places[np.minimum(at, len(places) - 1)] - starts
-        left = starts - places[np.maximum(at - 1, 0)]
-        starts = starts[(np.abs(right) <= span) | (np.abs(left) <= span)]
+        beside = np.zeros(len(starts), bool)
+        for other in (places[np.minimum(at, len(places) - 1)], places[np.maximum(at - 1, 0)]):  # nearest on either side
+            beside |= (np.abs(other - starts) <= span) & (document(other) == document(starts))
+        starts = starts[beside]
     return starts
 
 
@@ -193,7 +198,7 @@ def _matcher(sent, near_span: int):
             for d, b, e in zip(docs.tolist(), (begins - base[docs]).tolist(), (ends - base[docs]).tolist()):
                 found.setdefault(d, []).append((name, b, e))
         for rare, names in near:
-            for d in np.unique(np.searchsorted(base, close_by(lists, rare, near_span), side="right") - 1).tolist():
+            for d in np.unique(np.searchsorted(base, close_by(lists, rare, near_span, base), side="right") - 1).tolist():
                 nearby.setdefault(d, set()).update(names)
         n = len(ids)
         return pd.DataFrame({
@@ -213,7 +218,8 @@ def find_phrases(
     """One row per document: `shard`, `doc_no`, `doc_id`, `n_words`, `hits`, `near_items`.
 
     hits: array of (item, start, end), the runs of words inside occurrences of an item's windows of `window` words; an
-    item of fewer words is one window. near_items: items whose `near_terms` rarest words stand within `near_span` words.
+    item of fewer words is one window. near_items: items whose `near_terms` rarest words, of those that documents have at
+    all, stand within `near_span` words of the rarest; items of which fewer words than that are found have no such place.
     Items are taken in blocks of about `block_words` words, so that what a task is sent is bounded.
     """
     spark = index.sparkSession
@@ -237,7 +243,7 @@ def find_phrases(
                 if all(w in often for w in phrase):
                     windows.setdefault(phrase, set()).add(row.item)
             rare = sorted({w for w in own if w in often}, key=lambda w: (often[w], w))
-            if len(set(own)) == len(rare):  # a word that is nowhere is the rarest and has no place
+            if len(rare) >= min(near_terms, len(set(own))):
                 near.setdefault(tuple(rare[:near_terms]), set()).add(row.item)
         phrases = [
             (len(p), sorted(enumerate(p), key=lambda x: (often[x[1]], x[0])), sorted(names)) for p, names in windows.items()
