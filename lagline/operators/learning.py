@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagline.operators.forest import SparseForest
 from lagline.operators.sampling import SEED, balanced_sample
 from lagline.session import settle
 
@@ -71,6 +72,11 @@ def forest(label: str = LABEL, trees: int = 50, depth: int = 5) -> RandomForestC
     return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=SEED)
 
 
+def wide_forest(label: str = LABEL, trees: int = 50, depth: int = 5) -> SparseForest:
+    """`forest` on sparse vectors of any width: its rows cost as much as they have non-zero slots."""
+    return SparseForest(label, trees, depth)
+
+
 def boosted(target: str = "response_minutes") -> GBTRegressor:
     return GBTRegressor(labelCol=target, featuresCol="features", maxIter=20, seed=SEED)
 
@@ -156,6 +162,18 @@ def roc_curve(predictions: DataFrame, label: str = LABEL, blocks: int = 200) ->
     return points.unionByName(origin)
 
 
+def sparse_vector(column: str = "features", decimals: int | None = None):
+    """A vector column as a struct of its size, the slots that are not 0 and their values."""
+    v = F.unwrap_udt(F.col(column))
+    some = lambda x: x != 0
+    dense = v["type"] == 1
+    indices = F.when(dense, F.filter(F.sequence(F.lit(0), F.size(v["values"]) - 1), lambda i: some(F.get(v["values"], i)))).otherwise(v["indices"])
+    values = F.when(dense, F.filter(v["values"], some)).otherwise(v["values"])
+    if decimals is not None:
+        values = F.transform(values, lambda x: F.round(x, decimals))
+    return F.struct(F.when(dense, F.size(v["values"])).otherwise(v["size"]).alias("size"), indices.alias("indices"), values.alias("values"))
+
+
 def feature_names(transformed: DataFrame, column: str = "features") -> list[str]:
     """Names of the vector's slots from its attributes, so encoded columns keep their own name."""
     meta = transformed.schema[column].metadata.get("ml_attr", {})

@@ -16,6 +16,7 @@ from lagline.session import settle, work_dir, written
 from lagline.sources import sinks
 
 ID = ["incident_id"]
+FEATURES = [*learning.CATEGORICAL, *learning.NUMERIC]
 CITY_ROWS = dict(zip(CITIES, (web_model_ready, freight_model_ready)))
 
 
@@ -28,7 +29,7 @@ def _cities(part):
 def _labelled(spark, d, city):
     """Train and test rows with a known label, kept because every model reads them; unknown numbers are a value of their own."""
     rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
-    train, test = split_train_test(settle(rows), ID)
+    train, test = split_train_test(settle(rows.select(*ID, learning.LABEL, *FEATURES)), ID)
     return train, test
 
 
@@ -36,12 +37,13 @@ def _labelled(spark, d, city):
 def _baseline(spark, d, kind, city):
     train, test = _labelled(spark, d, city)
     if kind == "Hashed Forest":
-        stages = [*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.forest()]
+        stages = [*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.wide_forest()]
     else:
-        last = learning.logistic() if kind == "Logistic Regression" else learning.forest(trees=100)
+        last = learning.logistic() if kind == "Logistic Regression" else learning.wide_forest(trees=100)
         stages = [*learning.onehot_scaled(learning.CATEGORICAL, learning.NUMERIC), last]
     model = learning.train(stages, train)
-    return model, settle(model.transform(test))
+    scored = model.transform(test)
+    return model, settle(scored.select(*learning.present(scored, [*ID, learning.LABEL, "unscaled_features", "features", "rawPrediction", "probability", "prediction"])))
 
 
 def _metrics(spark, d, kind, city):
@@ -278,9 +280,6 @@ def ml_pinball(spark, d):
     )
 
 
-FEATURES = [*learning.CATEGORICAL, *learning.NUMERIC]
-
-
 @lru_cache(maxsize=4)
 def _attributed(spark, d):
     """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
