@@ -58,8 +58,9 @@ def _one_row(spark, name, values):
 
 @query("ml_onehot_scale")
 def ml_onehot_scale(spark, d):
-    values = F.transform(learning.vector_to_array("features"), lambda v: F.round(v, 6))
-    return _cities(lambda c: _baseline(spark, d, "Logistic Regression", c)[1].select("incident_id", values.alias("features")))
+    """The scaled vectors in sparse form: written out in full they grow with rows times levels."""
+    vector = learning.sparse_vector("features", 6).alias("features")
+    return _cities(lambda c: _baseline(spark, d, "Logistic Regression", c)[1].select("incident_id", vector))
 
 
 @query("ml_hash_assemble")
