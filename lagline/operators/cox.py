@@ -24,7 +24,7 @@ from lagline.operators.aggregates import join_groups
 from lagline.operators.curves import on_grid
 from lagline.operators.risk_scan import RiskScan, Value, efron_sums  # noqa: F401
 from lagline.operators.survival import DURATION, EVENT, RESOLUTION, admin_censoring_report, censor_columns, valid_rows
-from lagline.session import settle
+from lagline.session import settle, written
 
 # Default covariates, pruning limits of rare indicator columns, penalties tried.
 NUMERIC = ("calls_past_30min", "calls_past_60min")
@@ -33,6 +33,7 @@ MIN_FREQ_RATE = 0.001
 MIN_FREQ_ABS = 50
 MIN_VAR = 1e-8
 PENALTIES = (0.1, 0.5, 1.0)
+PART_ROWS = 200_000  # counted rows of a partition, about: a step needs some 1.5 kB of memory a row
 DEMAND = ("calls_past_30min", "calls_past_60min")
 
 
@@ -147,7 +148,7 @@ class Design:
 
 def build_design(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-    horizon: float = CENSOR_MINUTES, resolution: int | None = None,
+    horizon: float = CENSOR_MINUTES, resolution: int | None = None, part_rows: int = PART_ROWS,
 ) -> Design:
     """Indicator columns against the most frequent level, rare and constant ones dropped.
 
@@ -157,10 +158,13 @@ def build_design(
     """
     rows = cox_rows(df, numeric, categorical, horizon, resolution=resolution)
     fields = ["event", *numeric, *categorical]
-    counted = rows.groupBy("time", *fields).agg(F.count("*").alias("w")).withColumn("salt", F.xxhash64(*fields))
+    counted = written(rows.groupBy("time", *fields).agg(F.count("*").alias("w")), "counted").withColumn("salt", F.xxhash64(*fields))
     # Time ranges keep the per-partition results short; the hash splits a time that holds most rows (the horizon).
     # Rows in order of time give each batch of a step few times to sum by.
-    counted = settle(counted.repartitionByRange("time", "salt").drop("salt").sortWithinPartitions("time"))
+    # Their number follows the rows, as partitions merged by bytes would hold millions of them, all at once in a task.
+    parts = math.ceil(counted.count() / part_rows)
+    number = [max(parts, df.sparkSession.sparkContext.defaultParallelism)] if parts > 1 else []
+    counted = settle(counted.repartitionByRange(*number, "time", "salt").drop("salt").sortWithinPartitions("time"))
     broken = design_violations(counted, [], horizon, "w").first().asDict()
     broken = {k: v for k, v in broken.items() if v and k != "event_at_horizon"}  # an arrival at the very horizon is one
     if broken:

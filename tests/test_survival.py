@@ -296,3 +296,13 @@ def test_a_broken_design_raises(spark, monkeypatch):
     monkeypatch.setattr(cox, "cox_rows", lambda *a, **k: rows)
     with pytest.raises(ValueError, match="null_duration.*event_not_binary"):
         cox.build_design(rows, ["n1", "n2"], ["c"])
+
+
+def test_design_partitions_hold_a_bounded_number_of_rows(spark):
+    df = cox_frame(spark)
+    one = cox.build_design(df, ["calls"], ["kind", "time_bin"])
+    many = cox.build_design(df, ["calls"], ["kind", "time_bin"], part_rows=20)
+    rows = many.rows.count()
+    sizes = many.kept.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert rows == one.rows.count() > 100 and sizes.max() <= 60 and len(sizes) >= rows / 60
+    assert cox.fit(many, 0.1).coef == pytest.approx(cox.fit(one, 0.1).coef, abs=1e-9)
