@@ -165,10 +165,10 @@ def roc_curve(predictions: DataFrame, label: str = LABEL, blocks: int = 200) ->
 def sparse_vector(column: str = "features", decimals: int | None = None):
     """A vector column as a struct of its size, the slots that are not 0 and their values."""
     v = F.unwrap_udt(F.col(column))
-    some = lambda x: x != 0
     dense = v["type"] == 1
-    indices = F.when(dense, F.filter(F.sequence(F.lit(0), F.size(v["values"]) - 1), lambda i: some(F.get(v["values"], i)))).otherwise(v["indices"])
-    values = F.when(dense, F.filter(v["values"], some)).otherwise(v["values"])
+    slots = F.when(dense, F.sequence(F.lit(0), F.size(v["values"]) - 1)).otherwise(v["indices"])
+    indices = F.filter(slots, lambda _, i: F.get(v["values"], i) != 0)
+    values = F.filter(v["values"], lambda x: x != 0)
     if decimals is not None:
         values = F.transform(values, lambda x: F.round(x, decimals))
     return F.struct(F.when(dense, F.size(v["values"])).otherwise(v["size"]).alias("size"), indices.alias("indices"), values.alias("values"))

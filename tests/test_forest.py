@@ -62,7 +62,7 @@ def test_split_points_are_midpoints_and_count_zeros():
 
 
 def test_sparse_vector_holds_what_the_vector_holds(spark):
-    wide = Vectors.sparse(1_000_000, {7: 0.1234567, 999_999: -2.0})
+    wide = Vectors.sparse(1_000_000, {7: 0.1234567, 8: 0.0, 999_999: -2.0})
     df = spark.createDataFrame([(wide,), (Vectors.dense(0.0, 1.5, 0.0),)], ["features"])
     got = [r[0].asDict() for r in df.select(learning.sparse_vector("features", 6)).collect()]
     assert got == [
