@@ -115,6 +115,11 @@ def _walk(block: tuple, feature: np.ndarray, cut: np.ndarray, zero: np.ndarray,
     return at
 
 
+def _entries(heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each head on, as many as its size says, one run after the other."""
+    return np.arange(sizes.sum()) + np.repeat(heads - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _counts(blocks: Iterator[tuple], trees: list[tuple], width: int, sizes: np.ndarray, zero: np.ndarray, level: int) -> Iterator[tuple[int, np.ndarray]]:
     """Per tree the class counts of its nodes, then of the non-zero bins of each (node, slot) that may split.
 
@@ -138,8 +143,8 @@ def _counts(blocks: Iterator[tuple], trees: list[tuple], width: int, sizes: np.n
             out[: 2 * first] += np.bincount(node[here] * 2 + y[here], bag[here], 2 * first).astype(np.int64)
             pairs = (nodes - first).astype(np.int64) * width + own
             place[pairs], used[own] = starts, True
-            some = np.flatnonzero(np.repeat(used[slots], each))
-            slot = np.repeat(slots[used[slots]], each[used[slots]])
+            picked = np.flatnonzero(used[slots])
+            some, slot = _entries(heads[picked], each[picked]), np.repeat(slots[picked], each[picked])
             r = rows[some]
             here = node[r] >= 0
             some, slot, r = some[here], slot[here], r[here]
@@ -250,9 +255,11 @@ class SparseForest(Estimator):
                     rows, slot, value = rows[order], slot[order], value[order]
                     heads = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, int)
                     bins = np.zeros(len(slot), np.uint8)
-                    for h, b in zip(heads, np.r_[heads[1:], len(slot)] if len(heads) else []):
-                        f = slot[h]
-                        bins[h:b] = np.searchsorted(edges[ends[f] : ends[f + 1]], value[h:b])
+                    few = ends[slot + 1] - ends[slot] == 1  # one-hot slots, most of all
+                    bins[few] = value[few] > edges[ends[slot[few]]]
+                    for i in np.flatnonzero(ends[slot[heads] + 1] - ends[slot[heads]] > 1):
+                        h, b = heads[i], heads[i + 1] if i + 1 < len(heads) else len(slot)
+                        bins[h:b] = np.searchsorted(edges[ends[slot[h]] : ends[slot[h] + 1]], value[h:b])
                     arrays = (y, slot[heads].astype(np.int32), np.r_[heads, len(slot)].astype(np.int32), rows.astype(np.uint16), bins)
                     yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], list("yshrb"))
 

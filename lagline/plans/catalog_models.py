@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from lagline.operators import aggregates as agg
@@ -33,17 +34,24 @@ def _labelled(spark, d, city):
     return train, test
 
 
+@lru_cache(maxsize=8)
+def _onehot(spark, d, city):
+    """The fitted one-hot stages, which the classifiers on them share."""
+    return learning.train(learning.onehot_scaled(learning.CATEGORICAL, learning.NUMERIC), _labelled(spark, d, city)[0])
+
+
 @lru_cache(maxsize=32)
 def _baseline(spark, d, kind, city):
+    """A fitted classifier and its scored test rows, with the vectors that a query returns."""
     train, test = _labelled(spark, d, city)
     if kind == "Hashed Forest":
-        stages = [*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.wide_forest()]
+        model = learning.train([*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.wide_forest()], train)
     else:
+        encode = _onehot(spark, d, city)
         last = learning.logistic() if kind == "Logistic Regression" else learning.wide_forest(trees=100)
-        stages = [*learning.onehot_scaled(learning.CATEGORICAL, learning.NUMERIC), last]
-    model = learning.train(stages, train)
-    scored = model.transform(test)
-    return model, settle(scored.select(*learning.present(scored, [*ID, learning.LABEL, "unscaled_features", "features", "rawPrediction", "probability", "prediction"])))
+        model = PipelineModel([*encode.stages, last.fit(encode.transform(train))])
+    vectors = [] if kind == "Random Forest" else ["features"]
+    return model, settle(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"))
 
 
 def _metrics(spark, d, kind, city):
@@ -131,8 +139,9 @@ def ml_compare(spark, d):
 @query("ml_importance")
 def ml_importance(spark, d):
     def table(city):
-        model, scored = _baseline(spark, d, "Random Forest", city)
-        return learning.importance_table(model.stages[-1], scored, "unscaled_features")
+        model, _ = _baseline(spark, d, "Random Forest", city)
+        named = model.transform(_labelled(spark, d, city)[1])  # for its slots' names, no row is scored again
+        return learning.importance_table(model.stages[-1], named, "unscaled_features")
 
     return _cities(table)
 
@@ -140,8 +149,6 @@ def ml_importance(spark, d):
 @query("sink_model")
 def sink_model(spark, d):
     """Save a pipeline, load it again, and score the test rows with the loaded one."""
-    from pyspark.ml import PipelineModel
-
     def reloaded(city):
         path = work_dir(spark, "model")
         sinks.save_model(_baseline(spark, d, "Hashed Forest", city)[0], path)

@@ -68,3 +68,24 @@ def test_sparse_vector_holds_what_the_vector_holds(spark):
     assert got == [
         {"size": 1_000_000, "indices": [7, 999_999], "values": [0.123457, -2.0]}, {"size": 3, "indices": [1], "values": [1.5]},
     ]
+
+
+def test_entries_are_the_runs_from_their_heads():
+    assert forest._entries(np.array([5, 0, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
+    assert forest._entries(np.zeros(0, int), np.zeros(0, int)).tolist() == []
+
+
+def test_classifiers_share_the_one_hot_stages(spark, sf, monkeypatch):
+    """Both classifiers fit the encoding once; the forest keeps no vectors of the test rows."""
+    from lagline.plans import catalog, catalog_models
+
+    catalog.forget()
+    fitted = []
+    plain = learning.train
+    monkeypatch.setattr(learning, "train", lambda stages, df: fitted.append(1) or plain(stages, df))
+    monkeypatch.setattr(learning, "wide_forest", lambda trees=50: forest.SparseForest("delay_indicator", 2, 2))
+    for kind in ("Logistic Regression", "Random Forest"):
+        model, scored = catalog_models._baseline(spark, sf, kind, "web")
+        assert model.transform(catalog_models._labelled(spark, sf, "web")[1]).count() == scored.count()
+    assert len(fitted) == 1 and "features" not in scored.columns
+    catalog.forget()
