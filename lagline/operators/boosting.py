@@ -204,14 +204,24 @@ def _split(sums: np.ndarray, least: int, ridge: float) -> tuple[float, int, int]
     return float(gain.flat[at]), at // gain.shape[1], at % gain.shape[1]
 
 
-def cut_points(rows: DataFrame, by: Sequence[str], names: Sequence[str], quantiles: Sequence[float], target: str, bins: int = BINS) -> list:
-    """Per group the features' inner bin edges, the target's mean and its quantiles: one aggregate, a few numbers a group."""
-    shares = [i / bins for i in range(1, bins)]
-    stats = [F.percentile_approx(F.col(n).cast("double"), shares, 10_000).alias(f"c{i}") for i, n in enumerate(names)]
-    y = F.col(target).cast("double")
-    extra = [F.avg(y).alias("mean"), F.percentile_approx(y, list(quantiles) or [0.5], 10_000).alias("q")]
-    found = rows.groupBy(*by).agg(*stats, *extra).collect()
-    return sorted((r for r in found if r["mean"] is not None), key=lambda r: [str(r[c]) for c in by])
+def cut_points(rows: DataFrame, by: Sequence[str], names: Sequence[str], quantiles: Sequence[float], target: str, bins: int = BINS) -> list[dict]:
+    """Per group the features' inner bin edges, the target's mean and its quantiles: one aggregate, a few numbers a group.
+
+    A group's columns are summed up in tasks of their own, as summaries of all partitions meet there.
+    """
+    shares, last = [i / bins for i in range(1, bins)], len(names)
+    items = F.inline(F.array(*[F.struct(F.lit(i).alias("__i"), F.col(n).cast("double").alias("__v")) for i, n in enumerate([*names, target])]))
+    summed = rows.select(*by, items).groupBy(*by, "__i").agg(
+        F.percentile_approx("__v", [*shares, *quantiles], 10_000).alias("q"), F.avg(F.when(F.col("__i") == last, F.col("__v"))).alias("mean")
+    )
+    found: dict[tuple, dict] = {}
+    for r in summed.collect():
+        own = found.setdefault(tuple(r[c] for c in by), {c: r[c] for c in by})
+        if r["__i"] == last:
+            own |= {"mean": r["mean"], "q": r["q"] and r["q"][len(shares):]}
+        else:
+            own[f"c{r['__i']}"] = r["q"] and r["q"][: len(shares)]
+    return sorted((r for r in found.values() if r["mean"] is not None), key=lambda r: [str(r[c]) for c in by])
 
 
 def fit(
@@ -240,7 +250,9 @@ def fit(
                 })
 
     spark = rows.sparkSession
-    rows = rows.repartition(max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))  # small inputs on all cores
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)  # others stay where they are
     raw = rows.select(*by, F.col(target).cast("double").alias("y"), *[F.col(n).cast("double").alias(f"x{i}") for i, n in enumerate(names)])
     width = len(names)
 
@@ -257,12 +269,16 @@ def fit(
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     shallow = 1 if blocks.getNumPartitions() <= FEW else 2
+    before_last = None  # the blocks of the round before, until the first pass has read the new ones
     try:
         for round_ in range(trees):
             growing = [[Tree.empty(depth) for _ in losses] for _ in groups]
             for level in range(depth):
                 job = blocks.mapPartitions(lambda it, growing=growing, level=level: _histograms(it, losses, growing, level))
                 _grow(growing, job.treeReduce(merged, shallow), level, losses, ridge)
+                if before_last is not None:
+                    before_last.unpersist()
+                    before_last = None
             if quantiles:
                 job = blocks.mapPartitions(lambda it, growing=growing: _residuals(it, losses, growing))
                 for (g, k, node), summary in job.treeReduce(merged, shallow).items():
@@ -275,11 +291,11 @@ def fit(
                 fresh = blocks.map(lambda b, growing=growing: _with_margins(b, growing)).persist(StorageLevel.MEMORY_AND_DISK)
                 if (round_ + 1) % LINEAGE == 0 and spark.conf.get("spark.checkpoint.dir", None):
                     fresh.checkpoint()
-                fresh.count()
-                blocks.unpersist()
-                blocks = fresh
+                before_last, blocks = blocks, fresh
     finally:
-        blocks.unpersist()
+        for kept in (blocks, before_last):
+            if kept is not None:
+                kept.unpersist()
     return model
 
 

@@ -6,12 +6,12 @@ not trained on get the mean over all folds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.session import settle
+from lagline.session import hold, settle
 
 FOLDS = 5
 SMOOTHING = 20.0  # rows that the group's mean counts as
@@ -39,21 +39,29 @@ def level_means(
     return each.select(*by, "column", "level", "fold", value.alias("value"))
 
 
-def known_means(train: DataFrame, by: Sequence[str], columns: Sequence[str], target: str, key: Sequence[str]) -> DataFrame:
-    """`level_means`, kept. Its size is known then, so that joins broadcast it if it is small, and only if."""
+def known_means(train: DataFrame, by: Sequence[str], columns: Sequence[str], target: str, key: Sequence[str]) -> dict[str, DataFrame]:
+    """`level_means` by column, kept. Each one's size is known then, so that joins broadcast those that are small, and only those.
+
+    Kept as one, a column of many levels would have all rows shuffled by the few levels of the others, too.
+    """
     means = settle(level_means(train, by, columns, target, key))
-    means.count()
-    return means
+    parts = {c: hold(means.where(F.col("column") == c)) for c in columns}
+    for part in parts.values():
+        part.count()
+    return parts
 
 
 def encoded(
-    rows: DataFrame, means: DataFrame, by: Sequence[str], columns: Sequence[str], key: Sequence[str], trained: str | None = None, folds: int = FOLDS
+    rows: DataFrame, means: DataFrame | Mapping[str, DataFrame], by: Sequence[str], columns: Sequence[str], key: Sequence[str], trained: str | None = None, folds: int = FOLDS
 ) -> DataFrame:
-    """The rows with `enc_<column>`, null for a level that no training row had. trained: a boolean column of training rows."""
+    """The rows with `enc_<column>`, null for a level that no training row had.
+
+    means: `level_means`, or `known_means`. trained: a boolean column of training rows.
+    """
     fold = F.pmod(F.xxhash64(*key), F.lit(folds)).cast("int")
     rows = rows.withColumn("__fold", F.when(F.col(trained), fold).otherwise(WHOLE) if trained else F.lit(WHOLE))
     for c in columns:
-        one = means.where(F.col("column") == c).select(
+        one = (means[c] if isinstance(means, Mapping) else means.where(F.col("column") == c)).select(
             *by, F.col("level").alias("__level"), F.col("fold").alias("__fold"), F.col("value").alias(f"enc_{c}")
         )
         rows = rows.withColumn("__level", F.coalesce(F.col(c).cast("string"), F.lit(ABSENT))).join(one, [*by, "__level", "__fold"], "left").drop("__level")

@@ -97,7 +97,8 @@ def boosted_quantiles(
     known, fresh, names = train_rows, rows, [*[f"enc_{c}" for c in categorical], *numeric]
     if categorical:
         means = encoding.known_means(train_rows, by, categorical, target, key)
-        known = settle(encoding.encoded(train_rows.withColumn("__own", F.lit(True)), means, by, categorical, key, "__own"))
+        known = encoding.encoded(train_rows.withColumn("__own", F.lit(True)), means, by, categorical, key, "__own")
+        known = settle(known.select(*by, target, *names))
         fresh = encoding.encoded(rows, means, by, categorical, key)
     order = sorted(quantiles)
     outputs = [f"pred_p{round(q * 100)}" for q in order]

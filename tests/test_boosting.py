@@ -195,3 +195,33 @@ def test_encoding(rows):
             assert r.enc_area == pytest.approx((s + k * city[r.city][0] / city[r.city][1]) / (n + k))
     lost = encoding.encoded(train.limit(3).withColumn("area", F.lit("new")), means, ["city"], ["area"], ["id"])
     assert [r.enc_area for r in lost.collect()] == [None] * 3
+
+
+def test_each_column_of_means_is_joined_by_its_own_size(rows):
+    """Means of a column with few levels are broadcast beside a column of many levels, which is not."""
+    spark = rows.sparkSession
+    train = rows.withColumn("kind", F.expr("CAST(CAST(id AS INT) % 4 AS STRING)"))
+    means = encoding.known_means(train, ["city"], ["id", "kind"], "y", ["id"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        found = encoding.encoded(train, means, ["city"], ["id", "kind"], ["id"])
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        joint = encoding.encoded(train, encoding.level_means(train, ["city"], ["id", "kind"], "y", ["id"]), ["city"], ["id", "kind"], ["id"])
+        shown = ["id", *[F.round(f"enc_{c}", 9) for c in ("id", "kind")]]
+        assert found.select(*shown).exceptAll(joint.select(*shown)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cut_points_are_the_columns_own_quantiles(rows):
+    """Also with no rows; every column of a group is a key of its own, so that tasks share the summaries."""
+    got = boosting.cut_points(rows, ["city"], NAMES, [0.9], "minutes", bins=8)
+    shares = [i / 8 for i in range(1, 8)]
+    plain = rows.groupBy("city").agg(
+        *[F.percentile_approx(n, shares, 10_000).alias(n) for n in NAMES], F.avg("minutes").alias("mean"), F.percentile_approx("minutes", 0.9, 10_000).alias("q")
+    ).orderBy("city").collect()
+    assert [r["city"] for r in got] == ["a", "b"] and boosting.cut_points(rows.where("false"), ["city"], NAMES, [], "minutes") == []
+    for r, p in zip(got, plain):
+        assert [r[f"c{i}"] for i in range(3)] == [p[n] for n in NAMES] and r["mean"] == pytest.approx(p["mean"]) and r["q"] == [p["q"]]
