@@ -166,7 +166,8 @@ def ml_transfer(spark, d):
 def _tail(spark, d, city):
     rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("response_minutes IS NOT NULL"), learning.TAIL_FEATURES)
     train, test = split_train_test(settle(rows.select("incident_id", "response_minutes", *learning.TAIL_FEATURES)), ID)
-    model = learning.train([*learning.hashed([], learning.TAIL_FEATURES, "error"), learning.boosted()], train)
+    counted = settle(learning.collapsed(train, learning.TAIL_FEATURES, "response_minutes"))
+    model = learning.train([*learning.hashed([], learning.TAIL_FEATURES, "error"), learning.boosted(weight="n")], counted)
     return settle(model.transform(test).select("incident_id", "response_minutes", "prediction"))
 
 

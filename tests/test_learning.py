@@ -142,3 +142,15 @@ def test_clusters(spark):
     l = {r["feature"]: r["pc1"] for r in loadings.collect()}
     assert abs(l["u"]) == pytest.approx(0.7071, abs=1e-3) and l["w"] == pytest.approx(0, abs=1e-9)
     assert coords.agg(F.stddev_pop("pc1")).first()[0] == pytest.approx(2**0.5, rel=1e-2)
+
+
+def test_boosting_on_collapsed_rows_equals_boosting_on_all(spark):
+    """Weighted means per distinct features give the same splits and leaves as the rows themselves."""
+    df = rows(spark, 600).withColumn("level", F.expr("CAST(incident_id AS INT) % 3")).drop("delay_indicator")
+    counted = learning.collapsed(df, ["hour", "level"], "response_minutes")
+    assert counted.count() == df.select("hour", "level").distinct().count() < 100 and counted.agg(F.sum("n")).first()[0] == 600
+    stages = learning.hashed([], ["hour", "level"], "error")
+    plain = learning.train([*stages, learning.boosted()], df).transform(df)
+    ours = learning.train([*stages, learning.boosted(weight="n")], counted).transform(df)
+    a, b = ([r[0] for r in m.orderBy("incident_id").select("prediction").collect()] for m in (plain, ours))
+    assert b == pytest.approx(a, rel=1e-9)
