@@ -213,8 +213,9 @@ def transfer(train_rows: DataFrame, test_rows: DataFrame, train_city: str, test_
     numeric = sorted(set(present(train_rows, NUMERIC)) & set(present(test_rows, NUMERIC)))
     if not categorical and not numeric:
         raise ValueError("no common feature columns")
-    labelled = [keep_missing(df.filter(F.col(LABEL).isNotNull()), numeric) for df in (train_rows, test_rows)]
-    sample = balanced_sample(labelled[0], LABEL, keys)
+    wanted = list(dict.fromkeys([*keys, LABEL, *categorical, *numeric]))
+    labelled = [keep_missing(df.filter(F.col(LABEL).isNotNull()), numeric).select(*wanted) for df in (train_rows, test_rows)]
+    sample = settle(balanced_sample(settle(labelled[0]), LABEL, keys))
     model = train([*hashed(categorical, numeric, "keep"), forest()], sample)
     scored = model.transform(labelled[1]).select(LABEL, "rawPrediction", "prediction").persist()
     try:

@@ -154,3 +154,17 @@ def test_boosting_on_collapsed_rows_equals_boosting_on_all(spark):
     ours = learning.train([*stages, learning.boosted(weight="n")], counted).transform(df)
     a, b = ([r[0] for r in m.orderBy("incident_id").select("prediction").collect()] for m in (plain, ours))
     assert b == pytest.approx(a, rel=1e-9)
+
+
+def test_transfer_reads_its_training_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = rows(spark)
+    watched = df.repartition(2).mapInArrow(counted, df.schema).withColumnRenamed("kind", "incident_category")
+    found = learning.transfer(watched, df.withColumnRenamed("kind", "incident_category"), "a", "b", ["incident_id"]).collect()
+    assert len(found) == 1 and found[0]["auc_roc"] > 0.6 and read.value == 400
