@@ -98,7 +98,7 @@ def boosted_quantiles(
     if categorical:
         means = encoding.known_means(train_rows, by, categorical, target, key)
         known = encoding.encoded(train_rows.withColumn("__own", F.lit(True)), means, by, categorical, key, "__own")
-        known = settle(known.select(*by, target, *names))
+        known = settle(known.select(*[c for c in known.columns if c in {*by, target, *names}]))
         fresh = encoding.encoded(rows, means, by, categorical, key)
     order = sorted(quantiles)
     outputs = [f"pred_p{round(q * 100)}" for q in order]

@@ -244,8 +244,8 @@ def ag_confusion_totals(spark, d):
 @lru_cache(maxsize=4)
 def _quantiles(spark, d):
     """Boosted P90 and P95 of the test rows, the trees of both cities grown in the same passes."""
-    rows = learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC)
-    train, test = split_train_test(settle(rows.select("city", *ID, "response_minutes", *FEATURES)), ID)
+    rows = settle(learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC))
+    train, test = split_train_test(rows, ID)
     found = quantile.boosted_quantiles(train, test, ["city"], learning.CATEGORICAL, learning.NUMERIC, "response_minutes", ID)
     return settle(found.select("city", *ID, "response_minutes", "pred_p90", "pred_p95"))
 
@@ -294,12 +294,13 @@ def ml_pinball(spark, d):
 def _attributed(spark, d):
     """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
     rows = learning.keep_missing(model_ready(spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
-    train, test = split_train_test(settle(rows.select("city", *ID, learning.LABEL, *FEATURES)), ID)
+    train, test = split_train_test(settle(rows), ID)
     means = encoding.known_means(train, ["city"], learning.CATEGORICAL, "delay_indicator", ID)
     parts = (train.withColumn("__own", F.lit(True)), test.withColumn("__own", F.lit(False)))
     known, fresh = (encoding.encoded(p, means, ["city"], learning.CATEGORICAL, ID, "__own").drop("__own") for p in parts)
     names = [*[f"enc_{c}" for c in learning.CATEGORICAL], *learning.NUMERIC]
-    model = boosting.fit(settle(known.select("city", learning.LABEL, *names)), ["city"], names, learning.LABEL, [boosting.Logistic()])
+    read = {"city", learning.LABEL, *names}
+    model = boosting.fit(settle(known.select(*[c for c in known.columns if c in read])), ["city"], names, learning.LABEL, [boosting.Logistic()])
     keep = ["city", "incident_id", "delay_indicator", *FEATURES]
     return settle(attribution.attribute_margin(attribution.BoostedExplainer.of(model), fresh, ["city"], keep, FEATURES))
 
