@@ -5,7 +5,8 @@ knows what lies behind each partition, and a second pass adds up likelihood, gra
 Rows meet the Hessian with the sum of the factors of all earlier event times: a prefix sum, of which partitions know
 their own part and the driver the rest. Times that lie in more than one partition (there are fewer than two a partition)
 are put together by the driver. What it receives is a few matrices as wide as the model per partition, whatever the number
-of distinct times; no pass shuffles.
+of distinct times; no pass shuffles. Inside a partition the products of rows and covariates are worked out for STEP rows at a
+time, so that a task holds its rows once, in the few bytes they are kept in, and sums per distinct time.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame
 
 from lagline.session import hold
 
+STEP = 8_192  # rows whose products with the covariates are held at once
+
 
 def efron_sums(a: float, b: float, d: int, exact: int = 4096) -> np.ndarray:
     """Sums over l = 0..d-1 of log f, 1/f, x/f, 1/f^2, x/f^2, x^2/f^2 with x = l/d and f = a - b x.
@@ -77,6 +80,20 @@ class Part:
     def standard(self, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
         return (np.concatenate((self.numbers, self.marks), axis=1) - mean) / scale
 
+    def rows(self, first: int, end: int) -> Part:
+        return Part(*[x[first:end] for x in (self.time, self.event, self.weight, self.numbers, self.marks)])
+
+    def heads(self) -> np.ndarray:
+        """The first row of each distinct time."""
+        return np.flatnonzero(np.r_[True, self.time[1:] != self.time[:-1]]) if len(self.time) else np.zeros(0, int)
+
+    def steps(self, beta: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> Iterator[tuple[slice, Part, np.ndarray, np.ndarray]]:
+        """A few rows after the other: where they stand, they, their standardised covariates and their risks."""
+        for a in range(0, len(self.time), STEP):
+            some = self.rows(a, a + STEP)
+            z = some.standard(mean, scale)
+            yield slice(a, a + STEP), some, z, some.weight * np.exp(z @ beta)
+
 
 @dataclass
 class PerTime:
@@ -91,15 +108,33 @@ class PerTime:
     ex: np.ndarray
 
 
-def _sums(part: Part, z: np.ndarray, r: np.ndarray) -> tuple[PerTime, np.ndarray]:
+def _sums(part: Part, beta: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> tuple[PerTime, np.ndarray]:
     """Sums per distinct time, and the number of each row's time."""
-    heads = np.flatnonzero(np.r_[True, part.time[1:] != part.time[:-1]])
-    at = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(part.time)]))
-    over = lambda v: np.add.reduceat(v, heads, axis=0)
-    dead = np.where(part.event == 1, r, 0.0)
-    seen = np.where(part.event == 1, part.weight, 0.0)
-    rz, dz, sz = r[:, None] * z, dead[:, None] * z, seen[:, None] * z
-    return PerTime(part.time[heads], over(r), over(rz), over(dead), over(dz), over(seen), over(sz)), at
+    heads, p = part.heads(), len(beta)
+    n = len(heads)
+    at = np.repeat(np.arange(n, dtype=np.int32), np.diff(np.r_[heads, len(part.time)]))
+    sums = PerTime(part.time[heads], np.zeros(n), np.zeros((n, p)), np.zeros(n), np.zeros((n, p)), np.zeros(n), np.zeros((n, p)))
+    for where, some, z, r in part.steps(beta, mean, scale):
+        own = some.heads()
+        times = slice(at[where.start], at[where.start] + len(own))
+        dead = some.event == 1
+        e, seen = np.where(dead, r, 0.0), np.where(dead, some.weight, 0.0)
+        for total, weight in ((sums.r0, r), (sums.e0, e), (sums.d, seen)):
+            total[times] += np.add.reduceat(weight, own)
+        for total, weight in ((sums.r1, r), (sums.e1, e), (sums.ex, seen)):
+            total[times] += np.add.reduceat(weight[:, None] * z, own, axis=0)
+    return sums, at
+
+
+def _moments(part: Part, at: np.ndarray, beta: np.ndarray, mean: np.ndarray, scale: np.ndarray, own: np.ndarray, dead: np.ndarray) -> list[np.ndarray]:
+    """Second moments of all rows with the factors `own` of their times, of event rows with `dead`, and of all rows without a factor."""
+    out = [np.zeros((len(beta), len(beta))) for _ in range(3)]
+    for where, some, z, r in part.steps(beta, mean, scale):
+        time, e = at[where], some.event == 1
+        out[0] += z.T @ ((r * own[time])[:, None] * z)
+        out[1] += z[e].T @ ((r * dead[time])[e][:, None] * z[e])
+        out[2] += z.T @ (r[:, None] * z)
+    return out
 
 
 @dataclass
@@ -117,16 +152,17 @@ class Piece:
     residual: np.ndarray
 
 
-def _piece(s: PerTime, s0: np.ndarray, s1: np.ndarray, rank: np.ndarray, beta: np.ndarray, own: Callable, dead: Callable, moments: np.ndarray) -> Piece:
-    """own, dead: second moments of all rows, and of event rows, with a factor per time."""
+def _piece(s: PerTime, s0: np.ndarray, s1: np.ndarray, rank: np.ndarray, beta: np.ndarray, moments: Callable) -> Piece:
+    """moments: `_moments` of the rows by factors per time."""
     a = efron_rows(s0, s.e0, s.d)
     expected = s1 * a[:, 1:2] - s.e1 * a[:, 2:3]
     residual = s.ex - expected
     cross = s1.T @ (a[:, 4:5] * s.e1)
     outer = s1.T @ (a[:, 3:4] * s1) - cross - cross.T + s.e1.T @ (a[:, 5:6] * s.e1)
-    second = own(np.cumsum(a[:, 1])) - dead(a[:, 2]) - outer
+    own, dead, plain = moments(np.cumsum(a[:, 1]), a[:, 2])
+    second = own - dead - outer
     return Piece(
-        float((s.ex @ beta).sum() - a[:, 0].sum()), residual.sum(axis=0), second, moments, float(a[:, 1].sum()),
+        float((s.ex @ beta).sum() - a[:, 0].sum()), residual.sum(axis=0), second, plain, float(a[:, 1].sum()),
         float((s.d / s0).sum()), np.array([(rank * s.d).sum(), (rank**2 * s.d).sum()]), rank @ residual, residual.sum(axis=0),
     )
 
@@ -185,19 +221,18 @@ class RiskScan:
 
         def totals(item: tuple[int, Part]) -> tuple:
             index, part = item
-            z = part.standard(mean, scale)
-            r = part.weight * np.exp(z @ beta)
-            common = np.isin(part.time, shared)
-            inner = ~common
+            inner, common = _stretches(part, shared)
             times = {}
-            for t in np.unique(part.time[common]):
-                m = part.time == t
-                zm, rm, dead = z[m], r[m], part.event[m] == 1
-                s, _ = _sums(Part(part.time[m], part.event[m], part.weight[m], zm, zm), zm, rm)
-                moments = zm.T @ (rm[:, None] * zm)
-                times[float(t)] = (s, moments, zm[dead].T @ (rm[dead][:, None] * zm[dead]))
-            first = float(part.time[inner][0]) if inner.any() else None
-            return index, first, float(r[inner].sum()), r[inner] @ z[inner], float(part.weight[inner & (part.event == 1)].sum()), times
+            for own in common:
+                s, at = _sums(own, beta, mean, scale)
+                one = np.ones(1)
+                _, dead, moments = _moments(own, at, beta, mean, scale, one, one)
+                times[float(own.time[0])] = (s, moments, dead)
+            first = float(inner.time[0]) if len(inner.time) else None
+            s0, s1, events = 0.0, np.zeros(len(beta)), 0.0
+            for _, some, z, r in inner.steps(beta, mean, scale):
+                s0, s1, events = s0 + float(r.sum()), s1 + r @ z, events + float(some.weight[some.event == 1].sum())
+            return index, first, s0, s1, events, times
 
         found = self.parts.map(totals).collect()
         # stretches of times in order: the inner times of a partition, and each shared time
@@ -228,25 +263,20 @@ class RiskScan:
             index, part = item
             if index not in offsets:
                 return
-            keep = ~np.isin(part.time, shared)
-            part = Part(part.time[keep], part.event[keep], part.weight[keep], part.numbers[keep], part.marks[keep])
-            z = part.standard(mean, scale)
-            r = part.weight * np.exp(z @ beta)
-            s, at = _sums(part, z, r)
+            part, _ = _stretches(part, shared)
+            s, at = _sums(part, beta, mean, scale)
             o0, o1, before = offsets[index]
             s0 = np.cumsum(s.r0[::-1])[::-1] + o0
             s1 = np.cumsum(s.r1[::-1], axis=0)[::-1] + o1
-            dead = part.event == 1
-            own = lambda f: z.T @ ((r * f[at])[:, None] * z)
-            gone = lambda f: z[dead].T @ ((r * f[at])[dead][:, None] * z[dead])
-            yield index, _piece(s, s0, s1, _ranks(s.d, before, events), beta, own, gone, z.T @ (r[:, None] * z))
+            moments = lambda own, dead: _moments(part, at, beta, mean, scale, own, dead)
+            yield index, _piece(s, s0, s1, _ranks(s.d, before, events), beta, moments)
 
         pieces = {("inner", i): piece for i, piece in self.parts.flatMap(inside).collect()}
         for t, (s, moments, dead) in joined.items():
             o0, o1 = behind["shared", t]
             rank = _ranks(s.d, ahead["shared", t], events)
-            own, gone = (lambda f, m=moments: m * f[0]), (lambda f, m=dead: m * f[0])
-            pieces["shared", t] = _piece(s, s.r0 + o0, s.r1 + o1, rank, beta, own, gone, moments)
+            by = lambda f, g, m=moments, e=dead: (m * f[0], e * g[0], m)
+            pieces["shared", t] = _piece(s, s.r0 + o0, s.r1 + o1, rank, beta, by)
         second, factor, hazard = np.zeros((p, p)), 0.0, 0.0
         before, commons = {}, []
         for _, kind, key, *_ in order:
@@ -275,10 +305,7 @@ class RiskScan:
             index, part = item
             if index not in value.behind:
                 return
-            keep = ~np.isin(part.time, shared)
-            part = Part(part.time[keep], part.event[keep], part.weight[keep], part.numbers[keep], part.marks[keep])
-            z = part.standard(mean, scale)
-            s, _ = _sums(part, z, part.weight * np.exp(z @ beta))
+            s, _ = _sums(_stretches(part, shared)[0], beta, mean, scale)
             h = s.d / (np.cumsum(s.r0[::-1])[::-1] + value.behind[index][0])
             yield from zip(s.time.tolist(), h.tolist(), (np.cumsum(h) + value.before[index]).tolist())
 
@@ -287,6 +314,16 @@ class RiskScan:
         return inner.union(spark.createDataFrame([(t, h, h + b) for t, h, b in value.shared], schema))
 
 
+def _stretches(part: Part, shared: np.ndarray) -> tuple[Part, list[Part]]:
+    """The rows of a partition's own times, and those of each time that it shares: its first, its last or both."""
+    heads = part.heads()
+    ends = np.r_[heads[1:], len(part.time)]
+    common = np.isin(part.time[heads], shared)
+    own = np.flatnonzero(~common)
+    inner = part.rows(heads[own[0]], ends[own[-1]]) if len(own) else part.rows(0, 0)
+    return inner, [part.rows(heads[i], ends[i]) for i in np.flatnonzero(common)]
+
+
 def _ranks(d: np.ndarray, before: float, events: float) -> np.ndarray:
     """Mean ranks of tied events among all events, as shares of them."""
     return (before + np.cumsum(d) - d + (d + 1) / 2) / max(events, 1.0)

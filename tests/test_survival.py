@@ -306,3 +306,48 @@ def test_design_partitions_hold_a_bounded_number_of_rows(spark):
     sizes = many.kept.groupBy(F.spark_partition_id()).count().toPandas()["count"]
     assert rows == one.rows.count() > 100 and sizes.max() <= 60 and len(sizes) >= rows / 60
     assert cox.fit(many, 0.1).coef == pytest.approx(cox.fit(one, 0.1).coef, abs=1e-9)
+
+
+def test_a_step_holds_no_products_of_all_rows():
+    """A task's memory is its rows as they are kept, and sums per time; results do not depend on where steps begin."""
+    import tracemalloc
+
+    from lagline.operators import risk_scan
+
+    class Here:
+        """Partitions in this process."""
+
+        def __init__(self, items):
+            self.items = items
+
+        def map(self, f):
+            return Here([f(x) for x in self.items])
+
+        def flatMap(self, f):
+            return Here([y for x in self.items for y in f(x)])
+
+        def collect(self):
+            return self.items
+
+    rng = np.random.default_rng(1)
+    n, p = 60_000, 20
+    time = np.sort(rng.integers(1, 40, n)).astype(float)
+    values = time, rng.integers(0, 2, n).astype(np.int8), rng.integers(1, 3, n).astype(float), rng.normal(size=(n, 2)), rng.integers(0, 2, (n, p - 2)).astype(np.uint8)
+    cut = int(np.searchsorted(time, 20.0)) + 100  # in the middle of a time, which two partitions share
+    beta, mean, scale = rng.normal(size=p) / 10, np.full(p, 0.5), np.full(p, 2.0)
+
+    def value(ends):
+        scan = risk_scan.RiskScan.__new__(risk_scan.RiskScan)
+        scan.parts = Here([(i, risk_scan.Part(*[v[a:b] for v in values])) for i, (a, b) in enumerate(zip([0, *ends], [*ends, n]))])
+        scan.shared = np.array([20.0] if ends else [])
+        return scan.evaluate(beta, mean, scale)
+
+    tracemalloc.start()
+    one = value([])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * p * 8  # less than one copy of the standardised covariates
+    two = value([cut])
+    assert one.likelihood == pytest.approx(two.likelihood, rel=1e-10)
+    np.testing.assert_allclose(one.gradient, two.gradient, rtol=1e-8, atol=1e-6)
+    np.testing.assert_allclose(one.hessian, two.hessian, rtol=1e-8, atol=1e-6)
