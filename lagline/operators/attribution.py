@@ -25,6 +25,7 @@ from lagline.operators.learning import CATEGORICAL, LABEL, MISSING, NUMERIC, bin
 from lagline.session import work_dir
 
 SHAP_CATEGORICAL = CATEGORICAL
+SHORT = 8  # features of a path whose patterns are all worked out: a row's pattern is a byte then
 
 
 @dataclass
@@ -159,13 +160,22 @@ class BoostedExplainer:
         return BoostedExplainer(model, leaves, base)
 
     def contributions(self, group: int, codes: np.ndarray) -> np.ndarray:
-        phi = np.zeros(codes.shape)
+        columns, phi = np.ascontiguousarray(codes.T), np.zeros(codes.shape[::-1])
         for tree in self.leaves[group]:
             for value, features, low, high, zeros in tree:
-                if features:
-                    own = codes[:, features]
-                    phi[:, features] += _by_pattern(value, zeros, (own > low) & (own <= high))
-        return phi
+                if not features:
+                    continue
+                met = [(columns[f] > int(a)) & (columns[f] <= int(b)) for f, a, b in zip(features, low, high)]
+                if len(features) > SHORT:
+                    phi[features] += _by_pattern(value, zeros, np.stack(met, axis=1)).T
+                    continue
+                pattern = np.zeros(len(codes), np.uint8)
+                for j, one in enumerate(met):
+                    pattern |= one.view(np.uint8) << j
+                every = np.arange(1 << len(features))[:, None] >> np.arange(len(features)) & 1
+                for f, part in zip(features, path_parts(value, zeros, every.astype(float)).T):
+                    phi[f] += part[pattern]
+        return phi.T
 
 
 def attribute_margin(explainer: BoostedExplainer, rows: DataFrame, by: Sequence[str], keep: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -165,12 +165,14 @@ def _histograms(blocks: Iterator[tuple], losses: list, growing: list[list[Tree]]
             here = node >= 0  # others stand in a leaf above
             if not here.any():
                 continue
-            at, mine = node[here], codes[here]
-            g, h = loss.gradients(y[here], margin[k][here])
+            whole = here.all()
+            at, mine, target, at_margin = (node, codes, y, margin[k]) if whole else (node[here], codes.T[:, here].T, y[here], margin[k][here])
+            g, h = loss.gradients(target, at_margin)
             size = first * width
             sums = np.empty((3, codes.shape[1], size))
+            at = at * width
             for j in range(codes.shape[1]):
-                cell = at * width + mine[:, j]
+                cell = at + mine[:, j]
                 sums[0, j], sums[2, j] = np.bincount(cell, g, size), np.bincount(cell, minlength=size)
                 sums[1, j] = sums[2, j] if h is None else np.bincount(cell, h, size)
             merged(out, {(group, k): sums.reshape(3, codes.shape[1], first, width)})
@@ -184,7 +186,8 @@ def _residuals(blocks: Iterator[tuple], losses: list, growing: list[list[Tree]])
         for k, loss in enumerate(losses):
             if isinstance(loss, Pinball):
                 node, rest = growing[group][k].nodes(codes), y - margin[k]
-                order = np.lexsort((rest, node))
+                order = np.argsort(rest)
+                order = order[np.argsort(node[order].astype(np.uint16 if len(growing[group][k].feature) <= 1 << 16 else node.dtype), kind="stable")]
                 node, rest = node[order], rest[order]
                 heads = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
                 for a, b in zip(heads, np.r_[heads[1:], len(node)]):
@@ -245,7 +248,7 @@ def fit(
                 x = part[[f"x{i}" for i in range(len(names))]].to_numpy(dtype=float)
                 g = number[tuple(key)]
                 yield pa.RecordBatch.from_pydict({
-                    "g": pa.array([g], pa.int32()), "codes": pa.array([model.codes(g, x).tobytes()], pa.binary()),
+                    "g": pa.array([g], pa.int32()), "codes": pa.array([model.codes(g, x).tobytes("F")], pa.binary()),
                     "y": pa.array([part["y"].to_numpy(dtype=float).tobytes()], pa.binary()),
                 })
 
@@ -257,9 +260,9 @@ def fit(
     width = len(names)
 
     def unpack(row) -> tuple:
-        """A block as (group, codes, targets, margins)."""
+        """A block as (group, codes, targets, margins); a feature's codes lie together, as sums are made by feature."""
         y = np.frombuffer(row["y"])
-        return row["g"], np.frombuffer(row["codes"], np.uint8).reshape(len(y), width), y, np.repeat(start[row["g"]][:, None], len(y), axis=1)
+        return row["g"], np.frombuffer(row["codes"], np.uint8).reshape(width, len(y)).T, y, np.repeat(start[row["g"]][:, None], len(y), axis=1)
 
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK))

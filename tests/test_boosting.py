@@ -225,3 +225,25 @@ def test_cut_points_are_the_columns_own_quantiles(rows):
     assert [r["city"] for r in got] == ["a", "b"] and boosting.cut_points(rows.where("false"), ["city"], NAMES, [], "minutes") == []
     for r, p in zip(got, plain):
         assert [r[f"c{i}"] for i in range(3)] == [p[n] for n in NAMES] and r["mean"] == pytest.approx(p["mean"]) and r["q"] == [p["q"]]
+
+
+def test_rows_of_short_paths_are_attributed_without_sorting_them(monkeypatch):
+    """A leaf's patterns are all worked out, rows only look theirs up; the parts are those of every row worked out by itself."""
+    rng = np.random.default_rng(3)
+    tree = boosting.Tree.empty(3)
+    for node in range(1, 8):
+        tree.feature[node], tree.cut[node], tree.cover[node] = node % 3, 4 + node, 64 >> (node.bit_length() - 1)
+    tree.cover[8:], tree.value[8:] = [5, 11, 3, 13, 7, 9, 2, 14], rng.normal(size=8)
+    model = boosting.Ensemble(["a", "b", "c"], [()], [boosting.Logistic()], [[np.arange(20.0)] * 3], np.zeros((1, 1)), [[[tree]]])
+    explainer = attribution.BoostedExplainer.of(model)
+    codes = rng.integers(0, 21, (500, 3)).astype(np.uint8)
+    expected = np.zeros(codes.shape)
+    for value, features, low, high, zeros in explainer.leaves[0][0]:
+        own = codes[:, features].astype(int)
+        expected[:, features] += attribution.path_parts(value, zeros, ((own > low) & (own <= high)).astype(float))
+
+    def refuse(*_, **__):
+        raise AssertionError("rows are sorted")
+
+    monkeypatch.setattr(attribution.np, "unique", refuse)
+    np.testing.assert_allclose(explainer.contributions(0, codes), expected, atol=1e-12)
