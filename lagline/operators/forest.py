@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -52,6 +52,20 @@ def _ragged(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return y, rows[some], slot[some], value[some]
 
 
+def _of_size(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of `size`, the last one less, however Spark has cut them."""
+    held, n = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            held.append(batch.slice(0, size - n))
+            batch, n = batch.slice(size - n), n + held[-1].num_rows
+            if n == size:
+                yield pa.concat_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _flat(rows: DataFrame, label: str, column: str) -> DataFrame:
     vector = F.unwrap_udt(F.col(column))
     indices = F.coalesce(vector["indices"], F.array().cast("array<int>"))
@@ -221,24 +235,34 @@ def _saved_nodes(tree: int, feature: np.ndarray, cut: np.ndarray, gain: np.ndarr
 
 
 class SparseForest(Estimator):
-    """Binary random forest on a vector column; `fit` returns Spark's RandomForestClassificationModel."""
+    """Binary random forest on a vector column; `fit` returns Spark's RandomForestClassificationModel.
+
+    After `on` it gets rows without that column.
+    """
 
     def __init__(self, label: str, trees: int, depth: int, column: str = "features", bins: int = BINS, seed: int = SEED):
         super().__init__()
         self.label, self.trees, self.depth, self.column, self.bins, self.seed = label, trees, depth, column, bins, seed
+        self.encoder: Transformer | None = None
+
+    def on(self, encoder: Transformer) -> SparseForest:
+        """This forest on rows of which `encoder` makes the vectors, row by row: only those sampled for split points are encoded twice."""
+        self.encoder = encoder
+        return self
 
     def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
         trees, depth, seed = self.trees, self.depth, self.seed
         spark = dataset.sparkSession
-        flat = _flat(dataset, self.label, self.column)
+        encode = self.encoder.transform if self.encoder else lambda rows: rows
+        flat = _flat(encode(dataset), self.label, self.column)
         found = dataset.agg(F.count("*").alias("n"), F.min(self.label).alias("a"), F.max(self.label).alias("b")).first()
         if not found["n"]:
             raise ValueError("no rows to train on")
         if not {float(found["a"]), float(found["b"])} <= {0.0, 1.0}:
             raise ValueError(f"labels have to be 0 or 1, not {found['a']} to {found['b']}")
-        width = dataset.select(self.column).first()[0].size
-        part = flat.sample(SAMPLE / found["n"], seed) if found["n"] > SAMPLE else flat
-        batch = part.toArrow().combine_chunks().to_batches()
+        width = encode(dataset.limit(1)).select(self.column).first()[0].size
+        part = dataset.sample(SAMPLE / found["n"], seed) if found["n"] > SAMPLE else dataset
+        batch = _flat(encode(part), self.label, self.column).toArrow().combine_chunks().to_batches()
         sampled = sum(b.num_rows for b in batch)
         entries = [_ragged(b)[2:] for b in batch] or [(np.zeros(0, int), np.zeros(0))]
         points = split_points(*(np.concatenate(x) for x in zip(*entries)), sampled, width, self.bins)
@@ -248,29 +272,23 @@ class SparseForest(Estimator):
         zero = np.array([np.searchsorted(p, 0.0) for p in points], np.int32)
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for a in range(0, whole.num_rows, BLOCK):
-                    y, rows, slot, value = _ragged(whole.slice(a, BLOCK))
-                    order = np.argsort(slot, kind="stable")
-                    rows, slot, value = rows[order], slot[order], value[order]
-                    heads = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, int)
-                    bins = np.zeros(len(slot), np.uint8)
-                    few = ends[slot + 1] - ends[slot] == 1  # one-hot slots, most of all
-                    bins[few] = value[few] > edges[ends[slot[few]]]
-                    for i in np.flatnonzero(ends[slot[heads] + 1] - ends[slot[heads]] > 1):
-                        h, b = heads[i], heads[i + 1] if i + 1 < len(heads) else len(slot)
-                        bins[h:b] = np.searchsorted(edges[ends[slot[h]] : ends[slot[h] + 1]], value[h:b])
-                    arrays = (y, slot[heads].astype(np.int32), np.r_[heads, len(slot)].astype(np.int32), rows.astype(np.uint16), bins)
-                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], list("yshrb"))
-
-        before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK))
-        try:
-            packed = _on_all_cores(spark, flat).mapInArrow(pack, "y binary, s binary, h binary, r binary, b binary")
-            blocks = packed.rdd.mapPartitionsWithIndex(lambda i, rows: _blocks(i, rows, seed)).persist(StorageLevel.MEMORY_AND_DISK)
-            blocks.count()
-        finally:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+            for whole in _of_size(batches, BLOCK):
+                y, rows, slot, value = _ragged(whole)
+                order = np.argsort(slot, kind="stable")
+                rows, slot, value = rows[order], slot[order], value[order]
+                heads = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, int)
+                bins = np.zeros(len(slot), np.uint8)
+                few = ends[slot + 1] - ends[slot] == 1  # one-hot slots, most of all
+                bins[few] = value[few] > edges[ends[slot[few]]]
+                for i in np.flatnonzero(ends[slot[heads] + 1] - ends[slot[heads]] > 1):
+                    h, b = heads[i], heads[i + 1] if i + 1 < len(heads) else len(slot)
+                    bins[h:b] = np.searchsorted(edges[ends[slot[h]] : ends[slot[h] + 1]], value[h:b])
+                arrays = (y, slot[heads].astype(np.int32), np.r_[heads, len(slot)].astype(np.int32), rows.astype(np.uint16), bins)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], list("yshrb"))
+
+        packed = _on_all_cores(spark, flat).mapInArrow(pack, "y binary, s binary, h binary, r binary, b binary")
+        blocks = packed.rdd.mapPartitionsWithIndex(lambda i, rows: _blocks(i, rows, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.count()
         nodes = 2 << depth
         feature, cut = np.full((trees, nodes), -1, np.int32), np.zeros((trees, nodes), np.int32)
         gain, counts = np.full((trees, nodes), -1.0), np.zeros((trees, nodes, 2), np.int64)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagline.session import settle
+
 # Fixed value: seed of all samples, splits and models.
 SEED = 42
 
@@ -32,6 +34,12 @@ def split_train_test(
     return df.filter(h < train), df.filter(h >= train)
 
 
+def kept_split(df: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """`split_train_test` of rows that are kept: the hash is worked out once, not by every job that reads a side."""
+    rows = settle(df.withColumn("__train", hash_fraction(keys, seed) < train))
+    return rows.filter("__train").drop("__train"), rows.filter("NOT __train").drop("__train")
+
+
 def balanced_sample(
     df: DataFrame, label: str, keys: Sequence[str], max_per_class: int = 200_000, seed: int = SEED
 ) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from lagline.operators import aggregates as agg
 from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, quantile
 from lagline.operators.reshape import stack
-from lagline.operators.sampling import split_train_test
+from lagline.operators.sampling import kept_split
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
-from lagline.session import settle, work_dir, written
+from lagline.session import at_once, settle, work_dir, written
 from lagline.sources import sinks
 
 ID = ["incident_id"]
@@ -26,12 +26,17 @@ def _cities(part):
     return stack([part(city).withColumn("city", F.lit(city)) for city in CITIES])
 
 
+def _cities_at_once(spark, part):
+    """`_cities` where a part runs jobs of its own: those of both cities at the same time."""
+    parts = dict(zip(CITIES, at_once(spark, part, CITIES)))
+    return _cities(parts.get)
+
+
 @lru_cache(maxsize=8)
 def _labelled(spark, d, city):
     """Train and test rows with a known label, kept because every model reads them; unknown numbers are a value of their own."""
     rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
-    train, test = split_train_test(settle(rows.select(*ID, learning.LABEL, *FEATURES)), ID)
-    return train, test
+    return kept_split(rows.select(*ID, learning.LABEL, *FEATURES), ID)
 
 
 @lru_cache(maxsize=8)
@@ -45,15 +50,25 @@ def _baseline(spark, d, kind, city):
     """A fitted classifier and its scored test rows, with the vectors that a query returns."""
     train, test = _labelled(spark, d, city)
     if kind == "Hashed Forest":
-        model = learning.train([*learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"), learning.wide_forest()], train)
+        encode = PipelineModel(learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"))
+        last = learning.wide_forest().on(encode).fit(train)
     else:
         encode = _onehot(spark, d, city)
-        last = learning.logistic() if kind == "Logistic Regression" else learning.wide_forest(trees=100)
-        model = PipelineModel([*encode.stages, last.fit(encode.transform(train))])
+        logistic = kind == "Logistic Regression"
+        last = learning.logistic().fit(encode.transform(train)) if logistic else learning.wide_forest(trees=100).on(encode).fit(train)
+    model = PipelineModel([*encode.stages, last])
     vectors = [] if kind == "Random Forest" else ["features"]
     return model, settle(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"))
 
 
+def _baselines(spark, d, kinds, city):
+    """Scored test rows by kind; the classifiers are fitted at the same time."""
+    _labelled(spark, d, city)
+    if "Hashed Forest" not in kinds:
+        _onehot(spark, d, city)
+    return dict(zip(kinds, at_once(spark, lambda kind: _baseline(spark, d, kind, city)[1], kinds)))
+
+
 def _metrics(spark, d, kind, city):
     _, scored = _baseline(spark, d, kind, city)
     return {**learning.ranking_quality(scored), **learning.class_quality(scored)}
@@ -79,7 +94,7 @@ def ml_hash_assemble(spark, d):
 
 def _predictions(spark, d, kind):
     columns = ["incident_id", "delay_indicator", learning.positive_probability().alias("p"), "prediction"]
-    return _cities(lambda c: _baseline(spark, d, kind, c)[1].select(*columns))
+    return _cities_at_once(spark, lambda c: _baseline(spark, d, kind, c)[1].select(*columns))
 
 
 @query("ml_logreg")
@@ -116,7 +131,12 @@ def ml_eval_binary(spark, d):
 @query("ml_eval_multi")
 def ml_eval_multi(spark, d):
     kinds = ("Random Forest", "Hashed Forest")
-    return _cities(lambda c: stack([_one_row(spark, k, learning.class_quality(_baseline(spark, d, k, c)[1])) for k in kinds]))
+
+    def table(city):
+        scored = _baselines(spark, d, kinds, city)
+        return stack([_one_row(spark, k, learning.class_quality(scored[k])) for k in kinds])
+
+    return _cities_at_once(spark, table)
 
 
 @query("ag_confusion")
@@ -143,7 +163,7 @@ def ml_importance(spark, d):
         named = model.transform(_labelled(spark, d, city)[1])  # for its slots' names, no row is scored again
         return learning.importance_table(model.stages[-1], named, "unscaled_features")
 
-    return _cities(table)
+    return _cities_at_once(spark, table)
 
 
 @query("sink_model")
@@ -165,7 +185,7 @@ def ml_transfer(spark, d):
 @lru_cache(maxsize=8)
 def _tail(spark, d, city):
     rows = learning.keep_missing(CITY_ROWS[city](spark, d).filter("response_minutes IS NOT NULL"), learning.TAIL_FEATURES)
-    train, test = split_train_test(settle(rows.select("incident_id", "response_minutes", *learning.TAIL_FEATURES)), ID)
+    train, test = kept_split(rows.select("incident_id", "response_minutes", *learning.TAIL_FEATURES), ID)
     counted = settle(learning.collapsed(train, learning.TAIL_FEATURES, "response_minutes"))
     model = learning.train([*learning.hashed([], learning.TAIL_FEATURES, "error"), learning.boosted(weight="n")], counted)
     return settle(model.transform(test).select("incident_id", "response_minutes", "prediction"))
@@ -244,8 +264,7 @@ def ag_confusion_totals(spark, d):
 @lru_cache(maxsize=4)
 def _quantiles(spark, d):
     """Boosted P90 and P95 of the test rows, the trees of both cities grown in the same passes."""
-    rows = settle(learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC))
-    train, test = split_train_test(rows, ID)
+    train, test = kept_split(learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC), ID)
     found = quantile.boosted_quantiles(train, test, ["city"], learning.CATEGORICAL, learning.NUMERIC, "response_minutes", ID)
     return settle(found.select("city", *ID, "response_minutes", "pred_p90", "pred_p95"))
 
@@ -294,7 +313,7 @@ def ml_pinball(spark, d):
 def _attributed(spark, d):
     """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
     rows = learning.keep_missing(model_ready(spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
-    train, test = split_train_test(settle(rows), ID)
+    train, test = kept_split(rows, ID)
     means = encoding.known_means(train, ["city"], learning.CATEGORICAL, "delay_indicator", ID)
     parts = (train.withColumn("__own", F.lit(True)), test.withColumn("__own", F.lit(False)))
     known, fresh = (encoding.encoded(p, means, ["city"], learning.CATEGORICAL, ID, "__own").drop("__own") for p in parts)

@@ -89,3 +89,52 @@ def test_classifiers_share_the_one_hot_stages(spark, sf, monkeypatch):
         assert model.transform(catalog_models._labelled(spark, sf, "web")[1]).count() == scored.count()
     assert len(fitted) == 1 and "features" not in scored.columns
     catalog.forget()
+
+
+def test_a_forest_samples_rows_before_they_are_encoded(spark, monkeypatch):
+    """The same forest as on encoded rows; only sampled rows are encoded beside the one pass over all."""
+    from pyspark.ml import PipelineModel, Transformer
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(forest, "SAMPLE", 100)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def same(x):
+        seen.add(1)
+        return x
+
+    class Counted(Transformer):
+        def _transform(self, dataset):
+            return dataset.withColumn("z", same("x"))
+
+    df = spark.range(4000).selectExpr("CAST(id % 7 < 3 AS double) AS delay_indicator", "CAST(id % 50 AS double) AS x").repartition(8).persist()
+    encode = PipelineModel([Counted(), *learning.hashed([], ["z"], "error")])
+    df.count()
+    model = learning.wide_forest(trees=3).on(encode).fit(df)
+    assert seen.value < 4000 + 1000
+    assert model.toDebugString.split("\n")[1:] == learning.wide_forest(trees=3).fit(encode.transform(df)).toDebugString.split("\n")[1:]
+
+
+def test_blocks_do_not_depend_on_the_batches_that_spark_cuts(spark):
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"a": list(range(a, b))}) for a, b in ((0, 3), (3, 3), (3, 11), (11, 12))]
+    got = [b.column(0).to_pylist() for b in forest._of_size(iter(batches), 5)]
+    assert got == [[0, 1, 2, 3, 4], [5, 6, 7, 8, 9], [10, 11]]
+    assert list(forest._of_size(iter([]), 5)) == []
+
+
+def test_both_cities_run_at_the_same_time(spark, sf):
+    """Parts of either city wait for each other, so one after the other they never end."""
+    from threading import Barrier
+
+    from lagline.plans import catalog_models
+
+    meet = Barrier(2, timeout=60)
+
+    def part(city):
+        meet.wait()
+        return spark.createDataFrame([(len(city),)], "n int")
+
+    assert sorted(catalog_models._cities_at_once(spark, part).collect()) == [(3, "web"), (7, "freight")]

@@ -169,3 +169,11 @@ def test_windows_of_calls_sort_by_a_number_first(spark):
     assert [tuple(r) for r in counts.orderBy("__sec").select("area", "calls_past_30min", "calls_past_60min").collect()] == [(None, 2, 2), ("a", 1, 1), ("a", 2, 2)]
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(area" in plan
+
+
+def test_a_kept_split_works_its_hash_out_once(spark):
+    df = spark.range(2000).selectExpr("CAST(id AS string) AS id", "id % 3 AS v")
+    for kept, plain in zip(sampling.kept_split(df, ["id"]), sampling.split_train_test(df, ["id"])):
+        assert sorted(kept.collect()) == sorted(plain.collect()) and kept.columns == plain.columns
+        own, *below = kept._jdf.queryExecution().optimizedPlan().treeString().split("InMemoryRelation")
+        assert below and "md5" not in own
