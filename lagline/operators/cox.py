@@ -91,13 +91,18 @@ def indicator_report(
 
 
 def design_long(rows: DataFrame, keys: Sequence[str], row_id: str, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Sparse design: one row per incident and kept indicator that is 1."""
+    """Sparse design: one row per incident and kept indicator that is 1.
+
+    Rows are worked out once for counts and design. A column keeps levels of a thousandth of the rows at least, so there
+    are a thousand at most, which are broadcast: the long rows are not shuffled.
+    """
+    rows = written(rows.select(*keys, row_id, *categorical), "design")
     report = indicator_report(level_counts(rows, keys, categorical)).filter(
         "NOT is_reference AND NOT low_frequency AND NOT low_variance"
     )
     items = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level")) for c in categorical]))
     return rows.select(*keys, row_id, items).join(
-        report.select(*keys, "column_name", "level", "covariate"), [*keys, "column_name", "level"]
+        F.broadcast(report.select(*keys, "column_name", "level", "covariate")), [*keys, "column_name", "level"]
     ).select(*keys, row_id, "covariate")
 
 

@@ -25,16 +25,17 @@ def calls_per_second(
     span = max(lookbacks.values())
     last = 0 if include_current else -1
     counts = df.select(*keys, epoch_seconds(time).alias("__sec"), (F.col(weight) if weight else F.lit(1)).alias("__w")).groupBy(*keys, "__sec").agg(F.sum("__w").alias("__n"))
-    counts = counts.withColumn("__b", F.floor(F.col("__sec") / span))
+    home = F.floor(F.col("__sec") / span)
     # Rows without a time keep a bucket of their own, where a RANGE frame makes them peers of each other only.
-    homes = F.when(F.col("__b").isNull(), F.array(F.col("__b"))).otherwise(F.array(F.col("__b"), F.col("__b") + 1))
-    spread = counts.select(*keys, "__sec", "__n", "__b", F.explode(homes).alias("__bucket"))
+    homes = F.when(home.isNull(), F.array(home)).otherwise(F.array(home, home + 1))
+    # Dealt out before the hash is worked out, which would be the larger part of what a row takes on disk.
+    spread = counts.select(*keys, "__sec", "__n", F.explode(homes).alias("__bucket")).repartition(*keys, "__bucket")
     # Sorting compares the first key's eight leading bytes before whole rows: a hash tells groups apart there, names rarely do.
     w = Window.partitionBy(F.xxhash64(*keys, "__bucket"), *keys, "__bucket").orderBy("__sec")
     windows = {c: F.sum("__n").over(w.rangeBetween(-s, last)) for c, s in lookbacks.items()}
     return (
-        spread.select(*keys, "__sec", "__b", "__bucket", *[F.coalesce(e, F.lit(0)).alias(c) for c, e in windows.items()])
-        .filter(F.col("__b").eqNullSafe(F.col("__bucket")))
+        spread.select(*keys, "__sec", "__bucket", *[F.coalesce(e, F.lit(0)).alias(c) for c, e in windows.items()])
+        .filter(home.eqNullSafe(F.col("__bucket")))
         .select(*keys, "__sec", *lookbacks)
     )
 

@@ -1,10 +1,12 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lagline import session
 from lagline.operators import aggregates as agg
 from lagline.operators import dedup, demand, drivers, quality, ranking, reshape, sampling
 
@@ -177,3 +179,29 @@ def test_a_kept_split_works_its_hash_out_once(spark):
         assert sorted(kept.collect()) == sorted(plain.collect()) and kept.columns == plain.columns
         own, *below = kept._jdf.queryExecution().optimizedPlan().treeString().split("InMemoryRelation")
         assert below and "md5" not in own
+
+
+def test_a_balanced_sample_has_all_rows_of_the_smaller_class(spark):
+    df = spark.range(420_000).withColumn("y", (F.col("id") % 2).cast("int"))
+    assert sampling.balanced_sample(df, "y", ["id"]).count() == 420_000
+    assert sampling.balanced_sample(df, "y", ["id"], max_per_class=1000).count() < 3000
+
+
+def test_written_rows_leave_no_shuffle_files(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before = spark.conf.get(session.FREE_SHUFFLES, None)
+    at_first = files()
+    assert session.written(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts").count() == 7
+    for _ in range(50):
+        if files() <= at_first:
+            break
+        time.sleep(0.2)
+    assert files() <= at_first and spark.conf.get(session.FREE_SHUFFLES, None) == before
+
+
+def test_a_kept_split_takes_disk_once(spark, monkeypatch):
+    """As a table; what is kept besides is in memory only."""
+    monkeypatch.setattr(sampling, "stored", session.written)
+    train, test = sampling.kept_split(spark.range(100).withColumn("x", F.lit("a")), ["id"])
+    assert train.count() + test.count() == 100
+    assert "StorageLevel(memory, " in train._jdf.queryExecution().optimizedPlan().treeString()

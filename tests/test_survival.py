@@ -351,3 +351,19 @@ def test_a_step_holds_no_products_of_all_rows():
     assert one.likelihood == pytest.approx(two.likelihood, rel=1e-10)
     np.testing.assert_allclose(one.gradient, two.gradient, rtol=1e-8, atol=1e-6)
     np.testing.assert_allclose(one.hessian, two.hessian, rtol=1e-8, atol=1e-6)
+
+
+def test_long_design_rows_are_not_shuffled(spark):
+    """The kept indicators are broadcast, whatever the optimizer thinks of their size, and the rows are read back from a table."""
+    rows = spark.range(2000).selectExpr("'a' AS city", "id", "CAST(id % 3 AS string) AS kind", "CAST(id % 2 AS string) AS side")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        long = cox.design_long(rows, ["city"], "id", ["kind", "side"])
+        plan = long._jdf.queryExecution().executedPlan().toString()
+        got = {r[0]: r[1] for r in long.groupBy("covariate").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [x for x in plan.splitlines() if "JoinExec" in x or "Join " in x]
+    assert any("BroadcastHashJoin" in x and "column_name" in x for x in joins[:1])
+    assert got == {"kind_1": 667, "kind_2": 666, "side_1": 1000}
