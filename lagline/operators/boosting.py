@@ -26,7 +26,7 @@ DEPTH = 4
 RATE = 0.2
 LEAST = 20  # rows of a leaf, at least
 RIDGE = 1.0
-LINEAGE = 10  # rounds after which the blocks are checkpointed
+LINEAGE = 10  # rounds after which the blocks are checkpointed, if as many are to come
 FEW = 32  # partitions whose sums go to the driver without another stage
 SUMMARY = 1024  # points of a quantile summary
 BLOCK = 65_536  # rows of a block
@@ -292,7 +292,7 @@ def fit(
                     model.trees[g][k].append(tree)
             if round_ + 1 < trees:
                 fresh = blocks.map(lambda b, growing=growing: _with_margins(b, growing)).persist(StorageLevel.MEMORY_AND_DISK)
-                if (round_ + 1) % LINEAGE == 0 and spark.conf.get("spark.checkpoint.dir", None):
+                if (round_ + 1) % LINEAGE == 0 and trees - round_ > LINEAGE and spark.conf.get("spark.checkpoint.dir", None):
                     fresh.checkpoint()
                 before_last, blocks = blocks, fresh
     finally:

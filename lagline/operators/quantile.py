@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lagline.operators import boosting, encoding
 from lagline.operators.learning import bins_for, train
 from lagline.operators.sampling import SEED
-from lagline.session import settle
+from lagline.session import stored
 
 # Quantiles modelled and the target cap in minutes.
 QUANTILES = (0.9, 0.95)
@@ -98,7 +98,7 @@ def boosted_quantiles(
     if categorical:
         means = encoding.known_means(train_rows, by, categorical, target, key)
         known = encoding.encoded(train_rows.withColumn("__own", F.lit(True)), means, by, categorical, key, "__own")
-        known = settle(known.select(*[c for c in known.columns if c in {*by, target, *names}]))
+        known = stored(known.select(*[c for c in known.columns if c in {*by, target, *names}]), "encoded")
         fresh = encoding.encoded(rows, means, by, categorical, key)
     order = sorted(quantiles)
     outputs = [f"pred_p{round(q * 100)}" for q in order]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.session import settle
+from lagline.session import hold, stored
 
 # Fixed value: seed of all samples, splits and models.
 SEED = 42
@@ -35,8 +36,13 @@ def split_train_test(
 
 
 def kept_split(df: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """`split_train_test` of rows that are kept: the hash is worked out once, not by every job that reads a side."""
-    rows = settle(df.withColumn("__train", hash_fraction(keys, seed) < train))
+    """`split_train_test` of rows that are kept: the hash is worked out once, not by every job that reads a side.
+
+    What does not fit into memory is read from the shared folder again, so the disk has the rows once.
+    """
+    rows = stored(df.withColumn("__train", hash_fraction(keys, seed) < train), "split")
+    if not rows.is_cached:
+        rows = hold(rows, StorageLevel.MEMORY_ONLY)
     return rows.filter("__train").drop("__train"), rows.filter("NOT __train").drop("__train")
 
 

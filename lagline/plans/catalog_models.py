@@ -13,7 +13,7 @@ from lagline.operators.reshape import stack
 from lagline.operators.sampling import kept_split
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
-from lagline.session import at_once, settle, work_dir, written
+from lagline.session import at_once, settle, stored, work_dir, written
 from lagline.sources import sinks
 
 ID = ["incident_id"]
@@ -264,9 +264,10 @@ def ag_confusion_totals(spark, d):
 @lru_cache(maxsize=4)
 def _quantiles(spark, d):
     """Boosted P90 and P95 of the test rows, the trees of both cities grown in the same passes."""
-    train, test = kept_split(learning.keep_missing(quantile.capped(model_ready(spark, d)), learning.NUMERIC), ID)
+    rows = quantile.capped(model_ready(spark, d)).select("city", *ID, "response_minutes", *FEATURES)
+    train, test = kept_split(learning.keep_missing(rows, learning.NUMERIC), ID)
     found = quantile.boosted_quantiles(train, test, ["city"], learning.CATEGORICAL, learning.NUMERIC, "response_minutes", ID)
-    return settle(found.select("city", *ID, "response_minutes", "pred_p90", "pred_p95"))
+    return stored(found.select("city", *ID, "response_minutes", "pred_p90", "pred_p95"), "quantiles")
 
 
 @query("ml_quantile")

@@ -3,6 +3,7 @@ from math import factorial
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from lagline.operators import attribution, boosting, encoding, quantile
@@ -247,3 +248,11 @@ def test_rows_of_short_paths_are_attributed_without_sorting_them(monkeypatch):
 
     monkeypatch.setattr(attribution.np, "unique", refuse)
     np.testing.assert_allclose(explainer.contributions(0, codes), expected, atol=1e-12)
+
+
+def test_few_rounds_write_no_blocks(rows, monkeypatch):
+    """Blocks are checkpointed where many rounds are to come, not shortly before the last."""
+    saved = []
+    monkeypatch.setattr(RDD, "checkpoint", lambda self: saved.append(self))
+    model = boosting.fit(rows, ["city"], NAMES, "minutes", [boosting.Pinball(0.9)], trees=12, depth=2)
+    assert len(model.trees[0][0]) == 12 and not saved
