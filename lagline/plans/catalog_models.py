@@ -313,16 +313,16 @@ def ml_pinball(spark, d):
 @lru_cache(maxsize=4)
 def _attributed(spark, d):
     """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
-    rows = learning.keep_missing(model_ready(spark, d).filter("delay_indicator IS NOT NULL"), learning.NUMERIC)
-    train, test = kept_split(rows, ID)
+    rows = model_ready(spark, d).filter("delay_indicator IS NOT NULL").select("city", *ID, learning.LABEL, *FEATURES)
+    train, test = kept_split(learning.keep_missing(rows, learning.NUMERIC), ID)
     means = encoding.known_means(train, ["city"], learning.CATEGORICAL, "delay_indicator", ID)
     parts = (train.withColumn("__own", F.lit(True)), test.withColumn("__own", F.lit(False)))
     known, fresh = (encoding.encoded(p, means, ["city"], learning.CATEGORICAL, ID, "__own").drop("__own") for p in parts)
     names = [*[f"enc_{c}" for c in learning.CATEGORICAL], *learning.NUMERIC]
     read = {"city", learning.LABEL, *names}
-    model = boosting.fit(settle(known.select(*[c for c in known.columns if c in read])), ["city"], names, learning.LABEL, [boosting.Logistic()])
+    model = boosting.fit(stored(known.select(*[c for c in known.columns if c in read]), "encoded"), ["city"], names, learning.LABEL, [boosting.Logistic()])
     keep = ["city", "incident_id", "delay_indicator", *FEATURES]
-    return settle(attribution.attribute_margin(attribution.BoostedExplainer.of(model), fresh, ["city"], keep, FEATURES))
+    return stored(attribution.attribute_margin(attribution.BoostedExplainer.of(model), fresh, ["city"], keep, FEATURES), "attributed")
 
 
 def _explained(spark, d, city):
