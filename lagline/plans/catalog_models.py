@@ -206,13 +206,21 @@ def ag_tail_compare(spark, d):
     return _cities(lambda c: learning.tail_comparison(_tail(spark, d, c)))
 
 
-def _forecast(spark, d, city, fill):
-    """Delay risk of the next day's hours. Rows of unknown level train, too; the slots' level is the most frequent known one."""
-    rows = settle(CITY_ROWS[city](spark, d))
+@lru_cache(maxsize=8)
+def _forecaster(spark, d, city):
+    """The fitted forest, the next day's slots, their history and the last incident, which both forecasts share. Rows of unknown level train, too."""
+    rows = stored(CITY_ROWS[city](spark, d).select("incident_datetime", learning.LABEL, *learning.FORECAST_FEATURES), "history")
     known = rows.filter("delay_indicator IS NOT NULL")
     stages = [*learning.hashed([], learning.FORECAST_FEATURES, "error"), learning.forest(trees=20)]
     model = learning.train(stages, learning.keep_missing(known, learning.FORECAST_FEATURES))
-    slots = forecast.slot_features(forecast.future_slots(rows), forecast.history_profile(known), fill)
+    last = rows.agg(F.max("incident_datetime")).first()[0]
+    return model, settle(forecast.future_slots(rows)), settle(forecast.history_profile(known)), last
+
+
+def _forecast(spark, d, city, fill):
+    """Delay risk of the next day's hours. The slots' level is the most frequent known one."""
+    model, hours, profile, last = _forecaster(spark, d, city)
+    slots = forecast.slot_features(hours, profile, fill)
     if not fill:
         slots = slots.where("calls_past_30min IS NOT NULL")
     last = rows.agg(F.max("incident_datetime")).first()[0]
