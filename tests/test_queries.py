@@ -54,3 +54,14 @@ def test_contract(spark):
     queries = entry_module.queries()
     assert set(ORACLES) <= set(queries) and len(queries) > 150
     assert entry_module.entry(spark).count() == 8
+
+
+def test_filled_and_skipped_slots_share_a_forest(spark, sf, monkeypatch):
+    from lagline.plans import catalog_models
+
+    catalog_models._forecaster.cache_clear()
+    fitted = []
+    monkeypatch.setattr(catalog_models.learning, "train", lambda stages, rows, real=catalog_models.learning.train: fitted.append(rows) or real(stages, rows))
+    assert entry_module.queries()["ml_forecast_slots"](spark, sf).count() == 4
+    assert len(fitted) == 2  # one a city
+    assert set(fitted[0].columns) == {"incident_datetime", "delay_indicator", *catalog_models.learning.FORECAST_FEATURES}
