@@ -47,13 +47,16 @@ def kept_split(df: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int
 
 
 def balanced_sample(
-    df: DataFrame, label: str, keys: Sequence[str], max_per_class: int = 200_000, seed: int = SEED
+    df: DataFrame, label: str, keys: Sequence[str], max_per_class: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Both classes thinned to about the size of the smaller one (at most max_per_class), without order bias."""
+    """The larger class thinned to about the size of the smaller one, of which all rows stay, without order bias.
+
+    max_per_class: thins both to that size, where the caller's contract says so.
+    """
     sizes = {r[0]: r[1] for r in df.filter(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     if len(sizes) < 2:
         raise ValueError(f"training data has one class only: {sizes}")
-    target = min(min(sizes.values()), max_per_class)
+    target = min(*sizes.values(), *([] if max_per_class is None else [max_per_class]))
     h = hash_fraction(keys, seed)
     zero, one = (target / sizes[c] for c in (0, 1))
     return df.filter(((F.col(label) == 0) & (h < zero)) | ((F.col(label) == 1) & (h < one)))
