@@ -51,7 +51,11 @@ def onehot_scaled(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     assemble = VectorAssembler(
         inputCols=[*encode.getOutputCols(), *numeric], outputCol="unscaled_features", handleInvalid="error"
     )
-    return [index, encode, assemble, StandardScaler(inputCol="unscaled_features", outputCol="features")]
+    return [index, encode, assemble, scaler()]
+
+
+def scaler() -> StandardScaler:
+    return StandardScaler(inputCol="unscaled_features", outputCol="features")
 
 
 def hashed(categorical: Sequence[str], numeric: Sequence[str], invalid: str = "keep", size: int = HASH_SIZE) -> list:
@@ -193,10 +197,13 @@ def feature_names(transformed: DataFrame, column: str = "features") -> list[str]
 
 def importance_table(model, transformed: DataFrame, column: str = "features") -> DataFrame:
     """Importance per vector slot of a tree model, largest first."""
+    return ranked_importance(transformed.sparkSession, model, feature_names(transformed, column))
+
+
+def ranked_importance(spark, model, names: Sequence[str]) -> DataFrame:
     values = model.featureImportances.toArray().tolist()
-    names = feature_names(transformed, column)
     rows = sorted(zip(names, values), key=lambda r: (-r[1], r[0]))
-    return transformed.sparkSession.createDataFrame(
+    return spark.createDataFrame(
         [(f, v, i + 1) for i, (f, v) in enumerate(rows)], "feature string, importance double, rank int"
     )
 

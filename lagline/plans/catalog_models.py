@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from lagline.operators import aggregates as agg
-from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, quantile
+from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, onehot, quantile
 from lagline.operators.reshape import stack
 from lagline.operators.sampling import kept_split
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
@@ -41,24 +41,27 @@ def _labelled(spark, d, city):
 
 @lru_cache(maxsize=8)
 def _onehot(spark, d, city):
-    """The fitted one-hot stages, which the classifiers on them share."""
-    return learning.train(learning.onehot_scaled(learning.CATEGORICAL, learning.NUMERIC), _labelled(spark, d, city)[0])
+    """The one-hot encoding, its scaler, and the vectors of train and test rows, which the classifiers on them share."""
+    sides = _labelled(spark, d, city)
+    encoding_ = onehot.fit(sides[0], learning.CATEGORICAL, learning.NUMERIC)
+    train, test = (encoding_.vectors(rows, [*ID, learning.LABEL], "unscaled_features") for rows in sides)
+    return encoding_, learning.train([learning.scaler()], train), train, test
 
 
 @lru_cache(maxsize=32)
 def _baseline(spark, d, kind, city):
     """A fitted classifier and its scored test rows, with the vectors that a query returns."""
-    train, test = _labelled(spark, d, city)
     if kind == "Hashed Forest":
+        train, test = _labelled(spark, d, city)
         encode = PipelineModel(learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"))
         last = learning.wide_forest().on(encode).fit(train)
     else:
-        encode = _onehot(spark, d, city)
+        _, encode, train, test = _onehot(spark, d, city)
         logistic = kind == "Logistic Regression"
         last = learning.logistic().fit(encode.transform(train)) if logistic else learning.wide_forest(trees=100).on(encode).fit(train)
     model = PipelineModel([*encode.stages, last])
     vectors = [] if kind == "Random Forest" else ["features"]
-    return model, settle(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"))
+    return model, stored(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"), "scored")
 
 
 def _baselines(spark, d, kinds, city):
@@ -160,8 +163,7 @@ def ml_compare(spark, d):
 def ml_importance(spark, d):
     def table(city):
         model, _ = _baseline(spark, d, "Random Forest", city)
-        named = model.transform(_labelled(spark, d, city)[1])  # for its slots' names, no row is scored again
-        return learning.importance_table(model.stages[-1], named, "unscaled_features")
+        return learning.ranked_importance(spark, model.stages[-1], _onehot(spark, d, city)[0].names())
 
     return _cities_at_once(spark, table)
 

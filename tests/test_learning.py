@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from lagline.operators import attribution, clusters, forecast, learning, quantile
+from lagline.operators import attribution, clusters, forecast, learning, onehot, quantile
 
 
 def rows(spark, n=400, seed=4):
@@ -168,3 +168,21 @@ def test_transfer_reads_its_training_rows_once(spark):
     watched = df.repartition(2).mapInArrow(counted, df.schema).withColumnRenamed("kind", "incident_category")
     found = learning.transfer(watched, df.withColumnRenamed("kind", "incident_category"), "a", "b", ["incident_id"]).collect()
     assert len(found) == 1 and found[0]["auc_roc"] > 0.6 and read.value == 400
+
+
+@pytest.mark.parametrize("levels", [3, 40])
+def test_one_hot_vectors_are_those_of_sparks_stages(spark, levels):
+    """Sparse and dense ones, with missing and unknown levels, zeros and ties of levels; no schema has names of the slots."""
+    data = [(i, f"k{i * i % levels}" if i % 7 else None, "ab"[i % 2], i % 5, i % 3 - 1) for i in range(200)]
+    df = spark.createDataFrame(data, "incident_id int, kind string, side string, hour int, month int")
+    unknown = spark.createDataFrame([(999, "never", "a", 0, 1), (1000, None, None, 0, 0)], df.schema)
+    stages = learning.train(learning.onehot_scaled(["kind", "side"], ["hour", "month"]), df)
+    plain = stages.transform(df.union(unknown))
+    found = onehot.fit(df, ["kind", "side"], ["hour", "month"])
+    own = found.vectors(df.union(unknown), ["incident_id"], "unscaled_features")
+    assert "ml_attr" not in own.schema["unscaled_features"].metadata
+    scaled = learning.train([learning.scaler()], found.vectors(df, ["incident_id"], "unscaled_features")).transform(own)
+    columns = ["incident_id", "unscaled_features", "features"]
+    got, want = (sorted(x.select(*columns).collect(), key=lambda r: r[0]) for x in (scaled, plain))
+    assert [(r[0], type(r[1]), r[1], r[2]) for r in got] == [(r[0], type(r[1]), r[1], r[2]) for r in want]
+    assert found.names() == learning.feature_names(plain, "unscaled_features")
