@@ -72,11 +72,6 @@ def _baselines(spark, d, kinds, city):
     return dict(zip(kinds, at_once(spark, lambda kind: _baseline(spark, d, kind, city)[1], kinds)))
 
 
-def _metrics(spark, d, kind, city):
-    _, scored = _baseline(spark, d, kind, city)
-    return {**learning.ranking_quality(scored), **learning.class_quality(scored)}
-
-
 def _one_row(spark, name, values):
     keys = sorted(values)
     return spark.createDataFrame([(name, *[float(values[k]) for k in keys])], "model string, " + ", ".join(f"{k} double" for k in keys))
@@ -128,7 +123,13 @@ def ml_test_rows(spark, d):
 @query("ml_eval_binary")
 def ml_eval_binary(spark, d):
     kinds = ("Logistic Regression", "Random Forest")
-    return _cities(lambda c: stack([_one_row(spark, k, learning.ranking_quality(_baseline(spark, d, k, c)[1])) for k in kinds]))
+
+    def table(city):
+        scored = _baselines(spark, d, kinds, city)
+        found = at_once(spark, lambda k: learning.ranking_quality(scored[k]), kinds)
+        return stack([_one_row(spark, k, x) for k, x in zip(kinds, found)])
+
+    return _cities_at_once(spark, table)
 
 
 @query("ml_eval_multi")
@@ -225,7 +226,6 @@ def _forecast(spark, d, city, fill):
     slots = forecast.slot_features(hours, profile, fill)
     if not fill:
         slots = slots.where("calls_past_30min IS NOT NULL")
-    last = rows.agg(F.max("incident_datetime")).first()[0]
     return learning.forecast(model, learning.keep_missing(slots, learning.FORECAST_FEATURES), last).drop("forecast_generated_at")
 
 
