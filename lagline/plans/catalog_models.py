@@ -151,7 +151,13 @@ def ag_confusion(spark, d):
 @query("ml_roc_curve")
 def ml_roc_curve(spark, d):
     kinds = ("Logistic Regression", "Random Forest")
-    return _cities(lambda c: stack([learning.roc_curve(_baseline(spark, d, k, c)[1]).withColumn("model", F.lit(k)) for k in kinds]))
+
+    def table(city):
+        scored = _baselines(spark, d, kinds, city)
+        curves = at_once(spark, lambda k: learning.roc_curve(scored[k]), kinds)
+        return stack([curve.withColumn("model", F.lit(k)) for k, curve in zip(kinds, curves)])
+
+    return _cities_at_once(spark, table)
 
 
 @query("ml_compare")
