@@ -163,7 +163,13 @@ def ml_roc_curve(spark, d):
 @query("ml_compare")
 def ml_compare(spark, d):
     kinds = ("Logistic Regression", "Random Forest")
-    return _cities(lambda c: learning.comparison({k: _metrics(spark, d, k, c) for k in kinds}, spark))
+
+    def table(city):
+        scored = _baselines(spark, d, kinds, city)
+        found = at_once(spark, lambda k: {**learning.ranking_quality(scored[k]), **learning.class_quality(scored[k])}, kinds)
+        return learning.comparison(dict(zip(kinds, found)), spark)
+
+    return _cities_at_once(spark, table)
 
 
 @query("ml_importance")
