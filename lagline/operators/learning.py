@@ -222,9 +222,8 @@ def transfer(train_rows: DataFrame, test_rows: DataFrame, train_city: str, test_
         raise ValueError("no common feature columns")
     wanted = list(dict.fromkeys([*keys, LABEL, *categorical, *numeric]))
     labelled = [keep_missing(df.filter(F.col(LABEL).isNotNull()), numeric).select(*wanted) for df in (train_rows, test_rows)]
-    sample = balanced_sample(stored(labelled[0], "labelled"), LABEL, keys)
-    encode = PipelineModel(hashed(categorical, numeric, "keep"))
-    model = PipelineModel([*encode.stages, wide_forest().on(encode).fit(sample)])
+    sample = stored(balanced_sample(stored(labelled[0], "labelled"), LABEL, keys), "sample")
+    model = train([*hashed(categorical, numeric, "keep"), forest()], sample)
     scored = stored(model.transform(labelled[1]).select(LABEL, "rawPrediction", "prediction"), "scored")
     row = {"train_city": train_city, "test_city": test_city, **ranking_quality(scored), **class_quality(scored)}
     kept = ("train_city", "test_city", "auc_roc", "auc_pr", "accuracy", "f1", "test_positive_rate")
