@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lagline.operators import aggregates as agg
 from lagline.operators import attribution, boosting, clusters, drivers, encoding, forecast, learning, onehot, quantile
-from lagline.operators.reshape import stack
+from lagline.operators.reshape import stack, union_tagged
 from lagline.operators.sampling import kept_split
 from lagline.plans.inputs import CITIES, INC_SQL, MODEL_SQL, counted_model_ready, freight_model_ready, incidents, model_ready, web_model_ready
 from lagline.plans.registry import query
@@ -283,11 +283,20 @@ def ag_confusion_totals(spark, d):
     return ag_confusion(spark, d).groupBy("city", "delay_indicator").agg(F.sum("n").alias("n"))
 
 
+def _only(rows, names):
+    """The named columns in the order that they have, which decides how Spark deals rows out, and so what summaries hold."""
+    return rows.select(*[c for c in rows.columns if c in names])
+
+
 @lru_cache(maxsize=4)
 def _quantiles(spark, d):
     """Boosted P90 and P95 of the test rows, the trees of both cities grown in the same passes."""
-    rows = quantile.capped(model_ready(spark, d)).select("city", *ID, "response_minutes", *FEATURES)
-    train, test = kept_split(learning.keep_missing(rows, learning.NUMERIC), ID)
+    def split(city):
+        rows = _only(quantile.capped(CITY_ROWS[city](spark, d)), [*ID, "response_minutes", *FEATURES])
+        return kept_split(learning.keep_missing(rows, learning.NUMERIC), ID)
+
+    # A table each, so that the cities' rows stay in this order: residuals are summed up by block.
+    train, test = (union_tagged(dict(zip(CITIES, side))) for side in zip(*map(split, CITIES)))
     found = quantile.boosted_quantiles(train, test, ["city"], learning.CATEGORICAL, learning.NUMERIC, "response_minutes", ID)
     return stored(found.select("city", *ID, "response_minutes", "pred_p90", "pred_p95"), "quantiles")
 
@@ -335,7 +344,7 @@ def ml_pinball(spark, d):
 @lru_cache(maxsize=4)
 def _attributed(spark, d):
     """Boosted delay classifiers of both cities, grown in the same passes, and the attributions of their test rows."""
-    rows = model_ready(spark, d).filter("delay_indicator IS NOT NULL").select("city", *ID, learning.LABEL, *FEATURES)
+    rows = _only(model_ready(spark, d).filter("delay_indicator IS NOT NULL"), ["city", *ID, learning.LABEL, *FEATURES])
     train, test = kept_split(learning.keep_missing(rows, learning.NUMERIC), ID)
     means = encoding.known_means(train, ["city"], learning.CATEGORICAL, "delay_indicator", ID)
     parts = (train.withColumn("__own", F.lit(True)), test.withColumn("__own", F.lit(False)))
