@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Transformer
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,17 @@ class OneHot:
         return F.when(1.5 * (F.size(entries) + 1) < self.width, sparse).otherwise(dense)
 
 
+class OneHotStage(Transformer):
+    """A fitted encoding as the first stage of a pipeline; every row keeps its columns."""
+
+    def __init__(self, fitted: OneHot, output: str):
+        super().__init__()
+        self.fitted, self.output = fitted, output
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.fitted.vectors(dataset, dataset.columns, self.output)
+
+
 def fit(rows: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> OneHot:
     """Levels by frequency, equally frequent ones by name. Missing values are no level."""
     items = F.inline(F.array(*[F.struct(F.lit(i).alias("number"), F.col(c).cast("string").alias("level")) for i, c in enumerate(categorical)]))

@@ -53,15 +53,16 @@ def _baseline(spark, d, kind, city):
     """A fitted classifier and its scored test rows, with the vectors that a query returns."""
     if kind == "Hashed Forest":
         train, test = _labelled(spark, d, city)
-        encode = PipelineModel(learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"))
+        first, encode = [], PipelineModel(learning.hashed(learning.CATEGORICAL, learning.NUMERIC, "error"))
         last = learning.wide_forest().on(encode).fit(train)
     else:
-        _, encode, train, test = _onehot(spark, d, city)
+        encoding_, encode, train, test = _onehot(spark, d, city)
+        first = [onehot.OneHotStage(encoding_, "unscaled_features")]
         logistic = kind == "Logistic Regression"
         last = learning.logistic().fit(encode.transform(train)) if logistic else learning.wide_forest(trees=100).on(encode).fit(train)
-    model = PipelineModel([*encode.stages, last])
+    model = PipelineModel([*encode.stages, last])  # on vectors, which the one-hot models' rows have already
     vectors = [] if kind == "Random Forest" else ["features"]
-    return model, stored(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"), "scored")
+    return PipelineModel([*first, *model.stages]), stored(model.transform(test).select(*ID, learning.LABEL, *vectors, "rawPrediction", "probability", "prediction"), "scored")
 
 
 def _baselines(spark, d, kinds, city):
